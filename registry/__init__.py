@@ -1,0 +1 @@
+"""Driver queries over the given tables, and their independent SQL."""
