@@ -42,11 +42,17 @@ def wall_clock(col: Column, zone: str | None = None) -> Column:
 
 
 def day_text(col: Column, zone: str | None = None) -> Column:
-    return F.date_format(wall_clock(col, zone), "yyyy-MM-dd")
+    return wall_clock(col, zone).cast("date").cast("string")
 
 
 def clock_text(col: Column) -> Column:
-    return F.date_format(col, CLOCK)
+    """``yyyy-MM-dd HH:mm:ss`` of an instant (session zone) or a wall clock (as it is)."""
+    return F.left(col.cast("string"), F.lit(19))
+
+
+def now_text(now: Column | None = None) -> Column:
+    """Time of the batch as text, or of an injected ``now``."""
+    return clock_text(F.current_timestamp() if now is None else now)
 
 
 def parse_clock(col: Column, pattern: str = CLOCK) -> Column:
@@ -75,7 +81,7 @@ def day_part_index(wall: Column) -> Column:
 
 
 def day_part(wall: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, DAY_PARTS)), day_part_index(wall) + 1)
+    return F.get(F.array(*map(F.lit, DAY_PARTS)), day_part_index(wall))
 
 
 def in_days(df: DataFrame, ts: str, first: str, last: str | None = None, zone: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,13 +20,11 @@ def _short_hex(col: Column) -> Column:
 
 def _any_number():
     # a closure, so that executors get it by value and need no copy of this package
-    def convert(texts):
+    def convert(texts: pd.Series) -> pd.Series:
         import decimal
         import re
         import sys
 
-        import pandas as pd
-
         if hasattr(sys, "set_int_max_str_digits"):
             sys.set_int_max_str_digits(0)
 
@@ -40,8 +39,34 @@ def _any_number():
 
         return pd.Series([one(t) for t in texts], dtype="object")
 
-    convert.__annotations__ = {}
-    return F.pandas_udf(convert, "string", F.PandasUDFType.SCALAR)
+    return F.pandas_udf(convert, "string")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often the result mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _shift(plain: Column, scale: int) -> Column:
+    """Divide plain decimal text by ``10^scale`` by moving the point: exact at any length."""
+    point = F.instr(plain, ".")
+    kept = F.when(point > 0, F.length(plain) - point).otherwise(F.lit(0))
+    digits = F.concat(F.repeat(F.lit("0"), F.lit(scale + 1)), F.translate(plain, "+-.", ""))
+    negative = F.startswith(plain, F.lit("-")) & plain.rlike("[1-9]")
+
+    def written(p: Column) -> Column:
+        left = F.ltrim(F.substr(p.digits, F.lit(1), F.length(p.digits) - p.kept - scale), F.lit("0"))
+        right = F.substr(p.digits, F.length(p.digits) - p.kept - scale + 1, p.kept + scale)
+        # zeros at the end go, but not those the text came with
+        right = F.rpad(F.rtrim(right, F.lit("0")), F.greatest(p.kept, F.length(F.rtrim(right, F.lit("0")))), F.lit("0"))
+        return F.concat(
+            F.when(p.negative, F.lit("-")).otherwise(F.lit("")),
+            F.when(left == "", F.lit("0")).otherwise(left),
+            F.when(right == "", F.lit("")).otherwise(F.concat(F.lit("."), right)),
+        )
+
+    parts = F.struct(digits.alias("digits"), kept.alias("kept"), negative.alias("negative"))
+    return F.when(plain.isNotNull(), _let(parts, written))
 
 
 def amount(col: Column, scale: int = 0) -> Column:
@@ -56,18 +81,4 @@ def amount(col: Column, scale: int = 0) -> Column:
         .when(col.rlike(_PLAIN), col)
         .otherwise(_any_number()(F.when(~simple, col)))
     )
-    whole = F.regexp_replace(F.substring_index(plain, ".", 1), "[+-]", "")
-    fraction = F.when(F.contains(plain, F.lit(".")), F.substring_index(plain, ".", -1)).otherwise(F.lit(""))
-    kept = F.length(fraction)
-    # shift the point by moving digits of the text: exact at any length
-    digits = F.concat(F.repeat(F.lit("0"), F.lit(scale + 1)), whole, fraction)
-    point = kept + scale
-    left = F.ltrim(F.substr(digits, F.lit(1), F.length(digits) - point), F.lit("0"))
-    right = F.rtrim(F.substr(digits, F.length(digits) - point + 1, point), F.lit("0"))
-    right = F.when(F.length(right) < kept, F.rpad(right, kept, F.lit("0"))).otherwise(right)
-    text = F.concat(
-        F.when(F.startswith(plain, F.lit("-")) & digits.rlike("[1-9]"), F.lit("-")).otherwise(F.lit("")),
-        F.when(left == "", F.lit("0")).otherwise(left),
-        F.when(right == "", F.lit("")).otherwise(F.concat(F.lit("."), right)),
-    )
-    return F.when(col.isNull(), F.lit("0")).otherwise(text)
+    return F.when(col.isNull(), F.lit("0")).otherwise(_let(plain, lambda p: _shift(p, scale)))

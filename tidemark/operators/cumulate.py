@@ -82,17 +82,15 @@ def cumulate(
 
 def _blocks(step: str, until: str, n_steps: int) -> Column:
     """Cut ``[step, until)`` into aligned blocks of 1, 2, 4, … steps: at most two of each size."""
-    first, after = F.col(step), F.col(until)
-    pieces = []
-    for level in range((n_steps - 1).bit_length() + 1):
-        size = 1 << level
-        low = F.floor((first + (size - 1)) / size).cast("int")
-        high = F.floor(after / size).cast("int")
-        some = low < high
-        for taken, number in ((some & (low % 2 == 1), low), (some & (high % 2 == 1), high - 1)):
-            block = F.struct((number * size).alias("start"), F.lit(size).alias("size"))
-            pieces.append(F.when(taken, block))
-    return F.filter(F.array(*pieces), lambda block: block.isNotNull())
+    sizes = ", ".join(str(1 << level) for level in range((n_steps - 1).bit_length() + 1))
+    low, high = f"(({step} + size - 1) div size)", f"({until} div size)"
+
+    def block(number: str, odd: str) -> str:
+        start = f"cast({number} * size as int)"
+        return f"if({low} < {high} and {odd} % 2 = 1, named_struct('start', {start}, 'size', size), null)"
+
+    pairs = f"transform(array({sizes}), size -> array({block(low, low)}, {block(f'({high} - 1)', high)}))"
+    return F.array_compact(F.flatten(F.expr(pairs)))
 
 
 def best(df: DataFrame, group: Sequence[str], measure: str, key: str, k: int, rank: str = "rank_num") -> DataFrame:

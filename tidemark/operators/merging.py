@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.clock import now_text
 from tidemark.operators.ranking import latest_per_group
 
 
@@ -38,6 +39,11 @@ def merge_aggregate(
     )
 
 
-def ranked_snapshot(ranked: DataFrame, update_time: Column, rank: str = "ranking") -> DataFrame:
+def stamped(df: DataFrame, now: Column | None = None) -> DataFrame:
+    """Rows with the ``update_time`` result tables carry."""
+    return df.withColumn("update_time", now_text(now))
+
+
+def ranked_snapshot(ranked: DataFrame, now: Column | None = None, rank: str = "ranking") -> DataFrame:
     """Rows of one ranking, 1..n, stamped with the time it was taken, ready to append."""
-    return ranked.withColumns({rank: F.col(rank).cast("int"), "update_time": update_time})
+    return stamped(ranked.withColumn(rank, F.col(rank).cast("int")), now)

@@ -1,9 +1,11 @@
 """Behaviour paths: each user's steps in order, with equal neighbours counted once.
 
-A user may own a large part of all rows, so no user's rows are brought together. The rows of a user are ordered within
-hours; only one short row per user and hour (count, first step, last step) is used to join the hours up. A path is
-identified by its length and two 64-bit checksums over (position, step), which add up in any order and combine before
-the shuffle. Text is built for the paths that are shown.
+One user may own a large part of all rows. Such users are found by a count first, and their rows are ordered hour by
+hour in separate tasks; one short row per user and hour (count, first step, last step) then joins the hours up. The
+rows of all other users are ordered per user, without that extra work.
+
+A path is identified by its length and two 64-bit checksums over (position, step), which add up in any order and
+combine before the shuffle. Text is built for the paths that are shown.
 """
 
 from __future__ import annotations
@@ -13,36 +15,42 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ARROW = " → "
+HOT_ROWS = 1_000_000
+HOT_USERS = 10_000
+
 
+def hot_users(df: DataFrame, user: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Users with more than ``hot_rows`` rows and more than one in ``HOT_USERS`` of all rows: fewer than ``HOT_USERS``."""
+    counts = df.groupBy(user).agg(F.count(F.lit(1)).alias("_rows"))
+    share = counts.agg(F.sum("_rows")).scalar() / HOT_USERS
+    return counts.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(user)
 
-def path_steps(df: DataFrame, user: str, step: str, ts: str, tie: list[str]) -> DataFrame:
+
+def path_steps(df: DataFrame, user: str, step: str, ts: str, tie: list[str], hot: DataFrame) -> DataFrame:
     """``user, position, step`` after repeated neighbours are removed; order is event time, then ``tie``."""
-    order = [F.col(ts), *map(F.col, tie)]
-    hour = [user, "_hour"]
-    within = W.partitionBy(*hour).orderBy(*order)
+    rows = df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).select(user, step, ts, *tie)
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), user, "left")  # fewer than HOT_USERS rows
+    slot = [user, "_slot"]
+    within = W.partitionBy(*slot).orderBy(ts, *tie)
     kept = (
-        df.filter(F.col(ts).isNotNull())
-        .select(user, F.date_trunc("hour", F.col(ts)).alias("_hour"), step, ts, *tie)
+        marked.withColumn("_slot", F.when(F.col("_hot"), F.date_trunc("hour", ts)))
         .withColumn("_before", F.lag(step).over(within))
         .filter(F.col("_before").isNull() | (F.col("_before") != F.col(step)))
         .withColumn("_n", F.row_number().over(within))
-        .select(user, "_hour", "_n", step)
+        .select(*slot, "_n", step)
     )
-    hours = kept.groupBy(*hour).agg(
+    hours = kept.filter(F.col("_slot").isNotNull()).groupBy(*slot).agg(
         F.max("_n").alias("_size"), F.min_by(step, "_n").alias("_first"), F.max_by(step, "_n").alias("_last")
     )
-    in_time = W.partitionBy(user).orderBy("_hour")
+    in_time = W.partitionBy(user).orderBy("_slot")
     repeats = F.coalesce(F.lag("_last").over(in_time) == F.col("_first"), F.lit(False)).cast("int")
-    joined = hours.withColumn("_repeats", repeats).withColumn(
-        "_offset",
-        F.coalesce(
-            F.sum(F.col("_size") - F.col("_repeats")).over(in_time.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ),
-    )
+    sizes_before = F.sum(F.col("_size") - F.col("_repeats")).over(in_time.rowsBetween(W.unboundedPreceding, -1))
+    joints = hours.withColumn("_repeats", repeats).withColumn("_offset", F.coalesce(sizes_before, F.lit(0)))
+    dropped = F.coalesce("_repeats", F.lit(0))
     return (
-        kept.join(joined.select(*hour, "_repeats", "_offset"), hour)
-        .filter(F.col("_n") > F.col("_repeats"))
-        .select(user, (F.col("_offset") + F.col("_n") - F.col("_repeats")).alias("position"), step)
+        kept.join(joints.select(*slot, "_repeats", "_offset"), slot, "left")
+        .filter(F.col("_n") > dropped)
+        .select(user, (F.coalesce("_offset", F.lit(0)) + F.col("_n") - dropped).alias("position"), step)
     )
 
 
@@ -53,14 +61,24 @@ def path_texts(steps: DataFrame, user: str, step: str) -> DataFrame:
     return steps.groupBy(user).agg(text.alias("path"))
 
 
-def path_patterns(df: DataFrame, user: str, step: str, ts: str, tie: list[str], k: int = 5, min_steps: int = 2) -> DataFrame:
+def path_patterns(
+    df: DataFrame,
+    user: str,
+    step: str,
+    ts: str,
+    tie: list[str],
+    k: int = 5,
+    min_steps: int = 2,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """The ``k`` paths walked by most users: ``path, steps, users, first_user``.
 
     Equal numbers of users go by fewer steps, then by the smallest user. ``first_user`` is the smallest user of the
     path; its rows are read again to write the path out.
     """
+    hot = hot_users(df, user, hot_rows)
     sums = [F.bit_xor(F.xxhash64("position", step, F.lit(n))).alias(f"_sum{n}") for n in (0, 1)]
-    walked = path_steps(df, user, step, ts, tie).groupBy(user).agg(F.count(F.lit(1)).alias("steps"), *sums)
+    walked = path_steps(df, user, step, ts, tie, hot).groupBy(user).agg(F.count(F.lit(1)).alias("steps"), *sums)
     patterns = (
         walked.filter(F.col("steps") >= min_steps)
         .groupBy("steps", "_sum0", "_sum1")
@@ -68,8 +86,8 @@ def path_patterns(df: DataFrame, user: str, step: str, ts: str, tie: list[str],
     )
     top = patterns.orderBy(F.desc("users"), F.asc("steps"), F.asc("first_user")).limit(k)
     shown = top.select("steps", "users", "first_user")
-    walkers = df.join(shown.select(F.col("first_user").alias(user)), user, "left_semi")
-    texts = path_texts(path_steps(walkers, user, step, ts, tie), user, step)
+    walkers = df.join(F.broadcast(shown.select(F.col("first_user").alias(user))), user, "left_semi")  # k rows
+    texts = path_texts(path_steps(walkers, user, step, ts, tie, hot), user, step)
     return shown.join(texts.withColumnRenamed(user, "first_user"), "first_user").select(
         "path", "steps", "users", "first_user"
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import day_text, epoch_to_ts
 from tidemark.functions.device import OTHER, PLATFORMS, UNKNOWN_MODEL, brand_of, platform_of
 from tidemark.functions.region import COUNTRY, in_china, province
-from tidemark.functions.text import field, words
+from tidemark.functions.text import field, strip, words
 from tidemark.operators.paths import path_patterns
 from tidemark.operators.ranking import top_rows
 from tidemark.sources.records import USER_LOG, parse_json
@@ -48,8 +48,15 @@ def page_pv(logs: DataFrame, ts: str = "ts", zone: str | None = None) -> DataFra
     )
 
 
+def search_words(col: Column) -> Column:
+    """Words of a search: comma-separated text, or a JSON list of words."""
+    listed = F.from_json(F.when(F.startswith(col, F.lit("[")), col), "array<string>")
+    named = F.filter(F.transform(listed, strip), lambda w: w != "")
+    return F.coalesce(named, words(col))
+
+
 def keyword_counts(logs: DataFrame, column: str = "keywords") -> DataFrame:
-    found = logs.select(F.explode(words(F.col(column))).alias("keyword"))
+    found = logs.select(F.explode(search_words(F.col(column))).alias("keyword"))
     return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("search_count"))
 
 

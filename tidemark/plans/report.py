@@ -30,27 +30,28 @@ def daily_report(gmv: DataFrame, products: DataFrame, k: int = 5, ids: str = "to
         F.col(ids).alias("_ids"),
     )
     days = latest_per_group(clocks, ["ds"], ["window_end"])
-    listed = days.select("ds", F.posexplode(F.split("_ids", ",")).alias("_pos", "product_id"))
-    listed = listed.groupBy("ds", "product_id").agg(F.min("_pos").alias("_pos"))
-    wanted = listed.select("product_id").distinct()
+    day = ["ds", "window_start", "window_end", "win_gmv"]
+    listed = days.select(*day, F.posexplode(F.split("_ids", ",")).alias("_pos", "product_id"))
     names = (
         products.select(F.col("product_id").cast("string").alias("product_id"), "product_desc")
-        .join(wanted, "product_id", "left_semi")
+        .join(listed.select("product_id"), "product_id", "left_semi")
         .groupBy("product_id")
         .agg(F.min("product_desc").alias("product_desc"))
     )
+    first = F.min(F.when(F.col("product_desc").isNotNull(), F.struct("_pos", "product_desc")))
     named = (
         listed.join(names, "product_id", "left")
-        .groupBy("ds")
-        .agg(F.array_sort(F.collect_list(F.when(F.col("product_desc").isNotNull(), F.struct("_pos", "product_desc")))).alias("_n"))
-        .select("ds", F.transform("_n", lambda n: n["product_desc"]).alias("_names"))
+        .groupBy(*day, "product_id")
+        .agg(first.alias("_name"))
+        .groupBy(*day)
+        .agg(F.array_sort(F.collect_list("_name")).alias("_n"))
+        .select(*day, F.transform("_n", lambda n: n["product_desc"]).alias("_names"))
     )
     by_day = W.orderBy("ds")
     before = F.lag("_names").over(by_day)
     growth = (F.col("win_gmv") - F.col("pre_win_gmv")) / F.nullif(F.col("pre_win_gmv"), F.lit(0)) * 100
     return (
-        days.join(named, "ds")
-        .withColumns({"_before": before, "pre_win_gmv": F.lag("win_gmv", 1, 0).over(by_day)})
+        named.withColumns({"_before": before, "pre_win_gmv": F.lag("win_gmv", 1, 0).over(by_day)})
         .select(
             "ds",
             "window_start",

@@ -8,8 +8,10 @@ them up.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Mapping, Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from tidemark.sources.changes import latest_state
 from tidemark.streaming.eventtime import DELAY, with_watermark
 from tidemark.streaming.tables import aggregate_view, append_view, batch_sink, start, unique_view
 
-# every zone in use lies a multiple of a quarter hour from UTC
+# every zone in use lies a multiple of a quarter hour from UTC, and clocks change by half or whole hours
 _QUARTER = 900
 
 
@@ -51,17 +53,22 @@ def _closed_until(closed: DataFrame, zone: str | None) -> Column:
     return closed.agg(F.max(wall_clock(F.col("window_end"), zone))).scalar()
 
 
-def _slice(step: str) -> str:
-    """Window length that fits the steps of a day in every zone."""
-    return f"{math.gcd(seconds_of(step), _QUARTER)} seconds"
+def _slice(stream: DataFrame, step: str, zone: str | None) -> str:
+    """Window length that divides the step and starts at local midnight too, though windows count from UTC."""
+    zone = zone or stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    try:
+        offset = dt.datetime.now(ZoneInfo(zone)).utcoffset().seconds
+    except (KeyError, ValueError):
+        offset = _QUARTER
+    return f"{math.gcd(seconds_of(step), 2 * _QUARTER, offset)} seconds"
 
 
 def stream_cumulative_sales(
-    orders: DataFrame, path: str, checkpoint: str, step: str = "10 seconds", ts: str = "ts", every: str | None = None
+    orders: DataFrame, path: str, checkpoint: str, step: str = "10 seconds", ts: str = "ts", zone: str | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Keep the step sums behind ``cumulative_sales`` in a table."""
     rows = orders.filter(present(F.col("total_amount")))
-    closed = closed_windows(rows, _slice(step), {"total_cumulative_amount": amount_of()}, ts=ts)
+    closed = closed_windows(rows, _slice(orders, step, zone), {"total_cumulative_amount": amount_of()}, ts=ts)
     return start(closed, batch_sink(path), checkpoint, every=every)
 
 
@@ -73,12 +80,12 @@ def cumulative_sales_view(spark: SparkSession, path: str, step: str = "10 second
 
 
 def stream_gmv(
-    orders: DataFrame, path: str, checkpoint: str, step: str = "10 minutes", ts: str = "ts", every: str | None = None
+    orders: DataFrame, path: str, checkpoint: str, step: str = "10 minutes", ts: str = "ts", zone: str | None = None, every: str | None = None
 ) -> StreamingQuery:
     """Keep the step and product sums behind ``gmv_topn`` in a table."""
     rows = orders.withColumn("clean_product_id", clean_id(F.col("product_id")))
     money = {"product_gmv": F.col("total_amount").cast("decimal(18,2)")}
-    closed = closed_windows(rows, _slice(step), money, ["clean_product_id"], ts)
+    closed = closed_windows(rows, _slice(orders, step, zone), money, ["clean_product_id"], ts)
     return start(closed, batch_sink(path), checkpoint, every=every)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.inputs import LAUNCH_TABLES, ORDER_LINES, USER_LOGS
+from tidemark_driver.inputs import LAUNCH_TABLES, ORDER_LINES, USER_LOGS
 from tidemark.functions.device import MAKERS
 from tidemark.functions.region import AUTONOMOUS, MUNICIPALITIES, PROVINCES, SPECIAL
 from tidemark.functions.text import VALID_TEXT
@@ -58,18 +58,25 @@ FROM ranked {where} GROUP BY day, w"""
 SQL["tumble_top5"] = _tumble("id", 300)
 SQL["tumble_top5_products"] = _tumble("product_id", 14400)
 
-GMV = f"""{_grid(600)},
+
+def _gmv(step: int) -> str:
+    return f"""{_grid(step)},
 product_sums AS (
   SELECT g.day, g.step, o.product_id, SUM(o.amount) AS gmv
-  FROM grid g JOIN order_lines o ON o.day = g.day AND o.sec // 600 <= g.step GROUP BY g.day, g.step, o.product_id),
+  FROM grid g JOIN order_lines o ON o.day = g.day AND o.sec // {step} <= g.step GROUP BY g.day, g.step, o.product_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY day, step ORDER BY gmv DESC, product_id) AS rn FROM product_sums),
 gmv AS (
-  SELECT g.day AS ds, {_bounds(600)}, CAST(SUM(gmv) FILTER (rn <= 5) AS DECIMAL(18,2)) AS win_gmv,
+  SELECT g.day AS ds, {_bounds(step)}, CAST(SUM(gmv) FILTER (rn <= 5) AS DECIMAL(18,2)) AS win_gmv,
          string_agg(product_id, ',' ORDER BY rn) FILTER (rn <= 5) AS win_gmv_ids,
          string_agg(product_id, ',' ORDER BY rn) FILTER (rn <= 5) AS top5_product_ids,
          CAST(SUM(gmv) AS DECIMAL(18,2)) AS total_gmv
   FROM ranked g GROUP BY g.day, g.step)"""
+
+
+GMV = _gmv(600)
 SQL["cumulative_gmv_topn"] = f"WITH {ORDER_LINES}, {GMV} SELECT * FROM gmv"
+_SINCE = ORDER_LINES.replace("event_type = 'purchase'", "event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-20'")
+SQL["gmv_since_midnight"] = f"WITH {_SINCE}, {_gmv(3600)} SELECT * FROM gmv"
 SQL["gmv_daily_report"] = f"""WITH {ORDER_LINES}, {GMV},
 days AS (SELECT * FROM gmv QUALIFY row_number() OVER (PARTITION BY ds ORDER BY window_end DESC) = 1),
 listed AS (SELECT ds, UNNEST(string_split(top5_product_ids, ',')) AS id, UNNEST(generate_series(1, 5)) AS pos FROM days),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry import inputs as i
+from tidemark_driver import inputs as i
 from tidemark.functions import clock, device, keys, numeric, region, text
 from tidemark.operators import membership, merging, ranking
 from tidemark.plans import launches, logs, profile, report, sales
@@ -79,6 +80,12 @@ def cumulative_gmv_topn(spark, sf):
     return sales.gmv_topn(i.order_lines(spark, sf), "10 minutes")
 
 
+@query
+def gmv_since_midnight(spark, sf):
+    now = F.lit("2024-01-20 12:00:00").cast("timestamp")
+    return sales.gmv_topn(clock.since_midnight(i.order_lines(spark, sf), "ts", now), "1 hour")
+
+
 @query
 def gmv_daily_report(spark, sf):
     daily = report.daily_report(sales.gmv_topn(i.order_lines(spark, sf)), i.product_names(spark, sf))
@@ -524,7 +531,7 @@ def merge_aggregate(spark, sf):
 
 @query
 def ranked_snapshot(spark, sf):
-    return merging.ranked_snapshot(logs.keyword_top10(i.search_logs(spark, sf)), F.lit("2024-01-31 00:00:00"))
+    return merging.ranked_snapshot(logs.keyword_top10(i.search_logs(spark, sf)), F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
 
 
 # --- streams ---------------------------------------------------------------------------------------------------------
@@ -537,6 +544,8 @@ def _event_stream(spark, sf):
 
 def _run(spark, name, start):
     """Work off the events as a stream and return the folder of its result table."""
+    if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     folder = tables.shared_folder(spark, name)
     start(f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
     return f"{folder}/table"
