@@ -70,11 +70,15 @@ def test_cumulative_top_equals_ranking_every_window(spark, seed, step):
 def test_blocks_tile_every_span(spark):
     n = 24
     spans = [(a, b) for a in range(n) for b in range(a + 1, n + 1)]
-    df = spark.createDataFrame(spans, "_step int, _until int")
-    for row in df.withColumn("blocks", c._blocks("_step", "_until", n)).collect():
-        covered = sorted(step for b in row.blocks for step in range(b.start, b.start + b.size))
-        assert covered == list(range(row._step, row._until))
-        assert all(b.start % b.size == 0 for b in row.blocks) and len(row.blocks) <= 2 * n.bit_length()
+    df = spark.createDataFrame([(a, b, a, b) for a, b in spans], "first int, after int, _step int, _until int")
+    cut = c._with_blocks(df, n)
+    steps = cut.withColumn("step", F.explode(c._block_steps("_block", n))).groupBy("first", "after").agg(
+        F.sort_array(F.collect_list("step")).alias("steps"), F.count_distinct("_block").alias("blocks")
+    )
+    found = steps.collect()
+    assert len(found) == len(spans)
+    for row in found:
+        assert row.steps == list(range(row.first, row.after)) and row.blocks <= 2 * n.bit_length()
 
 
 def test_cumulate_needs_whole_steps(spark):

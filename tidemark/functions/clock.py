@@ -32,7 +32,8 @@ def seconds_of(span: str | int) -> int:
 
 def epoch_to_ts(col: Column, threshold: int = 100_000_000_000) -> Column:
     """Epoch number to TIMESTAMP; values below ``threshold`` are seconds, the others milliseconds."""
-    return F.timestamp_millis(F.when(col < threshold, col * 1000).otherwise(col))
+    number = col.cast("bigint")
+    return F.timestamp_millis(F.when(number < threshold, number * 1000).otherwise(number))
 
 
 def wall_clock(col: Column, zone: str | None = None) -> Column:

@@ -34,10 +34,13 @@ def in_china(region: Column) -> Column:
 
 def province(region: Column) -> Column:
     """Official province named in the text: official names are looked for first, then short ones; none gives ``""``."""
+    full = [name + "特别行政区" if name in SPECIAL else official for name, official in OFFICIAL.items()]
+    names = F.split(F.lit(",".join([*full, *OFFICIAL])), ",")
+    results = F.split(F.lit(",".join([*OFFICIAL.values()] * 2)), ",")
+
+    def first_named(place: Column) -> Column:
+        hits = F.transform(names, lambda name: F.contains(place, name))
+        return F.get(results, F.array_position(hits, F.lit(True)).cast("int") - 1)
+
     place = strip(F.replace(region, F.lit(COUNTRY), F.lit("")))
-    official = {(n + "特别行政区" if n in SPECIAL else full): full for n, full in OFFICIAL.items()}
-    found = None
-    for name, result in [*official.items(), *OFFICIAL.items()]:
-        hit = F.contains(place, F.lit(name))
-        found = F.when(hit, F.lit(result)) if found is None else found.when(hit, F.lit(result))
-    return found.otherwise(F.lit(""))
+    return F.coalesce(F.get(F.transform(F.array(place), first_named), F.lit(0)), F.lit(""))

@@ -80,17 +80,32 @@ def cumulate(
     return cumulate_partials(step_partials(df, ts, step, sums, keys, zone), step, list(sums), keys)
 
 
-def _blocks(step: str, until: str, n_steps: int) -> Column:
-    """Cut ``[step, until)`` into aligned blocks of 1, 2, 4, … steps: at most two of each size."""
-    sizes = ", ".join(str(1 << level) for level in range((n_steps - 1).bit_length() + 1))
-    low, high = f"(({step} + size - 1) div size)", f"({until} div size)"
+def _leaves(n_steps: int) -> int:
+    """Steps of a day, rounded up to a power of two."""
+    return 1 << (n_steps - 1).bit_length()
 
-    def block(number: str, odd: str) -> str:
-        start = f"cast({number} * size as int)"
-        return f"if({low} < {high} and {odd} % 2 = 1, named_struct('start', {start}, 'size', size), null)"
 
-    pairs = f"transform(array({sizes}), size -> array({block(low, low)}, {block(f'({high} - 1)', high)}))"
-    return F.array_compact(F.flatten(F.expr(pairs)))
+def _with_blocks(spans: DataFrame, n_steps: int) -> DataFrame:
+    """Cut each span into aligned blocks of 1, 2, 4, … steps, at most two of each size: one row per ``_block``.
+
+    The whole day is block 1; block ``n`` has the halves ``2n`` and ``2n + 1``.
+    """
+    leaves, pieces = _leaves(n_steps), []
+    for level in range(leaves.bit_length()):
+        low, high = f"shiftright({STEP} + {(1 << level) - 1}, {level})", f"shiftright({UNTIL}, {level})"
+        first = leaves >> level
+        pieces.append(f"if({low} < {high} and {low} % 2 = 1, {first} + {low}, null)")
+        pieces.append(f"if({low} < {high} and {high} % 2 = 1, {first - 1} + {high}, null)")
+    blocks = F.expr(f"array({', '.join(pieces)})")
+    return spans.withColumn("_block", F.explode(blocks)).filter(F.col("_block").isNotNull()).drop(STEP, UNTIL)
+
+
+def _block_steps(block: str, n_steps: int) -> Column:
+    """The steps a block covers."""
+    leaves = _leaves(n_steps)
+    size = f"({leaves} div shiftleft(1, length(bin({block})) - 1))"
+    start = f"({block} * {size} - {leaves})"
+    return F.expr(f"sequence(cast({start} as int), cast({start} + {size} - 1 as int))")
 
 
 def best(df: DataFrame, group: Sequence[str], measure: str, key: str, k: int, rank: str = "rank_num") -> DataFrame:
@@ -105,10 +120,13 @@ def cumulate_top(partials: DataFrame, step: str | int, key: str, measure: str, k
     A key's running sum is constant between its sales. Repeating it for every window it holds in would multiply the
     rows by the number of steps. Instead each span is cut into a few aligned blocks, the best ``k`` are taken per
     block, and only those are repeated per step: the best of a step are among the best of the blocks that cover it.
-    This is exact, also when sums fall.
+    This is exact, also when sums fall. Running sums keep the type of the partial sums, so that sorting stays cheap.
     """
-    spans = running_spans(partials, step, [measure], [key])
-    blocks = spans.select(DAY, F.explode(_blocks(STEP, UNTIL, steps_per_day(step))).alias("b"), key, measure)
-    per_block = best(blocks.select(DAY, "b.start", "b.size", key, measure), [DAY, "start", "size"], measure, key, k)
-    steps = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1))
+    n_steps = steps_per_day(step)
+    kind = partials.schema[measure].dataType
+    spans = running_spans(partials, step, [measure], [key]).withColumn(measure, F.col(measure).cast(kind))
+    # day and block as one number: the sort that limits each task's rows then compares one column, mostly
+    group = F.unix_date(DAY).cast("bigint") * (2 * _leaves(n_steps)) + F.col("_block")
+    per_block = best(_with_blocks(spans, n_steps).withColumn("_group", group), ["_group"], measure, key, k)
+    steps = F.explode(_block_steps("_block", n_steps))
     return best(per_block.select(DAY, steps.alias(STEP), key, measure), [DAY, STEP], measure, key, k)

@@ -73,11 +73,13 @@ def keyword_top10(logs: DataFrame, column: str = "keywords", k: int = 10) -> Dat
 
 def region_login(logs: DataFrame, login_type: str = "login") -> DataFrame:
     """``country, province, login_count`` of logins from China whose province is named."""
-    places = logs.filter(F.col("log_type") == login_type).select(field(F.col("region")).alias("region"))
-    distinct, total = _counted(places, ["region"])
-    found = distinct.filter(in_china(F.col("region"))).withColumn("province", province(F.col("region")))
+    distinct, total = _counted(logs.filter(F.col("log_type") == login_type), ["region"])
+    place = field(F.col("region"))
+    # tied to the count, or the optimizer would move the rules down to the log rows
+    counted = F.lit(True) if logs.isStreaming else F.col("_times") > 0
     return (
-        found.filter(F.col("province") != "")
+        distinct.withColumn("province", F.when(counted & in_china(place), province(place)))
+        .filter(F.col("province") != "")
         .groupBy(F.lit(COUNTRY).alias("country"), "province")
         .agg(total.alias("login_count"))
     )
@@ -86,8 +88,8 @@ def region_login(logs: DataFrame, login_type: str = "login") -> DataFrame:
 def path_counts(logs: DataFrame) -> DataFrame:
     """``stat_type, stat_key, stat_value``: how often each behaviour, operation and page occurs."""
     columns = [column for column, _ in SECTIONS.values()]
-    rows = logs.select(*(field(F.col(c)).alias(c) for c in columns)).filter(F.col("log_type") != "")
-    distinct, total = _counted(rows, columns)
+    distinct, total = _counted(logs, columns)
+    distinct = distinct.withColumns({c: field(F.col(c)) for c in columns}).filter(F.col("log_type") != "")
     pairs = F.array(*(F.struct(F.lit(s).alias("stat_type"), F.col(c).alias("stat_key")) for s, (c, _) in SECTIONS.items()))
     weight = [c for c in distinct.columns if c == "_times"]
     return (
@@ -130,9 +132,9 @@ def common_paths(logs: DataFrame, tie: list[str], ts: str = "ts", k: int = 5) ->
 def device_stats(logs: DataFrame) -> DataFrame:
     """``stat_type, platform_type, stat_key, stat_value``: platforms, brands, models, platform and app versions."""
     columns = ["brand", "device", "plat", "platv", "softv"]
-    rows = logs.select(*(field(F.col(c)).alias(c) for c in columns)).filter((F.col("brand") != "") | (F.col("plat") != ""))
-    distinct, total = _counted(rows, columns)
-    typed = distinct.withColumn("platform_type", platform_of(F.col("plat"), F.col("brand")))
+    distinct, total = _counted(logs, columns)
+    cleaned = distinct.withColumns({c: field(F.col(c)) for c in columns})
+    typed = cleaned.filter((F.col("brand") != "") | (F.col("plat") != "")).withColumn("platform_type", platform_of(F.col("plat"), F.col("brand")))
     keys = {
         "platform_type": F.col("platform_type"),
         "brand": F.when(F.col("brand") != OTHER, F.col("brand")),

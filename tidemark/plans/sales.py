@@ -114,9 +114,13 @@ def tumble_top5(
 def gmv_steps(orders: DataFrame, step: str = "10 minutes", ts: str = "ts", zone: str | None = None) -> DataFrame:
     """Revenue per step and product. Amounts must be numbers: bad text fails the query, as a strict cast does."""
     rows = orders.withColumn("clean_product_id", clean_id(F.col("product_id")))
-    return step_partials(
-        rows, ts, step, {"product_gmv": F.col("total_amount").cast("decimal(18,2)")}, ["clean_product_id"], zone
-    )
+    money = {"product_gmv": F.col("total_amount").cast("decimal(18,2)")}
+    return report_money(step_partials(rows, ts, step, money, ["clean_product_id"], zone))
+
+
+def report_money(steps: DataFrame) -> DataFrame:
+    """Sums in the report's own money type: its results must fit it, and it sorts as a plain number."""
+    return steps.withColumn("product_gmv", F.col("product_gmv").cast("decimal(18,2)"))
 
 
 def gmv_topn_from_steps(steps: DataFrame, step: str = "10 minutes", k: int = 5) -> DataFrame:

@@ -23,7 +23,7 @@ from tidemark.operators.cumulate import DAY, STEP, best, with_step
 from tidemark.operators.ranking import rank_list
 from tidemark.plans import logs as log_plans
 from tidemark.plans.profile import user_profile
-from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps
+from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
 from tidemark.sources.changes import latest_state
 from tidemark.streaming.eventtime import DELAY, with_watermark
 from tidemark.streaming.tables import aggregate_view, append_view, batch_sink, start, unique_view
@@ -94,7 +94,8 @@ def gmv_view(
 ) -> DataFrame:
     """The intraday report up to the last closed window."""
     closed = append_view(spark, path)
-    result = gmv_topn_from_steps(_steps(closed, step, ["product_gmv"], ["clean_product_id"], zone), step, k)
+    steps = report_money(_steps(closed, step, ["product_gmv"], ["clean_product_id"], zone))
+    result = gmv_topn_from_steps(steps, step, k)
     return result.filter(parse_clock(F.col("window_end")) <= _closed_until(closed, zone))
 
 
