@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 ARROW = " → "
 HOT_ROWS = 1_000_000
-HOT_USERS = 10_000
+HOT_USERS = 100_000
 
 
 def hot_users(df: DataFrame, user: str, hot_rows: int = HOT_ROWS) -> DataFrame:

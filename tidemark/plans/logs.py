@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.clock import day_text, epoch_to_ts
+from tidemark.functions.clock import epoch_to_ts, wall_clock
 from tidemark.functions.device import OTHER, PLATFORMS, UNKNOWN_MODEL, brand_of, platform_of
 from tidemark.functions.region import COUNTRY, in_china, province
 from tidemark.functions.text import field, strip, words
@@ -43,9 +43,10 @@ def _counted(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Column]:
 def page_pv(logs: DataFrame, ts: str = "ts", zone: str | None = None) -> DataFrame:
     """``stat_date, page_type, pv_count`` per local day."""
     known = logs.filter(F.col("log_type").isNotNull() & F.col(ts).isNotNull())
-    return known.groupBy(day_text(F.col(ts), zone).alias("stat_date"), F.col("log_type").alias("page_type")).agg(
+    counts = known.groupBy(F.to_date(wall_clock(F.col(ts), zone)).alias("_day"), F.col("log_type").alias("page_type")).agg(
         F.count(F.lit(1)).alias("pv_count")
     )
+    return counts.select(F.col("_day").cast("string").alias("stat_date"), "page_type", "pv_count")
 
 
 def search_words(col: Column) -> Column:

@@ -26,7 +26,8 @@ def rows_from_cells(cells: DataFrame, columns: list[str], limit: int | None = No
 
 
 def documents_from_cells(cells: DataFrame, limit: int | None = None) -> DataFrame:
-    """Cells to one map per row, for tables whose qualifiers are not known beforehand."""
+    """Cells to one map per row, for tables whose qualifiers are not known beforehand. A row is one value here: use
+    ``rows_from_cells`` with the wanted columns where rows may be wider than a task can hold."""
     if limit is not None:
         cells = cells.join(_first_keys(cells, limit), "row_key", "left_semi")
     entries = F.array_sort(F.collect_list(F.struct("qualifier", "value")))

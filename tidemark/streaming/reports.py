@@ -20,13 +20,23 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.clock import parse_clock, seconds_of, wall_clock
 from tidemark.functions.text import clean_id, present
 from tidemark.operators.cumulate import DAY, STEP, best, with_step
+from tidemark.operators.merging import ranked_snapshot, stamped
 from tidemark.operators.ranking import rank_list
 from tidemark.plans import logs as log_plans
 from tidemark.plans.profile import user_profile
 from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
 from tidemark.sources.changes import latest_state
 from tidemark.streaming.eventtime import DELAY, with_watermark
-from tidemark.streaming.tables import aggregate_view, append_view, batch_sink, start, unique_view
+from tidemark.streaming.tables import (
+    aggregate_view,
+    append_view,
+    batch_sink,
+    read_batch,
+    read_batches,
+    start,
+    unique_view,
+    write_batch,
+)
 
 # every zone in use lies a multiple of a quarter hour from UTC, and clocks change by half or whole hours
 _QUARTER = 900
@@ -125,7 +135,7 @@ def stream_tumble_top5(
 
 def stream_page_pv(logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None) -> StreamingQuery:
     """Running page views per day and type; the table's unique key keeps the last count."""
-    return start(log_plans.page_pv(logs, zone=zone), batch_sink(path), checkpoint, "update", every)
+    return start(log_plans.page_pv(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
 
 
 def page_pv_view(spark: SparkSession, path: str) -> DataFrame:
@@ -133,7 +143,7 @@ def page_pv_view(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_user_profile(logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None) -> StreamingQuery:
-    return start(user_profile(logs, zone=zone), batch_sink(path), checkpoint, "update", every)
+    return start(user_profile(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
 
 
 def user_profile_view(spark: SparkSession, path: str) -> DataFrame:
@@ -152,13 +162,30 @@ _INCREMENTS = {
 def stream_counts(kind: str, logs: DataFrame, path: str, checkpoint: str, every: str | None = None, **options) -> StreamingQuery:
     """Store each batch's increments of ``keywords``, ``regions``, ``paths`` or ``devices``."""
     plan = _INCREMENTS[kind][0]
-    return start(logs, batch_sink(path, lambda batch: plan(batch, **options)), checkpoint, every=every)
+    return start(logs, batch_sink(path, lambda batch: stamped(plan(batch, **options))), checkpoint, every=every)
 
 
 def counts_view(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """The totals so far: input of ``rank_keywords``, ``path_distribution``, ``platform_share`` and ``device_detail``."""
     _, keys, count = _INCREMENTS[kind]
-    return aggregate_view(spark, path, keys, [count])
+    return aggregate_view(spark, path, keys, [count], ["update_time"])
+
+
+def stream_keyword_top10(logs: DataFrame, path: str, checkpoint: str, k: int = 10, every: str | None = None) -> StreamingQuery:
+    """Append the ranking of search words after every batch, from the counts the stream keeps as state."""
+    spark = logs.sparkSession
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, f"{path}/counts", batch_id)
+        counts = read_batch(spark, f"{path}/counts", batch_id)
+        write_batch(ranked_snapshot(log_plans.rank_keywords(counts, k)), f"{path}/rankings", batch_id)
+
+    return start(log_plans.keyword_counts(logs), store, checkpoint, "complete", every)
+
+
+def keyword_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Every ranking so far, with the batch it followed."""
+    return read_batches(spark, f"{path}/rankings")
 
 
 def stream_changes(

@@ -59,6 +59,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def append_view(spark: SparkSession, path: str) -> DataFrame:
     """Every stored row."""
     return read_batches(spark, path).drop(BATCH)

@@ -85,8 +85,12 @@ USER_LOGS = f"""user_logs AS (
 
 
 def search_logs(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", product_of().cast("bigint").alias("p_partkey"))
-    named = events.join(table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey")
+    return searches_from(table(spark, sf, "events"), table(spark, sf, "part"))
+
+
+def searches_from(events: DataFrame, part: DataFrame) -> DataFrame:
+    numbered = events.select("event_id", product_of().cast("bigint").alias("p_partkey"))
+    named = numbered.join(part.select("p_partkey", "p_name"), "p_partkey")
     comma = F.when(F.col("event_id") % 2 == 0, "，").otherwise(",")
     return named.select("event_id", F.replace(F.col("p_name"), F.lit(" "), comma).alias("keywords"))
 
@@ -146,8 +150,11 @@ paid30 AS (
 
 
 def change_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    return envelopes_from(table(spark, sf, "orders"))
+
+
+def envelopes_from(orders: DataFrame) -> DataFrame:
     """Envelopes as JSON text: every order read once, every fifth updated, every seventh deleted."""
-    orders = table(spark, sf, "orders")
     price = F.col("o_totalprice").cast("decimal(12,2)")
     status = F.col("o_orderstatus").alias("o_orderstatus")
     old = F.struct("o_orderkey", "o_custkey", status, price.cast("string").alias("o_totalprice"))

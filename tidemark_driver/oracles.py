@@ -352,3 +352,5 @@ SQL["stream_region_login"] = SQL["region_login"]
 SQL["stream_device_stats"] = SQL["device_stats"]
 SQL["stream_path_distribution"] = SQL["path_distribution"]
 SQL["stream_user_profile"] = SQL["user_profile"]
+SQL["stream_keyword_top10"] = SQL["keyword_top10"]
+SQL["stream_cdc_latest_state"] = SQL["cdc_latest_state"]

@@ -537,9 +537,13 @@ def ranked_snapshot(spark, sf):
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 
+def _stream(spark, sf, name):
+    schema = i.table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
 def _event_stream(spark, sf):
-    schema = i.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return _stream(spark, sf, "events")
 
 
 def _run(spark, name, start):
@@ -575,31 +579,50 @@ def stream_tumble_top5(spark, sf):
 @query
 def stream_page_pv(spark, sf):
     rows = i.logs_from(_event_stream(spark, sf))
-    return reports.page_pv_view(spark, _run(spark, "pv", lambda t, c: reports.stream_page_pv(rows, t, c)))
+    path = _run(spark, "pv", lambda t, c: reports.stream_page_pv(rows, t, c))
+    return reports.page_pv_view(spark, path).drop("update_time")
 
 
 @query
 def stream_region_login(spark, sf):
     rows = i.logs_from(_event_stream(spark, sf))
     path = _run(spark, "regions", lambda t, c: reports.stream_counts("regions", rows, t, c, login_type="signup"))
-    return reports.counts_view(spark, "regions", path)
+    return reports.counts_view(spark, "regions", path).drop("update_time")
 
 
 @query
 def stream_device_stats(spark, sf):
     rows = i.logs_from(_event_stream(spark, sf))
     path = _run(spark, "devices", lambda t, c: reports.stream_counts("devices", rows, t, c))
-    return reports.counts_view(spark, "devices", path)
+    return reports.counts_view(spark, "devices", path).drop("update_time")
 
 
 @query
 def stream_path_distribution(spark, sf):
     rows = i.logs_from(_event_stream(spark, sf))
     path = _run(spark, "paths", lambda t, c: reports.stream_counts("paths", rows, t, c))
-    return logs.path_distribution(reports.counts_view(spark, "paths", path))
+    return logs.path_distribution(reports.counts_view(spark, "paths", path)).drop("update_time")
 
 
 @query
 def stream_user_profile(spark, sf):
     rows = i.logs_from(_event_stream(spark, sf))
-    return reports.user_profile_view(spark, _run(spark, "profile", lambda t, c: reports.stream_user_profile(rows, t, c)))
+    path = _run(spark, "profile", lambda t, c: reports.stream_user_profile(rows, t, c))
+    return reports.user_profile_view(spark, path).drop("update_time")
+
+
+@query
+def stream_keyword_top10(spark, sf):
+    rows = i.searches_from(_event_stream(spark, sf), i.table(spark, sf, "part"))
+    path = _run(spark, "words", lambda t, c: reports.stream_keyword_top10(rows, t, c))
+    snapshots = reports.keyword_snapshots(spark, path)
+    last = snapshots.filter(F.col("batch_id") == snapshots.agg(F.max("batch_id")).scalar())
+    return last.select("keyword", "search_count", "ranking", "total_keywords")
+
+
+@query
+def stream_cdc_latest_state(spark, sf):
+    texts = i.envelopes_from(_stream(spark, sf, "orders"))
+    rows = records.parse_json(texts, changes.envelope_schema(_ORDER_ROW))
+    path = _run(spark, "changes", lambda t, c: reports.stream_changes(rows, t, c))
+    return reports.changes_view(spark, path, ["o_orderkey"], ["ts_ms"])
