@@ -43,8 +43,10 @@ def step_partials(
     return with_step(df, ts, step, zone).groupBy(DAY, STEP, *keys).agg(*totals)
 
 
-def running_spans(partials: DataFrame, step: str | int, sums: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Running sums, each with the span of steps ``[_step, _until)`` over which it holds."""
+def running_spans(
+    partials: DataFrame, step: str | int, sums: Sequence[str], keys: Sequence[str] = (), lists: Sequence[str] = ()
+) -> DataFrame:
+    """Running sums and lists, each with the span of steps ``[_step, _until)`` over which it holds."""
     order = W.partitionBy(DAY, *keys).orderBy(STEP)
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     return partials.select(
@@ -53,6 +55,7 @@ def running_spans(partials: DataFrame, step: str | int, sums: Sequence[str], key
         F.lead(STEP, 1, steps_per_day(step)).over(order).alias(UNTIL),
         *keys,
         *(F.sum(name).over(so_far).alias(name) for name in sums),
+        *(F.collect_list(name).over(so_far).alias(name) for name in lists),
     )
 
 

@@ -91,7 +91,8 @@ def path_counts(logs: DataFrame) -> DataFrame:
     columns = [column for column, _ in SECTIONS.values()]
     distinct, total = _counted(logs, columns)
     distinct = distinct.withColumns({c: field(F.col(c)) for c in columns}).filter(F.col("log_type") != "")
-    pairs = F.array(*(F.struct(F.lit(s).alias("stat_type"), F.col(c).alias("stat_key")) for s, (c, _) in SECTIONS.items()))
+    kinds = {section: F.col(column) for section, (column, _) in SECTIONS.items()}
+    pairs = F.array(*(F.struct(F.lit(s).alias("stat_type"), c.alias("stat_key")) for s, c in kinds.items()))
     weight = [c for c in distinct.columns if c == "_times"]
     return (
         distinct.select(F.explode(pairs).alias("s"), *weight)
@@ -156,13 +157,13 @@ def device_stats(logs: DataFrame) -> DataFrame:
 
 def platform_share(stats: DataFrame) -> DataFrame:
     """Each platform's count and share of the total, percent to one place; platforms without rows show 0."""
-    counts = stats.filter(F.col("stat_type") == "platform_type").agg(
-        *(F.coalesce(F.sum(F.when(F.col("stat_key") == p, F.col("stat_value"))), F.lit(0)).alias(f"_{i}") for i, p in enumerate(PLATFORMS))
-    )
-    total = sum((F.col(f"_{i}") for i in range(1, len(PLATFORMS))), F.col("_0"))
-    rows = F.array(
-        *(F.struct(F.lit(p).alias("platform_type"), F.col(f"_{i}").alias("cnt"), total.alias("total")) for i, p in enumerate(PLATFORMS))
-    )
+    platforms = stats.filter(F.col("stat_type") == "platform_type")
+
+    def count_of(platform: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("stat_key") == platform, F.col("stat_value"))), F.lit(0)).alias(platform)
+
+    counts = platforms.agg(*map(count_of, PLATFORMS), F.coalesce(F.sum("stat_value"), F.lit(0)).alias("total"))
+    rows = F.array(*(F.struct(F.lit(p).alias("platform_type"), F.col(p).alias("cnt"), "total") for p in PLATFORMS))
     share = F.format_string("%.1f%%", F.col("cnt") * F.lit(100.0) / F.col("total"))
     return counts.select(F.inline(rows)).filter(F.col("total") > 0).select("platform_type", "cnt", share.alias("share"))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import clock_text, in_days
@@ -76,24 +75,22 @@ def cumulative_process(
     last text of a day still holds the whole day: use ``sale_lines`` where a day does not fit in a string.
     """
     rows = _on_day(orders, ts, date, zone).filter(present(F.col("total_amount")))
-    lines = with_step(rows, ts, step, zone).select(
-        DAY, STEP, F.col(ts).alias("_at"), "id", amount_of().alias("_amount")
-    )
+    lines = with_step(rows, ts, step, zone).select(DAY, STEP, F.col(ts).alias("_at"), "id", amount_of().alias("_amount"))
     written = F.concat("id", F.lit("("), F.col("_amount").cast("string"), F.lit(")"))
-    parts = lines.withColumn("_line", written).groupBy(DAY, STEP).agg(
-        F.sum("_amount").alias("period_amount"),
-        F.array_sort(F.collect_list(F.when(F.col("_line").isNotNull(), F.struct("_at", "id", "_line")))).alias("_lines"),
+    line = F.when(written.isNotNull(), F.struct("_at", "id", written.alias("_text")))
+    parts = lines.groupBy(DAY, STEP).agg(
+        F.sum("_amount").alias("period_amount"), F.array_sort(F.collect_list(line)).alias("_lines")
     )
-    parts = parts.withColumn("_text", F.array_join(F.transform("_lines", lambda x: x["_line"]), "+")).drop("_lines")
-    order = W.partitionBy(DAY).orderBy(STEP)
-    texts = F.collect_list(F.when(F.col("_text") != "", F.col("_text"))).over(
-        order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # a step without readable lines adds nothing to the text: NULL, which lists leave out
+    text = F.array_join(F.transform("_lines", lambda x: x["_text"]), "+")
+    parts = parts.withColumn("cumulative_process", F.nullif(text, F.lit(""))).drop("_lines")
+    spans = running_spans(parts, step, ["period_amount"], lists=["cumulative_process"])
+    return with_bounds(every_step(spans), step).withColumns(
+        {
+            "period_amount": F.col("period_amount").cast("decimal(38,2)"),
+            "cumulative_process": F.nullif(F.array_join("cumulative_process", "+"), F.lit("")),
+        }
     )
-    spans = running_spans(parts, step, ["period_amount"]).join(
-        parts.select(DAY, STEP, F.nullif(F.array_join(texts, "+"), F.lit("")).alias("cumulative_process")), [DAY, STEP]
-    )
-    result = with_bounds(every_step(spans), step)
-    return result.withColumn("period_amount", F.col("period_amount").cast("decimal(38,2)"))
 
 
 def tumble_top5(

@@ -16,5 +16,8 @@ def rate_feed(df: DataFrame, column: str = "value") -> DataFrame:
     day = F.translate("ratDat", "年月日", "--")
     data = F.to_json(F.struct(F.col("ccyNbr").alias("ccy_zh"), code.alias("ccy_en"), *QUOTES))
     return rate.select(
-        F.col("ccyNbr").alias("ccy_zh"), code.alias("ccy_en"), F.concat_ws(" ", day, "ratTim").alias("ct_time"), data.alias("data")
+        F.col("ccyNbr").alias("ccy_zh"),
+        code.alias("ccy_en"),
+        F.concat_ws(" ", day, "ratTim").alias("ct_time"),
+        data.alias("data"),
     )

@@ -74,7 +74,13 @@ def _slice(stream: DataFrame, step: str, zone: str | None) -> str:
 
 
 def stream_cumulative_sales(
-    orders: DataFrame, path: str, checkpoint: str, step: str = "10 seconds", ts: str = "ts", zone: str | None = None, every: str | None = None
+    orders: DataFrame,
+    path: str,
+    checkpoint: str,
+    step: str = "10 seconds",
+    ts: str = "ts",
+    zone: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep the step sums behind ``cumulative_sales`` in a table."""
     rows = orders.filter(present(F.col("total_amount")))
@@ -90,7 +96,13 @@ def cumulative_sales_view(spark: SparkSession, path: str, step: str = "10 second
 
 
 def stream_gmv(
-    orders: DataFrame, path: str, checkpoint: str, step: str = "10 minutes", ts: str = "ts", zone: str | None = None, every: str | None = None
+    orders: DataFrame,
+    path: str,
+    checkpoint: str,
+    step: str = "10 minutes",
+    ts: str = "ts",
+    zone: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Keep the step and product sums behind ``gmv_topn`` in a table."""
     rows = orders.withColumn("clean_product_id", clean_id(F.col("product_id")))
@@ -133,7 +145,9 @@ def stream_tumble_top5(
     return start(closed, batch_sink(path, rank), checkpoint, every=every)
 
 
-def stream_page_pv(logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None) -> StreamingQuery:
+def stream_page_pv(
+    logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None
+) -> StreamingQuery:
     """Running page views per day and type; the table's unique key keeps the last count."""
     return start(log_plans.page_pv(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
 
@@ -142,7 +156,9 @@ def page_pv_view(spark: SparkSession, path: str) -> DataFrame:
     return unique_view(spark, path, ["stat_date", "page_type"])
 
 
-def stream_user_profile(logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None) -> StreamingQuery:
+def stream_user_profile(
+    logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None
+) -> StreamingQuery:
     return start(user_profile(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
 
 
