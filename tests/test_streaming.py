@@ -204,13 +204,23 @@ def test_changes_settle_whatever_batch_they_came_in(spark, folder):
     for change in (text("u", "new", 4), text("d", "old", 3), text("r", "old", 1)):
         feed.add([change])
     parsed = records.parse_json(feed.stream(), changes.envelope_schema(records.text_schema("k v")))
-    reports.stream_changes(parsed, f"{folder}/t", f"{folder}/c").awaitTermination()
+    reports.stream_changes(parsed, f"{folder}/t", f"{folder}/c", ["k"], ["ts_ms"]).awaitTermination()
     assert [r.v for r in reports.changes_view(spark, f"{folder}/t", ["k"], ["ts_ms"]).collect()] == ["new"]
     flat = changes.flatten_envelope(parsed)
     tables.start(flat, tables.batch_sink(f"{folder}/flat"), f"{folder}/flat-c").awaitTermination()
     assert sorted(r.v for r in tables.append_view(spark, f"{folder}/flat").collect()) == ["new", "old"]
 
 
+def test_a_snapshot_precedes_the_change_stream(spark, folder):
+    rows_ = spark.createDataFrame([("1", "old"), ("2", "kept")], "k string, v string")
+    tables.write_batch(changes.snapshot_envelopes(rows_, "d", "s", "t"), f"{folder}/t", -1)
+    feed = Feed(spark, folder, "value string")
+    feed.add([(json.dumps({"after": {"k": "1", "v": "new"}, "source": {"db": "d", "schema": "s", "table": "t"}, "op": "u", "ts_ms": 5}),)])
+    parsed = records.parse_json(feed.stream(), changes.envelope_schema(records.text_schema("k v")))
+    reports.stream_changes(parsed, f"{folder}/t", f"{folder}/c", ["k"], ["ts_ms"]).awaitTermination()
+    assert rows(reports.changes_view(spark, f"{folder}/t", ["k"], ["ts_ms"])) == [("1", "u", "new"), ("2", "r", "kept")]
+
+
 def test_json_stream_to_report(spark, folder):
     feed = Feed(spark, folder, "value string")
     feed.add([('{"user_id":"u","log_type":"view","ts":1700000000}',), ("broken",)])

@@ -120,22 +120,24 @@ def launch_monitor(
     if faithful:
         weights = _fan_out(new_tags, viewers, found)
         payments = payments.join(weights, "product_id").withColumn("paid", F.col("paid") * F.col("_times"))
+    # one scan for both: lines of an order collapse to one row before the shuffle
+    buyers = paid_orders.select("order_id", "user_id").distinct()
+    bought = F.struct(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("users"))
     figures = {
         "new_product_count": wanted.agg(F.count(F.lit(1))),
         "total_payment_amount": payments.agg(_money(F.sum("paid"))),
-        "total_order_count": paid_orders.agg(F.count_distinct("order_id")),
-        "total_user_count": paid_orders.agg(F.count_distinct("user_id")),
+        "_bought": buyers.agg(bought),
         "_viewers": viewers.agg(F.count_distinct("user_id")),
     }
     # one-row results side by side: each is a scalar subquery
     one = products.sparkSession.range(1).select(*(df.scalar().alias(name) for name, df in figures.items()))
-    rate = F.round(F.col("total_order_count") * F.lit(100.0).cast("decimal(4,1)") / F.col("_viewers"), 2)
+    rate = F.round(F.col("_bought.orders") * F.lit(100.0).cast("decimal(4,1)") / F.col("_viewers"), 2)
     return one.filter(F.col("new_product_count") > 0).select(
         F.lit(label).alias("period_type"),
         "new_product_count",
         "total_payment_amount",
-        "total_order_count",
-        "total_user_count",
+        F.col("_bought.orders").alias("total_order_count"),
+        F.col("_bought.users").alias("total_user_count"),
         F.when(F.col("_viewers") > 0, rate).otherwise(F.lit(0)).cast("decimal(38,2)").alias("conversion_rate"),
     )
 

@@ -44,17 +44,35 @@ def snapshot_rows(df: DataFrame, table_name: str) -> DataFrame:
     return df.withColumns({"table_name": F.lit(table_name), "op": F.lit(SNAPSHOT)})
 
 
-def latest_state(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Current row per key from envelopes: the last change by ``order_by`` wins, deleted keys are gone.
+def snapshot_envelopes(df: DataFrame, db: str, schema: str, table: str, ts_ms: int = 0) -> DataFrame:
+    """An initial load shaped like envelopes: stored as the first batch of a change table, it precedes the stream."""
+    source = F.struct(F.lit(db).alias("db"), F.lit(schema).alias("schema"), F.lit(table).alias("table"))
+    row = F.struct(*df.columns)
+    return df.select(
+        F.lit(None).cast(df.schema).alias("before"),
+        row.alias("after"),
+        source.alias("source"),
+        F.lit(SNAPSHOT).alias("op"),
+        F.lit(ts_ms).cast("bigint").alias("ts_ms"),
+    )
+
+
+def last_changes(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """The last envelope per key by ``order_by``.
 
     Each task reduces its own changes to one per key before the shuffle, so a key changed very often costs no more
     than the others.
     """
     image = F.coalesce("after", "before")
-    change = df.filter(image.isNotNull()).select(
-        *(image[k].alias(f"_k{i}") for i, k in enumerate(keys)),
-        F.struct(*order_by).alias("_at"),
-        F.struct("after", "op").alias("_last"),
+    last = (
+        df.filter(image.isNotNull())
+        .groupBy(*(image[k].alias(f"_k{i}") for i, k in enumerate(keys)))
+        .agg(F.max_by(F.struct(*df.columns), F.struct(*order_by)).alias("_last"))
     )
-    last = change.groupBy(*(f"_k{i}" for i in range(len(keys)))).agg(F.max_by("_last", "_at").alias("_last"))
-    return last.filter((F.col("_last.op") != DELETE) & F.col("_last.after").isNotNull()).select("_last.after.*", "_last.op")
+    return last.select("_last.*")
+
+
+def latest_state(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """Current row per key from envelopes: the last change by ``order_by`` wins, deleted keys are gone."""
+    last = last_changes(df, keys, order_by)
+    return last.filter((F.col("op") != DELETE) & F.col("after").isNotNull()).select("after.*", "op")

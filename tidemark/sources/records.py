@@ -28,9 +28,18 @@ USER_LOG = text_schema(
 )
 
 
+def parsed_once(df: DataFrame, column: str, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """Add the parsed record as ``_row``.
+
+    A plain column would be parsed again by each filter and projection the optimizer moves it into. The rows of a
+    generator are not: a list of one record gives the same row, parsed once.
+    """
+    return df.withColumn("_row", F.explode(F.array(F.from_json(column, schema, options))))
+
+
 def _parsed(df: DataFrame, schema: T.StructType, column: str) -> tuple[DataFrame, Column]:
     with_mark = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    out = df.withColumn("_row", F.from_json(column, with_mark, {"columnNameOfCorruptRecord": _CORRUPT}))
+    out = parsed_once(df, column, with_mark, {"columnNameOfCorruptRecord": _CORRUPT})
     # a wrong field type also sets the mark, but only costs that field; a row is bad when the text is not a JSON object
     not_object = ~F.startswith(strip(F.col(column)), F.lit("{"))
     unreadable = F.col(f"_row.{_CORRUPT}").isNotNull() & F.try_parse_json(column).isNull()
@@ -45,7 +54,7 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "value", on_ba
     """
     others = [c for c in df.columns if c != column]
     if on_bad == "fail":
-        return df.select(*others, F.from_json(column, schema, {"mode": "FAILFAST"}).alias("_row")).select(*others, "_row.*")
+        return parsed_once(df, column, schema, {"mode": "FAILFAST"}).select(*others, "_row.*")
     if on_bad not in ("drop", "keep"):
         raise ValueError(f"on_bad must be drop, fail or keep, not {on_bad!r}")
     parsed, bad = _parsed(df, schema, column)

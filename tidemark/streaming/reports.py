@@ -25,7 +25,7 @@ from tidemark.operators.ranking import rank_list
 from tidemark.plans import logs as log_plans
 from tidemark.plans.profile import user_profile
 from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
-from tidemark.sources.changes import latest_state
+from tidemark.sources.changes import last_changes, latest_state
 from tidemark.streaming.eventtime import DELAY, with_watermark
 from tidemark.streaming.tables import (
     aggregate_view,
@@ -205,10 +205,10 @@ def keyword_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_changes(
-    envelopes: DataFrame, path: str, checkpoint: str, every: str | None = None
+    envelopes: DataFrame, path: str, checkpoint: str, keys: list[str], order_by: list[str], every: str | None = None
 ) -> StreamingQuery:
-    """Land change envelopes as they come; ``changes_view`` settles their order."""
-    return start(envelopes, batch_sink(path), checkpoint, every=every)
+    """Land the last change per key of each batch; ``changes_view`` settles the order of batches."""
+    return start(envelopes, batch_sink(path, lambda batch: last_changes(batch, keys, order_by)), checkpoint, every=every)
 
 
 def changes_view(spark: SparkSession, path: str, keys: list[str], order_by: list[str]) -> DataFrame:

@@ -624,5 +624,5 @@ def stream_keyword_top10(spark, sf):
 def stream_cdc_latest_state(spark, sf):
     texts = i.envelopes_from(_stream(spark, sf, "orders"))
     rows = records.parse_json(texts, changes.envelope_schema(_ORDER_ROW))
-    path = _run(spark, "changes", lambda t, c: reports.stream_changes(rows, t, c))
+    path = _run(spark, "changes", lambda t, c: reports.stream_changes(rows, t, c, ["o_orderkey"], ["ts_ms"]))
     return reports.changes_view(spark, path, ["o_orderkey"], ["ts_ms"])
