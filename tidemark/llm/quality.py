@@ -30,14 +30,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 #: Share of a group that a concentration step keeps, and chi-squared quantiles for reweighting and for rejection.
-SUPPORT, REWEIGHT, CUT = 0.75, 0.975, 1 - 1e-9
+SUPPORT, REWEIGHT, CUT = 0.75, 0.975, 0.999
 STEPS = 2
 MIN_GROUP = 200
 #: Log-distance bins per unit of the natural logarithm.
 BINS = 32
 #: The transformed statistics, with the standard deviation that is added to each as a floor: most are 0 in most texts, and
 #: without a floor the estimate is singular and any other value would be rejected.
-FEATURES = {"word_length": 0.10, "symbols": 0.05, "dup_lines": 0.08, "repeats": 0.06, "capitals": 0.05, "marks": 0.05}
+FEATURES = {"word_length": 0.10, "symbols": 0.015, "dup_lines": 0.08, "repeats": 0.06, "capitals": 0.05, "marks": 0.05}
 NAMES = tuple(FEATURES)
 
 
@@ -108,8 +108,8 @@ def statistics(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
             (c["lines"]["n"] - c["lines"]["d"]).cast("long").alias("n_dup_lines"),
             c["words"]["r"].alias("n_repeat_words"),
             base_failed.alias("base_failed"),
-            # a few words say little about a share: log and root keep small counts near the bulk
-            F.log(some_chars / some).alias("word_length"),
+            # a few words say little about a share: each is drawn to a usual value, as if by some more words of that kind
+            F.log((chars + 100) / (n + 20)).alias("word_length"),
             F.log1p(c["n_symbols"] / some_chars).alias("symbols"),
             ((c["lines"]["n"] - c["lines"]["d"]) / (c["lines"]["n"] + 4)).alias("dup_lines"),
             (c["words"]["r"] / (some + 20)).alias("repeats"),
