@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality, warc
+from tidemark.llm import bpe, quality, topk, warc
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_bpe": bpe.op5_bpe,
+    "op6_exact_topk": topk.op6_exact_topk,
     "op8_warc": warc.op8_warc,
 }
 
 SQL = {
+    "op6_exact_topk": topk.SQL,
     "op8_warc": warc.SQL,
 }
