@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, quality, topk, warc
+from tidemark.llm import bpe, packing, quality, topk, warc
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_topk": topk.op6_exact_topk,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_warc": warc.op8_warc,
 }
 
