@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, packing, quality, topk, warc
+from tidemark.llm import bpe, ngram_join, packing, quality, topk, warc
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_exact_topk": topk.op6_exact_topk,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_warc": warc.op8_warc,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
 }
 
 SQL = {
