@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, ngram_join, packing, quality, topk, warc
+from tidemark.llm import bpe, ngram_join, packing, quality, suffixes, topk, warc
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_warc": warc.op8_warc,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
 
 SQL = {
