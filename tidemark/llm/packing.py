@@ -15,11 +15,11 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,23 +36,56 @@ CAPACITY, END = 1024, 2
 ROUNDS, STEP, GROUPS = 3000, 0.1, 128
 #: Share of the fractional solution that is used; the rest keeps short pieces for the gaps that rounding leaves.
 SHARE = 0.6
-CACHED = 300_000
+CACHED = 1_000_000
 DOUBLE = regex.compile(r" (?:\s|$)")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable ones for themselves, the others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 class Units:
-    """Token ids of texts, from the ids of their parts between single spaces, kept in a dictionary of bounded size.
+    """Token ids of texts, from the ids of their parts between single spaces, kept in dictionaries of bounded size.
 
     The tokenizer's pattern always begins a new piece at a single space before another character, and merges never cross a
-    piece, so parts can be encoded apart. Parts with white space at their start stay with the part before.
+    piece, so parts can be encoded apart. Parts with white space at their start stay with the part before. Ids are kept as
+    little-endian bytes, so that those of a text are one concatenation.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.merge = Tokenizer.from_file(path).model.tokenize  # without added tokens: their strings are ordinary text
+        self.pieces_of = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.letters = byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+            ids = struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
+            if len(piece) <= 64:
+                if len(self.pieces) >= CACHED // 4:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
+    def unit(self, part: str) -> bytes:
+        """A part after its space; a Latin word, with or without a mark at its end, needs no pattern."""
+        if max(part) < "\u0250":
+            if part.isalpha():
+                return self.piece(" " + part)
+            if part[-1] in ".,;:!?" and part[:-1].isalpha():
+                return self.piece(" " + part[:-1]) + self.piece(part[-1])
+        return self.split(" " + part)
+
+    def split(self, text: str) -> bytes:
+        return b"".join(map(self.piece, self.pieces_of(text)))
 
     def encode(self, text: str) -> np.ndarray:
         parts = text.split(" ")
@@ -64,30 +97,29 @@ class Units:
                 else:
                     joined.append(part)
             parts = joined
-        get = self.known.get
         rest = parts[1:]
-        ids = list(map(get, rest))
-        new = list({p for p, i in zip(rest, ids) if i is None}) if None in ids else []
-        coded = self.tokenizer.encode_batch_fast([parts[0], *(" " + p for p in new)], add_special_tokens=False)
-        if new:
-            if len(self.known) + len(new) > CACHED:
+        ids = list(map(self.known.get, rest))
+        if None in ids:
+            for n, part in enumerate(rest):
+                if ids[n] is None:
+                    ids[n] = self.unit(part) if part else self.split(" ")
+                    if len(part) <= 64:
+                        self.known[part] = ids[n]
+            if len(self.known) >= CACHED:
                 self.known.clear()
-            fresh = {p: tuple(c.ids) for p, c in zip(new, coded[1:])}
-            ids = [fresh[p] if i is None else i for p, i in zip(rest, ids)]
-            self.known |= {p: i for p, i in fresh.items() if len(p) <= 64}
-        return np.fromiter(chain(coded[0].ids, chain.from_iterable(ids)), dtype="<u4")
+        return np.frombuffer(self.split(parts[0]) + b"".join(ids), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
-def units(path: str) -> Units:
-    return Units(path)
+def units(path: str, pattern: str) -> Units:
+    return Units(path, pattern)
 
 
-def cut(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def cut(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and its number among the task's pieces of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, task, seen = units(path), TaskContext.get().partitionId(), np.zeros(CAPACITY + 1, dtype=np.int64)
+        tokens, task, seen = units(path, pattern), TaskContext.get().partitionId(), np.zeros(CAPACITY + 1, dtype=np.int64)
         for batch in batches:
             rows: list[tuple] = []
             for key, body in zip(batch.column(0), batch.column(1)):
@@ -258,12 +290,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return numbered.mapInPandas(run, schema)
 
 
-def best_fit(docs: DataFrame, path: str) -> DataFrame:
+def best_fit(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Tokenise, cut and pack."""
-    return pack(keep(cut(docs, path)))
+    return pack(keep(cut(docs, path, pattern)))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
