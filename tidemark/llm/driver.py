@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, ngram_join, packing, quality, suffixes, topk, warc
+from tidemark.llm import bpe, language, ngram_join, packing, quality, suffixes, topk, warc
 
 QUERIES = {
+    "op1_language_id": language.op1_language_id,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_topk": topk.op6_exact_topk,
