@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bloom
-from tidemark.llm.common import keep, shared_dir, table
+from tidemark.llm.common import keep, stored, table
 from tidemark.llm.components import components
-from tidemark.llm.hashing import SEED, chunks, mix, prefix_sums, ranges
+from tidemark.llm.hashing import SEED, chunks, mix, word_hashes
 
 N, PERCENT, PARTS = 4, 85, 8
 #: Sizes in one class differ by less than this factor.
@@ -44,18 +44,6 @@ CENTRES = 2
 SALTS = 16
 
 
-WHITE = np.zeros(256, dtype=bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of every word in an array of bytes."""
-    inside = ~WHITE[data]
-    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return start, ranges(prefix_sums(data), start, end)
-
-
 def sets_of(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram hashes of many texts: text number and hash, ordered by both."""
     joined = b"\n".join(t.lower() for t in texts)
@@ -205,17 +193,11 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.filter(100 * F.col("o") >= percent * (F.col("sizes") - F.col("o"))).select("u", "v")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _links(filed: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Links between nodes, enough to connect every two similar ones; ``filed``: distinct (key, node)."""
     context = docs.sparkSession.sparkContext
     ends = filed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    filed = _stored(filed.join(ends.select("key"), "key"), "keys")
+    filed = stored(filed.join(ends.select("key"), "key"), "keys")
     chosen = context.broadcast(bloom.of_keys(filed.select("node").distinct(), "node"))
     parts = _parts(docs, n, chosen).dropDuplicates(["node", "part"])
     parts = keep(parts.repartition("node"))
