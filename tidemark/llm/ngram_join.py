@@ -41,7 +41,8 @@ N, PERCENT, PARTS = 4, 85, 8
 CLASS = 1.6
 #: Rounds with one centre per key before pairs are compared each with each.
 CENTRES = 2
-SALTS = 16
+#: Partners of a centre that are compared in one task.
+PER_SALT = 1000
 
 
 def sets_of(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,13 +181,15 @@ def _parts(docs: DataFrame, n: int, filter_) -> DataFrame:
 def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that are similar: partial overlaps per fragment, summed per pair.
 
-    ``pairs`` names one of the two as centre; a centre may have very many partners, so its fragments are dealt ``SALTS`` times.
+    ``pairs`` names one of the two as centre. The fragments of a centre are dealt once for every ``PER_SALT`` partners it has.
     """
+    salts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / PER_SALT).cast("int").alias("salts"))
     partner = F.when(F.col("centre") == F.col("u"), F.col("v")).otherwise(F.col("u"))
-    left = pairs.withColumn("node", partner).join(parts, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).drop("node")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    centres = parts.join(pairs.select(F.col("centre").alias("node")).distinct(), "node", "left_semi")
-    right = centres.select(F.col("node").alias("centre"), "part", F.col("size").alias("size_c"), F.col("grams").alias("grams_c"), salts)
+    left = pairs.join(salts, "centre").withColumn("node", partner).join(parts, "node")
+    left = left.withColumn("salt", F.pmod(F.xxhash64("node"), "salts").cast("int")).drop("node", "salts")
+    right = parts.join(salts.withColumnRenamed("centre", "node"), "node").select(
+        F.col("node").alias("centre"), "part", F.col("size").alias("size_c"), F.col("grams").alias("grams_c"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    )
     both = left.join(right, ["centre", "part", "salt"])
     overlap = both.select("u", "v", (F.col("size") + F.col("size_c")).alias("sizes"), F.size(F.array_intersect("grams", "grams_c")).alias("o"))
     summed = overlap.groupBy("u", "v", "sizes").agg(F.sum("o").alias("o"))
