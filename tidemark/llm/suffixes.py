@@ -9,10 +9,10 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 - Sorting and comparing. The windows of an anchor are one stretch of bytes, kept as its hash, which prefix polynomial hashes
   give for any range. Spark's sort brings equal stretches together. All but the earliest stretch of a class are repeats as a
   whole. The earliest is compared with the other classes of its anchor by search over shorter extensions: its windows are cut
-  into thirds, down to single windows, each part again sorted by hash, until it equals an earlier one or has no rival. This
-  takes a number of steps logarithmic in the length, not one per window.
-- Collisions. The rivals carry their bytes, and from the second level on classes are told apart by the bytes themselves; in the
-  first level two independent 64-bit hashes and the place of the anchor must agree.
+  into thirds, down to single windows, each part again sorted by hash, until it equals an earlier one or no rival shares the
+  bytes that all windows of the part hold. This takes a number of steps logarithmic in the length, not one per window.
+- Collisions. In the first level two independent 64-bit hashes and the place of the anchor must agree. The rivals carry their
+  bytes, and from the second level on classes are told apart by MD5 digests of the bytes themselves beside the anchor's hash.
 
 Only minima and counts per class are computed, combined inside tasks first, so a passage in very many texts is no hot key.
 
@@ -141,14 +141,16 @@ def spans(docs: DataFrame) -> DataFrame:
         cut = left.select("doc", "row", "anchor", "at", "lo", "hi", "bytes", "from", "to", part)
         cut = cut.withColumn("from", F.greatest("from", F.col("part") * wide).cast("int")).withColumn("to", F.least("to", F.col("part") * wide + wide - 1).cast("int"))
         own = F.substring("bytes", F.col("hi") - F.col("to") + 1, F.col("to") - F.col("from") + LENGTH)
-        cut = keep(cut.withColumn("own", own))
-        keys = ["anchor", "part", "from", "to", "own"]
+        # all windows of a part hold its core: texts whose cores differ share none of them
+        core = F.substring("bytes", (F.col("hi") - F.col("part") * wide + 1).cast("int"), F.lit(LENGTH - wide + 1))
+        cut = keep(cut.withColumn("own", F.unhex(F.md5(own))).withColumn("core", F.xxhash64(core)))
+        keys = ["anchor", "part", "core", "from", "to", "own"]
         repeats, firsts = _split(cut, keys, (F.col("at") - F.col("to"), F.col("at") - F.col("from") + LENGTH))
         out = out.unionByName(keep(repeats))
         if wide > 1:
-            rivals = firsts.groupBy("anchor", "part").count().filter("count > 1").select("anchor", "part")
-            heads = firsts.join(rivals, ["anchor", "part"]).select(*keys, F.col("first.doc").alias("doc"), F.col("first.at").alias("at"))
-            left = cut.join(heads, [*keys, "doc", "at"], "left_semi").drop("part", "own")
+            rivals = firsts.groupBy("anchor", "part", "core").count().filter("count > 1").drop("count")
+            heads = firsts.join(rivals, ["anchor", "part", "core"]).select(*keys, F.col("first.doc").alias("doc"), F.col("first.at").alias("at"))
+            left = cut.join(heads, [*keys, "doc", "at"], "left_semi").drop("part", "own", "core")
     return out
 
 
