@@ -206,23 +206,23 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source", of: str =
 def judge(stats: DataFrame, model: tuple[DataFrame, DataFrame], lang: str = "lang", source: str = "source", of: str = "stats", into: str = "verdict") -> DataFrame:
     """``stats`` with a struct column ``into`` of (distance, kept)."""
     groups, estimates = model
-    bundle = estimates.select(F.col("group"), F.struct(*(F.col(c) for c in estimates.columns if c != "group")).alias("e_"))
-    lookup = groups.join(bundle, "group", "left").select(F.struct("lang_", "source_").alias("k_"), "e_")
-    joined = stats.join(lookup, F.struct(_label(stats[lang]).alias("lang_"), _label(stats[source]).alias("source_")) == F.col("k_"), "left")
+    k, e, z = fresh(stats, "group_key"), fresh(stats, "estimate"), fresh(stats, "scaled")
+    bundle = estimates.select(F.col("group"), F.struct(*(F.col(c) for c in estimates.columns if c != "group")).alias(e))
+    lookup = groups.join(bundle, "group", "left").select(F.struct("lang_", "source_").alias(k), e)
+    joined = stats.join(lookup, F.struct(_label(stats[lang]).alias("lang_"), _label(stats[source]).alias("source_")) == F.col(k), "left")
     squares: list[Column] = []
     steps = joined
-    z = fresh(joined, "z_")
     done: list[Column] = []
     for i, name in enumerate(NAMES):
-        rest = F.col(of)[name] - F.col("e_")[f"m_{i}"]
+        rest = F.col(of)[name] - F.col(e)[f"m_{i}"]
         for j in range(i):
-            rest = rest - F.col("e_")[f"l_{i}_{j}"] * F.col(f"{z}{j}")
-        steps = steps.withColumn(f"{z}{i}", rest / F.col("e_")[f"l_{i}_{i}"])
+            rest = rest - F.col(e)[f"l_{i}_{j}"] * F.col(f"{z}{j}")
+        steps = steps.withColumn(f"{z}{i}", rest / F.col(e)[f"l_{i}_{i}"])
         done.append(f"{z}{i}")
         squares.append(F.col(f"{z}{i}") * F.col(f"{z}{i}"))
     d2 = sum(squares[1:], squares[0])
     verdict = F.struct(F.sqrt(d2).alias("distance"), (~F.col(of)["base_failed"] & F.coalesce(d2 <= chi2_quantile(CUT, len(NAMES)), F.lit(True))).alias("kept"))
-    return steps.withColumn(into, verdict).drop("k_", "e_", *done)
+    return steps.withColumn(into, verdict).drop(k, e, *done)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

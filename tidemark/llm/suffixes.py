@@ -18,7 +18,7 @@ Only minima and counts per class are computed, combined inside tasks first, so a
 
 Defined cases: null text is empty. Texts under ``LENGTH`` bytes lose nothing. A null id counts as smaller than all others. Rows that
 repeat an id are one document: the same start is not earlier, so repeated rows keep their first copy each. Empty tables give an
-empty result. ``remove`` ignores other columns.
+empty result. ``remove`` adds one struct column and leaves the others as they are.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import bloom
-from tidemark.llm.common import keep, table
+from tidemark.llm.common import fresh, keep, table
 from tidemark.llm.hashing import SEED, chunks, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 100, 32
@@ -154,34 +155,52 @@ def spans(docs: DataFrame) -> DataFrame:
     return out
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text, doc, starts, stops in zip(*(batch.column(n) for n in range(4))):
-            data = (text.as_py() or "").encode()
-            start, stop = (np.array(x.as_py() or [], dtype=np.int64) for x in (starts, stops))
-            order = np.argsort(start, kind="stable")
-            start, reach = start[order], np.maximum.accumulate(stop[order])
-            new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(start) else np.zeros(0, dtype=np.int64)
-            begin, end = start[new], reach[np.concatenate([new[1:], [len(start)]]) - 1] if len(start) else start
-            pieces, at = [], 0
-            for b, e in zip(begin.tolist(), end.tolist()):
-                pieces.append(data[at:b])
-                at = e
-            pieces.append(data[at:])
-            row = [doc.as_py(), len(data), int((end - begin).sum()), len(begin), b"".join(pieces)]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and the kept bytes."""
-    docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    docs = docs.withColumn("doc", F.coalesce("doc_id", F.lit(BEFORE_ALL))).withColumn("row", F.xxhash64("doc_id", "text"))
-    found = spans(docs).groupBy("doc", "row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    joined = docs.join(found, ["doc", "row"], "left").select("text", "doc_id", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops"))
-    return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+def _cut(data: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, int, bytes]:
+    """Bytes removed, maximal runs removed and the bytes kept, for spans that may overlap."""
+    if not len(start):
+        return 0, 0, data
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(stop[order])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    begin, end = start[new], reach[np.concatenate([new[1:], [len(start)]]) - 1]
+    pieces = [data[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(data)])]
+    return int((end - begin).sum()), len(begin), b"".join(pieces)
+
+
+KEPT = T.StructType(
+    [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())]
+)
+
+
+@F.arrow_udf(KEPT)
+def _kept(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+    rows = []
+    for text, start, stop in zip(texts, starts, stops):
+        data = (text.as_py() or "").encode()
+        n_removed, n_spans, kept = _cut(data, *(np.array(x.as_py() or [], dtype=np.int64) for x in (start, stop)))
+        rows.append({"n_bytes": len(data), "n_removed": n_removed, "n_spans": n_spans, "kept": kept})
+    return pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]))
+
+
+@F.arrow_udf(T.StringType())
+def readable(kept: pa.Array) -> pa.Array:
+    """Kept bytes as text, without characters that were cut apart."""
+    return pa.array([None if x.as_py() is None else x.as_py().decode("utf-8", "ignore") for x in kept], pa.string())
+
+
+def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str = "cleaned") -> DataFrame:
+    """``docs`` with a struct column ``into``: n_bytes, n_removed, n_spans (maximal removed runs) and the kept bytes."""
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, F.struct(F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL)).alias("doc"), F.xxhash64(docs[doc_id], docs[text]).alias("row")))
+    found = spans(keyed.select(F.col(text).cast("string").alias("text"), F.col(key)["doc"].alias("doc"), F.col(key)["row"].alias("row")))
+    found = found.groupBy(F.struct("doc", "row").alias(key)).agg(F.collect_list("start").alias("starts_"), F.collect_list("stop").alias("stops_"))
+    spans_ = fresh(docs, "spans")
+    found = found.select(key, F.struct("starts_", "stops_").alias(spans_))
+    joined = keyed.join(found, key, "left")
+    return joined.withColumn(into, _kept(F.col(text).cast("string"), F.col(spans_)["starts_"], F.col(spans_)["stops_"])).drop(key, spans_)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = remove(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    cleaned = remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    x = F.col("cleaned")
+    return cleaned.select("doc_id", *(x[c].alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.sha2(x["kept"], 256).alias("kept_sha256"))
