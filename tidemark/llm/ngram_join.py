@@ -7,6 +7,7 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
   fragments. So every set is filed under a key per fragment (a hash of the n-grams in it), with a number of fragments that
   depends on its class of sizes, and again with the number of the class below if a partner may lie there. The rare sets with
   too few fragments in use are also filed under their first n-grams in the global order, of which two similar sets share one.
+  Each document whose fragments share fewer keys with others than a similar set must is left out before the comparison.
 - Partial overlaps. The sets of candidates are cut into ``PARTS`` fragments; overlaps are counted per pair and fragment by
   joins and summed per pair. Memory follows a fragment, not a set.
 - Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, so a
@@ -43,6 +44,8 @@ CLASS = 1.6
 CENTRES = 2
 #: Partners of a centre that are compared in one task.
 PER_SALT = 1000
+#: Nodes that a task remembers to have given, so that copies are sent once.
+REMEMBERED = 1 << 20
 
 
 def sets_of(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,11 +90,12 @@ def classes(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts.append(max(starts[-1] + 1, int(starts[-1] * CLASS)))
     starts = np.array(starts, dtype=np.int64)
     allowed = differing(starts[1:] - 1, percent)
-    return starts[:-1], allowed, np.where(allowed == 0, 1, allowed + 3 + allowed // 16)
+    return starts[:-1], allowed, np.where(allowed == 0, 1, allowed + 3 + allowed // 4)
 
 
-def keys_of(grams: np.ndarray, percent: int) -> np.ndarray:
-    """The keys under which one sorted set is filed."""
+def keys_of(grams: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """The keys under which one sorted set is filed, and how many of them every similar set must have too: differing n-grams
+    can change so many fragments at most, and the others are the same."""
     size = len(grams)
     starts, allowed, fragments = classes(percent)
     own = int(np.searchsorted(starts, size, side="right")) - 1
@@ -105,11 +109,12 @@ def keys_of(grams: np.ndarray, percent: int) -> np.ndarray:
         at = (high * np.uint64(fragments[role])) >> np.uint64(32)
         new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         tag = mix(at[new] + np.uint64(role << 40) + np.uint64(1))
-        out.append(mix(np.add.reduceat(mixed, new) ^ tag))
+        changed = differing(size, percent) if role == own else (100 - percent) * (size + starts[own] - 1) // (100 + percent)
+        out.append((mix(np.add.reduceat(mixed, new) ^ tag), max(0, len(new) - int(changed))))
         if len(new) <= allowed[role]:
             prefix = size - -(-percent * size // 100) + 1
-            out.append(mix(grams[:prefix] ^ mix(np.array([role + (1 << 60)], dtype=np.uint64))))
-    return np.concatenate(out)
+            out.append((mix(grams[:prefix] ^ mix(np.array([role + (1 << 60)], dtype=np.uint64))), 0))
+    return out
 
 
 def _nodes(doc: np.ndarray, grams: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,16 +138,20 @@ def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
             for first, texts in chunks(batch.column(1)):
                 doc, grams = sets_of(texts, n)
                 start, sizes, node = _nodes(doc, grams, len(texts))
-                keys = []
-                for s, size in zip(start.tolist(), sizes.tolist()):
-                    own = _signed(keys_of(grams[s : s + size], percent)) if size else np.zeros(0, dtype=np.int64)
-                    keys.append(own)
-                flat = np.concatenate(keys)
-                lengths = np.array([len(k) for k in keys])
+                groups, owner = [], []
+                for n_, (s, size) in enumerate(zip(start.tolist(), sizes.tolist())):
+                    own = keys_of(grams[s : s + size], percent) if size else []
+                    groups += own
+                    owner += [n_] * len(own)
+                flat = _signed(np.concatenate([np.zeros(0, dtype=np.uint64), *(keys for keys, _ in groups)]))
+                group = np.repeat(np.arange(len(groups)), [len(keys) for keys, _ in groups])
+                owner = np.array(owner, dtype=np.int64)
                 if filter_ is not None:
                     ok = bloom.passes(filter_.value, flat)
-                    owner = np.repeat(np.arange(len(keys)), lengths)
-                    flat, lengths = flat[ok], np.bincount(owner[ok], minlength=len(keys))
+                    enough = np.bincount(group[ok], minlength=len(groups)) >= np.array([need for _, need in groups], dtype=np.int64)
+                    ok &= enough[group] if len(group) else ok
+                    flat, group = flat[ok], group[ok]
+                lengths = np.bincount(owner[group] if len(group) else group, minlength=len(texts))
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -158,19 +167,24 @@ def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
 
 
 def _parts(docs: DataFrame, n: int, filter_) -> DataFrame:
-    """(node, part, size, grams) of the rows whose node passes the filter."""
+    """(node, part, size, grams) of the rows whose node passes the filter; a task gives the copies it meets once."""
 
     def run(batches):
+        given: set[int] = set()
         for batch in batches:
             for _, texts in chunks(batch.column(1)):
                 doc, grams = sets_of(texts, n)
                 start, sizes, node = _nodes(doc, grams, len(texts))
-                chosen = np.flatnonzero((sizes > 0) & bloom.passes(filter_.value, node))
                 rows = []
-                for d in chosen:
+                for d in np.flatnonzero((sizes > 0) & bloom.passes(filter_.value, node)):
+                    name = int(node[d])
+                    if name in given:
+                        continue
+                    if len(given) < REMEMBERED:
+                        given.add(name)
                     own = grams[start[d] : start[d] + sizes[d]]
                     cuts = np.searchsorted(own >> np.uint64(61), np.arange(PARTS + 1, dtype=np.uint64))
-                    rows += [(int(node[d]), p, int(sizes[d]), _signed(own[cuts[p] : cuts[p + 1]])) for p in range(PARTS)]
+                    rows += [(name, p, int(sizes[d]), _signed(own[cuts[p] : cuts[p + 1]])) for p in range(PARTS)]
                 if rows:
                     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], ["node", "part", "size", "grams"])
@@ -202,8 +216,7 @@ def _links(filed: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
     ends = filed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     filed = stored(filed.join(ends.select("key"), "key"), "keys")
     chosen = context.broadcast(bloom.of_keys(filed.select("node").distinct(), "node"))
-    parts = _parts(docs, n, chosen).dropDuplicates(["node", "part"])
-    parts = keep(parts.repartition("node"))
+    parts = keep(_parts(docs, n, chosen).repartition("node").dropDuplicates(["node", "part"]))
     links = done = None
     for turn in range(CENTRES + 1):
         if links is not None:
