@@ -9,10 +9,12 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 - Sorting and comparing. The windows of an anchor are one stretch of bytes, kept as its hash, which prefix polynomial hashes
   give for any range. Spark's sort brings equal stretches together. All but the earliest stretch of a class are repeats as a
   whole. The earliest is compared with the other classes of its anchor by search over shorter extensions: its windows are cut
-  into thirds, down to single windows, each part again sorted by hash, until it equals an earlier one or no rival shares the
+  into parts, down to single windows, each part again sorted by hash, until it equals an earlier one or no rival shares the
   bytes that all windows of the part hold. This takes a number of steps logarithmic in the length, not one per window.
 - Collisions. In the first level two independent 64-bit hashes and the place of the anchor must agree. The rivals carry their
   bytes, and from the second level on classes are told apart by MD5 digests of the bytes themselves beside the anchor's hash.
+- What is moved. Only the earliest stretches, and the parts of them that repeat, are listed per text; the last pass finds the
+  anchors of a text anew and takes those without an entry for repeats.
 
 Only minima and counts per class are computed, combined inside tasks first, so a passage in very many texts is no hot key.
 
@@ -35,10 +37,10 @@ from tidemark.llm import bloom
 from tidemark.llm.common import fresh, keep, table
 from tidemark.llm.hashing import SEED, chunks, mix, prefix_sums, ranges
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 24
 #: Windows that can share an anchor, and the widths of the parts they are cut into.
 WIDE = LENGTH - GRAM + 1
-PARTS = (23, 8, 3, 1)
+PARTS = (26, 6, 1)
 BEFORE_ALL = -(1 << 63)
 
 
@@ -90,68 +92,82 @@ def _once(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "anchor long")
 
 
-def _shared(docs: DataFrame, filter_, context: bool) -> DataFrame:
-    """Anchors that pass the filter: doc, row, anchor, place in the text, offsets of the last and first window before the anchor
-    (lo, hi), hash of the stretch, and its bytes if ``context``."""
+def _shared(docs: DataFrame, seen) -> DataFrame:
+    """Anchors that pass the filter: doc, anchor, place in the text, offsets of the last and first window before it, and the hash
+    of the stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, rows = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+            doc_ids = batch.column(1).to_numpy(zero_copy_only=False)
             for number, texts in chunks(batch.column(0)):
-                text, anchor, begin, stop, at, stretch, start = stretches(texts)
-                ok = bloom.passes(filter_.value, anchor)
-                text, anchor, begin, stop, at, stretch, start = (x[ok] for x in (text, anchor, begin, stop, at, stretch, start))
-                columns = [doc_ids[number + text], rows[number + text], anchor, at - start, at - stop, at - begin, stretch]
-                arrays = [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
-                names = ["doc", "row", "anchor", "at", "lo", "hi", "stretch"]
-                if context:
-                    spans = zip(text.tolist(), (begin - start).tolist(), (stop - start).tolist())
-                    arrays.append(pa.array([texts[t][b : e + LENGTH] for t, b, e in spans], pa.binary()))
-                    names.append("bytes")
-                yield pa.RecordBatch.from_arrays(arrays, names)
-
-    schema = "doc long, row long, anchor long, at long, lo int, hi int, stretch long" + (", bytes binary" if context else "")
-    return docs.select("text", "doc", "row").mapInArrow(run, schema)
-
-
-def _split(rows: DataFrame, keys: list[str], span: tuple[Column, Column]) -> tuple[DataFrame, DataFrame]:
-    """Repeats among the rows of each class ``keys``, as spans to remove, and the earliest rows of classes."""
-    order = F.struct("doc", "at")
-    firsts = rows.groupBy(*keys).agg(F.min(order).alias("first"))
-    repeats = rows.join(firsts, keys).filter((F.col("doc") > F.col("first.doc")) | (F.col("doc") == F.col("first.doc")) & (F.col("at") > F.col("first.at")))
-    return repeats.select("doc", "row", span[0].alias("start"), span[1].alias("stop")), firsts
-
-
-def spans(docs: DataFrame) -> DataFrame:
-    """(doc, row, start, stop) of stretches to remove; they may overlap. ``docs``: text, doc, row."""
+                found = stretches(texts)
+                text, anchor, begin, stop, at, stretch, start = (x[bloom.passes(seen.value, found[1])] for x in found)
+                columns = [doc_ids[number + text], anchor, at - start, at - stop, at - begin, stretch]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "anchor", "at", "lo", "hi", "stretch"])
+
+    return docs.select("text", "doc").mapInArrow(run, "doc long, anchor long, at long, lo int, hi int, stretch long")
+
+
+#: Name of an anchor in a text, the same in Spark and in ``_tags``.
+TAG = "anchor ^ stretch ^ at"
+
+
+def _tags(anchor: np.ndarray, stretch: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return anchor ^ stretch ^ at
+
+
+def _bytes(docs: DataFrame, chosen) -> DataFrame:
+    """The stretches whose tag (with the id) passes the filter, with their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids = batch.column(1).to_numpy(zero_copy_only=False)
+            for number, texts in chunks(batch.column(0)):
+                found = stretches(texts)
+                text, anchor, _, _, at, stretch, start = found
+                tag = _tags(anchor, stretch, at - start)
+                ok = bloom.passes(chosen.value, tag ^ doc_ids[number + text])
+                tag = tag[ok]
+                text, anchor, begin, stop, at, stretch, start = (x[ok] for x in found)
+                columns = [doc_ids[number + text], tag, anchor, at - start, at - stop, at - begin]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                spans = zip(text.tolist(), (begin - start).tolist(), (stop - start).tolist())
+                data = pa.array([texts[t][b : e + LENGTH] for t, b, e in spans], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), data], ["doc", "tag", "anchor", "at", "lo", "hi", "bytes"])
+
+    return docs.select("text", "doc").mapInArrow(run, "doc long, tag long, anchor long, at long, lo int, hi int, bytes binary")
+
+
+def entries(docs: DataFrame, seen) -> DataFrame:
+    """What is known of anchors that pass ``seen`` and whose stretch is the earliest of its class: (doc, tag) with no offsets, and
+    with offsets [from, to] of windows before the anchor that repeat an earlier one all the same."""
     context = docs.sparkSession.sparkContext
-    seen = context.broadcast(bloom.of_keys(_once(docs).groupBy("anchor").count().filter("count > 1"), "anchor"))
-    found = keep(_shared(docs, seen, False))
-    ends = (F.col("at") - F.col("hi"), F.col("at") - F.col("lo") + LENGTH)
-    whole = ["anchor", "lo", "hi", "stretch"]
-    repeats, firsts = _split(found, whole, ends)
-    out = keep(repeats)
+    classes = _shared(docs, seen).groupBy("anchor", "lo", "hi", "stretch").agg(F.min(F.struct("doc", "at")).alias("first"))
+    firsts = keep(classes.select("anchor", F.col("first.doc").alias("doc"), F.expr(TAG.replace("at", "first.at")).alias("tag")))
     rivals = firsts.groupBy("anchor").count().filter("count > 1").select("anchor")
-    open_ = keep(firsts.join(rivals, "anchor").select("anchor", "lo", "hi", "stretch", F.col("first.doc").alias("doc"), F.col("first.at").alias("at")))
-    chosen = context.broadcast(bloom.of_keys(open_.select("anchor").distinct(), "anchor"))
-    left = _shared(docs, chosen, True).join(open_, ["anchor", "lo", "hi", "stretch", "doc", "at"], "left_semi")
-    left = left.select("doc", "row", "anchor", "at", "lo", "hi", "bytes", F.col("lo").alias("from"), F.col("hi").alias("to"))
+    chosen = context.broadcast(bloom.of_keys(firsts.join(rivals, "anchor").select(F.expr("tag ^ doc").alias("key")), "key"))
+    stretch = keep(_bytes(docs, chosen))
+    out = firsts.select("doc", "tag", F.lit(None).cast("int").alias("from"), F.lit(None).cast("int").alias("to"))
+    left = stretch.withColumn("from", F.col("lo")).withColumn("to", F.col("hi"))
     for wide in PARTS:
         # windows [from, to] before the anchor, cut at multiples of `wide`; the bytes begin at window `hi`
-        part = F.explode(F.sequence(F.floor(F.col("from") / wide), F.floor(F.col("to") / wide))).alias("part")
-        cut = left.select("doc", "row", "anchor", "at", "lo", "hi", "bytes", "from", "to", part)
+        part = F.explode(F.sequence(F.floor(F.col("from") / wide).cast("int"), F.floor(F.col("to") / wide).cast("int"))).alias("part")
+        cut = left.select("doc", "tag", "anchor", "at", "hi", "bytes", "from", "to", part)
         cut = cut.withColumn("from", F.greatest("from", F.col("part") * wide).cast("int")).withColumn("to", F.least("to", F.col("part") * wide + wide - 1).cast("int"))
         own = F.substring("bytes", F.col("hi") - F.col("to") + 1, F.col("to") - F.col("from") + LENGTH)
         # all windows of a part hold its core: texts whose cores differ share none of them
         core = F.substring("bytes", (F.col("hi") - F.col("part") * wide + 1).cast("int"), F.lit(LENGTH - wide + 1))
-        cut = keep(cut.withColumn("own", F.unhex(F.md5(own))).withColumn("core", F.xxhash64(core)))
+        cut = keep(cut.select("doc", "tag", "anchor", "at", "part", "from", "to", F.unhex(F.md5(own)).alias("own"), F.xxhash64(core).alias("core")))
         keys = ["anchor", "part", "core", "from", "to", "own"]
-        repeats, firsts = _split(cut, keys, (F.col("at") - F.col("to"), F.col("at") - F.col("from") + LENGTH))
-        out = out.unionByName(keep(repeats))
+        least = keep(cut.groupBy(*keys).agg(F.min(F.struct("doc", "at", "tag")).alias("first"), F.count("*").alias("members")))
+        later = (F.col("doc") > F.col("first.doc")) | (F.col("doc") == F.col("first.doc")) & (F.col("at") > F.col("first.at"))
+        repeats = cut.join(least.filter("members > 1").drop("members"), keys).filter(later)
+        out = out.unionByName(keep(repeats.select("doc", "tag", "from", "to")))
         if wide > 1:
-            rivals = firsts.groupBy("anchor", "part", "core").count().filter("count > 1").drop("count")
-            heads = firsts.join(rivals, ["anchor", "part", "core"]).select(*keys, F.col("first.doc").alias("doc"), F.col("first.at").alias("at"))
-            left = cut.join(heads, [*keys, "doc", "at"], "left_semi").drop("part", "own", "core")
+            open_ = least.groupBy("anchor", "part", "core").count().filter("count > 1").drop("count")
+            heads = least.join(open_, ["anchor", "part", "core"]).select(F.col("first.doc").alias("doc"), F.col("first.tag").alias("tag"), "from", "to")
+            left = heads.join(stretch, ["doc", "tag"])
     return out
 
 
@@ -172,14 +188,34 @@ KEPT = T.StructType(
 )
 
 
-@F.arrow_udf(KEPT)
-def _kept(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
-    rows = []
-    for text, start, stop in zip(texts, starts, stops):
-        data = (text.as_py() or "").encode()
-        n_removed, n_spans, kept = _cut(data, *(np.array(x.as_py() or [], dtype=np.int64) for x in (start, stop)))
-        rows.append({"n_bytes": len(data), "n_removed": n_removed, "n_spans": n_spans, "kept": kept})
-    return pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]))
+def _remover(seen):
+    """Cuts a text by the entries of its id. An anchor that passes the filter and has no entry repeats an earlier stretch."""
+
+    @F.arrow_udf(KEPT)
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, tags, froms, tos in batches:
+            rows = []
+            for number, chunk in chunks(texts):
+                found = stretches(chunk)
+                text, anchor, begin, stop, at, stretch, start = (x[bloom.passes(seen.value, found[1])] for x in found)
+                name = _tags(anchor, stretch, at - start)
+                bounds = np.searchsorted(text, np.arange(len(chunk) + 1))
+                for n, data in enumerate(chunk):
+                    own = slice(bounds[n], bounds[n + 1])
+                    begins, ends = (begin - start)[own], (stop - start)[own] + LENGTH
+                    known = np.array(tags[number + n].as_py() or [], dtype=np.int64)
+                    if len(known):
+                        low, high = (pa.array(x[number + n].as_py()).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False) for x in (froms, tos))
+                        places = dict(zip(name[own].tolist(), (at - start)[own].tolist()))
+                        repeated = ~np.isin(name[own], known[low < 0])
+                        parts = [(places[t] - b, places[t] - a + LENGTH) for t, a, b in zip(known.tolist(), low.tolist(), high.tolist()) if a >= 0 and t in places]
+                        begins = np.concatenate([begins[repeated], np.array([p[0] for p in parts], dtype=np.int64)])
+                        ends = np.concatenate([ends[repeated], np.array([p[1] for p in parts], dtype=np.int64)])
+                    n_removed, n_spans, kept = _cut(data, begins, ends)
+                    rows.append({"n_bytes": len(data), "n_removed": n_removed, "n_spans": n_spans, "kept": kept})
+            yield pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]))
+
+    return cut
 
 
 @F.arrow_udf(T.StringType())
@@ -190,14 +226,15 @@ def readable(kept: pa.Array) -> pa.Array:
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str = "cleaned") -> DataFrame:
     """``docs`` with a struct column ``into``: n_bytes, n_removed, n_spans (maximal removed runs) and the kept bytes."""
-    key = fresh(docs, "row_key")
-    keyed = docs.withColumn(key, F.struct(F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL)).alias("doc"), F.xxhash64(docs[doc_id], docs[text]).alias("row")))
-    found = spans(keyed.select(F.col(text).cast("string").alias("text"), F.col(key)["doc"].alias("doc"), F.col(key)["row"].alias("row")))
-    found = found.groupBy(F.struct("doc", "row").alias(key)).agg(F.collect_list("start").alias("starts_"), F.collect_list("stop").alias("stops_"))
-    spans_ = fresh(docs, "spans")
-    found = found.select(key, F.struct("starts_", "stops_").alias(spans_))
-    joined = keyed.join(found, key, "left")
-    return joined.withColumn(into, _kept(F.col(text).cast("string"), F.col(spans_)["starts_"], F.col(spans_)["stops_"])).drop(key, spans_)
+    context = docs.sparkSession.sparkContext
+    key, known = fresh(docs, "doc_key"), fresh(docs, "entries")
+    doc = F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL))
+    texts = docs.select(docs[text].cast("string").alias("text"), doc.alias("doc"))
+    seen = context.broadcast(bloom.of_keys(_once(texts).groupBy("anchor").count().filter("count > 1"), "anchor"))
+    lists = entries(texts, seen).groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("tag", F.coalesce("from", F.lit(-1)).alias("from"), F.coalesce("to", F.lit(-1)).alias("to"))).alias(known))
+    joined = docs.withColumn(key, doc).join(lists, key, "left")
+    x = F.col(known)
+    return joined.withColumn(into, _remover(seen)(F.col(text).cast("string"), x["tag"], x["from"], x["to"])).drop(key, known)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
