@@ -36,7 +36,7 @@ ORDERS = (2, 3, 4)
 SWITCH, SMOOTH = 6.0, 0.1
 #: A language is written in a script that has this share of its training letters.
 SCRIPT_SHARE = 0.02
-CHUNK_CHARS = 1 << 18
+CHUNK_CHARS = 1 << 20
 #: First code points of ranges and their scripts: fixed values of the Unicode blocks.
 SCRIPTS = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
