@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, language, ngram_join, packing, quality, scoring, suffixes, topk, warc
+from tidemark.llm import bpe, language, licences, ngram_join, packing, quality, scoring, suffixes, topk, warc
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
+    "op2_license_scan": licences.op2_license_scan,
     "op3_lm_score": scoring.op3_lm_score,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_bpe": bpe.op5_bpe,
