@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .config("spark.ui.showConsoleProgress", "false")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
@@ -26,8 +27,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     yield session
     session.stop()
 

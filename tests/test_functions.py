@@ -131,6 +131,10 @@ def test_amount_edges(spark):
     values = [None, "0x0", "007", "-0", "-12.50", "1e5", "15E-1", "+5", "5.", ".5", "0x", "0xzz", "ten", "", "1" + "0" * 40]
     expected = ["0", "0", "7", "0", "-12.50", "100000", "1.5", "5", "5", "0.5", None, None, None, None, "1" + "0" * 40]
     assert each(spark, values, numeric.amount) == expected
+    long = each(spark, ["1e100000", "12.5e3", "1.50e1", "-1E-3", "0e999999999999", ".e5"], numeric.amount)
+    assert long == ["1" + "0" * 100000, "12500", "15.0", "-0.001", "0", None]
+    with pytest.raises(Exception, match="digits"):
+        each(spark, ["1e99999999999"], numeric.amount)
     scaled = each(spark, ["1500000000000000000", "1000000000000000000", "0", "-1", "2.00", "10" + "0" * 18 + ".00"], lambda c: numeric.amount(c, 18))
     assert scaled == ["1.5", "1", "0", "-0.000000000000000001", "0.000000000000000002", "10.00"]
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from tidemark_driver.queries import QUERIES
 from tests.oracle import TESTDATA
 from tidemark.operators import membership, merging, paths
 from tidemark.plans import launches, logs, profile, report, sales
@@ -162,20 +163,37 @@ def walk(rows, k):
     return [(" → ".join(p), len(p), len(users), min(users)) for p, users in ranked[:k]]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 1_000_000])
+@pytest.mark.parametrize("slot_rows", [1, 10, 1_000_000])
 @pytest.mark.parametrize("seed", range(3))
-def test_paths_equal_brute_force_however_users_are_split(spark, hot_rows, seed):
+def test_paths_equal_brute_force_however_users_are_split(spark, slot_rows, seed):
     rnd = random.Random(seed)
     rows = []
     for n in range(400):
         user = "hot" if n % 3 == 0 else f"u{rnd.randrange(40)}"
         rows.append((user, rnd.choice("abb"), D(2024, 1, 1) + dt.timedelta(minutes=20 * rnd.randrange(60)), n))
     df = spark.createDataFrame(rows, "user string, step string, ts timestamp_ntz, n int").repartition(4)
-    got = paths.path_patterns(df, "user", "step", "ts", ["n"], k=6, hot_rows=hot_rows)
+    got = paths.path_patterns(df, "user", "step", "ts", ["n"], k=6, slot_rows=slot_rows)
     ranked = sorted((tuple(r) for r in got.collect()), key=lambda r: (-r[2], r[1], r[3]))
     assert ranked == walk(rows, 6)
 
 
+def test_one_user_in_one_hour_is_cut_into_slots(spark):
+    rows = spark.range(6000).selectExpr("'u' AS user", "timestamp'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id * 0.5) AS ts", "id")
+    slots = paths.time_slots(rows, "user", "ts", 100).groupBy("_slot").count().collect()
+    assert sum(r["count"] for r in slots) == 6000
+    assert max(r["count"] for r in slots) <= 100 + 120
+
+
+def test_reports_come_in_order(spark):
+    for name, key in (("gmv_daily_report", "ds"), ("launch_calendar", "online_date")):
+        text = plan(QUERIES[name](spark, f"{TESTDATA}/sf0.001"))
+        assert text.index("Sort") < text.index("Aggregate"), name
+
+
+def test_text_checks_need_no_shuffle(spark):
+    assert "Exchange" not in plan(QUERIES["text_valid"](spark, f"{TESTDATA}/sf0.001"))
+
+
 def test_common_paths_leave_out_unknown_users(spark):
     df = spark.createDataFrame(
         [(None, "a", D(2024, 1, 1), 1), ("unknown", "a", D(2024, 1, 1), 2), ("u", " a ", D(2024, 1, 1), 3), ("u", "b", D(2024, 1, 2), 4), ("v", "", D(2024, 1, 1), 5)],
@@ -289,7 +307,7 @@ def test_global_top_k_never_sorts_everything(spark):
         assert "TakeOrderedAndProject" in plan(driver.queries()[name](spark, f"{TESTDATA}/sf0.001"))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in driver.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_pair_joins_and_no_python_rows(spark, name):
     text = plan(driver.queries()[name](spark, f"{TESTDATA}/sf0.001"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 _PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 _SHORT_HEX = r"^0x[0-9a-fA-F]{1,31}$"
+#: Digits that a text column can well hold. A longer number is an error, not a missing one.
+LONGEST = 1_000_000_000
 
 
 def _short_hex(col: Column) -> Column:
@@ -20,8 +22,9 @@ def _short_hex(col: Column) -> Column:
 
 def _any_number():
     # a closure, so that executors get it by value and need no copy of this package
+    longest = LONGEST
+
     def convert(texts: pd.Series) -> pd.Series:
-        import decimal
         import re
         import sys
 
@@ -33,9 +36,19 @@ def _any_number():
                 return None
             if re.fullmatch(r"0x[0-9a-fA-F]+", text):
                 return str(int(text[2:], 16))
-            if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d{1,5}", text):
-                return format(decimal.Decimal(text), "f")
-            return None
+            found = re.fullmatch(r"([+-]?)(\d*)\.?(\d*)[eE]([+-]?\d+)", text)
+            if not found or not found[2] + found[3]:
+                return None
+            sign, whole, part, power = found[1], found[2], found[3], int(found[4])
+            digits = whole + part
+            if not digits.strip("0"):
+                return "0"
+            point = len(whole) + power  # the point stands before this digit
+            if max(point, len(digits) - point) > longest:
+                raise ValueError(f"a number of more than {longest} digits: {text[:40]}")
+            left = digits[: max(point, 0)].ljust(point, "0") or "0"
+            right = "0" * max(-point, 0) + digits[max(point, 0) :]
+            return sign.strip("+") + left + ("." + right if right else "")
 
         return pd.Series([one(t) for t in texts], dtype="object")
 
@@ -73,7 +86,8 @@ def amount(col: Column, scale: int = 0) -> Column:
     """Plain decimal text of a number written in ``0x`` hex or decimal, divided by ``10^scale``; NULL gives ``"0"``.
 
     Up to 31 hex digits and any plain decimal stay JVM-side. Only longer hex and exponent forms visit Python: the
-    other rows cross over as NULL. Unreadable text gives NULL.
+    other rows cross over as NULL. Exponents have any size; a number too long to be written out fails the query. Unreadable text
+    gives NULL.
     """
     simple = col.rlike(_PLAIN) | col.rlike(_SHORT_HEX)
     plain = (

@@ -1,10 +1,11 @@
 """Behaviour paths: each user's steps in order, with equal neighbours counted once.
 
-One user may own a large part of all rows. Such users are found by a count first, and their rows are ordered hour by
-hour in separate tasks; one short row per user and hour (count, first step, last step) then joins the hours up. The
-rows of all other users are ordered per user, without that extra work.
+One user may own a large part of all rows, so no user is sorted in one task. Rows are counted per user and minute (combined
+before the shuffle); the running count cuts each user's time into slots of about ``SLOT_ROWS`` rows, a busier minute by
+seconds. Slots are ordered apart, and one short row per slot (count, first step, last step) joins them up. Every user takes the
+same way; most have one slot.
 
-A path is identified by its length and two 64-bit checksums over (position, step), which add up in any order and
+A path is identified by its length and two independent 64-bit checksums over (position, step), which add up in any order and
 combine before the shuffle. Text is built for the paths that are shown.
 """
 
@@ -15,42 +16,46 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ARROW = " → "
-HOT_ROWS = 1_000_000
-HOT_USERS = 100_000
+SLOT_ROWS = 100_000
 
 
-def hot_users(df: DataFrame, user: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Users with more than ``hot_rows`` rows and more than one in ``HOT_USERS`` of all rows: fewer than ``HOT_USERS``."""
-    counts = df.groupBy(user).agg(F.count(F.lit(1)).alias("_rows"))
-    share = counts.agg(F.sum("_rows")).scalar() / HOT_USERS
-    return counts.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(user)
+def time_slots(rows: DataFrame, user: str, ts: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
+    """``rows`` with ``_slot``, a struct that orders each user's slots in time."""
+    minute = F.date_trunc("minute", ts)
+    counts = rows.groupBy(user, minute.alias("_minute")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(W.partitionBy(user).orderBy("_minute")) - F.col("_rows")
+    numbered = counts.select(
+        user, "_minute", F.floor(before / slot_rows).alias("_number"), (F.col("_rows") > slot_rows).alias("_busy")
+    )
+    # a busy minute is the last of its number: quieter minutes before it come first, as NULL sorts before its seconds
+    second = F.when(F.col("_busy"), F.date_trunc("second", ts))
+    slot = F.struct(F.col("_number").alias("number"), second.alias("second"))
+    return rows.withColumn("_minute", minute).join(numbered, [user, "_minute"]).withColumn("_slot", slot).drop("_minute", "_number", "_busy")
 
 
-def path_steps(df: DataFrame, user: str, step: str, ts: str, tie: list[str], hot: DataFrame) -> DataFrame:
+def path_steps(df: DataFrame, user: str, step: str, ts: str, tie: list[str], slot_rows: int = SLOT_ROWS) -> DataFrame:
     """``user, position, step`` after repeated neighbours are removed; order is event time, then ``tie``."""
     rows = df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()).select(user, step, ts, *tie)
-    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), user, "left")  # fewer than HOT_USERS rows
     slot = [user, "_slot"]
     within = W.partitionBy(*slot).orderBy(ts, *tie)
     kept = (
-        marked.withColumn("_slot", F.when(F.col("_hot"), F.date_trunc("hour", ts)))
+        time_slots(rows, user, ts, slot_rows)
         .withColumn("_before", F.lag(step).over(within))
         .filter(F.col("_before").isNull() | (F.col("_before") != F.col(step)))
         .withColumn("_n", F.row_number().over(within))
         .select(*slot, "_n", step)
     )
-    hours = kept.filter(F.col("_slot").isNotNull()).groupBy(*slot).agg(
+    slots = kept.groupBy(*slot).agg(
         F.max("_n").alias("_size"), F.min_by(step, "_n").alias("_first"), F.max_by(step, "_n").alias("_last")
     )
     in_time = W.partitionBy(user).orderBy("_slot")
     repeats = F.coalesce(F.lag("_last").over(in_time) == F.col("_first"), F.lit(False)).cast("int")
     sizes_before = F.sum(F.col("_size") - F.col("_repeats")).over(in_time.rowsBetween(W.unboundedPreceding, -1))
-    joints = hours.withColumn("_repeats", repeats).withColumn("_offset", F.coalesce(sizes_before, F.lit(0)))
-    dropped = F.coalesce("_repeats", F.lit(0))
+    joints = slots.withColumn("_repeats", repeats).withColumn("_offset", F.coalesce(sizes_before, F.lit(0)))
     return (
-        kept.join(joints.select(*slot, "_repeats", "_offset"), slot, "left")
-        .filter(F.col("_n") > dropped)
-        .select(user, (F.coalesce("_offset", F.lit(0)) + F.col("_n") - dropped).alias("position"), step)
+        kept.join(joints.select(*slot, "_repeats", "_offset"), slot)
+        .filter(F.col("_n") > F.col("_repeats"))
+        .select(user, (F.col("_offset") + F.col("_n") - F.col("_repeats")).alias("position"), step)
     )
 
 
@@ -69,16 +74,15 @@ def path_patterns(
     tie: list[str],
     k: int = 5,
     min_steps: int = 2,
-    hot_rows: int = HOT_ROWS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """The ``k`` paths walked by most users: ``path, steps, users, first_user``.
 
     Equal numbers of users go by fewer steps, then by the smallest user. ``first_user`` is the smallest user of the
     path; its rows are read again to write the path out.
     """
-    hot = hot_users(df, user, hot_rows)
-    sums = [F.bit_xor(F.xxhash64("position", step, F.lit(n))).alias(f"_sum{n}") for n in (0, 1)]
-    walked = path_steps(df, user, step, ts, tie, hot).groupBy(user).agg(F.count(F.lit(1)).alias("steps"), *sums)
+    sums = [F.bit_xor(F.xxhash64(F.lit(n), "position", step)).alias(f"_sum{n}") for n in (0, 1)]
+    walked = path_steps(df, user, step, ts, tie, slot_rows).groupBy(user).agg(F.count(F.lit(1)).alias("steps"), *sums)
     patterns = (
         walked.filter(F.col("steps") >= min_steps)
         .groupBy("steps", "_sum0", "_sum1")
@@ -87,7 +91,7 @@ def path_patterns(
     top = patterns.orderBy(F.desc("users"), F.asc("steps"), F.asc("first_user")).limit(k)
     shown = top.select("steps", "users", "first_user")
     walkers = df.join(F.broadcast(shown.select(F.col("first_user").alias(user))), user, "left_semi")  # k rows
-    texts = path_texts(path_steps(walkers, user, step, ts, tie, hot), user, step)
+    texts = path_texts(path_steps(walkers, user, step, ts, tie, slot_rows), user, step)
     return shown.join(texts.withColumnRenamed(user, "first_user"), "first_user").select(
         "path", "steps", "users", "first_user"
     )

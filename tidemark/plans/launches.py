@@ -143,7 +143,7 @@ def launch_monitor(
 
 
 def launch_calendar(products: DataFrame, history: DataFrame, orders: DataFrame, days: int = 30) -> DataFrame:
-    """Launches per online date with their payments in the first ``days`` days."""
+    """Launches per online date with their payments in the first ``days`` days, in order of dates."""
     found = launches(products, history)
     paid = payments_after(orders, found, days)
     return (
@@ -161,4 +161,5 @@ def launch_calendar(products: DataFrame, history: DataFrame, orders: DataFrame,
             F.month("online_date").alias("month"),
             F.day("online_date").alias("day"),
         )
+        .orderBy("online_date")
     )

@@ -64,4 +64,5 @@ def daily_report(gmv: DataFrame, products: DataFrame, k: int = 5, ids: str = "to
             ).alias("similarity_rate"),
             percent_text(growth).alias("dod_rate"),
         )
+        .orderBy("ds")
     )

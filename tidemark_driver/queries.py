@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,10 +117,8 @@ def region_login(spark, sf):
 @query
 def region_province(spark, sf):
     place = F.col("region")
-    rows = i.user_logs(spark, sf).select(
-        region.in_china(place).alias("in_china"), region.province(place).alias("province"), "region"
-    )
-    return rows.groupBy("region", "in_china", "province").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = i.user_logs(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.select("region", region.in_china(place).alias("in_china"), region.province(place).alias("province"), "cnt")
 
 
 @query
@@ -392,11 +389,10 @@ def membership_check(spark, sf):
 
 @query
 def text_valid(spark, sf):
-    parts = F.explode(F.split("text", r"\s+")).alias("word")
-    rows = i.table(spark, sf, "documents").select("doc_id", parts).filter(F.col("word") != "")
-    return rows.groupBy("doc_id").agg(
-        F.count(F.when(text.valid_text(F.col("word")), 1)).alias("valid"), F.count(F.lit(1)).alias("words")
-    )
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    rows = i.table(spark, sf, "documents").select("doc_id", words.alias("words")).filter(F.size("words") > 0)
+    valid = F.size(F.filter("words", lambda w: text.valid_text(w))).cast("long")
+    return rows.select("doc_id", valid.alias("valid"), F.size("words").cast("long").alias("words"))
 
 
 def _customer_rows(spark, sf):
@@ -548,8 +544,6 @@ def _event_stream(spark, sf):
 
 def _run(spark, name, start):
     """Work off the events as a stream and return the folder of its result table."""
-    if spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     folder = tables.shared_folder(spark, name)
     start(f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
     return f"{folder}/table"
