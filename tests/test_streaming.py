@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def test_cumulative_sales_stream_equals_batch_up_to_the_last_closed_window(spark
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
     reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 minutes", zone=zone).awaitTermination()
-    got = reports.cumulative_sales_view(spark, f"{folder}/t", "10 minutes", zone)
+    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "10 minutes", zone)
     last = got.agg(F.max("window_end")).first()[0]
     batch = sales.cumulative_sales(feed.table(), "10 minutes", zone=zone)
     assert rows(got) == rows(batch.filter(F.col("window_end") <= last))
@@ -84,20 +85,33 @@ def test_gmv_stream_equals_batch(spark, folder):
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
     reports.stream_gmv(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
-    got = reports.gmv_view(spark, f"{folder}/t")
+    got = reports.gmv_view(spark, f"{folder}/t", f"{folder}/c")
     last = got.agg(F.max("window_end")).first()[0]
     assert got.count() > 200
     assert rows(got) == rows(sales.gmv_topn(feed.table()).filter(F.col("window_end") <= last))
 
 
-def test_top5_stream_equals_batch_for_closed_windows(spark, folder):
+@pytest.mark.parametrize("zone, window", [("UTC", "1 hour"), ("Asia/Shanghai", "1 day"), ("Asia/Kathmandu", "4 hours"), ("America/New_York", "12 hours")])
+def test_top5_stream_equals_batch_for_closed_windows(spark, folder, zone, window):
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
-    reports.stream_tumble_top5(feed.stream(), f"{folder}/t", f"{folder}/c", "1 hour", key="product_id").awaitTermination()
-    got = tables.append_view(spark, f"{folder}/t")
+    reports.stream_tumble_top5(feed.stream(), f"{folder}/t", f"{folder}/c", window, key="product_id", zone=zone).awaitTermination()
+    got = reports.tumble_top5_view(spark, f"{folder}/t", f"{folder}/c", window, key="product_id", zone=zone)
     mark = order_rows()[-1][4] - dt.timedelta(seconds=5)
-    batch = sales.tumble_top5(feed.table(), "1 hour", key="product_id")
-    assert rows(got) == rows(batch.filter(F.col("window_end") <= F.lit(mark).cast("timestamp_ntz")))
+    local = mark.replace(tzinfo=dt.timezone.utc).astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+    batch = sales.tumble_top5(feed.table(), window, key="product_id", zone=zone)
+    assert rows(got) == rows(batch.filter(F.col("window_end") <= F.lit(local).cast("timestamp_ntz")))
+
+
+def test_windows_without_sales_close_with_the_watermark(spark, folder):
+    feed = Feed(spark, folder, ORDERS)
+    first = order_rows()[0]
+    day = first[4].replace(hour=0, minute=0, second=0, microsecond=0)
+    for hour, minute in ((10, 10), (13, 0)):
+        feed.add([(*first[:4], day + dt.timedelta(hours=hour, minutes=minute), *first[5:])])
+    reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "1 hour").awaitTermination()
+    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "1 hour").collect()
+    assert sorted(r["window_end"].hour for r in got) == [11, 12]
 
 
 def test_restart_goes_on_where_it_stopped(spark, folder):
@@ -106,7 +120,7 @@ def test_restart_goes_on_where_it_stopped(spark, folder):
     for n in range(4):
         feed.add(data[n * 60 : (n + 1) * 60])
         reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 minutes").awaitTermination()
-    got = reports.cumulative_sales_view(spark, f"{folder}/t", "10 minutes")
+    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "10 minutes")
     last = got.agg(F.max("window_end")).first()[0]
     assert rows(got) == rows(sales.cumulative_sales(feed.table(), "10 minutes").filter(F.col("window_end") <= last))
 

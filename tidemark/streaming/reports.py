@@ -21,7 +21,7 @@ from tidemark.functions.clock import parse_clock, seconds_of, wall_clock
 from tidemark.functions.text import clean_id, present
 from tidemark.operators.cumulate import DAY, STEP, best, with_step
 from tidemark.operators.merging import ranked_snapshot, stamped
-from tidemark.operators.ranking import rank_list
+from tidemark.operators.ranking import rank_list, tumble_sums
 from tidemark.plans import logs as log_plans
 from tidemark.plans.profile import user_profile
 from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
@@ -31,6 +31,7 @@ from tidemark.streaming.tables import (
     aggregate_view,
     append_view,
     batch_sink,
+    closed_until,
     read_batch,
     read_batches,
     start,
@@ -59,10 +60,6 @@ def _steps(closed: DataFrame, step: str, sums: Sequence[str], keys: Sequence[str
     return placed.groupBy(DAY, STEP, *keys).agg(*(F.sum(c).alias(c) for c in sums))
 
 
-def _closed_until(closed: DataFrame, zone: str | None) -> Column:
-    return closed.agg(F.max(wall_clock(F.col("window_end"), zone))).scalar()
-
-
 def _slice(stream: DataFrame, step: str, zone: str | None) -> str:
     """Window length that divides the step and starts at local midnight too, though windows count from UTC."""
     zone = zone or stream.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -88,11 +85,13 @@ def stream_cumulative_sales(
     return start(closed, batch_sink(path), checkpoint, every=every)
 
 
-def cumulative_sales_view(spark: SparkSession, path: str, step: str = "10 seconds", zone: str | None = None) -> DataFrame:
-    """Cumulative sales up to the last closed window."""
+def cumulative_sales_view(
+    spark: SparkSession, path: str, checkpoint: str, step: str = "10 seconds", zone: str | None = None
+) -> DataFrame:
+    """Cumulative sales of the windows that the stream's watermark has passed, with sales in their last step or not."""
     closed = append_view(spark, path)
     result = cumulative_from_steps(_steps(closed, step, ["total_cumulative_amount"], [], zone), step)
-    return result.filter(F.col("window_end") <= _closed_until(closed, zone))
+    return result.filter(F.col("window_end") <= wall_clock(closed_until(spark, checkpoint), zone))
 
 
 def stream_gmv(
@@ -112,13 +111,13 @@ def stream_gmv(
 
 
 def gmv_view(
-    spark: SparkSession, path: str, step: str = "10 minutes", k: int = 5, zone: str | None = None
+    spark: SparkSession, path: str, checkpoint: str, step: str = "10 minutes", k: int = 5, zone: str | None = None
 ) -> DataFrame:
-    """The intraday report up to the last closed window."""
+    """The intraday report of the windows that the stream's watermark has passed."""
     closed = append_view(spark, path)
     steps = report_money(_steps(closed, step, ["product_gmv"], ["clean_product_id"], zone))
     result = gmv_topn_from_steps(steps, step, k)
-    return result.filter(parse_clock(F.col("window_end")) <= _closed_until(closed, zone))
+    return result.filter(parse_clock(F.col("window_end")) <= wall_clock(closed_until(spark, checkpoint), zone))
 
 
 def stream_tumble_top5(
@@ -126,23 +125,31 @@ def stream_tumble_top5(
     path: str,
     checkpoint: str,
     window: str = "5 minutes",
-    k: int = 5,
     ts: str = "ts",
     key: str = "id",
     zone: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Rank each window's ids in the batch that closes it: all its sums arrive together."""
+    """Keep the sums per id behind ``tumble_top5`` in a table, per slice of a window."""
     rows = orders.filter(present(F.col("sale_num")) & present(F.col(key)))
-    closed = closed_windows(rows, window, {"total": F.col("sale_num").try_cast("int")}, [key], ts)
+    closed = closed_windows(rows, _slice(orders, window, zone), {"total": F.col("sale_num").try_cast("int")}, [key], ts)
+    return start(closed, batch_sink(path), checkpoint, every=every)
 
-    def rank(batch: DataFrame) -> DataFrame:
-        bounds = ["window_start", "window_end"]
-        local = batch.withColumns({c: wall_clock(F.col(c), zone) for c in bounds})
-        top = rank_list(best(local, bounds, "total", key, k), bounds, key, k)
-        return top.withColumnRenamed("top_list", f"top{k}_ids")
 
-    return start(closed, batch_sink(path, rank), checkpoint, every=every)
+def tumble_top5_view(
+    spark: SparkSession,
+    path: str,
+    checkpoint: str,
+    window: str = "5 minutes",
+    k: int = 5,
+    key: str = "id",
+    zone: str | None = None,
+) -> DataFrame:
+    """The ids with most pieces per window of wall-clock time, for windows that the stream's watermark has passed."""
+    bounds = ["window_start", "window_end"]
+    sums = tumble_sums(append_view(spark, path), "window_start", window, key, F.col("total"), zone)
+    closed = sums.filter(F.col("window_end") <= wall_clock(closed_until(spark, checkpoint), zone))
+    return rank_list(best(closed, bounds, "total", key, k), bounds, key, k).withColumnRenamed("top_list", f"top{k}_ids")
 
 
 def stream_page_pv(

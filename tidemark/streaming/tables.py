@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,6 +63,20 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def closed_until(spark: SparkSession, checkpoint: str) -> Column:
+    """The instant up to which a stream has handed over its windows: the watermark of its last finished batch.
+
+    Read from the stream's own checkpoint, where each batch's watermark is kept. NULL before the first batch has finished.
+    """
+    number = F.col("_metadata.file_name").cast("string")
+    begun = spark.read.text(f"{checkpoint}/offsets").select(
+        number.alias("batch"), F.get_json_object("value", "$.batchWatermarkMs").cast("bigint").alias("mark")
+    )
+    finished = spark.read.text(f"{checkpoint}/commits").select(number.alias("batch")).distinct()
+    marks = begun.filter("mark IS NOT NULL").join(finished, "batch")
+    return marks.agg(F.timestamp_millis(F.max("mark"))).scalar()
+
+
 def append_view(spark: SparkSession, path: str) -> DataFrame:
     """Every stored row."""
     return read_batches(spark, path).drop(BATCH)

@@ -341,12 +341,14 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY orders.o_orderdate DE
 CLOSED = ORDER_LINES.replace("order_lines AS", "all_lines AS") + """,
 mark AS (SELECT MAX(ts) - INTERVAL 5 SECOND AS mark FROM all_lines),
 order_lines AS (SELECT all_lines.* FROM all_lines, mark WHERE CAST(day AS TIMESTAMP) + to_seconds((sec // {step} + 1) * {step}) <= mark)"""
-_UNTIL = """ WHERE CAST(g.day AS TIMESTAMP) + to_seconds((g.step + 1) * 600) <=
-  (SELECT MAX(CAST(day AS TIMESTAMP) + to_seconds((sec // 600 + 1) * 600)) FROM order_lines)"""
+_UNTIL = " WHERE CAST(g.day AS TIMESTAMP) + to_seconds((g.step + 1) * 600) <= (SELECT mark FROM mark)"
 SQL["stream_cumulative_sales"] = _cumulative(600, CLOSED.format(step=600), _UNTIL)
 SQL["stream_gmv_topn"] = f"""WITH {CLOSED.format(step=600)}, {GMV} SELECT * FROM gmv
-WHERE window_end <= (SELECT strftime(MAX(CAST(day AS TIMESTAMP) + to_seconds((sec // 600 + 1) * 600)), {CLOCK}) FROM order_lines)"""
+WHERE window_end <= (SELECT strftime(mark, {CLOCK}) FROM mark)"""
 SQL["stream_tumble_top5"] = SQL["tumble_top5"].replace(ORDER_LINES, CLOSED.format(step=300))
+SQL["stream_tumble_top5_zone"] = _tumble("id", 43200).replace(
+    ORDER_LINES, CLOSED.format(step=43200).replace("FROM events", "FROM (SELECT * REPLACE (ts + INTERVAL 8 HOUR AS ts) FROM events)")
+)
 SQL["stream_page_pv"] = SQL["page_pv"]
 SQL["stream_region_login"] = SQL["region_login"]
 SQL["stream_device_stats"] = SQL["device_stats"]
