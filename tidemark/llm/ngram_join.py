@@ -7,7 +7,8 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
   fragments. So every set is filed under a key per fragment (a hash of the n-grams in it), with a number of fragments that
   depends on its class of sizes, and again with the number of the class below if a partner may lie there. The rare sets with
   too few fragments in use are also filed under their first n-grams in the global order, of which two similar sets share one.
-  Each document whose fragments share fewer keys with others than a similar set must is left out before the comparison.
+  A document that has fewer keys in common with others than with any similar set is left out, and of its keys only the rarest
+  are compared, as many as a shared one must be among: keys of passages in very many documents rarely are.
 - Partial overlaps. The sets of candidates are cut into ``PARTS`` fragments; overlaps are counted per pair and fragment by
   joins and summed per pair. Memory follows a fragment, not a set.
 - Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, so a
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm import bloom
 from tidemark.llm.common import keep, stored, table
@@ -138,19 +140,23 @@ def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
             for first, texts in chunks(batch.column(1)):
                 doc, grams = sets_of(texts, n)
                 start, sizes, node = _nodes(doc, grams, len(texts))
-                groups, owner = [], []
+                groups, owner, slot = [], [], []
                 for n_, (s, size) in enumerate(zip(start.tolist(), sizes.tolist())):
                     own = keys_of(grams[s : s + size], percent) if size else []
                     groups += own
                     owner += [n_] * len(own)
+                    slot += range(len(own))
                 flat = _signed(np.concatenate([np.zeros(0, dtype=np.uint64), *(keys for keys, _ in groups)]))
                 group = np.repeat(np.arange(len(groups)), [len(keys) for keys, _ in groups])
-                owner = np.array(owner, dtype=np.int64)
+                owner, slot, limit = (np.array(x, dtype=np.int64) for x in (owner, slot, [0] * len(groups)))
                 if filter_ is not None:
                     ok = bloom.passes(filter_.value, flat)
                     enough = np.bincount(group[ok], minlength=len(groups)) >= np.array([need for _, need in groups], dtype=np.int64)
                     ok &= enough[group] if len(group) else ok
                     flat, group = flat[ok], group[ok]
+                left = np.bincount(group, minlength=len(groups))
+                needs = np.array([need for _, need in groups], dtype=np.int64)
+                limit = np.where(needs > 0, left - needs + 1, left)
                 lengths = np.bincount(owner[group] if len(group) else group, minlength=len(texts))
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -159,11 +165,25 @@ def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(node, pa.int64(), mask=sizes == 0),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(slot[group], pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(limit[group], pa.int32())),
                     ],
-                    ["doc_id", "n_shingles", "node", "keys"],
+                    ["doc_id", "n_shingles", "node", "keys", "sets", "limits"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>, sets array<int>, limits array<int>")
+
+
+def _rarest(filed: DataFrame) -> DataFrame:
+    """(key, node): of each set of keys the rarest, so many that two similar documents still share one of them.
+
+    Of the keys of a set at least ``need`` are shared with every similar document. In one order of all keys, here by frequency,
+    both have a shared key among all but the last ``need`` - 1 of theirs. Keys of a common passage come last.
+    """
+    frequency = filed.groupBy("key").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("node", "set").orderBy("df", "key"))
+    ranked = filed.join(frequency, "key").withColumn("place", place)
+    return ranked.filter((F.col("place") <= F.col("limit")) & (F.col("df") > 1)).select("key", "node").distinct()
 
 
 def _parts(docs: DataFrame, n: int, filter_) -> DataFrame:
@@ -211,8 +231,9 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(filed: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links between nodes, enough to connect every two similar ones; ``filed``: distinct (key, node)."""
+    """Links between nodes, enough to connect every two similar ones; ``filed``: distinct (key, node, set, limit)."""
     context = docs.sparkSession.sparkContext
+    filed = _rarest(filed)
     ends = filed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     filed = stored(filed.join(ends.select("key"), "key"), "keys")
     chosen = context.broadcast(bloom.of_keys(filed.select("node").distinct(), "node"))
@@ -253,7 +274,8 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, doc_id: str = "doc
     twice = _filed(docs, n, percent).select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
     shared = context.broadcast(bloom.of_keys(twice, "key"))
     rows = keep(_filed(docs, n, percent, shared))
-    filed = rows.select(F.explode("keys").alias("key"), "node").distinct()
+    each = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("sets").alias("set"), F.col("limits").alias("limit"))).alias("k")
+    filed = rows.select("node", each).select(F.col("k.key").alias("key"), "node", F.col("k.set").alias("set"), F.col("k.limit").alias("limit")).distinct()
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     root = components(_links(filed, docs, n, percent))
     rooted = keep(nodes.join(root, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
