@@ -13,7 +13,8 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
   joins and summed per pair. Memory follows a fragment, not a set.
 - Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, so a
   group of g near copies costs g pairs; linked nodes form components, and only nodes that share a key but no component yet
-  are compared further, first with another centre and finally each with each. No pair that could join components is left out.
+  are compared further, with other centres and finally each with each, unless their sizes or the common bits of two short bit
+  sketches already rule them out. No pair that could join components is left out.
 
 The keys that more than one row has pass through a Bloom filter of fixed size, and so do the nodes whose sets are needed: a
 false positive costs time and changes nothing. Equal 64-bit hashes count as equal n-grams.
@@ -43,7 +44,8 @@ N, PERCENT, PARTS = 4, 85, 8
 #: Sizes in one class differ by less than this factor.
 CLASS = 1.6
 #: Rounds with one centre per key before pairs are compared each with each.
-CENTRES = 2
+CENTRES = 4
+SKETCH_BITS = 1024
 #: Partners of a centre that are compared in one task.
 PER_SALT = 1000
 #: Nodes that a task remembers to have given, so that copies are sent once.
@@ -132,6 +134,24 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _sketch(grams: np.ndarray) -> np.ndarray:
+    """A bit for every n-gram, as longs."""
+    bits = np.zeros(SKETCH_BITS, dtype=np.uint8)
+    bits[(grams % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _may_be_similar(percent: int):
+    """No two similar sets fail this: an overlap is at most the common bits, and the n-grams of one set that share a bit."""
+
+    def ones(longs):
+        return F.aggregate(longs, F.lit(0).cast("long"), lambda total, x: total + F.bit_count(x))
+
+    common = ones(F.zip_with("sketch_x", "sketch_y", lambda a, b: a.bitwiseAND(b)))
+    shared = F.least(F.col("size_x") - ones(F.col("sketch_x")), F.col("size_y") - ones(F.col("sketch_y")))
+    return (100 + percent) * (common + shared) >= percent * (F.col("size_x") + F.col("size_y"))
+
+
 def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
     """doc_id, size, node and the keys of every row, of these only what passes the filter."""
 
@@ -167,11 +187,12 @@ def _filed(docs: DataFrame, n: int, percent: int, filter_=None) -> DataFrame:
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(slot[group], pa.int32())),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(limit[group], pa.int32())),
+                        pa.array([_sketch(grams[s : s + n_]) if used else None for s, n_, used in zip(start, sizes, lengths)], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "node", "keys", "sets", "limits"],
+                    ["doc_id", "n_shingles", "node", "keys", "sets", "limits", "sketch"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>, sets array<int>, limits array<int>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>, sets array<int>, limits array<int>, sketch array<long>")
 
 
 def _rarest(filed: DataFrame) -> DataFrame:
@@ -230,7 +251,7 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.filter(100 * F.col("o") >= percent * (F.col("sizes") - F.col("o"))).select("u", "v")
 
 
-def _links(filed: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _links(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Links between nodes, enough to connect every two similar ones; ``filed``: distinct (key, node, set, limit)."""
     context = docs.sparkSession.sparkContext
     filed = _rarest(filed)
@@ -249,13 +270,16 @@ def _links(filed: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame
             now = filed.withColumn("root", F.col("node"))
         now = keep(now)
         if turn < CENTRES:
-            # the centre: least hash in turn, another one each time
-            pick = F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn)))
+            # at first the same centre for the keys of a group, then another one for every key and turn
+            by = [F.col("node"), F.lit(turn)] + ([F.col("key")] if turn else [])
+            pick = F.min_by(F.struct("node", "root"), F.xxhash64(*by))
             centre = now.groupBy("key").agg(pick.alias("c"))
             other = now.join(centre, "key").select(F.col("c.node").alias("x"), F.col("c.root").alias("rx"), F.col("node").alias("y"), F.col("root").alias("ry"))
         else:
-            left = now.select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-            other = left.join(now.select("key", F.col("node").alias("y"), F.col("root").alias("ry")), "key").filter("x < y")
+            known = now.join(sketches, "node").select("key", "node", "root", "size", "sketch")
+            left, right = (known.select("key", *(F.col(c).alias(a) for c, a in zip(("node", "root", "size", "sketch"), names))) for names in (("x", "rx", "size_x", "sketch_x"), ("y", "ry", "size_y", "sketch_y")))
+            near = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
+            other = left.join(right, "key").filter(near & _may_be_similar(percent))
         pairs = other.filter("rx != ry").groupBy(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).agg(F.min("x").alias("centre"))
         if done is not None:
             pairs = pairs.join(done, ["u", "v"], "left_anti")
@@ -277,7 +301,8 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, doc_id: str = "doc
     each = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("sets").alias("set"), F.col("limits").alias("limit"))).alias("k")
     filed = rows.select("node", each).select(F.col("k.key").alias("key"), "node", F.col("k.set").alias("set"), F.col("k.limit").alias("limit")).distinct()
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    root = components(_links(filed, docs, n, percent))
+    sketches = rows.filter("sketch is not null").select("node", F.col("n_shingles").alias("size"), "sketch").dropDuplicates(["node"])
+    root = components(_links(filed, sketches, docs, n, percent))
     rooted = keep(nodes.join(root, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("node", "component_id")
