@@ -251,6 +251,25 @@ def test_pipeline(spark, tables):
         assert stage(spark, empty, None).count() == 0
 
 
+def five_word_similarity(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def test_pipeline_drops_near_copies_of_five_words(spark):
+    rows, gone = [], set()
+    for n, (size, extra) in enumerate([(84, 19), (84, 20), (84, 21), (44, 10), (44, 11), (404, 100), (404, 101)]):
+        text = prose(300 + n, size)
+        grown = text + " " + " ".join(f"more{n}x{k}" for k in range(extra))
+        block = text.split()
+        block[20 : 20 + max(1, size // 9 - 5)] = [f"other{n}x{k}" for k in range(max(1, size // 9 - 5))]
+        rows += [(10 * n, text), (10 * n + 1, grown), (10 * n + 2, " ".join(block))]
+        gone |= {10 * n + k for k in (1, 2) if five_word_similarity(text, rows[3 * n + k][1]) >= 0.8}
+    assert {1, 11, 31, 51} <= gone and not {21, 41, 61} & gone  # just above and just below
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, documents(spark, rows), None).collect()}
+    assert kept == {i for i, _ in rows} - gone
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as driver
 
