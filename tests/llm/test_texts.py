@@ -134,6 +134,35 @@ def test_language_model_base_and_gain(spark, tables):
     assert scoring.score(df.filter("false"), F.lit(True)).count() == 0
 
 
+def test_filter_grows_with_the_corpus_and_knows_single_pairs(spark):
+    for size in (20, 200_000):
+        words = [f"w{n}x" for n in range(size)]
+        texts = spark.createDataFrame([(" ".join(words[n : n + 1000]),) for n in range(0, size, 1000)], "text string")
+        parts, load = scoring.build_filter(texts, scoring.count_words(texts), size)
+        ends = -(-size // 1000)
+        assert load.entries == size + int(scoring.level(ends)) + size  # every word and pair once, the end as often as there are texts
+        assert load.bits < 60 * load.entries + 256 * 64 and load.false_rate < 1.2 * scoring.FALSE_RATE
+    held = {r["bucket"]: scoring.LogBloom(scoring.np.frombuffer(r["bits"], dtype="uint8"), 1) for r in parts.collect()}
+    bucket, key = scoring.split(scoring.mix(scoring.np.arange(100_000).astype("uint64")), scoring.buckets_for(size))
+    false = sum(int((held[b].levels_of(scoring.np.zeros((bucket == b).sum(), dtype=int), key[bucket == b]) > 0).sum()) for b in held)
+    assert false < 1500  # of 100,000 that are not in it
+
+
+def test_scores_are_those_of_the_counts(spark):
+    rows = [(n, prose(n, 200)) for n in range(30)]
+    tokens = [[*t.split(), None] for _, t in rows]
+    alone, both = Counter(w for t in tokens for w in t), Counter(p for t in tokens for p in zip(t, t[1:]))
+    total, mean = sum(alone.values()), scoring.expected()
+    seen = lambda count: float(mean[scoring.level(count)]) if count else 0.0
+    got = {r["doc_id"]: r["score"] for r in scoring.score(documents(spark, rows), F.lit(True)).collect()}
+    for (i, _), t in zip(rows, tokens):
+        word = [min((seen(alone[w]) + 1) / (total + len(alone) + 1), 1) for w in t]
+        after = [0.0] + [min(seen(both[p]) / seen(alone[p[0]]), 1) for p in zip(t, t[1:])]
+        sums = [sum(math.log10((1 - x) * a + x * b) for a, b in zip(word, after)) for x in scoring.WEIGHTS]
+        want = max(sums) + math.log10(sum(10 ** (x - max(sums)) for x in sums) / len(sums))
+        assert abs(got[i] - want) < 0.01 * abs(want)
+
+
 def test_filter_levels_are_never_too_low():
     import numpy as np
 

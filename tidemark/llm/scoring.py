@@ -1,10 +1,14 @@
 """Operator 3: language-model scores from a log-frequency Bloom filter.
 
-``count_words`` counts all tokens of the training texts exactly. ``build_filter`` puts every word and every pair of neighbours seen
-``PAIR_MIN`` times or more into a Bloom filter under their quantised count: a count of level q is stored as q entries (n-gram, 1)
-to (n-gram, q), levels growing with the logarithm of the count. Workers get the filter by broadcast and read a level by probing
-1, 2, ... until an entry is missing. The filter has ``BITS`` bits whatever the corpus; its load and share of false entries are
-returned, and ``BITS`` is to be raised with the corpus. Unseen n-grams may be taken for rare ones, never seen ones for unseen.
+``count_words`` counts all tokens of the training texts exactly. ``build_filter`` puts every word and every pair of neighbours
+into a Bloom filter under their quantised count: a count of level q is stored as q entries (n-gram, 1) to (n-gram, q), levels
+growing with the logarithm of the count. A level is read by probing 1, 2, ... until an entry is missing. Unseen n-grams may be
+taken for rare ones, never seen ones for unseen.
+
+The filter grows with the corpus. It is cut into parts by the first bits of the hash, about one for ``PER_BUCKET`` tokens; each
+part counts its entries and takes the bits at which a share of ``FALSE_RATE`` of the missing entries is found. Entries, load and
+share of false entries are returned with it. The parts are a table and no task holds more than one: texts are packed into blobs
+of about a megabyte, the distinct n-grams of a blob go to their parts, and the levels come back to the blob.
 
 A text's probability is a mixture, over ``WEIGHTS``, of interpolations between the smoothed word probability and the probability
 after the word before; the weight that suits a text decides its score.
@@ -20,6 +24,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,10 +39,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import lower_ascii, remainder, stored, table, words_of
 from tidemark.llm.hashing import SEED, chunks, mix, word_hashes
 
-BITS, HASHES = 1 << 28, 3
+#: Share of missing entries that the filter takes for present ones, and its hashes per entry.
+FALSE_RATE, HASHES = 0.01, 3
 #: Base of the logarithm that quantises counts, and highest level.
 QUANTUM, LEVELS = 1.5, 100
-PAIR_MIN = 2
 FREQUENT, FREQUENT_BYTES = 100_000, 64
 WEIGHTS = (0.001, 0.1, 0.5, 0.9)
 #: Tokens gathered in a task before they are counted, and tokens of the corpus per bucket.
@@ -58,6 +63,21 @@ def expected() -> np.ndarray:
     return np.concatenate([[0], (low + np.maximum(low, high)) / 2])
 
 
+@dataclass
+class Load:
+    """Entries of a filter, its bits, the share of them that is set, and the share of missing entries that it takes for present."""
+
+    entries: int
+    bits: int
+    load: float
+    false_rate: float
+
+
+def bits_for(entries: int) -> int:
+    """Bits, in whole bytes, at which so many entries leave ``FALSE_RATE``."""
+    return 8 * max(8, math.ceil(-HASHES * entries / math.log(1 - FALSE_RATE ** (1 / HASHES)) / 8))
+
+
 @dataclass
 class LogBloom:
     """Bits in ``buckets`` equal parts; the first bits of a key choose its part, the next 32 bits its places there."""
@@ -74,10 +94,12 @@ class LogBloom:
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """Level of each n-gram hash by probes that stop at the first missing entry."""
-        bucket, key = split(hashes, self.buckets)
+        return self.levels_of(*split(hashes, self.buckets))
+
+    def levels_of(self, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
         size = len(self.bits) * 8 // self.buckets
-        out = np.zeros(len(hashes), dtype=np.int64)
-        alive = np.arange(len(hashes))
+        out = np.zeros(len(key), dtype=np.int64)
+        alive = np.arange(len(key))
         for q in range(1, LEVELS + 1):
             hit = np.ones(len(alive), dtype=bool)
             for place in self.places(key[alive], q, size):
@@ -135,8 +157,13 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
 
 
-def build_filter(texts: DataFrame, words: DataFrame, n_tokens: int) -> LogBloom:
-    buckets = 1 << max(8, (n_tokens // PER_BUCKET).bit_length())
+def buckets_for(n_tokens: int) -> int:
+    return 1 << max(8, (n_tokens // PER_BUCKET).bit_length())
+
+
+def build_filter(texts: DataFrame, words: DataFrame, n_tokens: int) -> tuple[DataFrame, Load]:
+    """(bucket, bits) of every part that has entries, and the load of all."""
+    buckets = buckets_for(n_tokens)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -167,32 +194,28 @@ def build_filter(texts: DataFrame, words: DataFrame, n_tokens: int) -> LogBloom:
                 yield _batch(rows)
 
     def fill(key, frame: pd.DataFrame) -> pd.DataFrame:
-        size = BITS // buckets
-        bits = np.zeros(size, dtype=bool)
-        entries = 0
-        for pair, rows in frame.groupby("pair"):
+        counted = []
+        for _, rows in frame.groupby("pair"):
             once = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows["once"]])
             more = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows["keys"]])
             counts = np.concatenate([np.ones(len(once), dtype=np.int64), *(np.frombuffer(b, dtype=np.int64) for b in rows["counts"])])
             keys, at = np.unique(np.concatenate([once, more]), return_inverse=True)
-            total = np.bincount(at, weights=counts).astype(np.int64)
-            if pair:
-                keys, total = keys[total >= PAIR_MIN], total[total >= PAIR_MIN]
-            levels = level(np.maximum(total, 1))
+            counted.append((keys, level(np.maximum(np.bincount(at, weights=counts).astype(np.int64), 1))))
+        entries = sum(int(levels.sum()) for _, levels in counted)
+        size = bits_for(entries)
+        bits = np.zeros(size, dtype=bool)
+        for keys, levels in counted:
             for q in range(1, int(levels.max(initial=0)) + 1):
-                now = keys[levels >= q]
-                entries += len(now)
-                for place in LogBloom.places(now, q, size):
+                for place in LogBloom.places(keys[levels >= q], q, size):
                     bits[place] = True
-        return pd.DataFrame({"bucket": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()], "entries": [entries]})
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        return pd.DataFrame({"bucket": [key[0]], "bits": [packed], "entries": [entries], "size": [size], "ones": [int(bits.sum())]})
 
     blobs = texts.select("text").mapInArrow(pairs, BLOBS).unionByName(words.select("word", "count").mapInArrow(single, BLOBS))
-    parts = blobs.groupBy("bucket").applyInPandas(fill, "bucket int, bits binary, entries long")
-    bits = np.zeros(BITS // 8, dtype=np.uint8)
-    size = BITS // 8 // buckets
-    for row in parts.toLocalIterator():  # BITS / 8 bytes in all
-        bits[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return LogBloom(bits, buckets)
+    parts = stored(blobs.groupBy("bucket").applyInPandas(fill, "bucket int, bits binary, entries long, size long, ones long"), "filter")
+    sums = parts.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in ("entries", "size", "ones", F.col("size") * F.pow(F.col("ones") / F.col("size"), F.lit(HASHES))))).first()
+    size = max(1, sums[1])
+    return parts.select("bucket", "bits"), Load(sums[0], sums[1], sums[2] / size, sums[3] / size)
 
 
 def word_list_hashes(words: list[str]) -> np.ndarray:
@@ -203,17 +226,72 @@ def word_list_hashes(words: list[str]) -> np.ndarray:
     return hashes
 
 
-def model_scores(texts: list[bytes], bloom: LogBloom, vocabulary: int, n_tokens: int) -> np.ndarray:
-    """log10 probability of each text."""
-    tokens, first = tokens_of(texts)
-    mean = expected()
+def _pack(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(blob: bytes) -> tuple[list, list, list[bytes]]:
+    """Ids, marks and texts of a blob."""
+    ids, texts, learned = pa.ipc.open_stream(blob).read_all().columns
+    return ids.to_pylist(), learned.to_pylist(), [(t or "").encode() for t in texts.to_pylist()]
+
 
-    def counts(hashes: np.ndarray) -> np.ndarray:
-        distinct, at = np.unique(hashes, return_inverse=True)
-        return mean[bloom.levels(distinct)][at]
+def n_grams(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of all tokens and pairs, ascending, and the place of each token's and each pair's there."""
+    both = pairs_of(tokens)
+    both[first] = tokens[first]  # no pair
+    return np.unique(np.concatenate([tokens, both]), return_inverse=True)
 
-    alone = counts(tokens)
-    both = counts(pairs_of(tokens))
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(chunk, blob): about ``CHUNK_BYTES`` of rows each; ``chunk`` is the number of its first row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for first, texts in chunks(batch.column(1)):
+                blob = _pack(batch.slice(first, len(texts)))
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blob], pa.binary())], ["chunk", "blob"])
+                number += len(texts)
+
+    return stored(docs.select("doc_id", "text", "learned").mapInArrow(run, "chunk long, blob binary"), "texts")
+
+
+def _levels(packed: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
+    """(chunk, bucket, levels): a byte for each distinct n-gram of a blob that belongs to the bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens, first = tokens_of(_unpack(blob.as_py())[2])
+                bucket, key = split(n_grams(tokens, first)[0], buckets)
+                cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(key)]
+                wanted = [key[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                kinds = (pa.int64(), pa.int32(), pa.binary())
+                columns = ([chunk] * len(wanted), bucket[cuts[:-1]].tolist(), wanted)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "bucket", "keys"])
+
+    def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
+        wanted = asked["keys"].to_pylist()
+        keys, at = np.unique(np.frombuffer(b"".join(wanted), dtype=np.uint32), return_inverse=True)
+        found = np.zeros(len(keys), dtype=np.int64)
+        if part.num_rows and len(keys):
+            found = LogBloom(np.frombuffer(part["bits"][0].as_py(), dtype=np.uint8), 1).levels_of(np.zeros(len(keys), dtype=np.int64), keys)
+        ends = np.cumsum([len(w) // 4 for w in wanted], dtype=np.int64).tolist()
+        levels = found[at].astype(np.uint8).tobytes()
+        return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "levels": pa.array([levels[a:b] for a, b in zip([0, *ends], ends)], pa.binary())})
+
+    asked = packed.mapInArrow(ask, "chunk long, bucket int, keys binary")
+    return asked.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket int, levels binary")
+
+
+def model_scores(tokens: np.ndarray, first: np.ndarray, levels: np.ndarray, at: np.ndarray, vocabulary: int, n_tokens: int) -> np.ndarray:
+    """log10 probability of each text, from the levels of the distinct n-grams and the places of tokens and pairs there."""
+    counts = expected()[levels][at]
+    alone, both = counts[: len(tokens)], counts[len(tokens) :]
     both[first] = 0
     before = np.concatenate([[0], alone[:-1]])
     word = np.minimum((alone + 1) / (n_tokens + vocabulary + 1), 1.0)
@@ -233,37 +311,36 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     n_tokens, vocabulary = int(totals["n"]), int(totals["v"])
     denominator = n_tokens + vocabulary + 1
     listed = words.filter(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
-    frequent = spark.sparkContext.broadcast({r["word"].encode(): (r["count"] + 1) / denominator for r in listed})
-    bloom = spark.sparkContext.broadcast(build_filter(texts, words, n_tokens))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, filter_ = frequent.value, bloom.value
-        logs = {w: float(np.log10(p)) for w, p in known.items()}
-        number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            learned = batch.column(2).to_pylist()
-            ids = batch.column(0).to_pylist()
-            for first, chunk in chunks(batch.column(1)):
-                scores = model_scores(chunk, filter_, vocabulary, n_tokens)
-                rows = []
-                for n, body in enumerate(chunk):
-                    counts = Counter(body.lower().split())
-                    counts[END.encode()] += 1
-                    base, seen, rare = 0.0, 0, []
-                    for word, times in counts.items():
-                        log = logs.get(word)
-                        if log is None:
-                            rare.append({"word": word.decode(), "times": times})
-                        else:
-                            base += times * log
-                            seen += times
-                    rows.append((number, ids[first + n], learned[first + n], sum(counts.values()), seen, base, float(scores[n]), rare))
-                    number += 1
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["number", "doc_id", "learned", "n_tokens", "seen", "base", "score", "rare"])
+    frequent = spark.sparkContext.broadcast({r["word"].encode(): math.log10((r["count"] + 1) / denominator) for r in listed})
+    parts, _ = build_filter(texts, words, n_tokens)
+    packed = _packed(docs)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        logs = frequent.value
+        ids, learned, texts = _unpack(left["blob"][0].as_py())
+        tokens, first = tokens_of(texts)
+        answers = sorted(zip(right["bucket"].to_pylist(), right["levels"].to_pylist()))
+        levels = np.frombuffer(b"".join(x for _, x in answers), dtype=np.uint8)
+        scores = model_scores(tokens, first, levels, n_grams(tokens, first)[1], vocabulary, n_tokens)
+        number, rows = left["chunk"][0].as_py(), []
+        for n, body in enumerate(texts):
+            counts = Counter(body.lower().split())
+            counts[END.encode()] += 1
+            base, seen, rare = 0.0, 0, []
+            for word, times in counts.items():
+                log = logs.get(word)
+                if log is None:
+                    rare.append({"word": word.decode(), "times": times})
+                else:
+                    base += times * log
+                    seen += times
+            rows.append((number + n, ids[n], learned[n], sum(counts.values()), seen, base, float(scores[n]), rare))
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())])))
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["number", "doc_id", "learned", "n_tokens", "seen", "base", "score", "rare"])
 
     schema = "number long, doc_id long, learned boolean, n_tokens long, seen long, base double, score double, rare array<struct<word: string, times: long>>"
-    rows = docs.mapInArrow(run, schema)
+    levels = _levels(packed, parts, buckets_for(n_tokens))
+    rows = packed.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(run, schema)
     # one line for the row itself, without a word, and one for each of its rarer words: a single shuffle by word brings the counts
     head = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("times"), F.struct("doc_id", "learned", "n_tokens", "seen", "base", "score").alias("row")))
     tail = F.transform("rare", lambda x: F.struct(x["word"].alias("word"), x["times"].alias("times"), F.lit(None).cast("struct<doc_id: bigint, learned: boolean, n_tokens: bigint, seen: bigint, base: double, score: double>").alias("row")))
