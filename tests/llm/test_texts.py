@@ -163,6 +163,15 @@ def test_scores_are_those_of_the_counts(spark):
         assert abs(got[i] - want) < 0.01 * abs(want)
 
 
+def test_lines_of_rows_are_no_hot_key(spark):
+    rows = spark.range(2000).selectExpr(
+        "id AS number", "id AS doc_id", "true AS learned", "1L AS n_tokens", "1L AS seen", "0D AS base", "0D AS score",
+        "CAST(array() AS array<struct<word: string, times: long>>) AS rare",
+    )
+    sizes = [r["count"] for r in scoring._lines(rows).repartition(20, "word").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 200
+
+
 def test_filter_levels_are_never_too_low():
     import numpy as np
 

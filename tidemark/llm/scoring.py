@@ -301,6 +301,14 @@ def model_scores(tokens: np.ndarray, first: np.ndarray, levels: np.ndarray, at:
     return top + np.log10(np.mean(10.0 ** (sums - top), axis=0))
 
 
+def _lines(rows: DataFrame) -> DataFrame:
+    """One line for the row itself and one for each of its rarer words: a single shuffle by word brings the counts. In place of a
+    word the row's own line has a key that no word equals and no other line has, so these lines are spread like words."""
+    head = F.array(F.struct(F.concat(F.lit(END), F.col("number").cast("string")).alias("word"), F.lit(0).cast("long").alias("times"), F.struct("doc_id", "learned", "n_tokens", "seen", "base", "score").alias("row")))
+    tail = F.transform("rare", lambda x: F.struct(x["word"].alias("word"), x["times"].alias("times"), F.lit(None).cast("struct<doc_id: bigint, learned: boolean, n_tokens: bigint, seen: bigint, base: double, score: double>").alias("row")))
+    return rows.select("number", F.explode(F.concat(head, tail)).alias("x")).select("number", "x.*")
+
+
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, learned (whether the row was learned from), n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
@@ -341,10 +349,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     schema = "number long, doc_id long, learned boolean, n_tokens long, seen long, base double, score double, rare array<struct<word: string, times: long>>"
     levels = _levels(packed, parts, buckets_for(n_tokens))
     rows = packed.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(run, schema)
-    # one line for the row itself, without a word, and one for each of its rarer words: a single shuffle by word brings the counts
-    head = F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("times"), F.struct("doc_id", "learned", "n_tokens", "seen", "base", "score").alias("row")))
-    tail = F.transform("rare", lambda x: F.struct(x["word"].alias("word"), x["times"].alias("times"), F.lit(None).cast("struct<doc_id: bigint, learned: boolean, n_tokens: bigint, seen: bigint, base: double, score: double>").alias("row")))
-    lines = rows.select("number", F.explode(F.concat(head, tail)).alias("x")).select("number", "x.*")
+    lines = _lines(rows)
     counted = lines.join(words, "word", "left")
     found = F.coalesce(F.col("count"), F.lit(0))
     summed = counted.groupBy("number").agg(
