@@ -88,6 +88,23 @@ def test_licence_cosines_are_those_of_brute_force(spark):
             assert got[k] is None
 
 
+def test_licences_in_wrapped_notices_and_paragraphs(spark):
+    apache = "Licensed under the Apache License, Version 2.0"
+    texts = [
+        ("wrapped/x.py", "# This work is licensed under the\n# GNU General Public\n# License, version 3.\n#\n" + prose(1, 60)),
+        ("four/x.py", "/*\n * This Source Code Form is\n * subject to the terms\n * of the Mozilla Public\n * License, v. 2.0.\n */\n" + prose(2, 60)),
+        ("longer/x.py", f"// {apache}; you may not use this file except in compliance with it\n" + prose(3, 60)),
+        ("inside/x.md", f"{prose(4, 12)}. Released under the MIT License. {prose(5, 12)}"),
+        ("named/LICENSE.txt", f"{apache}.\n\n" + prose(6, 300)), ("named/deep/x.py", prose(7, 30)), ("plain/notes.txt", f"{apache}.\n\n" + prose(6, 300)), ("plain/x.py", prose(8, 30)),
+        ("unnamed/licensed_things.txt", f"{apache}.\n\n" + prose(6, 300)), ("unnamed/x.py", prose(9, 30)),
+    ]
+    texts += [(f"filler/{n}", prose(20 + n, 40)) for n in range(20)]
+    got = {r["path"]: (r["licence"], r["found"]) for r in licences.scan(spark.createDataFrame(texts, "path string, text string")).collect()}
+    assert got["wrapped/x.py"] == ("GPL-3.0", "header") and got["four/x.py"] == ("MPL-2.0", "header")
+    assert got["longer/x.py"] == ("Apache-2.0", "header") and got["inside/x.md"] == ("MIT", "header")
+    assert got["named/deep/x.py"] == ("Apache-2.0", "inherited") and got["plain/x.py"] == got["unnamed/x.py"] == (None, "none")
+
+
 def quality_by_hand(text):
     w = SPACE.findall(text or "")
     windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))

@@ -1,12 +1,13 @@
 """Operator 2: licences of files, by sparse TF-IDF cosine to templates and by inheritance from directories. DataFrame operations only.
 
-Every line of a text is a candidate header. ``headers`` compares it with the templates in the space of TF-IDF weights: a term's
-inverse document frequency is counted over all texts, a line's other words weigh as words that no text has. A line can only
+Candidate headers are the lines of a text, up to ``LINES`` lines in a row, and its sentences, which may be wrapped over lines or
+stand inside a paragraph; several lines or a sentence count up to ``WINDOW_CHARS`` characters. ``headers`` compares it with the templates in the space of TF-IDF weights: a term's
+inverse document frequency is counted over all texts, a candidate's other words weigh as words that no text has. It can only
 reach the cosine ``LEAST`` with a template if it holds one of the template's heavier words, as the lighter ones alone are
-shorter than ``LEAST`` of its length; lines without any such word are left out before words are compared, which loses nothing.
+shorter than ``LEAST`` of its length; candidates without any such word are left out before words are compared, which loses nothing.
 
-``scan`` gives each file the licence of its best header. A file that is little more than its header is the licence file of its
-directory. Files without a header inherit from the licence file of the nearest directory above them: each distinct directory
+``scan`` gives each file the licence of its best header. A file that is little more than its header, or has a header and
+a name like LICENSE or COPYING, is the licence file of its directory. Files without a header inherit from the licence file of the nearest directory above them: each distinct directory
 is joined with its ancestors' licences once, then files with their directory.
 
 Defined cases: a null text has no header; a file without a path inherits nothing; of several headers the best wins, of equal ones
@@ -29,6 +30,10 @@ from tidemark.llm.common import fresh, keep, let, table
 LEAST, MAX_TEMPLATES = 0.75, 1000
 #: A file whose header has this share of its words is a licence file of its directory.
 FILE_SHARE = 0.3
+FILE_NAME = r"(?i)(?:^|/)(?:un)?(?:licen[cs]e|copying)(?:[.-][^/]*)?$"
+LINES, WINDOW_CHARS = 3, 1000
+#: Sentences end at a mark before white space, but not after "v.", and at lines without a letter or digit.
+SENTENCE_END = r"(?<!\bv)[.!?;](?=\s)|\n[^\p{L}\p{N}\n]*\n"
 NOT_WORD = r"[^\p{L}\p{N}.]+|\.(?![\p{L}\p{N}])"
 #: Licence and wording of its usual notice: fixed values.
 TEMPLATES = (
@@ -112,8 +117,15 @@ def headers(files: DataFrame, templates=TEMPLATES, text: str = "text", into: str
 
         return let(words(line), with_words)
 
-    lines = F.filter(F.split(F.col(text), "\n"), lambda line: F.rlike(line, F.lit(mark)))
-    best = F.array_min(F.transform(lines, compare))
+    def candidates(lines: Column) -> Column:
+        def rows(k: int) -> Column:
+            return F.filter(F.transform(lines, lambda _, n: F.array_join(F.slice(lines, n + 1, F.lit(k)), " ")), lambda x: F.length(x) <= WINDOW_CHARS)
+
+        sentences = F.filter(F.split(F.col(text), SENTENCE_END), lambda x: F.length(x) <= WINDOW_CHARS)
+        return F.array_distinct(F.concat(lines, *(rows(k) for k in range(2, LINES + 1)), sentences))
+
+    marked = F.filter(let(F.split(F.col(text), "\n"), candidates), lambda x: F.rlike(x, F.lit(mark)))
+    best = F.array_min(F.transform(marked, compare))
     total = F.size(words(F.col(text)))
     header = let(
         best,
@@ -135,7 +147,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", templates=TEM
     found = keep(found)
     h = F.col(header)
     ranked = F.struct((-h["score"]).alias("minus"), F.col(path).alias("path"), h["licence"].alias("licence"))
-    owned = found.filter((h["share"] >= FILE_SHARE) & F.col(path).isNotNull()).groupBy(F.col(where).alias("above")).agg(F.min(ranked).alias("own"))
+    owned = found.filter(((h["share"] >= FILE_SHARE) | h.isNotNull() & F.col(path).rlike(FILE_NAME)) & F.col(path).isNotNull()).groupBy(F.col(where).alias("above")).agg(F.min(ranked).alias("own"))
     # every directory below which there are files, with each directory above it and itself
     steps = F.split(F.col(where), "/")
     above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
