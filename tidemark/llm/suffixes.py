@@ -2,16 +2,16 @@
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: at a smaller id, or earlier in the same text.
 
-- Sampling. A sort of all suffixes of a corpus moves many times its bytes. Only suffixes that can matter are sorted: each window of
+- Sampling. A sort of all suffixes of a corpus moves many times its bytes. Only windows that can matter are grouped: each window of
   ``LENGTH`` bytes is filed under one anchor, its ``GRAM`` bytes of least hash. Equal windows have equal anchors at equal places,
   so a window can only repeat where its anchor does. Anchors seen once are dropped by a Bloom filter of fixed size, whose false
   positives change nothing.
-- Sorting and comparing. The windows of an anchor are one stretch of bytes, kept as its hash, which prefix polynomial hashes
-  give for any range. Spark's sort brings equal stretches together. All but the earliest stretch of a class are repeats as a
+- Grouping and comparing, in place of a suffix sort. The windows of an anchor are one stretch of bytes, kept as its hash, which prefix polynomial hashes
+  give for any range. Equal hashes bring equal stretches together. All but the earliest stretch of a class are repeats as a
   whole. The earliest is compared with the other classes of its anchor by search over shorter extensions: its windows are cut
-  into parts, down to single windows, each part again sorted by hash, until it equals an earlier one or no rival shares the
+  into parts, down to single windows, each part again grouped by hash, until it equals an earlier one or no rival shares the
   bytes that all windows of the part hold. This takes a number of steps logarithmic in the length, not one per window.
-- Collisions. In the first level two independent 64-bit hashes and the place of the anchor must agree. The rivals carry their
+- Collisions. In the first level two independent 64-bit hashes and the place of the anchor must agree; the bytes are not compared. The rivals carry their
   bytes, and from the second level on classes are told apart by MD5 digests of the bytes themselves beside the anchor's hash.
 - What is moved. Only the earliest stretches, and the parts of them that repeat, are listed per text; the last pass finds the
   anchors of a text anew and takes those without an entry for repeats.
