@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, collocations, conversations, language, licences, ngram_join, packing, quality, scoring, suffixes, topk, warc
+from tidemark.llm import bpe, collocations, conversations, language, licences, ngram_join, packing, quality, scoring, substrings, suffixes, topk, warc
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+    "op11_substring_dedup": substrings.op11_substring_dedup,
     "op12_collocations": collocations.op12_collocations,
     "op13_conversation_repair": conversations.op13_conversation_repair,
 }
@@ -22,5 +23,6 @@ QUERIES = {
 SQL = {
     "op6_exact_topk": topk.SQL,
     "op8_warc": warc.SQL,
+    "op11_substring_dedup": substrings.op11_substring_dedup,
     "op12_collocations": collocations.SQL,
 }
