@@ -7,11 +7,12 @@ SON partitioning, two passes over the texts:
   some shard, so the union of the shards' frequent phrases misses none. With many shards the lowered support would be 1 and
   nothing would be left out, so there are few, and a shard is mined by all tasks that hold its documents. Phrases are named by
   64-bit hashes here; a collision adds counts up and can only make a rare phrase a candidate.
+  A row has all names of a chunk that fall into one bucket of names, so few and wide rows are shuffled; buckets are mined apart.
 - Counting. The candidates' names fill a Bloom filter of fixed size. All texts are read again, phrases that pass are counted
   globally as the words themselves, and the exact count decides. A false probe costs a row, a fuller filter more of them; the
   result is the same.
 
-Both passes count inside a chunk of texts and then inside the task before rows are shuffled, so a common phrase is no hot key. Texts above
+Both passes count inside a chunk of texts before rows are shuffled, so a common phrase is no hot key. Texts above
 ``SEGMENT`` bytes are cut at separators, each part with as many words of the next as a phrase may reach into it.
 Scores are exact: decimal(38) holds the products of counts below 10**15.
 
@@ -38,6 +39,10 @@ SUPPORT, LONGEST, TOP, SHARE_PERCENT = 10, 3, 2000, 50
 SHARDS = 5
 #: Bytes of text that are counted together, and the longest part of a text that is held at a time.
 CHUNK, SEGMENT = 4 << 20, 8 << 20
+#: Bytes of text whose phrases are mined by one group of a shard, more or less.
+BUCKET_BYTES = 16 << 20
+#: Bits of the filter, and of the part that one row of Spark's bitmap aggregates holds.
+FILTER_BITS, REGION_BITS = 27, 15
 #: Shares of a language that are ranked apart first.
 SALTS = 64
 UNKNOWN = "und"
@@ -110,7 +115,7 @@ def _names(groups: np.ndarray, words: list[np.ndarray], group_hash: np.ndarray,
     name = mix(group_hash[groups] + np.uint64(len(words)) * SEED)
     for w in words:
         name = mix(name + word_hash[w])
-    return name.view(np.int64)
+    return name
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[list, list]]:
@@ -135,8 +140,8 @@ def _numbered(keys: list) -> tuple[list, np.ndarray]:
     return list(distinct), np.array([distinct[k] for k in keys], dtype=np.int64)
 
 
-def local_counts(docs: DataFrame, longest: int) -> DataFrame:
-    """(shard, name, n) of every phrase of ``docs`` (text, lang, shard), combined per chunk."""
+def local_counts(docs: DataFrame, longest: int, bucket_bits: int) -> DataFrame:
+    """Counts of all phrases of ``docs`` (text, lang, shard), combined per chunk: a row has the names of a bucket, in order, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts, keys in _chunks(batches, longest):
@@ -145,13 +150,66 @@ def local_counts(docs: DataFrame, longest: int) -> DataFrame:
             word_hash = _hashes(words)
             group_hash = _hashes(pa.array([lang.encode() for lang, _ in distinct], pa.binary()))
             shards = np.array([shard for _, shard in distinct], dtype=np.int32)
-            for own, numbers, n in found:
-                yield pa.RecordBatch.from_arrays([pa.array(shards[own]), pa.array(_names(own, numbers, group_hash, word_hash)), pa.array(n)], ["shard", "name", "n"])
-
-    return docs.select("text", "lang", "shard").mapInArrow(run, "shard int, name long, n long")
-
-
-def global_counts(docs: DataFrame, candidates, longest: int) -> DataFrame:
+            name = np.concatenate([_names(own, numbers, group_hash, word_hash) for own, numbers, _ in found])
+            shard = np.concatenate([shards[own] for own, _, _ in found])
+            n = np.concatenate([x[2] for x in found]).astype(np.uint32)
+            for number in np.unique(shard).tolist():
+                own = np.flatnonzero(shard == number)
+                own = own[np.argsort(name[own])]
+                bucket = (name[own] >> np.uint64(1) >> np.uint64(63 - bucket_bits)).astype(np.int64)
+                edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                ends = np.concatenate([edge, [len(own)]])
+                columns = [pa.array(bucket[edge]), pa.array(np.full(len(edge), number, dtype=np.int32)), _packed(name[own], ends), _packed(n[own], ends)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "names", "counts"])
+
+    return docs.select("text", "lang", "shard").mapInArrow(run, "bucket long, shard int, names binary, counts binary")
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = (ends * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def candidates(docs: DataFrame, lowered: dict[int, int], longest: int, bucket_bits: int) -> np.ndarray:
+    """The filter of the names that reach the lowered support of some shard."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        frequent_ = []
+        for number, least in lowered.items():
+            own = rows.filter(pc.equal(rows["shard"], number))
+            if own.num_rows:
+                name = np.frombuffer(b"".join(own["names"].to_pylist()), dtype=np.uint64)
+                n = np.frombuffer(b"".join(own["counts"].to_pylist()), dtype=np.uint32).astype(np.int64)
+                order = np.argsort(name)
+                name = name[order]
+                edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+                frequent_.append(name[edge][np.add.reduceat(n[order], edge) >= least])
+        place = _places(np.unique(np.concatenate(frequent_)))
+        region, which = np.unique(place >> REGION_BITS, return_inverse=True)
+        bits = np.zeros((len(region), 1 << REGION_BITS), dtype=bool)
+        bits[which, place & ((1 << REGION_BITS) - 1)] = True
+        return pa.Table.from_arrays([pa.array(region), pa.array([b.tobytes() for b in np.packbits(bits, axis=1, bitorder="little")], pa.binary())], names=["region", "bits"])
+
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    counted = local_counts(docs, longest, bucket_bits).groupBy("bucket").applyInArrow(run, "region long, bits binary")
+    size = 1 << (REGION_BITS - 3)
+    for row in counted.groupBy("region").agg(F.bitmap_or_agg("bits").alias("bits")).toLocalIterator():  # one row a region
+        out[row["region"] * size : (row["region"] + 1) * size] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
+def _places(name: np.ndarray) -> np.ndarray:
+    """Bits of the filter that stand for names, all in the region of the name's highest bits."""
+    region = (name >> np.uint64(64 - FILTER_BITS + REGION_BITS)).astype(np.int64) << REGION_BITS
+    low = np.uint64((1 << REGION_BITS) - 1)
+    return np.concatenate([region + ((name >> np.uint64(13 * k)) & low).astype(np.int64) for k in range(3)])
+
+
+def _passes(filter_: np.ndarray, name: np.ndarray) -> np.ndarray:
+    return bloom.test(filter_, _places(name)).reshape(3, -1).all(axis=0)
+
+
+def global_counts(docs: DataFrame, filter_, longest: int) -> DataFrame:
     """(lang, size, phrase, n) of the phrases that pass the filter, combined per chunk; size 0 has the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +222,7 @@ def global_counts(docs: DataFrame, candidates, longest: int) -> DataFrame:
             totals = np.bincount(found[0][0], weights=found[0][2], minlength=len(distinct)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([langs, pa.array([0] * len(distinct), pa.int32()), pa.array([""] * len(distinct)), pa.array(totals)], ["lang", "size", "phrase", "n"])
             for size, (own, numbers, n) in enumerate(found, 1):
-                ok = bloom.passes(candidates.value, _names(own, numbers, group_hash, word_hash))
+                ok = _passes(filter_.value, _names(own, numbers, group_hash, word_hash))
                 texts = [words.take(pa.array(w[ok])) for w in numbers]
                 text = texts[0] if size == 1 else pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.binary()))
                 columns = [langs.take(pa.array(own[ok])), pa.array(np.full(int(ok.sum()), size, dtype=np.int32)), text.cast(pa.string()), pa.array(n[ok])]
@@ -177,12 +235,10 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST) ->
     """(lang, size, phrase, n) of all words and phrases of ``docs`` (text, lang, shard) with the support, by SON; size 0 has the words of a language."""
     shares = {r["shard"]: r["n"] for r in docs.groupBy("shard").agg(F.sum(F.octet_length("text") + 1).alias("n")).collect()}  # SHARDS rows
     everything = sum(shares.values())
-    lowered = F.lit(support)
-    for shard, n in shares.items():
-        lowered = F.when(F.col("shard") == shard, -(-support * n // everything)).otherwise(lowered)
-    mined = local_counts(docs, longest).groupBy("shard", "name").agg(F.sum("n").alias("n")).filter(F.col("n") >= lowered)
-    candidates = docs.sparkSession.sparkContext.broadcast(bloom.of_keys(mined, "name"))
-    counted = global_counts(docs, candidates, longest).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    lowered = {shard: -(-support * n // everything) for shard, n in shares.items()}
+    bucket_bits = max(everything // BUCKET_BYTES, 1).bit_length()
+    filter_ = docs.sparkSession.sparkContext.broadcast(candidates(docs, lowered, longest, bucket_bits))
+    counted = global_counts(docs, filter_, longest).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return stored(counted.filter((F.col("n") >= support) | (F.col("size") == 0)), "phrases")
 
 
