@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import logs, profile, sales
 from tidemark.sources import changes, records
-from tidemark.streaming import eventtime, reports, tables
+from tidemark.streaming import eventtime, folders, reports, running, tables
 
 ORDERS = "id string, product_id string, sale_num string, total_amount string, ts timestamp"
 LOGS = "user_id string, log_type string, keywords string, region string, opa string, pageinfo string, brand string, device string, plat string, platv string, softv string, ts timestamp"
@@ -72,7 +72,7 @@ def test_cumulative_sales_stream_equals_batch_up_to_the_last_closed_window(spark
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
     reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 minutes", zone=zone).awaitTermination()
-    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "10 minutes", zone)
+    got = reports.cumulative_sales_view(spark, f"{folder}/t")
     last = got.agg(F.max("window_end")).first()[0]
     batch = sales.cumulative_sales(feed.table(), "10 minutes", zone=zone)
     assert rows(got) == rows(batch.filter(F.col("window_end") <= last))
@@ -85,7 +85,7 @@ def test_gmv_stream_equals_batch(spark, folder):
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
     reports.stream_gmv(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
-    got = reports.gmv_view(spark, f"{folder}/t", f"{folder}/c")
+    got = reports.gmv_view(spark, f"{folder}/t")
     last = got.agg(F.max("window_end")).first()[0]
     assert got.count() > 200
     assert rows(got) == rows(sales.gmv_topn(feed.table()).filter(F.col("window_end") <= last))
@@ -96,7 +96,7 @@ def test_top5_stream_equals_batch_for_closed_windows(spark, folder, zone, window
     feed = Feed(spark, folder, ORDERS)
     fill(feed, order_rows())
     reports.stream_tumble_top5(feed.stream(), f"{folder}/t", f"{folder}/c", window, key="product_id", zone=zone).awaitTermination()
-    got = reports.tumble_top5_view(spark, f"{folder}/t", f"{folder}/c", window, key="product_id", zone=zone)
+    got = reports.tumble_top5_view(spark, f"{folder}/t")
     mark = order_rows()[-1][4] - dt.timedelta(seconds=5)
     local = mark.replace(tzinfo=dt.timezone.utc).astimezone(ZoneInfo(zone)).replace(tzinfo=None)
     batch = sales.tumble_top5(feed.table(), window, key="product_id", zone=zone)
@@ -110,7 +110,7 @@ def test_windows_without_sales_close_with_the_watermark(spark, folder):
     for hour, minute in ((10, 10), (13, 0)):
         feed.add([(*first[:4], day + dt.timedelta(hours=hour, minutes=minute), *first[5:])])
     reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "1 hour").awaitTermination()
-    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "1 hour").collect()
+    got = reports.cumulative_sales_view(spark, f"{folder}/t").collect()
     assert sorted(r["window_end"].hour for r in got) == [11, 12]
 
 
@@ -120,7 +120,7 @@ def test_restart_goes_on_where_it_stopped(spark, folder):
     for n in range(4):
         feed.add(data[n * 60 : (n + 1) * 60])
         reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 minutes").awaitTermination()
-    got = reports.cumulative_sales_view(spark, f"{folder}/t", f"{folder}/c", "10 minutes")
+    got = reports.cumulative_sales_view(spark, f"{folder}/t")
     last = got.agg(F.max("window_end")).first()[0]
     assert rows(got) == rows(sales.cumulative_sales(feed.table(), "10 minutes").filter(F.col("window_end") <= last))
 
@@ -133,7 +133,7 @@ def test_late_rows_count_within_the_watermark_and_are_dropped_beyond(spark, fold
     for part in ([order(1, 5), order(2, 14)], [order(3, 8)], [order(4, 100)], [order(5, 3)], [order(6, 200)]):
         feed.add(part)
         reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 seconds").awaitTermination()
-    closed = {r.window_start.second + 60 * r.window_start.minute: r.total_cumulative_amount for r in tables.append_view(spark, f"{folder}/t").collect()}
+    closed = {10 * r.step: r.total_cumulative_amount for r in tables.append_view(spark, f"{folder}/t/sums").collect()}
     # 3 came 6 seconds late into a window that was still open, 5 after its window had closed
     assert {k: float(v) for k, v in closed.items()} == {0: 2.0, 10: 1.0, 100: 1.0}
 
@@ -257,3 +257,137 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = tables.shared_folder(spark, "x"), tables.shared_folder(spark, "x")
     assert one.startswith(root.rstrip("/")) and one != two
+
+
+STREAMS = {
+    "sales": (lambda o, t, c, z: reports.stream_cumulative_sales(o, t, c, "10 minutes", zone=z), lambda o, z: sales.cumulative_sales(o, "10 minutes", zone=z), ["step"], ["total_cumulative_amount"]),
+    "gmv": (lambda o, t, c, z: reports.stream_gmv(o, t, c, zone=z), lambda o, z: sales.gmv_topn(o, zone=z), ["step", "clean_product_id"], ["product_gmv"]),
+    "top5": (lambda o, t, c, z: reports.stream_tumble_top5(o, t, c, "4 hours", key="product_id", zone=z), lambda o, z: sales.tumble_top5(o, "4 hours", key="product_id", zone=z), ["window_start", "window_end", "product_id"], ["total"]),
+}
+
+
+def closed_part(spark, batch, checkpoint, zone):
+    """The rows of a batch report whose windows the stream has closed."""
+    mark = tables.closed_until(spark, checkpoint)
+    end = F.col("window_end").cast("timestamp_ntz")
+    return batch.filter(end <= (mark.cast("timestamp_ntz") if zone is None else F.convert_timezone(None, F.lit(zone), mark.cast("timestamp_ntz"))))
+
+
+@pytest.mark.parametrize("zone", [None, "Asia/Shanghai"])
+@pytest.mark.parametrize("kind", STREAMS)
+def test_windows_are_written_once_and_equal_batch(spark, folder, kind, zone):
+    """Restarts, a merge in the middle of the stream and a replayed batch leave each window once, with the rows of the batch report."""
+    begin, batch, keys, sums = STREAMS[kind]
+    feed = Feed(spark, folder, ORDERS)
+    data, path, checkpoint = order_rows(), f"{folder}/t", f"{folder}/c"
+    for n in range(4):
+        feed.add(data[n * 60 : (n + 1) * 60])
+        begin(feed.stream(), path, checkpoint, zone).awaitTermination()
+        if n == 1:
+            before = rows(running.windows_view(spark, path))
+            running.shorten(spark, path, sums, keys)
+            assert rows(running.windows_view(spark, path)) == before
+            assert tables.vacuum(spark, f"{path}/windows") and tables.vacuum(spark, f"{path}/sums")
+    got = running.windows_view(spark, path)
+    want = rows(closed_part(spark, batch(feed.table(), zone), checkpoint, zone))
+    assert rows(got) == want and len(want) > 5
+    last = max(int(n) for n in folders.listed(spark, f"{checkpoint}/commits") if n.isdigit())
+    replay = tables.read_batch(spark, f"{path}/windows", last)
+    stored = rows(replay)
+    folders.delete(spark, f"{checkpoint}/commits/{last}")
+    folders.delete(spark, f"{checkpoint}/commits/.{last}.crc")
+    begin(feed.stream(), path, checkpoint, zone).awaitTermination()
+    assert rows(tables.read_batch(spark, f"{path}/windows", last)) == stored
+    assert rows(running.windows_view(spark, path)) == want
+
+
+def test_a_view_of_one_day_reads_one_folder(spark, folder):
+    feed = Feed(spark, folder, ORDERS)
+    fill(feed, order_rows())
+    reports.stream_gmv(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
+    for merged in (False, True):
+        if merged:
+            running.shorten(spark, f"{folder}/t", ["product_gmv"], ["step", "clean_product_id"])
+        day = reports.gmv_view(spark, f"{folder}/t", "2024-01-02")
+        assert rows(day) == rows(reports.gmv_view(spark, f"{folder}/t").filter("ds = DATE'2024-01-02'"))
+        assert {p.split("day=")[1][:10] for p in read_files(day)} == {"2024-01-02"}
+        plan = day._jdf.queryExecution().simpleString()
+        assert plan.count("FileScan") == plan.count("PartitionFilters: [isnotnull(day") > 0
+
+
+def read_files(df):
+    """The files that rows come from."""
+    return [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
+
+
+def test_a_day_with_an_hour_twice(spark, folder):
+    """Clocks go back at 2:00: windows of the hour that comes again are closed after its second time."""
+    zone, at = "America/New_York", dt.datetime(2024, 11, 3, 4, 30)
+    data = [(str(n), "p", "1", "1.00", at + dt.timedelta(minutes=7 * n)) for n in range(60)]
+    feed = Feed(spark, folder, ORDERS)
+    for n in range(0, 60, 5):
+        feed.add(data[n : n + 5])
+        reports.stream_cumulative_sales(feed.stream(), f"{folder}/t", f"{folder}/c", "10 minutes", zone=zone).awaitTermination()
+    got = reports.cumulative_sales_view(spark, f"{folder}/t")
+    last = got.agg(F.max("window_end")).first()[0]
+    batch = sales.cumulative_sales(feed.table(), "10 minutes", zone=zone)
+    assert rows(got) == rows(batch.filter(F.col("window_end") <= last)) and last.hour >= 5
+
+
+def test_merges_by_each_rule_while_batches_come(spark, folder):
+    df = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2)], "k string, d string, n bigint").withColumn("d", F.col("d").cast("date"))
+    views = {
+        "unique": (tables.unique(["k"]), lambda p: tables.unique_view(spark, p, ["k"])),
+        "aggregate": (tables.aggregate(["k", "d"], ["n"]), lambda p: tables.aggregate_view(spark, p, ["k", "d"], ["n"])),
+        "append": (tables.append, lambda p: tables.append_view(spark, p)),
+    }
+    for by in (None, "d"):
+        for name, (rule, view) in views.items():
+            path, plain = f"{folder}/{name}-{by}", f"{folder}/{name}-{by}-plain"
+            assert not tables.compact(spark, path, rule)
+            for n in range(5):
+                rows_ = df.withColumn("n", F.col("n") + n).filter(F.col("k") == "a" if n == 3 else F.lit(n != 4))
+                for p in (path, plain):
+                    tables.write_batch(rows_, p, n, by)
+                if n in (1, 3):
+                    assert tables.compact(spark, path, rule) and not tables.compact(spark, path, rule)
+                    tables.write_batch(rows_, path, n, by)  # a batch that is merged already comes again
+                assert rows(view(path)) == rows(view(plain))
+            gone = tables.vacuum(spark, path)
+            assert any(g.startswith("batch_id=") for g in gone) and any(g.startswith("generation=") for g in gone)
+            assert rows(view(path)) == rows(view(plain)) and not tables.vacuum(spark, path)
+
+
+def test_days_without_new_batches_keep_their_generation(spark, folder):
+    day = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    for n in range(3):
+        tables.write_batch(day.withColumn("d", F.lit(f"2024-01-0{n + 1}").cast("date")), f"{folder}/t", n, "d")
+    tables.compact(spark, f"{folder}/t", tables.append)
+    first = tables.live(spark, f"{folder}/t").parts
+    tables.write_batch(day.withColumn("d", F.lit("2024-01-03").cast("date")), f"{folder}/t", 3, "d")
+    tables.compact(spark, f"{folder}/t", tables.append)
+    second = tables.live(spark, f"{folder}/t").parts
+    assert {k for k in first if first[k] != second[k]} == {"d=2024-01-03"}
+
+
+def test_of_two_merges_one_succeeds(spark, folder, monkeypatch):
+    df = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    tables.write_batch(df, f"{folder}/t", 0)
+
+    def late(rows_):
+        monkeypatch.undo()
+        tables.compact(spark, f"{folder}/t", tables.append)
+        return rows_
+
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.compact(spark, f"{folder}/t", late)
+    assert rows(tables.append_view(spark, f"{folder}/t")) == [("a", 1)]
+
+
+def test_a_list_that_is_being_written_is_not_used(spark, folder):
+    df = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    tables.write_batch(df, f"{folder}/t", 0)
+    tables.compact(spark, f"{folder}/t", tables.append)
+    folders.create(spark, f"{folder}/t/_live/000000000002", '{"through": 0, "pa')
+    assert tables.live(spark, f"{folder}/t").number == 1
+    assert rows(tables.append_view(spark, f"{folder}/t")) == [("a", 1)]

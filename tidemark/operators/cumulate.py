@@ -44,19 +44,31 @@ def step_partials(
 
 
 def running_spans(
-    partials: DataFrame, step: str | int, sums: Sequence[str], keys: Sequence[str] = (), lists: Sequence[str] = ()
+    partials: DataFrame,
+    step: str | int,
+    sums: Sequence[str],
+    keys: Sequence[str] = (),
+    lists: Sequence[str] = (),
+    steps: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """Running sums and lists, each with the span of steps ``[_step, _until)`` over which it holds."""
+    """Running sums and lists, each with the span of steps ``[_step, _until)`` over which it holds.
+
+    ``steps`` (from, to; by day) leaves only the parts of spans that lie in these steps of the day.
+    """
     order = W.partitionBy(DAY, *keys).orderBy(STEP)
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return partials.select(
+    end = F.lit(steps_per_day(step)) if steps is None else steps[1]
+    spans = partials.select(
         DAY,
         STEP,
-        F.lead(STEP, 1, steps_per_day(step)).over(order).alias(UNTIL),
+        F.coalesce(F.lead(STEP).over(order), end).alias(UNTIL),
         *keys,
         *(F.sum(name).over(so_far).alias(name) for name in sums),
         *(F.collect_list(name).over(so_far).alias(name) for name in lists),
     )
+    if steps is None:
+        return spans
+    return spans.withColumns({STEP: F.greatest(STEP, steps[0]), UNTIL: F.least(UNTIL, end)}).filter(F.col(STEP) < F.col(UNTIL))
 
 
 def every_step(spans: DataFrame) -> DataFrame:
@@ -71,9 +83,11 @@ def with_bounds(df: DataFrame, step: str | int) -> DataFrame:
     return df.select(F.col(DAY).cast("timestamp_ntz").alias("window_start"), end.alias("window_end"), *others)
 
 
-def cumulate_partials(partials: DataFrame, step: str | int, sums: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Window results from step sums that exist already, such as those a stream keeps."""
-    return with_bounds(every_step(running_spans(partials, step, sums, keys)), step)
+def cumulate_partials(
+    partials: DataFrame, step: str | int, sums: Sequence[str], keys: Sequence[str] = (), steps: tuple[Column, Column] | None = None
+) -> DataFrame:
+    """Window results from step sums that exist already, such as those a stream keeps; for ``steps`` only, if given."""
+    return with_bounds(every_step(running_spans(partials, step, sums, keys, steps=steps)), step)
 
 
 def cumulate(
@@ -117,7 +131,9 @@ def best(df: DataFrame, group: Sequence[str], measure: str, key: str, k: int, ra
     return df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= k)
 
 
-def cumulate_top(partials: DataFrame, step: str | int, key: str, measure: str, k: int) -> DataFrame:
+def cumulate_top(
+    partials: DataFrame, step: str | int, key: str, measure: str, k: int, steps: tuple[Column, Column] | None = None
+) -> DataFrame:
     """The ``k`` keys with the greatest running sum in every cumulative window: ``_day, _step, key, measure, rank_num``.
 
     A key's running sum is constant between its sales. Repeating it for every window it holds in would multiply the
@@ -127,9 +143,9 @@ def cumulate_top(partials: DataFrame, step: str | int, key: str, measure: str, k
     """
     n_steps = steps_per_day(step)
     kind = partials.schema[measure].dataType
-    spans = running_spans(partials, step, [measure], [key]).withColumn(measure, F.col(measure).cast(kind))
+    spans = running_spans(partials, step, [measure], [key], steps=steps).withColumn(measure, F.col(measure).cast(kind))
     # day and block as one number: the sort that limits each task's rows then compares one column, mostly
     group = F.unix_date(DAY).cast("bigint") * (2 * _leaves(n_steps)) + F.col("_block")
     per_block = best(_with_blocks(spans, n_steps).withColumn("_group", group), ["_group"], measure, key, k)
-    steps = F.explode(_block_steps("_block", n_steps))
-    return best(per_block.select(DAY, steps.alias(STEP), key, measure), [DAY, STEP], measure, key, k)
+    each = F.explode(_block_steps("_block", n_steps))
+    return best(per_block.select(DAY, each.alias(STEP), key, measure), [DAY, STEP], measure, key, k)

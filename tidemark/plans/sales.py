@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import clock_text, in_days
@@ -41,8 +41,8 @@ def sale_steps(
     return step_partials(rows, ts, step, {"total_cumulative_amount": amount_of()}, zone=zone)
 
 
-def cumulative_from_steps(steps: DataFrame, step: str = "10 seconds") -> DataFrame:
-    result = cumulate_partials(steps, step, ["total_cumulative_amount"])
+def cumulative_from_steps(sums: DataFrame, step: str = "10 seconds", steps: tuple[Column, Column] | None = None) -> DataFrame:
+    result = cumulate_partials(sums, step, ["total_cumulative_amount"], steps=steps)
     return result.withColumn("total_cumulative_amount", F.col("total_cumulative_amount").cast("decimal(38,2)"))
 
 
@@ -120,14 +120,14 @@ def report_money(steps: DataFrame) -> DataFrame:
     return steps.withColumn("product_gmv", F.col("product_gmv").cast("decimal(18,2)"))
 
 
-def gmv_topn_from_steps(steps: DataFrame, step: str = "10 minutes", k: int = 5) -> DataFrame:
-    """Report rows from revenue per step and product; see ``gmv_topn``."""
-    ranked = cumulate_top(steps, step, "clean_product_id", "product_gmv", k)
+def gmv_topn_from_steps(sums: DataFrame, step: str = "10 minutes", k: int = 5, steps: tuple[Column, Column] | None = None) -> DataFrame:
+    """Report rows from revenue per step and product, of all steps or of ``steps``; see ``gmv_topn``."""
+    ranked = cumulate_top(sums, step, "clean_product_id", "product_gmv", k, steps)
     top = rank_list(
         ranked, [DAY, STEP], "clean_product_id", k, F.sum("product_gmv").cast("decimal(18,2)").alias("win_gmv"), pad=False
     )
-    totals = steps.groupBy(DAY, STEP).agg(F.sum("product_gmv").alias("total_gmv"))
-    total = every_step(running_spans(totals, step, ["total_gmv"]))
+    totals = sums.groupBy(DAY, STEP).agg(F.sum("product_gmv").alias("total_gmv"))
+    total = every_step(running_spans(totals, step, ["total_gmv"], steps=steps))
     report = _clock_bounds(with_bounds(top.join(total, [DAY, STEP]), step))
     return report.select(
         F.to_date("window_start").alias("ds"),

@@ -1,0 +1,49 @@
+"""Names and small files in folders, through Spark's own file systems."""
+
+from __future__ import annotations
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    fs, where = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; of several writers one succeeds."""
+    fs, where = _at(spark, path)
+    try:
+        out = fs.create(where, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read(spark: SparkSession, path: str) -> str | None:
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.delete(where, True)

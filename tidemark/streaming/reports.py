@@ -1,8 +1,8 @@
 """Report streams.
 
 Windowed reports keep sums per short window as state and hand each window over once, when the watermark has passed its
-end. Rankings and cumulative windows are then computed on those closed windows as tables, so no task ever holds a whole
-window. Counts without windows need no state at all: each micro-batch stores its own increments, and the table adds
+end. The rows of rankings and cumulative windows are computed from those sums as tables, by the batch that closes them, and
+stored once (``streaming.running``); no task ever holds a whole window. Counts without windows need no state at all: each micro-batch stores its own increments, and the table adds
 them up.
 """
 
@@ -17,21 +17,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.clock import parse_clock, seconds_of, wall_clock
+from tidemark.functions.clock import seconds_of
 from tidemark.functions.text import clean_id, present
-from tidemark.operators.cumulate import DAY, STEP, best, with_step
+from tidemark.operators.cumulate import best
 from tidemark.operators.merging import ranked_snapshot, stamped
-from tidemark.operators.ranking import rank_list, tumble_sums
+from tidemark.operators.ranking import rank_list
 from tidemark.plans import logs as log_plans
 from tidemark.plans.profile import user_profile
 from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
 from tidemark.sources.changes import last_changes, latest_state
 from tidemark.streaming.eventtime import DELAY, with_watermark
+from tidemark.streaming.running import BY, tumble_sink, window_sink, windows_view
 from tidemark.streaming.tables import (
     aggregate_view,
     append_view,
     batch_sink,
-    closed_until,
     read_batch,
     read_batches,
     start,
@@ -54,12 +54,6 @@ def closed_windows(
     )
 
 
-def _steps(closed: DataFrame, step: str, sums: Sequence[str], keys: Sequence[str], zone: str | None) -> DataFrame:
-    """Closed windows to the day steps they lie in."""
-    placed = with_step(closed, "window_start", step, zone)
-    return placed.groupBy(DAY, STEP, *keys).agg(*(F.sum(c).alias(c) for c in sums))
-
-
 def _slice(stream: DataFrame, step: str, zone: str | None) -> str:
     """Window length that divides the step and starts at local midnight too, though windows count from UTC."""
     zone = zone or stream.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -79,19 +73,20 @@ def stream_cumulative_sales(
     zone: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keep the step sums behind ``cumulative_sales`` in a table."""
+    """``cumulative_sales`` as a table of rows, each window written when the watermark passes its end, with sales in its step or not."""
+
+    def report(sums: DataFrame, steps: tuple[Column, Column]) -> DataFrame:
+        rows = cumulative_from_steps(sums, step, steps)
+        return rows.withColumn(BY, F.to_date("window_start"))
+
     rows = orders.filter(present(F.col("total_amount")))
-    closed = closed_windows(rows, _slice(orders, step, zone), {"total_cumulative_amount": amount_of()}, ts=ts)
-    return start(closed, batch_sink(path), checkpoint, every=every)
+    money = "total_cumulative_amount"
+    closed = closed_windows(rows, _slice(orders, step, zone), {money: amount_of()}, ts=ts)
+    return start(closed, window_sink(path, checkpoint, step, [money], [], report, zone), checkpoint, every=every)
 
 
-def cumulative_sales_view(
-    spark: SparkSession, path: str, checkpoint: str, step: str = "10 seconds", zone: str | None = None
-) -> DataFrame:
-    """Cumulative sales of the windows that the stream's watermark has passed, with sales in their last step or not."""
-    closed = append_view(spark, path)
-    result = cumulative_from_steps(_steps(closed, step, ["total_cumulative_amount"], [], zone), step)
-    return result.filter(F.col("window_end") <= wall_clock(closed_until(spark, checkpoint), zone))
+def cumulative_sales_view(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    return windows_view(spark, path, day)
 
 
 def stream_gmv(
@@ -99,25 +94,25 @@ def stream_gmv(
     path: str,
     checkpoint: str,
     step: str = "10 minutes",
+    k: int = 5,
     ts: str = "ts",
     zone: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keep the step and product sums behind ``gmv_topn`` in a table."""
+    """``gmv_topn`` as a table of report rows, each written when the watermark passes the window's end."""
+
+    def report(sums: DataFrame, steps: tuple[Column, Column]) -> DataFrame:
+        return gmv_topn_from_steps(report_money(sums), step, k, steps).withColumn(BY, F.col("ds"))
+
     rows = orders.withColumn("clean_product_id", clean_id(F.col("product_id")))
     money = {"product_gmv": F.col("total_amount").cast("decimal(18,2)")}
     closed = closed_windows(rows, _slice(orders, step, zone), money, ["clean_product_id"], ts)
-    return start(closed, batch_sink(path), checkpoint, every=every)
+    sink = window_sink(path, checkpoint, step, ["product_gmv"], ["clean_product_id"], report, zone)
+    return start(closed, sink, checkpoint, every=every)
 
 
-def gmv_view(
-    spark: SparkSession, path: str, checkpoint: str, step: str = "10 minutes", k: int = 5, zone: str | None = None
-) -> DataFrame:
-    """The intraday report of the windows that the stream's watermark has passed."""
-    closed = append_view(spark, path)
-    steps = report_money(_steps(closed, step, ["product_gmv"], ["clean_product_id"], zone))
-    result = gmv_topn_from_steps(steps, step, k)
-    return result.filter(parse_clock(F.col("window_end")) <= wall_clock(closed_until(spark, checkpoint), zone))
+def gmv_view(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    return windows_view(spark, path, day)
 
 
 def stream_tumble_top5(
@@ -125,31 +120,25 @@ def stream_tumble_top5(
     path: str,
     checkpoint: str,
     window: str = "5 minutes",
+    k: int = 5,
     ts: str = "ts",
     key: str = "id",
     zone: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Keep the sums per id behind ``tumble_top5`` in a table, per slice of a window."""
+    """``tumble_top5`` as a table of rows, each written when the watermark passes the window's end."""
+    bounds = ["window_start", "window_end"]
+
+    def report(sums: DataFrame) -> DataFrame:
+        return rank_list(best(sums, bounds, "total", key, k), bounds, key, k).withColumnRenamed("top_list", f"top{k}_ids")
+
     rows = orders.filter(present(F.col("sale_num")) & present(F.col(key)))
     closed = closed_windows(rows, _slice(orders, window, zone), {"total": F.col("sale_num").try_cast("int")}, [key], ts)
-    return start(closed, batch_sink(path), checkpoint, every=every)
+    return start(closed, tumble_sink(path, checkpoint, window, key, report, zone), checkpoint, every=every)
 
 
-def tumble_top5_view(
-    spark: SparkSession,
-    path: str,
-    checkpoint: str,
-    window: str = "5 minutes",
-    k: int = 5,
-    key: str = "id",
-    zone: str | None = None,
-) -> DataFrame:
-    """The ids with most pieces per window of wall-clock time, for windows that the stream's watermark has passed."""
-    bounds = ["window_start", "window_end"]
-    sums = tumble_sums(append_view(spark, path), "window_start", window, key, F.col("total"), zone)
-    closed = sums.filter(F.col("window_end") <= wall_clock(closed_until(spark, checkpoint), zone))
-    return rank_list(best(closed, bounds, "total", key, k), bounds, key, k).withColumnRenamed("top_list", f"top{k}_ids")
+def tumble_top5_view(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    return windows_view(spark, path, day)
 
 
 def stream_page_pv(

@@ -549,36 +549,32 @@ def _run(spark, name, start):
     return f"{folder}/table"
 
 
-def _checkpoint(table):
-    return table.removesuffix("table") + "checkpoint"
-
-
 @query
 def stream_cumulative_sales(spark, sf):
     orders = i.lines_from(_event_stream(spark, sf))
     path = _run(spark, "sales", lambda t, c: reports.stream_cumulative_sales(orders, t, c, "10 minutes"))
-    return _windows(reports.cumulative_sales_view(spark, path, _checkpoint(path), "10 minutes"))
+    return _windows(reports.cumulative_sales_view(spark, path))
 
 
 @query
 def stream_gmv_topn(spark, sf):
     orders = i.lines_from(_event_stream(spark, sf))
     path = _run(spark, "gmv", lambda t, c: reports.stream_gmv(orders, t, c))
-    return reports.gmv_view(spark, path, _checkpoint(path))
+    return reports.gmv_view(spark, path)
 
 
 @query
 def stream_tumble_top5(spark, sf):
     orders = i.lines_from(_event_stream(spark, sf))
     path = _run(spark, "top5", lambda t, c: reports.stream_tumble_top5(orders, t, c))
-    return _windows(reports.tumble_top5_view(spark, path, _checkpoint(path)))
+    return _windows(reports.tumble_top5_view(spark, path))
 
 
 @query
 def stream_tumble_top5_zone(spark, sf):
     orders, zone = i.lines_from(_event_stream(spark, sf)), "Asia/Shanghai"
     path = _run(spark, "top5", lambda t, c: reports.stream_tumble_top5(orders, t, c, "12 hours", zone=zone))
-    return _windows(reports.tumble_top5_view(spark, path, _checkpoint(path), "12 hours", zone=zone))
+    return _windows(reports.tumble_top5_view(spark, path))
 
 
 @query
