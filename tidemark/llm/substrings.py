@@ -37,7 +37,7 @@ from tidemark.llm.hashing import CHUNK_BYTES, WHITE, chunks, mix, word_hashes
 from tidemark.llm.suffixes import sliding_least
 
 LENGTH, GRAM = 20, 4
-SHARD_WORDS, HOT = 1_000_000, 4096
+SHARD_WORDS, HOT = 250_000, 1024
 BEFORE_ALL = -(1 << 63)
 #: Bits of a number of a word in a text, or in the texts that a task reads together.
 OFFSET_BITS = 32
