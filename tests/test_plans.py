@@ -1,6 +1,7 @@
 """Reports on hand-made rows, and the shape of their plans."""
 
 import datetime as dt
+import functools
 import random
 from collections import Counter
 from decimal import Decimal
@@ -163,25 +164,64 @@ def walk(rows, k):
     return [(" → ".join(p), len(p), len(users), min(users)) for p, users in ranked[:k]]
 
 
-@pytest.mark.parametrize("slot_rows", [1, 10, 1_000_000])
+@pytest.mark.parametrize("batch_rows", [3, 10_000])
 @pytest.mark.parametrize("seed", range(3))
-def test_paths_equal_brute_force_however_users_are_split(spark, slot_rows, seed):
+def test_paths_equal_brute_force_however_users_are_split(spark, batch_rows, seed):
     rnd = random.Random(seed)
     rows = []
     for n in range(400):
         user = "hot" if n % 3 == 0 else f"u{rnd.randrange(40)}"
         rows.append((user, rnd.choice("abb"), D(2024, 1, 1) + dt.timedelta(minutes=20 * rnd.randrange(60)), n))
+    rows += [("second", rnd.choice("ab"), D(2024, 1, 1), 1000 + n) for n in range(300)]  # all in one second
+    rows += [("same", "x", D(2024, 1, 1), 5)] * 200 + [("same", "y", D(2024, 1, 1), 6)] * 200
     df = spark.createDataFrame(rows, "user string, step string, ts timestamp_ntz, n int").repartition(4)
-    got = paths.path_patterns(df, "user", "step", "ts", ["n"], k=6, slot_rows=slot_rows)
-    ranked = sorted((tuple(r) for r in got.collect()), key=lambda r: (-r[2], r[1], r[3]))
-    assert ranked == walk(rows, 6)
-
-
-def test_one_user_in_one_hour_is_cut_into_slots(spark):
-    rows = spark.range(6000).selectExpr("'u' AS user", "timestamp'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, id * 0.5) AS ts", "id")
-    slots = paths.time_slots(rows, "user", "ts", 100).groupBy("_slot").count().collect()
-    assert sum(r["count"] for r in slots) == 6000
-    assert max(r["count"] for r in slots) <= 100 + 120
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows), "spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = paths.path_patterns(df, "user", "step", "ts", ["n"], k=8)
+        ranked = sorted((tuple(r) for r in got.collect()), key=lambda r: (-r[2], r[1], r[3]))
+        assert ranked == walk(rows, 8)
+        busy = paths.path_pieces(df.filter("user = 'second'"), "user", "step", "ts", ["n"])
+        assert busy.count() >= 5  # one second of one user is cut, too
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_digests_of_pieces_join_to_the_digest_of_the_whole(spark):
+    """Whatever the cuts are: the digest of a path is that of its pieces, joined in any grouping."""
+    rnd = random.Random(4)
+    rows = [("u", rnd.choice("ab"), D(2024, 1, 1) + dt.timedelta(seconds=n), n) for n in range(60)]
+    df = spark.createDataFrame(rows, "user string, step string, ts timestamp_ntz, n int")
+    whole = paths.path_pieces(df.coalesce(1), "user", "step", "ts", ["n"])
+    whole = paths.user_digests(whole, "user", paths.PIECE).collect()
+    for cuts in ([7], [1, 2, 3], [10, 11, 40, 59], [5, 20, 21, 22, 30, 31, 50]):
+        edges = [0, *cuts, 60]
+        parts = [paths.path_pieces(df.filter(F.col("n").between(a, b - 1)), "user", "step", "ts", ["n"]).withColumn("at", F.lit(a)) for a, b in zip(edges, edges[1:])]
+        pieces = functools.reduce(lambda x, y: x.unionByName(y), parts)
+        assert paths.user_digests(pieces, "user", "at", paths.PIECE).collect() == whole
+
+
+def test_paths_scan_their_rows_twice(spark):
+    text = plan(QUERIES["path_patterns"](spark, f"{TESTDATA}/sf0.001"))
+    assert text.count("FileScan") <= 2 and "Window" not in text
+
+
+def test_a_launch_costs_two_rows_at_most(spark):
+    """Payments at every edge of the period are found, with spans as long as the period."""
+    starts = spark.range(200).selectExpr("id AS product_id", "timestamp'1969-11-20 00:00:00' + make_dt_interval(cast(id / 2 as int), cast(id % 24 as int)) AS online_time")
+    for days in (0, 1, 7, 30):
+        spans = launches.launch_spans(starts, days).groupBy("product_id").count()
+        assert spans.agg(F.max("count")).first()[0] <= 2 and spans.count() == 200
+        offsets = [-1, 0, 1, days * 86400 - 1, days * 86400, days * 86400 + 1]
+        paid = starts.select("product_id", F.explode(F.array(*map(F.lit, offsets))).alias("s"), "online_time").selectExpr(
+            "product_id", "online_time + make_dt_interval(0, 0, 0, s) AS payment_time", "CAST(1 AS DECIMAL(18,2)) AS payment_amount", "1 AS payment_status"
+        )
+        got = launches.payments_after(paid, starts, days).collect()
+        want = sum(0 <= o <= days * 86400 for o in offsets)
+        assert len(got) == 200 and {int(r.paid) for r in got} == {want}
 
 
 def test_reports_come_in_order(spark):

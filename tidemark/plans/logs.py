@@ -56,9 +56,13 @@ def search_words(col: Column) -> Column:
     return F.coalesce(named, words(col))
 
 
+def found_words(logs: DataFrame, column: str = "keywords") -> DataFrame:
+    """One row per word of each search."""
+    return logs.select(F.explode(search_words(F.col(column))).alias("keyword"))
+
+
 def keyword_counts(logs: DataFrame, column: str = "keywords") -> DataFrame:
-    found = logs.select(F.explode(search_words(F.col(column))).alias("keyword"))
-    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("search_count"))
+    return found_words(logs, column).groupBy("keyword").agg(F.count(F.lit(1)).alias("search_count"))
 
 
 def rank_keywords(counts: DataFrame, k: int = 10) -> DataFrame:
@@ -114,7 +118,8 @@ def path_distribution(counts: DataFrame) -> DataFrame:
     return ranked.filter(keep)
 
 
-def _named(logs: DataFrame) -> DataFrame:
+def named(logs: DataFrame) -> DataFrame:
+    """Rows of a known user with a known kind of event."""
     cleaned = logs.withColumns(
         {"user_id": field(F.col("user_id"), UNKNOWN), "log_type": field(F.col("log_type"))}
     )
@@ -122,12 +127,12 @@ def _named(logs: DataFrame) -> DataFrame:
 
 
 def active_users(logs: DataFrame) -> DataFrame:
-    return _named(logs).agg(F.count_distinct("user_id").alias("active_users"))
+    return named(logs).agg(F.count_distinct("user_id").alias("active_users"))
 
 
 def common_paths(logs: DataFrame, tie: list[str], ts: str = "ts", k: int = 5) -> DataFrame:
     """The behaviour paths walked by most users; see ``operators.paths``."""
-    rows = _named(logs).select("user_id", "log_type", ts, *tie)
+    rows = named(logs).select("user_id", "log_type", ts, *tie)
     return path_patterns(rows, "user_id", "log_type", ts, tie, k)
 
 
