@@ -141,3 +141,18 @@ def test_camel_names(spark):
 def test_text_dates_stay_local(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
     assert cells.cells_from_rows(df.withColumn("id", F.lit(1)), "id").first().value == "2024-01-01 00:00:00"
+
+
+def test_the_newest_partition_is_found_by_its_name(spark, folder):
+    df = spark.range(30).withColumn("ds", F.concat(F.lit("2024-01-0"), (F.col("id") % 3 + 1).cast("string")))
+    df = df.unionByName(spark.sql("SELECT 99L AS id, CAST(NULL AS STRING) AS ds"))
+    records.write_partitioned(df, f"{folder}/t", "ds")
+    latest = partitions.read_latest(spark, f"{folder}/t")
+    assert sorted(r.id for r in latest.collect()) == list(range(2, 30, 3))
+    assert {str(r.ds) for r in latest.collect()} == {"2024-01-03"}
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Subquery" not in plan and "t/ds=2024-01-03" in plan
+    assert {p.split("/ds=")[1][:10] for p in latest.inputFiles()} == {"2024-01-03"}
+    spark.range(3).withColumn("n", F.col("id") + 9).write.partitionBy("n").parquet(f"{folder}/n")
+    assert [r.n for r in partitions.read_latest(spark, f"{folder}/n", "n").collect()] == [11]
+    assert partitions.read_latest(spark, f"{folder}/n/n=9").count() == 1

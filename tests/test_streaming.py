@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import logs, profile, sales
-from tidemark.sources import changes, records
-from tidemark.streaming import eventtime, folders, reports, running, tables
+from tidemark.sources import changes, folders, records
+from tidemark.streaming import eventtime, reports, running, tables
 
 ORDERS = "id string, product_id string, sale_num string, total_amount string, ts timestamp"
 LOGS = "user_id string, log_type string, keywords string, region string, opa string, pageinfo string, brand string, device string, plat string, platv string, softv string, ts timestamp"
@@ -167,12 +167,81 @@ def test_counts_add_up_over_batches(spark, folder, kind, batch):
 
 def test_keyword_rankings_are_appended_per_batch(spark, folder):
     feed = Feed(spark, folder, LOGS)
-    fill(feed, log_rows(), 3)
-    reports.stream_keyword_top10(feed.stream(), f"{folder}/t", f"{folder}/c", 2).awaitTermination()
-    got = reports.keyword_snapshots(spark, f"{folder}/t")
-    assert got.groupBy("batch_id").count().filter("count = 2").count() == 3
-    last = got.filter("batch_id = 2").drop("batch_id", "update_time")
-    assert rows(last) == rows(logs.keyword_top10(feed.table(), k=2))
+    data = log_rows()
+    for n in range(3):
+        feed.add([(*r[:2], f"{r[2]},w{(7 * i + n) % 23}" if n < 2 else r[2], *r[3:]) for i, r in enumerate(data[n * 60 : (n + 1) * 60])])
+        reports.stream_keyword_top10(feed.stream(), f"{folder}/t", f"{folder}/c", 3).awaitTermination()
+        got = reports.keyword_snapshots(spark, f"{folder}/t").filter(F.col("batch_id") == n)
+        assert rows(got.drop("batch_id", "update_time")) == rows(logs.keyword_top10(feed.table(), k=3))
+    assert reports.keyword_snapshots(spark, f"{folder}/t").count() == 9
+    # a batch stores the words it has touched, not all words
+    touched = {r["batch_id"]: r["count"] for r in tables.read_batches(spark, f"{folder}/t/words").groupBy("batch_id").count().collect()}
+    assert touched[2] <= 3 < touched[0]
+    totals = tables.unique_view(spark, f"{folder}/t/words", ["keyword"]).drop("is_new")
+    assert rows(totals) == rows(logs.keyword_counts(feed.table()))
+
+
+def test_replayed_rankings_stay_as_they_were(spark, folder):
+    feed = Feed(spark, folder, LOGS)
+    for n in range(2):
+        feed.add(log_rows(40, seed=n))
+        reports.stream_keyword_top10(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
+    before = rows(reports.keyword_snapshots(spark, f"{folder}/t").drop("update_time"))
+    for name in ("1", ".1.crc"):
+        folders.delete(spark, f"{folder}/c/commits/{name}")
+    reports.stream_keyword_top10(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
+    assert rows(reports.keyword_snapshots(spark, f"{folder}/t").drop("update_time")) == before
+
+
+def test_active_users_run_on_as_exact_distinct_counts(spark, folder):
+    feed = Feed(spark, folder, LOGS)
+    data = log_rows() + [(None, *log_rows()[0][1:]), ("unknown", *log_rows()[1][1:])]
+    for n in range(3):
+        feed.add(data[n * 70 : (n + 1) * 70])
+        for daily in (False, True):
+            reports.stream_active_users(feed.stream(), f"{folder}/{daily}", f"{folder}/{daily}-c", daily).awaitTermination()
+        assert rows(reports.active_users_view(spark, f"{folder}/False")) == rows(logs.active_users(feed.table()))
+        days = logs.named(feed.table()).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("stat_date")).agg(F.count_distinct("user_id").alias("active_users"))
+        assert rows(reports.active_users_view(spark, f"{folder}/True")) == rows(days)
+
+
+def test_common_paths_run_on_from_slice_to_slice(spark, folder):
+    """Rows out of order within a slice, merges in the middle and a replay give the paths of the closed part; late rows are left out."""
+    feed = Feed(spark, folder, LOGS)
+    data = sorted(log_rows(300), key=lambda r: r[-1])
+    rnd = random.Random(1)
+    data = [(f"u{n % 12}", "abc"[(n // 12 + (n % 4) * (n > 250)) % 3] if n % 5 else rnd.choice("ab"), *r[2:]) for n, r in enumerate(data)]
+    path, checkpoint = f"{folder}/t", f"{folder}/c"
+
+    def begin():
+        reports.stream_paths(feed.stream(), path, checkpoint, ["opa", "pageinfo"], "6 hours").awaitTermination()
+
+    for n in range(5):
+        part = data[n * 60 : (n + 1) * 60]
+        rnd.shuffle(part)
+        feed.add(part)
+        begin()
+        if n == 2:
+            before = rows(reports.paths_view(spark, path, ["opa", "pageinfo"], 12))
+            reports.shorten_paths(spark, path)
+            assert rows(reports.paths_view(spark, path, ["opa", "pageinfo"], 12)) == before and before
+    ended = F.timestamp_seconds(F.lit(reports.closed_slices(spark, path) * 6 * 3600))
+    want = rows(logs.common_paths(feed.table().filter(F.col("ts") < ended), ["opa", "pageinfo"], k=12))
+    assert rows(reports.paths_view(spark, path, ["opa", "pageinfo"], 12)) == want and len(want) > 2
+    for name in ("4", ".4.crc"):
+        folders.delete(spark, f"{checkpoint}/commits/{name}")
+    begin()
+    feed.add([("u1", "zz", *data[0][2:])])  # its slice was closed long ago
+    begin()
+    assert rows(reports.paths_view(spark, path, ["opa", "pageinfo"], 12)) == want
+
+
+def test_profiles_keep_one_row_per_user_and_month(spark, folder):
+    feed = Feed(spark, folder, LOGS)
+    feed.add([("u", "view", "", "", "", "", "", "", "", "", "", dt.datetime(2024, 1 + n % 2, 1 + n % 28, n % 24)) for n in range(500)])
+    reports.stream_user_profile(feed.stream(), f"{folder}/t", f"{folder}/c").awaitTermination()
+    assert tables.append_view(spark, f"{folder}/t").count() == 2
+    assert rows(reports.user_profile_view(spark, f"{folder}/t").drop("update_time")) == rows(profile.user_profile(feed.table()))
 
 
 def test_counting_plans_also_run_as_stateful_streams(spark, folder):

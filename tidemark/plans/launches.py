@@ -1,13 +1,13 @@
 """New products: recent launches, launch monitor, launch calendar, over the offline tables.
 
-Tables with a ``ds`` column are read at their latest partition. Payments are matched to launches by product *and* day:
-the days of a product spread over tasks, rows outside every launch period find no partner, and since the sum is by
-launch a skewed join partition may still be split at run time.
+Tables with a ``ds`` column are read at their latest partition. Payments are matched to launches by product *and* span of
+time: spans are as long as the launch period, so a period meets two of them at most and a launch costs two rows. The spans of
+a product spread over tasks, and since the sum is by launch a skewed join partition may still be split at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import top_rows
@@ -36,18 +36,24 @@ def _paid(orders: DataFrame) -> DataFrame:
     return _latest(orders).filter(F.col("payment_status") == 1)
 
 
+def launch_spans(starts: DataFrame, days: int = 30) -> DataFrame:
+    """``product_id, online_time, _end, _span``: each launch once for every span of ``days`` days that its period meets, one or two."""
+    end = F.col("online_time") + F.make_dt_interval(F.lit(days))
+    spans = F.sequence(_span(F.col("online_time"), days), _span(end, days))
+    return starts.select("product_id", "online_time").distinct().withColumns({"_end": end, "_span": F.explode(spans)})
+
+
+def _span(at: Column, days: int) -> Column:
+    # a period of no days still takes a span of one
+    return F.floor(F.unix_date(F.to_date(at)) / max(days, 1))
+
+
 def payments_after(orders: DataFrame, starts: DataFrame, days: int = 30) -> DataFrame:
     """``product_id, online_time, paid``: sum of payments from each launch to ``days`` days after it."""
-    end = F.col("online_time") + F.make_dt_interval(F.lit(days))
-    span = (
-        starts.select("product_id", "online_time")
-        .distinct()
-        .withColumns({"_end": end, "_day": F.explode(F.sequence(F.to_date("online_time"), F.to_date(end)))})
-    )
     paid = _paid(orders).select("product_id", "payment_time", "payment_amount")
     return (
-        paid.withColumn("_day", F.to_date("payment_time"))
-        .join(span, ["product_id", "_day"])
+        paid.withColumn("_span", _span(F.col("payment_time"), days))
+        .join(launch_spans(starts, days), ["product_id", "_span"])
         .filter(F.col("payment_time").between(F.col("online_time"), F.col("_end")))
         .groupBy("product_id", "online_time")
         .agg(F.sum("payment_amount").alias("paid"))

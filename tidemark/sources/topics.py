@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def source_options(servers: str, topic: str, starting: str | int = "earliest", **extra: str) -> dict[str, str]:
@@ -48,3 +49,14 @@ def to_topic_value(df: DataFrame, key: Column | None = None) -> DataFrame:
 def send(df: DataFrame, options: dict[str, str], key: Column | None = None) -> None:
     """Batch send of rows as JSON messages."""
     to_topic_value(df, key).write.format("kafka").options(**options).save()
+
+
+def send_stream(
+    df: DataFrame, options: dict[str, str], checkpoint: str, key: Column | None = None, every: str | None = None, sink: str = "kafka"
+) -> StreamingQuery:
+    """Rows of a stream as JSON messages, going on from ``checkpoint``. Every row goes out at least once; with a key, in order by key.
+
+    ``sink`` may name another of Spark's stream formats with the same frame, such as ``parquet`` with a ``path`` option.
+    """
+    writer = to_topic_value(df, key).writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

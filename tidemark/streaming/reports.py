@@ -17,21 +17,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.clock import seconds_of
+from tidemark.functions.clock import day_text, seconds_of
 from tidemark.functions.text import clean_id, present
 from tidemark.operators.cumulate import best
 from tidemark.operators.merging import ranked_snapshot, stamped
-from tidemark.operators.ranking import rank_list
+from tidemark.operators.paths import PIECE, common, path_pieces, user_digests, written_out
+from tidemark.operators.ranking import rank_list, top_rows
 from tidemark.plans import logs as log_plans
-from tidemark.plans.profile import user_profile
+from tidemark.plans.profile import profile_from_months, profile_months
 from tidemark.plans.sales import amount_of, cumulative_from_steps, gmv_topn_from_steps, report_money
-from tidemark.sources.changes import last_changes, latest_state
+from tidemark.sources.changes import flatten_envelope, last_changes, latest_state
+from tidemark.sources.topics import send_stream
 from tidemark.streaming.eventtime import DELAY, with_watermark
 from tidemark.streaming.running import BY, tumble_sink, window_sink, windows_view
 from tidemark.streaming.tables import (
+    BATCH,
     aggregate_view,
+    append,
     append_view,
     batch_sink,
+    compact,
     read_batch,
     read_batches,
     start,
@@ -155,11 +160,89 @@ def page_pv_view(spark: SparkSession, path: str) -> DataFrame:
 def stream_user_profile(
     logs: DataFrame, path: str, checkpoint: str, zone: str | None = None, every: str | None = None
 ) -> StreamingQuery:
-    return start(user_profile(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
+    """Running profiles. State and table hold one row of fixed width per user and month, whatever the user does in it."""
+    return start(profile_months(logs, zone=zone), batch_sink(path, stamped), checkpoint, "update", every)
 
 
 def user_profile_view(spark: SparkSession, path: str) -> DataFrame:
-    return unique_view(spark, path, ["user_id"])
+    return profile_from_months(unique_view(spark, path, ["user_id", "month"]), F.max("update_time").alias("update_time"))
+
+
+def stream_active_users(
+    logs: DataFrame, path: str, checkpoint: str, daily: bool = False, ts: str = "ts", zone: str | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Running number of distinct users, in all or per local day.
+
+    Spark's state store is the ledger of users seen: it is spread by hash of the key, and a batch reads and writes the keys it
+    touches. A user passes once, so the table grows by one small number per batch (and day).
+    """
+    users = log_plans.named(logs)
+    if daily:
+        known = users.filter(F.col(ts).isNotNull()).select(day_text(F.col(ts), zone).alias("stat_date"), "user_id")
+        sink = batch_sink(path, lambda batch: batch.groupBy("stat_date").agg(F.count(F.lit(1)).alias("active_users")))
+    else:
+        known = users.select("user_id")
+        sink = batch_sink(path, lambda batch: batch.agg(F.count(F.lit(1)).alias("active_users")))
+    return start(known.dropDuplicates(), sink, checkpoint, every=every)
+
+
+def active_users_view(spark: SparkSession, path: str) -> DataFrame:
+    rows = append_view(spark, path)
+    return rows.groupBy(*(c for c in rows.columns if c != "active_users")).agg(F.coalesce(F.sum("active_users"), F.lit(0)).alias("active_users"))
+
+
+SLICE = "slice"
+
+
+def stream_paths(
+    logs: DataFrame, path: str, checkpoint: str, tie: Sequence[str], slice_: str = "1 hour", delay: str = DELAY, ts: str = "ts", every: str | None = None
+) -> StreamingQuery:
+    """Keep the digest of every user's path, for ``paths_view``.
+
+    Rows wait, in folders by slice of time, until events are ``delay`` past the end of their slice. The batch that closes a slice
+    walks its rows and stores one digest per user in it; a digest goes on where the user's last one ended. Rows of slices that
+    are closed already are late and left out.
+    """
+    spark, span, late = logs.sparkSession, seconds_of(slice_), seconds_of(delay)
+    at = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / span)
+    rows = log_plans.named(logs).filter(F.col(ts).isNotNull()).select("user_id", "log_type", F.col(ts).alias("ts"), *tie, at.alias(SLICE))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        before = closed_slices(spark, path, batch_id - 1)
+        write_batch(batch.filter(F.col(SLICE) >= before), f"{path}/rows", batch_id, SLICE)
+        stored = read_batches(spark, f"{path}/rows").filter(F.col(SLICE) >= before)
+        newest = stored.agg(F.max(F.unix_seconds(F.col("ts").cast("timestamp")))).first()[0]
+        now = before if newest is None else max(before, (newest - late) // span)
+        ready = stored.filter(F.col(SLICE) < now)
+        write_batch(path_pieces(ready, "user_id", "log_type", "ts", list(tie)), f"{path}/pieces", batch_id)
+        write_batch(spark.range(1).select(F.lit(now).cast("bigint").alias("closed")), f"{path}/closed", batch_id)
+
+    return start(rows, store, checkpoint, every=every)
+
+
+def closed_slices(spark: SparkSession, path: str, batch_id: int | None = None) -> int:
+    """The number of the first slice that is open after a batch, or after the last one."""
+    if batch_id is not None:
+        return read_batch(spark, f"{path}/closed", batch_id).first()["closed"] if batch_id >= 0 else -(1 << 40)
+    return append_view(spark, f"{path}/closed").agg(F.max("closed")).first()[0]
+
+
+def paths_view(spark: SparkSession, path: str, tie: Sequence[str], k: int = 5) -> DataFrame:
+    """The paths walked by most users, up to the last closed slice: ``path, steps, users, first_user``."""
+    digests = user_digests(read_batches(spark, f"{path}/pieces"), "user_id", BATCH, PIECE)
+    rows = read_batches(spark, f"{path}/rows").filter(F.col(SLICE) < closed_slices(spark, path))
+    return written_out(common(digests, "user_id", k), rows, "user_id", "log_type", "ts", list(tie))
+
+
+def shorten_paths(spark: SparkSession, path: str) -> None:
+    """Merge the stored batches: one digest per user, rows in fewer files."""
+
+    def one_digest(pieces: DataFrame) -> DataFrame:
+        last = pieces.groupBy("user_id").agg(F.max(BATCH).alias(BATCH), F.max(PIECE).alias(PIECE))
+        return user_digests(pieces, "user_id", BATCH, PIECE).join(last, "user_id").select(*pieces.columns)
+
+    compact(spark, f"{path}/pieces", one_digest)
+    compact(spark, f"{path}/rows", append)
 
 
 # increments a micro-batch stores, with the key and the count of the table
@@ -184,15 +267,29 @@ def counts_view(spark: SparkSession, kind: str, path: str) -> DataFrame:
 
 
 def stream_keyword_top10(logs: DataFrame, path: str, checkpoint: str, k: int = 10, every: str | None = None) -> StreamingQuery:
-    """Append the ranking of search words after every batch, from the counts the stream keeps as state."""
+    """Append the ranking of search words after every batch.
+
+    Counts are Spark's state, and a batch is handed the words it has touched, with their totals; those are stored. Counts only
+    grow, so the best ``k`` now are among the touched words and the best ``k`` before. A word is new if the batch that saw it last
+    is the one that saw it first.
+    """
     spark = logs.sparkSession
+    found = log_plans.found_words(logs).withColumn("_at", F.current_timestamp())
+    words = found.groupBy("keyword").agg(F.count(F.lit(1)).alias("search_count"), (F.min("_at") == F.max("_at")).alias("is_new"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{path}/counts", batch_id)
-        counts = read_batch(spark, f"{path}/counts", batch_id)
-        write_batch(ranked_snapshot(log_plans.rank_keywords(counts, k)), f"{path}/rankings", batch_id)
+        write_batch(batch, f"{path}/words", batch_id)
+        touched = read_batch(spark, f"{path}/words", batch_id)
+        known, before = touched.select("keyword", "search_count"), F.lit(0)
+        if batch_id > 0:
+            last = read_batch(spark, f"{path}/rankings", batch_id - 1).select("keyword", "search_count", "total_keywords")
+            known = known.unionByName(last.drop("total_keywords").join(touched, "keyword", "left_anti"))
+            before = F.coalesce(last.agg(F.max("total_keywords")).scalar(), F.lit(0))
+        total = before + touched.agg(F.count_if("is_new")).scalar()
+        ranked = top_rows(known, [F.desc("search_count"), F.asc("keyword")], k, "ranking").withColumn("total_keywords", total)
+        write_batch(ranked_snapshot(ranked), f"{path}/rankings", batch_id)
 
-    return start(log_plans.keyword_counts(logs), store, checkpoint, "complete", every)
+    return start(words, store, checkpoint, "update", every)
 
 
 def keyword_snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -207,5 +304,13 @@ def stream_changes(
     return start(envelopes, batch_sink(path, lambda batch: last_changes(batch, keys, order_by)), checkpoint, every=every)
 
 
+def stream_clean_rows(
+    envelopes: DataFrame, options: dict[str, str], checkpoint: str, key: str | None = None, every: str | None = None, sink: str = "kafka"
+) -> StreamingQuery:
+    """Clean rows of a change stream, with table and kind of change, as messages of a topic."""
+    rows = flatten_envelope(envelopes)
+    return send_stream(rows, options, checkpoint, F.col(key) if key else None, every, sink)
+
+
 def changes_view(spark: SparkSession, path: str, keys: list[str], order_by: list[str]) -> DataFrame:
     return latest_state(append_view(spark, path), keys, order_by)

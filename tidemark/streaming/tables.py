@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ranking import latest_per_group
-from tidemark.streaming import folders
+from tidemark.sources import folders
 
 BATCH, GENERATION = "batch_id", "generation"
 _LISTS, _LAYOUT = "_live", "_layout"

@@ -356,3 +356,14 @@ SQL["stream_path_distribution"] = SQL["path_distribution"]
 SQL["stream_user_profile"] = SQL["user_profile"]
 SQL["stream_keyword_top10"] = SQL["keyword_top10"]
 SQL["stream_cdc_latest_state"] = SQL["cdc_latest_state"]
+SQL["stream_active_users"] = SQL["active_users"]
+SQL["stream_active_users_daily"] = f"""WITH {USER_LOGS}
+SELECT strftime(ts, '%Y-%m-%d') AS stat_date, COUNT(DISTINCT user_id) AS active_users FROM user_logs WHERE user_id <> 'unknown' GROUP BY ALL"""
+# rows of the hours that have ended five seconds before the last event
+_ENDED = "(SELECT * FROM events WHERE ts < (SELECT date_trunc('hour', MAX(ts) - INTERVAL 5 SECOND) FROM events))"
+SQL["stream_path_patterns"] = _paths(f"WITH {USER_LOGS.replace('FROM events', 'FROM ' + _ENDED)}", "ts, event_id", 5)
+SQL["read_latest"] = SQL["latest_partition"]
+SQL["cdc_handed_over"] = SQL["cdc_latest_state"]
+# changed orders go out as changes only, the others once as they were loaded; deletes have no row
+SQL["cdc_handed_over_in_order"] = f"""WITH {CHANGES}
+{_IMAGE}, 'shop.oms.orders' AS table_name, op FROM kept WHERE op = 'u' OR (op = 'r' AND o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0)"""

@@ -11,7 +11,7 @@ from tidemark_driver import inputs as i
 from tidemark.functions import clock, device, keys, numeric, region, text
 from tidemark.operators import membership, merging, ranking
 from tidemark.plans import launches, logs, profile, report, sales
-from tidemark.sources import cells, changes, partitions, rates, records
+from tidemark.sources import cells, changes, handover, partitions, rates, records
 from tidemark.sources.database import camel_columns
 from tidemark.streaming import reports, tables
 
@@ -273,6 +273,45 @@ def cdc_latest_state(spark, sf):
     return changes.latest_state(_envelopes(spark, sf), ["o_orderkey"], ["ts_ms"])
 
 
+def _handed_over(spark, sf):
+    """Orders loaded in chunks while they change, and the log of their changes.
+
+    A change's position is ten times its key and its kind. Of the rows read, every other one shows its change already.
+    """
+    log = _envelopes(spark, sf).withColumn("position", F.coalesce("after", "before")["o_orderkey"] * 10 + F.col("ts_ms"))
+    log, first = log.filter("op <> 'r'"), log.filter("op = 'r'").select("after.*")
+    late = F.col("o_orderkey") % 2 == 0
+    updated = F.when(late & (F.col("o_orderkey") % 5 == 0), (F.col("o_totalprice").cast("decimal(12,2)") + 1).cast("string"))
+    seen = first.filter(~(late & (F.col("o_orderkey") % 7 == 0))).withColumn("o_totalprice", F.coalesce(updated, "o_totalprice"))
+    chunks = handover.key_chunks(first, "o_orderkey", 8)
+    marks = iter([m for low, high in chunks for m in ((low or 0) * 10, (high or 1 << 40) * 10)])
+    path = tables.shared_folder(spark, "load")
+    handover.fenced_load(spark, path, lambda b: seen.filter(handover.in_chunk("o_orderkey", b)), chunks, lambda: next(marks))
+    return handover.loaded(spark, path), log.select("before", "after", "source", "op", "position")
+
+
+@query
+def cdc_handed_over(spark, sf):
+    rows, log = _handed_over(spark, sf)
+    both = handover.at_low_fence(rows, "shop", "oms", "orders").unionByName(log)
+    return changes.latest_state(both, ["o_orderkey"], ["position"])
+
+
+@query
+def cdc_handed_over_in_order(spark, sf):
+    rows, log = _handed_over(spark, sf)
+    settled = handover.settled(rows, log, ["o_orderkey"], "shop", "oms", "orders")
+    return changes.flatten_envelope(settled.unionByName(log))
+
+
+@query
+def read_latest(spark, sf):
+    dated = i.user_logs(spark, sf).select("event_id", "user_id", "log_type", clock.day_text(F.col("ts")).alias("ds"))
+    path = tables.shared_folder(spark, "dated")
+    records.write_partitioned(dated, path, "ds")
+    return partitions.read_latest(spark, path).withColumn("ds", F.col("ds").cast("string"))
+
+
 @query
 def cdc_snapshot(spark, sf):
     rows = i.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -612,6 +651,26 @@ def stream_user_profile(spark, sf):
     return reports.user_profile_view(spark, path).drop("update_time")
 
 
+@query
+def stream_active_users(spark, sf):
+    rows = i.logs_from(_event_stream(spark, sf))
+    return reports.active_users_view(spark, _run(spark, "active", lambda t, c: reports.stream_active_users(rows, t, c)))
+
+
+@query
+def stream_active_users_daily(spark, sf):
+    rows = i.logs_from(_event_stream(spark, sf))
+    return reports.active_users_view(spark, _run(spark, "active", lambda t, c: reports.stream_active_users(rows, t, c, daily=True)))
+
+
+@query
+def stream_path_patterns(spark, sf):
+    rows = i.logs_from(_event_stream(spark, sf))
+    path = _run(spark, "walks", lambda t, c: reports.stream_paths(rows, t, c, ["event_id"]))
+    reports.shorten_paths(spark, path)
+    return reports.paths_view(spark, path, ["event_id"])
+
+
 @query
 def stream_keyword_top10(spark, sf):
     rows = i.searches_from(_event_stream(spark, sf), i.table(spark, sf, "part"))
