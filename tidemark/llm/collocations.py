@@ -5,8 +5,8 @@ SON partitioning, two passes over the texts:
 - Mining. Documents are dealt to ``SHARDS`` shards. Each shard is mined completely, for words and phrases of up to ``longest`` words,
   at the support lowered in proportion to its share of all bytes. A phrase with the full support has at least the lowered one in
   some shard, so the union of the shards' frequent phrases misses none. With many shards the lowered support would be 1 and
-  nothing would be left out, so there are few, and a shard is mined by all tasks that hold its documents. Phrases are named by
-  64-bit hashes here; a collision adds counts up and can only make a rare phrase a candidate.
+  nothing would be left out, so there are few (three: 4 of 10), and a shard is mined by all tasks that hold its documents. Phrases are named by
+  48-bit hashes here; a collision adds counts up and can only make a rare phrase a candidate.
   A row has all names of a chunk that fall into one bucket of names, so few and wide rows are shuffled; buckets are mined apart.
 - Counting. The candidates' names fill a Bloom filter of fixed size. All texts are read again, phrases that pass are counted
   globally as the words themselves, and the exact count decides. A false probe costs a row, a fuller filter more of them; the
@@ -36,15 +36,17 @@ from tidemark.llm.common import stored, table
 from tidemark.llm.hashing import SEED, mix, prefix_sums, ranges
 
 SUPPORT, LONGEST, TOP, SHARE_PERCENT = 10, 3, 2000, 50
-SHARDS = 5
+SHARDS = 3
 #: Bytes of text that are counted together, and the longest part of a text that is held at a time.
-CHUNK, SEGMENT = 4 << 20, 8 << 20
+CHUNK, SEGMENT = 2 << 20, 8 << 20
 #: Bytes of text whose phrases are mined by one group of a shard, more or less.
 BUCKET_BYTES = 16 << 20
+#: Bytes of a phrase's name while it is mined.
+NAME_BYTES = 6
 #: Bits of the filter, and of the part that one row of Spark's bitmap aggregates holds.
 FILTER_BITS, REGION_BITS = 27, 15
-#: Shares of a language that are ranked apart first.
-SALTS = 64
+#: Shares of a language that are ranked apart first, and then again: at most the last number times ``top`` rows of a language meet.
+SALTS = (64, 8)
 UNKNOWN = "und"
 
 WORD, GAP, BREAK = 0, 1, 2
@@ -79,7 +81,7 @@ def phrases(parts: list[tuple[bytes, int]], groups: np.ndarray, longest: int) ->
     inside = kind == WORD
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(kind == BREAK)[start]
+    piece = np.cumsum(kind == BREAK, dtype=np.int32)[start]
     sizes = np.array([len(p) for p, _ in parts], dtype=np.int64)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     number = np.searchsorted(begins, start, side="right") - 1
@@ -111,11 +113,11 @@ def _hashes(words: pa.Array) -> np.ndarray:
 
 
 def _names(groups: np.ndarray, words: list[np.ndarray], group_hash: np.ndarray, word_hash: np.ndarray) -> np.ndarray:
-    """64-bit names of phrases of one length."""
+    """Names of phrases of one length, as numbers of ``NAME_BYTES`` bytes."""
     name = mix(group_hash[groups] + np.uint64(len(words)) * SEED)
     for w in words:
         name = mix(name + word_hash[w])
-    return name
+    return name >> np.uint64(64 - 8 * NAME_BYTES)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[list, list]]:
@@ -156,17 +158,29 @@ def local_counts(docs: DataFrame, longest: int, bucket_bits: int) -> DataFrame:
             for number in np.unique(shard).tolist():
                 own = np.flatnonzero(shard == number)
                 own = own[np.argsort(name[own])]
-                bucket = (name[own] >> np.uint64(1) >> np.uint64(63 - bucket_bits)).astype(np.int64)
+                bucket = (name[own] >> np.uint64(8 * NAME_BYTES - bucket_bits)).astype(np.int64)
                 edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                 ends = np.concatenate([edge, [len(own)]])
-                columns = [pa.array(bucket[edge]), pa.array(np.full(len(edge), number, dtype=np.int32)), _packed(name[own], ends), _packed(n[own], ends)]
+                columns = [pa.array(bucket[edge]), pa.array(np.full(len(edge), number, dtype=np.int32)), _packed(_bytes(name[own]), ends), _packed(n[own], ends)]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "names", "counts"])
 
     return docs.select("text", "lang", "shard").mapInArrow(run, "bucket long, shard int, names binary, counts binary")
 
 
+def _bytes(name: np.ndarray) -> np.ndarray:
+    """Names in ``NAME_BYTES`` bytes each."""
+    return name.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES]
+
+
+def _unpacked(rows: list[bytes]) -> np.ndarray:
+    held = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(-1, NAME_BYTES)
+    out = np.zeros((len(held), 8), dtype=np.uint8)
+    out[:, :NAME_BYTES] = held
+    return out.view("<u8").ravel()
+
+
 def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    offsets = (ends * values.itemsize).astype(np.int32)
+    offsets = (ends * (values.nbytes // max(len(values), 1))).astype(np.int32)
     return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
@@ -178,7 +192,7 @@ def candidates(docs: DataFrame, lowered: dict[int, int], longest: int, bucket_bi
         for number, least in lowered.items():
             own = rows.filter(pc.equal(rows["shard"], number))
             if own.num_rows:
-                name = np.frombuffer(b"".join(own["names"].to_pylist()), dtype=np.uint64)
+                name = _unpacked(own["names"].to_pylist())
                 n = np.frombuffer(b"".join(own["counts"].to_pylist()), dtype=np.uint32).astype(np.int64)
                 order = np.argsort(name)
                 name = name[order]
@@ -200,7 +214,7 @@ def candidates(docs: DataFrame, lowered: dict[int, int], longest: int, bucket_bi
 
 def _places(name: np.ndarray) -> np.ndarray:
     """Bits of the filter that stand for names, all in the region of the name's highest bits."""
-    region = (name >> np.uint64(64 - FILTER_BITS + REGION_BITS)).astype(np.int64) << REGION_BITS
+    region = (name >> np.uint64(8 * NAME_BYTES - FILTER_BITS + REGION_BITS)).astype(np.int64) << REGION_BITS
     low = np.uint64((1 << REGION_BITS) - 1)
     return np.concatenate([region + ((name >> np.uint64(13 * k)) & low).astype(np.int64) for k in range(3)])
 
@@ -278,8 +292,10 @@ def mine(
     longer = longer.groupBy("lang", "phrase").agg(F.max("most").alias("most"))
     left = scored(counts).join(longer, ["lang", "phrase"], "left").filter(F.col("most").isNull() | (100 * F.col("most") < share_percent * F.col("a")))
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    near = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang", salt).orderBy(*order))).filter(F.col("rank") <= top)
+    near = left
+    for salts in SALTS:
+        salt = F.pmod(F.xxhash64("phrase"), F.lit(salts))
+        near = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang", salt).orderBy(*order))).filter(F.col("rank") <= top)
     best = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     words = counts.filter("size = 0").select("lang", "n")  # one row per language
     return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
