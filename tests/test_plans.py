@@ -209,6 +209,19 @@ def test_paths_scan_their_rows_twice(spark):
     assert text.count("FileScan") <= 2 and "Window" not in text
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("name, scans", [("cumulative_gmv_topn", 1), ("gmv_daily_report", 2), ("gmv_since_midnight", 2), ("launch_monitor", 9)])
+def test_reports_read_their_facts_once(spark, adaptive, name, scans):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+        df.collect()
+        text = plan(df).split("== Initial Plan")[0]
+        assert text.count("FileScan") <= scans
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_a_launch_costs_two_rows_at_most(spark):
     """Payments at every edge of the period are found, with spans as long as the period."""
     starts = spark.range(200).selectExpr("id AS product_id", "timestamp'1969-11-20 00:00:00' + make_dt_interval(cast(id / 2 as int), cast(id % 24 as int)) AS online_time")

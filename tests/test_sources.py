@@ -156,3 +156,12 @@ def test_the_newest_partition_is_found_by_its_name(spark, folder):
     spark.range(3).withColumn("n", F.col("id") + 9).write.partitionBy("n").parquet(f"{folder}/n")
     assert [r.n for r in partitions.read_latest(spark, f"{folder}/n", "n").collect()] == [11]
     assert partitions.read_latest(spark, f"{folder}/n/n=9").count() == 1
+
+
+def test_fields_get_their_types_when_they_are_used(spark):
+    texts = ['{"id":"1","ts":5,"size":"x"}', '{"id":2,"ts":"7"}', '{"ts":{}}', "[1]", "broken", "", None, ' {"id":null}', '"{"']
+    df = spark.createDataFrame([(t, n) for n, t in enumerate(texts)], "value string, n int")
+    got = records.typed(records.variant_records(df), records.ORDER_LINE)
+    assert sorted((r.n, r.id, r.ts, r.size) for r in got.collect()) == [(0, "1", 5, "x"), (1, "2", 7, None), (2, None, None, None), (7, None, None, None)]
+    plan = got.select("id", "ts")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get") == 2 and plan.lower().count("parsejson") == 1

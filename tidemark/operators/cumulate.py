@@ -27,12 +27,16 @@ def steps_per_day(step: str | int) -> int:
 
 
 def with_step(df: DataFrame, ts: str, step: str | int, zone: str | None = None) -> DataFrame:
-    """Add the local day and the number of the step within it; rows without event time are left out."""
+    """Add the local day and the number of the step within it; rows without event time are left out.
+
+    Both are said to be there, so that plans which join on them do not differ from plans which do not, and share one exchange.
+    """
     steps_per_day(step)
     wall = wall_clock(F.col(ts), zone)
-    return df.filter(F.col(ts).isNotNull()).withColumns(
+    placed = df.filter(F.col(ts).isNotNull()).withColumns(
         {DAY: F.to_date(wall), STEP: F.floor(second_of_day(wall) / seconds_of(step)).cast("int")}
     )
+    return placed.filter(F.col(DAY).isNotNull() & F.col(STEP).isNotNull())
 
 
 def step_partials(

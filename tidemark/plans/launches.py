@@ -114,7 +114,6 @@ def launch_monitor(
     new_tags = _latest(tags).filter(F.col("is_tmall_new_product") == 1).select("product_id")
     found = launches(products, history).join(new_tags, "product_id", "left_semi")
     wanted = found.select("product_id").distinct()
-    paid_orders = _paid(orders).join(wanted, "product_id", "left_semi")
     viewers = (
         _latest(behavior)
         .filter(F.col("behavior_type") == view_type)
@@ -122,17 +121,23 @@ def launch_monitor(
         .join(wanted, "product_id", "left_semi")
         .distinct()
     )
-    payments = payments_after(orders, found, days)
+    # orders are read once for all figures: a paid line adds its amount for every launch it follows closely enough
+    per_product = found.select("product_id", "online_time").distinct().groupBy("product_id").agg(F.collect_list("online_time").alias("_launched"))
+    per_product = per_product.withColumn("_times", F.lit(1).cast("bigint"))
     if faithful:
-        weights = _fan_out(new_tags, viewers, found)
-        payments = payments.join(weights, "product_id").withColumn("paid", F.col("paid") * F.col("_times"))
-    # one scan for both: lines of an order collapse to one row before the shuffle
-    buyers = paid_orders.select("order_id", "user_id").distinct()
-    bought = F.struct(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("users"))
+        per_product = per_product.drop("_times").join(_fan_out(new_tags, viewers, found), "product_id")
+    paid = _paid(orders).select("product_id", "order_id", "user_id", "payment_time", "payment_amount").join(per_product, "product_id")
+    period = F.make_dt_interval(F.lit(days))
+    follows = F.filter("_launched", lambda t: F.col("payment_time").between(t, t + period))
+    repeats = (F.size(follows) * F.col("_times")).cast("decimal(18,0)")
+    # lines of an order collapse to one row before the shuffle
+    bought_by = paid.groupBy("order_id", "user_id").agg(F.sum(F.col("payment_amount") * repeats).alias("paid"))
+    bought = F.struct(
+        _money(F.sum("paid")).alias("paid"), F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("users")
+    )
     figures = {
         "new_product_count": wanted.agg(F.count(F.lit(1))),
-        "total_payment_amount": payments.agg(_money(F.sum("paid"))),
-        "_bought": buyers.agg(bought),
+        "_bought": bought_by.agg(bought),
         "_viewers": viewers.agg(F.count_distinct("user_id")),
     }
     # one-row results side by side: each is a scalar subquery
@@ -141,7 +146,7 @@ def launch_monitor(
     return one.filter(F.col("new_product_count") > 0).select(
         F.lit(label).alias("period_type"),
         "new_product_count",
-        "total_payment_amount",
+        F.col("_bought.paid").alias("total_payment_amount"),
         F.col("_bought.orders").alias("total_order_count"),
         F.col("_bought.users").alias("total_user_count"),
         F.when(F.col("_viewers") > 0, rate).otherwise(F.lit(0)).cast("decimal(38,2)").alias("conversion_rate"),

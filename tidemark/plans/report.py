@@ -19,8 +19,7 @@ def daily_report(gmv: DataFrame, products: DataFrame, k: int = 5, ids: str = "to
     """One row per day from the intraday report and the product names.
 
     ``similarity_rate`` is the share of ``k`` names that the day before listed too, ``dod_rate`` the growth of
-    ``win_gmv`` over the day before (NULL without one). ``products`` is read for the listed ids only and may repeat
-    ids: the first name in order counts. Rows per day are few, so the day-on-day step runs on one row per day.
+    ``win_gmv`` over the day before (NULL without one). ``products`` may repeat ids: the first name in order counts. Rows per day are few, so the day-on-day step runs on one row per day.
     """
     clocks = gmv.select(
         F.col("ds").cast("date").alias("ds"),
@@ -32,9 +31,9 @@ def daily_report(gmv: DataFrame, products: DataFrame, k: int = 5, ids: str = "to
     days = latest_per_group(clocks, ["ds"], ["window_end"])
     day = ["ds", "window_start", "window_end", "win_gmv"]
     listed = days.select(*day, F.posexplode(F.split("_ids", ",")).alias("_pos", "product_id"))
+    # the names are not narrowed to the listed ids first: that would compute the report, the larger part, twice
     names = (
         products.select(F.col("product_id").cast("string").alias("product_id"), "product_desc")
-        .join(listed.select("product_id"), "product_id", "left_semi")
         .groupBy("product_id")
         .agg(F.min("product_desc").alias("product_desc"))
     )

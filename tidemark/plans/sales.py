@@ -120,15 +120,20 @@ def report_money(steps: DataFrame) -> DataFrame:
     return steps.withColumn("product_gmv", F.col("product_gmv").cast("decimal(18,2)"))
 
 
-def gmv_topn_from_steps(sums: DataFrame, step: str = "10 minutes", k: int = 5, steps: tuple[Column, Column] | None = None) -> DataFrame:
+def gmv_topn_from_steps(
+    sums: DataFrame, step: str = "10 minutes", k: int = 5, steps: tuple[Column, Column] | None = None, with_total: bool = True
+) -> DataFrame:
     """Report rows from revenue per step and product, of all steps or of ``steps``; see ``gmv_topn``."""
     ranked = cumulate_top(sums, step, "clean_product_id", "product_gmv", k, steps)
     top = rank_list(
         ranked, [DAY, STEP], "clean_product_id", k, F.sum("product_gmv").cast("decimal(18,2)").alias("win_gmv"), pad=False
     )
-    totals = sums.groupBy(DAY, STEP).agg(F.sum("product_gmv").alias("total_gmv"))
-    total = every_step(running_spans(totals, step, ["total_gmv"], steps=steps))
-    report = _clock_bounds(with_bounds(top.join(total, [DAY, STEP]), step))
+    report = top
+    if with_total:
+        totals = sums.groupBy(DAY, STEP).agg(F.sum("product_gmv").alias("total_gmv"))
+        total = every_step(running_spans(totals, step, ["total_gmv"], steps=steps))
+        report = top.join(total, [DAY, STEP]).withColumn("total_gmv", F.col("total_gmv").cast("decimal(18,2)"))
+    report = _clock_bounds(with_bounds(report, step))
     return report.select(
         F.to_date("window_start").alias("ds"),
         "window_start",
@@ -136,16 +141,16 @@ def gmv_topn_from_steps(sums: DataFrame, step: str = "10 minutes", k: int = 5, s
         "win_gmv",
         F.col("top_list").alias("win_gmv_ids"),
         F.col("top_list").alias(f"top{k}_product_ids"),
-        F.col("total_gmv").cast("decimal(18,2)").alias("total_gmv"),
+        *(["total_gmv"] if with_total else []),
     )
 
 
 def gmv_topn(
-    orders: DataFrame, step: str = "10 minutes", k: int = 5, ts: str = "ts", zone: str | None = None
+    orders: DataFrame, step: str = "10 minutes", k: int = 5, ts: str = "ts", zone: str | None = None, with_total: bool = True
 ) -> DataFrame:
     """Intraday report: per cumulative window the ``k`` products with the greatest revenue.
 
     ``win_gmv`` is the revenue of the listed products and ``win_gmv_ids`` repeats their list, as the report table
-    defines them; ``total_gmv`` is the revenue of all products.
+    defines them; ``total_gmv`` is the revenue of all products. Both come from one exchange of the step sums.
     """
-    return gmv_topn_from_steps(gmv_steps(orders, step, ts, zone), step, k)
+    return gmv_topn_from_steps(gmv_steps(orders, step, ts, zone), step, k, with_total=with_total)

@@ -70,6 +70,26 @@ def rejects(df: DataFrame, schema: T.StructType, column: str = "value") -> DataF
     return parsed.filter(bad).select(*df.columns)
 
 
+def variant_records(df: DataFrame, column: str = "value", record: str = "record") -> DataFrame:
+    """JSON text read once, to a variant that names no fields yet; rows that are not a JSON object are dropped.
+
+    ``typed`` gives fields their types, only those that a query goes on to use.
+    """
+    others = [c for c in df.columns if c != column]
+    # rows of a generator are not read again by each filter and projection, see ``parsed_once``
+    parsed = df.withColumn(record, F.explode(F.array(F.try_parse_json(column))))
+    return parsed.filter(F.col(record).isNotNull() & F.startswith(strip(F.col(column)), F.lit("{"))).select(*others, record)
+
+
+def typed(df: DataFrame, schema: T.StructType, record: str = "record") -> DataFrame:
+    """The fields of ``schema`` from variant records, leniently: a missing field, or one that cannot be of its type, is NULL.
+
+    A number in quotes counts as a number here, which ``parse_json`` does not take.
+    """
+    fields = [F.try_variant_get(record, f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return df.select(*(c for c in df.columns if c != record), *fields)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, streaming: bool = False) -> DataFrame:
     """JSON-lines files to rows, leniently, as a table or a file stream."""
     lines = (spark.readStream if streaming else spark.read).text(path)

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.clock import day_text, seconds_of
 from tidemark.functions.text import clean_id, present
 from tidemark.operators.cumulate import best
+from tidemark.operators.lookup import as_of
 from tidemark.operators.merging import ranked_snapshot, stamped
 from tidemark.operators.paths import PIECE, common, path_pieces, user_digests, written_out
 from tidemark.operators.ranking import rank_list, top_rows
@@ -297,6 +298,31 @@ def keyword_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return read_batches(spark, f"{path}/rankings")
 
 
+def stream_as_of(
+    facts: DataFrame,
+    changes_path: str,
+    path: str,
+    checkpoint: str,
+    key: str,
+    ts: str,
+    at: str,
+    columns: Sequence[str],
+    deleted: Column | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Facts with the values of a dimension that were valid at their time, stored per batch.
+
+    The dimension's changes are a table that another stream appends to (``batch_sink``); each batch reads what has landed, so it
+    must be ahead of the facts by event time. No state is kept.
+    """
+    spark = facts.sparkSession
+
+    def looked_up(batch: DataFrame) -> DataFrame:
+        return as_of(batch, append_view(spark, changes_path), key, ts, at, columns, deleted=deleted)
+
+    return start(facts, batch_sink(path, looked_up), checkpoint, every=every)
+
+
 def stream_changes(
     envelopes: DataFrame, path: str, checkpoint: str, keys: list[str], order_by: list[str], every: str | None = None
 ) -> StreamingQuery:

@@ -199,3 +199,24 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
 def _epoch(number: Column) -> Column:
     # odd events in seconds, even ones in milliseconds
     return F.when(number % 2 == 1, number + 1_700_000_000).otherwise((number + 1_700_000_000) * 1000)
+
+
+def renamed_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of product names: there from 2024-01-03, each renamed some hours later, every third deleted after another day."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id"), "p_partkey", "p_name")
+    begin = F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")
+
+    def change(hours: Column, name: Column, op: str) -> Column:
+        at = F.timestamp_add("HOUR", hours.cast("int"), begin)
+        return F.struct(at.alias("at"), name.alias("product_desc"), F.lit(op).alias("op"))
+
+    hours = F.col("p_partkey") % 500
+    third = F.when(F.col("p_partkey") % 3 == 0, change(hours + 24, F.lit(None).cast("string"), "d"))
+    changes = F.array(change(F.lit(0), F.col("p_name"), "c"), change(hours, F.concat(F.lit("new "), "p_name"), "u"), third)
+    return part.select("product_id", F.explode(F.array_compact(changes)).alias("x")).select("product_id", "x.*")
+
+
+RENAMED = """renamed AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, unnest([
+    {'at': TIMESTAMP '2024-01-03', 'n': 1, 'name': p_name}, {'at': TIMESTAMP '2024-01-03' + to_hours(p_partkey % 500), 'n': 2, 'name': 'new ' || p_name},
+    {'at': CASE WHEN p_partkey % 3 = 0 THEN TIMESTAMP '2024-01-03' + to_hours(p_partkey % 500 + 24) END, 'n': 3, 'name': NULL}]) AS x FROM part)"""

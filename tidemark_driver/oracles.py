@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark_driver.inputs import LAUNCH_TABLES, ORDER_LINES, USER_LOGS
+from tidemark_driver.inputs import LAUNCH_TABLES, ORDER_LINES, RENAMED, USER_LOGS
 from tidemark.functions.device import MAKERS
 from tidemark.functions.region import AUTONOMOUS, MUNICIPALITIES, PROVINCES, SPECIAL
 from tidemark.functions.text import VALID_TEXT
@@ -367,3 +367,9 @@ SQL["cdc_handed_over"] = SQL["cdc_latest_state"]
 # changed orders go out as changes only, the others once as they were loaded; deletes have no row
 SQL["cdc_handed_over_in_order"] = f"""WITH {CHANGES}
 {_IMAGE}, 'shop.oms.orders' AS table_name, op FROM kept WHERE op = 'u' OR (op = 'r' AND o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0)"""
+SQL["names_as_of"] = f"""WITH {ORDER_LINES}, {RENAMED}, versions AS (
+  SELECT product_id, x.at AS since, lead(x.at) OVER (PARTITION BY product_id ORDER BY x.at, x.n) AS until, x.name AS name FROM renamed WHERE x.at IS NOT NULL)
+SELECT o.id, o.product_id, v.name AS product_desc FROM order_lines o
+LEFT JOIN versions v ON v.product_id = o.product_id AND v.since <= o.ts AND (v.until IS NULL OR o.ts < v.until)"""
+SQL["stream_names_as_of"] = SQL["names_as_of"]
+SQL["json_typed"] = SQL["json_lenient"]

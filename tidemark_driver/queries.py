@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark_driver import inputs as i
 from tidemark.functions import clock, device, keys, numeric, region, text
-from tidemark.operators import membership, merging, ranking
+from tidemark.operators import lookup, membership, merging, ranking
 from tidemark.plans import launches, logs, profile, report, sales
 from tidemark.sources import cells, changes, handover, partitions, rates, records
 from tidemark.sources.database import camel_columns
@@ -87,13 +87,30 @@ def gmv_since_midnight(spark, sf):
 
 @query
 def gmv_daily_report(spark, sf):
-    daily = report.daily_report(sales.gmv_topn(i.order_lines(spark, sf)), i.product_names(spark, sf))
+    daily = report.daily_report(sales.gmv_topn(i.order_lines(spark, sf), with_total=False), i.product_names(spark, sf))
     return _windows(daily)
 
 
 # --- user logs -------------------------------------------------------------------------------------------------------
 
 
+@query
+def names_as_of(spark, sf):
+    lines = i.order_lines(spark, sf).select("id", "product_id", "ts")
+    named = lookup.as_of(lines, i.renamed_products(spark, sf), "product_id", "ts", "at", ["product_desc"], deleted=F.col("op") == "d")
+    return named.select("id", "product_id", "product_desc")
+
+
+@query
+def stream_names_as_of(spark, sf):
+    lines = i.lines_from(_event_stream(spark, sf)).select("id", "product_id", "ts")
+    folder = tables.shared_folder(spark, "renamed")
+    tables.write_batch(i.renamed_products(spark, sf), folder, 0)
+    ended = F.col("op") == "d"
+    path = _run(spark, "named", lambda t, c: reports.stream_as_of(lines, folder, t, c, "product_id", "ts", "at", ["product_desc"], ended))
+    return tables.append_view(spark, path).select("id", "product_id", "product_desc")
+
+
 @query
 def page_pv(spark, sf):
     return logs.page_pv(i.user_logs(spark, sf))
@@ -323,6 +340,12 @@ def json_lenient(spark, sf):
     return records.parse_json(i.raw_records(spark, sf), RAW)
 
 
+@query
+def json_typed(spark, sf):
+    read = records.variant_records(i.raw_records(spark, sf))
+    return records.typed(read, RAW)
+
+
 @query
 def json_keep(spark, sf):
     return records.parse_json(i.raw_records(spark, sf), RAW, on_bad="keep").select("event_id", "id", "is_bad")
