@@ -133,8 +133,11 @@ def test_amount_edges(spark):
     assert each(spark, values, numeric.amount) == expected
     long = each(spark, ["1e100000", "12.5e3", "1.50e1", "-1E-3", "0e999999999999", ".e5"], numeric.amount)
     assert long == ["1" + "0" * 100000, "12500", "15.0", "-0.001", "0", None]
-    with pytest.raises(Exception, match="digits"):
-        each(spark, ["1e99999999999"], numeric.amount)
+    edges = ["1e99", "1e100", "1e-100", "1e-101", "1.5e99", "1.5e100", "0e999", "1e99999999999999999999", "-2E-99999999999999999999", ".5e101", "1e", "x", None, "5"]
+    far = [False, True, False, True, False, True, False, True, True, True, False, False, False, False]
+    assert each(spark, edges, lambda c: numeric.too_long(c, 100)) == far
+    written = each(spark, edges, lambda c: numeric.amount(c, longest=100))
+    assert [w is None for w in written[:10]] == far[:10] and written[1] is None and written[2] == "0." + "0" * 99 + "1"
     scaled = each(spark, ["1500000000000000000", "1000000000000000000", "0", "-1", "2.00", "10" + "0" * 18 + ".00"], lambda c: numeric.amount(c, 18))
     assert scaled == ["1.5", "1", "0", "-0.000000000000000001", "0.000000000000000002", "10.00"]
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 _PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 _SHORT_HEX = r"^0x[0-9a-fA-F]{1,31}$"
-#: Digits that a text column can well hold. A longer number is an error, not a missing one.
-LONGEST = 1_000_000_000
+_EXPONENT = r"^[+-]?(\d*)\.?(\d*)[eE]([+-]?\d+)$"
+#: Digits that a number with an exponent may take when it is written out. ``too_long`` tells the others.
+LONGEST = 1_000_000
 
 
 def _short_hex(col: Column) -> Column:
@@ -20,10 +21,18 @@ def _short_hex(col: Column) -> Column:
     return (high * F.lit(1 << 60).cast("decimal(19,0)") + low).cast("decimal(38,0)").cast("string")
 
 
-def _any_number():
-    # a closure, so that executors get it by value and need no copy of this package
-    longest = LONGEST
+def too_long(col: Column, longest: int = LONGEST) -> Column:
+    """Whether a text is a number whose exponent asks for more than ``longest`` digits: the rows to reject."""
+    whole, part = F.regexp_extract(col, _EXPONENT, 1), F.regexp_extract(col, _EXPONENT, 2)
+    power = F.regexp_extract(col, _EXPONENT, 3).try_cast("bigint")
+    size = F.length(whole) + F.length(part)
+    beyond = power.isNull() | (F.abs(power) > 2 * longest + size)  # no sum of it can overflow
+    digits = F.when(beyond, longest + 1).otherwise(F.greatest(F.length(whole) + power, F.length(part) - power))
+    return F.coalesce(col.rlike(_EXPONENT) & F.concat(whole, part).rlike("[1-9]") & (digits > longest), F.lit(False))
+
 
+def _any_number(longest: int):
+    # a closure, so that executors get it by value and need no copy of this package
     def convert(texts: pd.Series) -> pd.Series:
         import re
         import sys
@@ -45,7 +54,7 @@ def _any_number():
                 return "0"
             point = len(whole) + power  # the point stands before this digit
             if max(point, len(digits) - point) > longest:
-                raise ValueError(f"a number of more than {longest} digits: {text[:40]}")
+                return None
             left = digits[: max(point, 0)].ljust(point, "0") or "0"
             right = "0" * max(-point, 0) + digits[max(point, 0) :]
             return sign.strip("+") + left + ("." + right if right else "")
@@ -82,17 +91,17 @@ def _shift(plain: Column, scale: int) -> Column:
     return F.when(plain.isNotNull(), _let(parts, written))
 
 
-def amount(col: Column, scale: int = 0) -> Column:
+def amount(col: Column, scale: int = 0, longest: int = LONGEST) -> Column:
     """Plain decimal text of a number written in ``0x`` hex or decimal, divided by ``10^scale``; NULL gives ``"0"``.
 
     Up to 31 hex digits and any plain decimal stay JVM-side. Only longer hex and exponent forms visit Python: the
-    other rows cross over as NULL. Exponents have any size; a number too long to be written out fails the query. Unreadable text
-    gives NULL.
+    other rows cross over as NULL. An exponent that asks for more than ``longest`` digits gives NULL, as unreadable text does, so no
+    record takes more memory than that; ``too_long`` finds such rows.
     """
     simple = col.rlike(_PLAIN) | col.rlike(_SHORT_HEX)
     plain = (
         F.when(col.rlike(_SHORT_HEX), _short_hex(col))
         .when(col.rlike(_PLAIN), col)
-        .otherwise(_any_number()(F.when(~simple, col)))
+        .otherwise(_any_number(longest)(F.when(~simple, col)))
     )
     return F.when(col.isNull(), F.lit("0")).otherwise(_let(plain, lambda p: _shift(p, scale)))

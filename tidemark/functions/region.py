@@ -35,8 +35,8 @@ def in_china(region: Column) -> Column:
 def province(region: Column) -> Column:
     """Official province named in the text: official names are looked for first, then short ones; none gives ``""``."""
     full = [name + "特别行政区" if name in SPECIAL else official for name, official in OFFICIAL.items()]
-    names = F.split(F.lit(",".join([*full, *OFFICIAL])), ",")
-    results = F.split(F.lit(",".join([*OFFICIAL.values()] * 2)), ",")
+    names = F.array(*map(F.lit, [*full, *OFFICIAL]))
+    results = F.array(*map(F.lit, [*OFFICIAL.values()] * 2))
 
     def first_named(place: Column) -> Column:
         hits = F.transform(names, lambda name: F.contains(place, name))

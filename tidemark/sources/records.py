@@ -11,21 +11,22 @@ from tidemark.functions.text import strip
 _CORRUPT = "_corrupt_record"
 
 
-def text_schema(names: str, numbers: tuple[str, ...] = ()) -> T.StructType:
-    """Schema of space-separated field names: text, except ``numbers``, which are whole numbers."""
-    kinds = {name: T.LongType() if name in numbers else T.StringType() for name in names.split()}
-    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
-
-
-ORDER_LINE = text_schema(
-    "id order_id user_id user_name phone_number product_link product_id color size item_id material sale_num sale_amount "
-    "total_amount product_name is_online_sales shipping_address recommendations_product_ids ds ts insert_time table_name op",
-    numbers=("ts",),
-)
-
-USER_LOG = text_schema(
-    "user_id log_type ts keywords region opa pageinfo brand device plat platv softv", numbers=("ts",)
-)
+def text_schema(names: str | tuple[str, ...], numbers: tuple[str, ...] = ()) -> T.StructType:
+    """Schema of field names, a tuple or one spaced text: text, except ``numbers``, which are whole numbers."""
+    listed = names.split() if isinstance(names, str) else names
+    return T.StructType([T.StructField(name, T.LongType() if name in numbers else T.StringType()) for name in listed])
+
+
+# The fields of an order line and of a user log.
+ORDER_FIELDS = (
+    "id", "order_id", "user_id", "user_name", "phone_number", "product_link", "product_id", "color", "size", "item_id", "material", "sale_num",
+    "sale_amount", "total_amount", "product_name", "is_online_sales", "shipping_address", "recommendations_product_ids", "ds", "ts", "insert_time",
+    "table_name", "op",
+)
+LOG_FIELDS = ("user_id", "log_type", "ts", "keywords", "region", "opa", "pageinfo", "brand", "device", "plat", "platv", "softv")
+
+ORDER_LINE = text_schema(ORDER_FIELDS, numbers=("ts",))
+USER_LOG = text_schema(LOG_FIELDS, numbers=("ts",))
 
 
 def parsed_once(df: DataFrame, column: str, schema: T.StructType, options: dict[str, str]) -> DataFrame:

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from tidemark_driver.inputs import LAUNCH_TABLES, ORDER_LINES, RENAMED, USER_LOGS
-from tidemark.functions.device import MAKERS
-from tidemark.functions.region import AUTONOMOUS, MUNICIPALITIES, PROVINCES, SPECIAL
 from tidemark.functions.text import VALID_TEXT
+from tidemark_driver.inputs import LAUNCH_TABLES, ORDER_LINES, RENAMED, USER_LOGS
 
 SQL: dict[str, str] = {}
 
+# Fixed values, written here again so that a wrong one in the library shows.
+MAKERS = {
+    "华为": ("huawei", "honor"), "小米": ("xiaomi", "mi ", "redmi"), "OPPO": ("oppo",), "VIVO": ("vivo",), "三星": ("samsung",),
+    "一加": ("oneplus",), "Realme": ("realme",),
+}
+MUNICIPALITIES = ("北京", "天津", "上海", "重庆")
+PROVINCES = (
+    "河北", "山西", "辽宁", "吉林", "黑龙江", "江苏", "浙江", "安徽", "福建", "江西", "山东", "河南", "湖北", "湖南", "广东", "海南", "四川",
+    "贵州", "云南", "陕西", "甘肃", "青海", "台湾",
+)
+AUTONOMOUS = {"内蒙古": "自治区", "广西": "壮族自治区", "西藏": "自治区", "宁夏": "回族自治区", "新疆": "维吾尔自治区"}
+SPECIAL = ("香港", "澳门")
+
 CLOCK = "'%Y-%m-%d %H:%M:%S'"
 ENDS = f"strftime(CAST(g.day AS TIMESTAMP), {CLOCK}) AS window_start, strftime(CAST(g.day AS TIMESTAMP) + {{end}}, {CLOCK}) AS window_end"
 
@@ -373,3 +384,20 @@ SELECT o.id, o.product_id, v.name AS product_desc FROM order_lines o
 LEFT JOIN versions v ON v.product_id = o.product_id AND v.since <= o.ts AND (v.until IS NULL OR o.ts < v.until)"""
 SQL["stream_names_as_of"] = SQL["names_as_of"]
 SQL["json_typed"] = SQL["json_lenient"]
+
+# --- messages, files and event time ----------------------------------------------------------------------------------
+
+_TEXT = """CASE kind WHEN 0 THEN '{"id":"' || id || '"' WHEN 1 THEN event_type WHEN 2 THEN ''
+  WHEN 3 THEN '{"id":"' || id || '","total_amount":"' || amount || '","ts":"soon"}'
+  WHEN 4 THEN '{"id":"' || id || '","total_amount":null,"ts":' || epoch || '}' WHEN 5 THEN '{"id":"' || id || '","ts":' || epoch || '}'
+  ELSE '{"id":"' || id || '","total_amount":"' || amount || '","ts":' || epoch || '}' END"""
+SQL["topic_texts"] = f"WITH {RECORDS} SELECT {_TEXT} AS value, COUNT(*) AS messages FROM records WHERE event_id % 4 > 0 GROUP BY ALL"
+SQL["topic_messages"] = f"""WITH {ORDER_LINES} SELECT product_id AS key,
+  '{{"id":"' || id || '","product_id":"' || product_id || '","total_amount":"' || CAST(CAST(amount AS DECIMAL(10,2)) AS VARCHAR) || '"}}' AS value
+FROM order_lines"""
+SQL["json_lines_roundtrip"] = SQL["json_lenient"].replace("SELECT event_id, id", "SELECT id")
+SQL["partitioned_files"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
+SQL["bucketed_table"] = "SELECT o_custkey, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(38,2)) AS spent FROM orders GROUP BY 1"
+SQL["truncated_folder"] = "SELECT COUNT(*) AS rows_left, MIN(c_custkey) AS least FROM customer WHERE c_custkey % 10 = 0"
+SQL["event_times"] = """SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_id * 1000 WHEN event_id % 2 = 0 THEN event_id ELSE 0 END AS millis FROM events"""
+SQL["json_event_times"] = f"WITH {RECORDS} SELECT event_id, CASE WHEN kind > 3 THEN epoch ELSE 0 END AS millis FROM records"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from tidemark_driver import inputs as i
 from tidemark.functions import clock, device, keys, numeric, region, text
 from tidemark.operators import lookup, membership, merging, ranking
 from tidemark.plans import launches, logs, profile, report, sales
-from tidemark.sources import cells, changes, handover, partitions, rates, records
+from tidemark.sources import cells, changes, handover, partitions, rates, records, topics
 from tidemark.sources.database import camel_columns
-from tidemark.streaming import reports, tables
+from tidemark.streaming import eventtime, reports, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -592,6 +593,67 @@ def ranked_snapshot(spark, sf):
     return merging.ranked_snapshot(logs.keyword_top10(i.search_logs(spark, sf)), F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
 
 
+# --- messages, files and event time ----------------------------------------------------------------------------------
+
+
+@query
+def topic_texts(spark, sf):
+    lines = i.raw_records(spark, sf).select("event_id", F.when(F.col("event_id") % 4 > 0, F.col("value")).cast("binary").alias("value"))
+    return topics.text_values(lines).groupBy("value").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def topic_messages(spark, sf):
+    rows = i.order_lines(spark, sf).select("id", "product_id", "total_amount")
+    sent = topics.to_topic_value(rows, F.col("product_id"))
+    return sent.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query
+def json_lines_roundtrip(spark, sf):
+    path = tables.shared_folder(spark, "lines")
+    records.write_text(i.raw_records(spark, sf).select("value"), path)
+    return records.read_json_lines(spark, path, RAW)
+
+
+@query
+def partitioned_files(spark, sf):
+    path = tables.shared_folder(spark, "orders")
+    orders = i.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    records.write_partitioned(orders, path, "o_orderstatus")
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query
+def bucketed_table(spark, sf):
+    name = f"customers_{uuid.uuid4().hex}"
+    records.save_bucketed(i.table(spark, sf, "orders").select("o_custkey", "o_totalprice"), name, "o_custkey")
+    spent = F.sum(F.col("o_totalprice").cast("decimal(12,2)")).cast("decimal(38,2)")
+    return spark.table(name).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), spent.alias("spent"))
+
+
+@query
+def truncated_folder(spark, sf):
+    path = tables.shared_folder(spark, "emptied")
+    i.table(spark, sf, "customer").select("c_custkey", "c_name").write.parquet(path)
+    records.truncate(spark, path)
+    left = spark.read.parquet(path).unionByName(i.table(spark, sf, "customer").select("c_custkey", "c_name").filter("c_custkey % 10 = 0"))
+    return left.agg(F.count(F.lit(1)).alias("rows_left"), F.min("c_custkey").alias("least"))
+
+
+@query
+def event_times(spark, sf):
+    log = i.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 > 0, F.col("event_id") * 1000).cast("string").alias("first"), F.col("event_id").alias("second"))
+    timed = eventtime.with_event_time(log, F.col("first"), F.when(F.col("second") % 2 == 0, F.col("second")))
+    return timed.select("event_id", F.unix_millis("event_time").alias("millis"))
+
+
+@query
+def json_event_times(spark, sf):
+    timed = eventtime.json_event_time(i.raw_records(spark, sf), "ts")
+    return timed.select("event_id", F.unix_millis("event_time").alias("millis"))
+
+
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 
