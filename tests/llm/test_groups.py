@@ -50,7 +50,6 @@ def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = Counter()
     for doc_id, text in texts:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END]
@@ -90,7 +89,6 @@ def test_units_equal_the_library(text):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     assert packing.units(path, public_tokenizers.PATTERN).encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -202,18 +200,19 @@ def test_components_of_chains_and_stars(spark):
 
 
 def removed_by_hand(rows):
+    """Rows of one id are documents of their own, ordered by the MD5 of their text; equal rows are one."""
     seen, out = {}, Counter()
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
-    for i, text in order:
-        data = (text or "").encode()
+    keys = {(i is not None, i or 0, hashlib.md5((text or "").encode()).digest()): (text or "").encode() for i, text in rows}
+    for key in sorted(keys):
+        data = keys[key]
         for p in range(len(data) - 99):
-            key = (i is not None, i or 0, p)
-            seen[data[p : p + 100]] = min(seen.get(data[p : p + 100], key), key)
+            seen.setdefault(data[p : p + 100], (key, p))
     for i, text in rows:
         data = (text or "").encode()
+        key = (i is not None, i or 0, hashlib.md5(data).digest())
         gone = np.zeros(len(data) + 1, dtype=int)
         for p in range(len(data) - 99):
-            if seen[data[p : p + 100]] < (i is not None, i or 0, p):
+            if seen[data[p : p + 100]] < (key, p):
                 gone[p] += 1
                 gone[p + 100] -= 1
         mask = np.cumsum(gone[:-1]) > 0
@@ -223,17 +222,65 @@ def removed_by_hand(rows):
     return out
 
 
-def test_suffix_dedup_equals_brute_force(spark, odd):
+def removed(frame):
+    c = F.col("cut")
+    got = suffixes.remove(frame, into="cut").select("doc_id", c["n_bytes"], c["n_removed"], c["n_spans"], F.sha2(c["kept"], 256))
+    return Counter(tuple(r) for r in got.collect())
+
+
+@pytest.mark.parametrize("hot", [10**6, 1])
+def test_suffix_dedup_equals_brute_force(spark, odd, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 5_000)
     passage = prose(40, 30)
     rows = [(n, prose(n, 20) + (" " + passage + " " if n % 3 else passage[n:]) + prose(100 + n, 10)) for n in range(30)]
     rows += [(50, "ab" * 400), (51, "x" * 99), (52, "x" * 100), (53, "x" * 130), (54, "é" * 120), (55, prose(1, 20) + passage[:60] + "!" + passage[60:])]
+    rows += [(None, passage + prose(n, 3)) for n in range(6)] + [(7, passage), (7, "!" + passage)]
     for frame, texts in ((documents(spark, rows), rows), (odd, [(r["doc_id"], r["text"]) for r in odd.collect()])):
-        c = F.col("cut")
-        got = suffixes.remove(frame, into="cut").select("doc_id", c["n_bytes"], c["n_removed"], c["n_spans"], F.sha2(c["kept"], 256))
-        assert Counter(tuple(r) for r in got.collect()) == removed_by_hand(texts)
+        assert removed(frame) == removed_by_hand(texts)
     assert suffixes.remove(odd.filter("false"), into="cut").count() == 0
 
 
+def test_ten_thousand_rows_without_an_id_lose_their_repeats(spark):
+    rows = [(None, f"{prose(n % 7, 25)} {n % 40}") for n in range(10_000)]
+    assert removed(documents(spark, rows)) == removed_by_hand(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_suffixes_are_sorted_by_hash_comparisons(seed):
+    rng = np.random.default_rng(seed)
+    passages = [bytes(rng.integers(97, 99, 160).astype(np.uint8)) for _ in range(5)]
+    passages += [passages[0][:140], b"a" * 150, b"a" * 130, passages[1]]
+    suffixes_ = suffixes.Suffixes(passages)
+    size = np.array([len(p) for p in passages])
+    first = np.cumsum(size) - size
+    suffix = np.concatenate([f + np.arange(n - 99) for f, n in zip(first, size)])
+    group = np.sort(rng.integers(0, 4, len(suffix)))
+    rng.shuffle(suffix)
+    data = b"".join(passages)
+    got = suffixes_.sort(suffix, group)
+    for g in range(4):
+        own = [data[p : p + 100] for p in got[group == g].tolist()]
+        assert own == sorted(own) and sorted(got[group == g]) == sorted(suffix[group == g])
+    a, b = rng.choice(suffix, 200), rng.choice(suffix, 200)
+    want = [next((k for k in range(100) if data[x + k] != data[y + k]), 100) for x, y in zip(a.tolist(), b.tolist())]
+    assert suffixes_.common(a, b).tolist() == want
+
+
+def test_collided_hashes_change_nothing(monkeypatch):
+    """With hashes that say nothing the order is wrong; the bytes show it, and decide."""
+    rng = np.random.default_rng(1)
+    passages = [bytes(rng.integers(97, 99, 120).astype(np.uint8)) for _ in range(6)]
+    passages += [passages[0], passages[2][:110], passages[3][5:]]
+    places = [(n, b"", 0) for n in range(len(passages))]
+    anchors = np.zeros(len(passages), dtype=np.int64)
+    offsets = np.array([50] * 8 + [45])
+    want = suffixes.repeated(passages, anchors, offsets, places)
+    assert any(want)
+    monkeypatch.setattr(suffixes, "ranges", lambda sums, a, b: np.zeros(len(a), dtype=np.uint64))
+    assert suffixes.repeated(passages, anchors, offsets, places) == want
+
+
 def test_pipeline(spark, tables):
     clean = [(n, prose(n, 60), "en", "s") for n in range(40)]
     rows = clean + [(100, prose(3, 60), "en", "s"), (101, "a b", "en", "s"), (102, None, "en", "s"), (103, "word " * 100, "en", "s"), (104, " ".join(map(str, range(100, 130))), "en", "s")]
@@ -270,8 +317,32 @@ def test_pipeline_drops_near_copies_of_five_words(spark):
     assert kept == {i for i, _ in rows} - gone
 
 
+def test_near_duplicates_are_told_by_row(spark):
+    """One row of a group stays, whatever the ids are: null, repeated, shared with another text."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(None, a), (None, a), (5, a), (5, b), (7, c), (7, c), (None, None), (None, ""), (None, prose(4, 60)), (9, b), (3, a)]
+    df = documents(spark, rows).selectExpr("*", "'x' AS row_key", "1 AS component_id")
+    kept = corpus_pipeline.near_duplicates(spark, df, None)
+    assert kept.columns == df.columns
+    want = [(3, a), (5, b), (7, c), (None, None), (None, ""), (None, prose(4, 60))]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+
+
+def test_stages_take_odd_rows(spark, odd):
+    """Null and repeated ids, copies, very long and empty texts and clashing columns: each stage keeps rows as they are or lets them go."""
+    rows = odd.selectExpr("*", "'x' AS row_key", "'x' AS counted").unionByName(odd.selectExpr("*", "'x' AS row_key", "'x' AS counted"))
+    before = Counter((r["doc_id"], r["source"]) for r in rows.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, None)
+        assert out.columns == rows.columns, name
+        found = Counter((r["doc_id"], r["source"]) for r in out.collect())
+        assert not found - before, name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, rows, None)
+    assert pieces.filter("start = 0").count() == rows.count()
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as driver
 
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in driver.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in driver.queries()}
     assert "pipeline" in driver.queries()

@@ -1,26 +1,25 @@
-"""Operator 10: remove repeated byte strings of ``LENGTH`` bytes, by comparing suffixes through prefix hashes.
-
-A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: at a smaller id, or earlier in the same text.
-
-- Sampling. A sort of all suffixes of a corpus moves many times its bytes. Only windows that can matter are grouped: each window of
-  ``LENGTH`` bytes is filed under one anchor, its ``GRAM`` bytes of least hash. Equal windows have equal anchors at equal places,
-  so a window can only repeat where its anchor does. Anchors seen once are dropped by a Bloom filter of fixed size, whose false
-  positives change nothing.
-- Grouping and comparing, in place of a suffix sort. The windows of an anchor are one stretch of bytes, kept as its hash, which prefix polynomial hashes
-  give for any range. Equal hashes bring equal stretches together. All but the earliest stretch of a class are repeats as a
-  whole. The earliest is compared with the other classes of its anchor by search over shorter extensions: its windows are cut
-  into parts, down to single windows, each part again grouped by hash, until it equals an earlier one or no rival shares the
-  bytes that all windows of the part hold. This takes a number of steps logarithmic in the length, not one per window.
-- Collisions. In the first level two independent 64-bit hashes and the place of the anchor must agree; the bytes are not compared. The rivals carry their
-  bytes, and from the second level on classes are told apart by MD5 digests of the bytes themselves beside the anchor's hash.
-- What is moved. Only the earliest stretches, and the parts of them that repeat, are listed per text; the last pass finds the
-  anchors of a text anew and takes those without an entry for repeats.
-
-Only minima and counts per class are computed, combined inside tasks first, so a passage in very many texts is no hot key.
-
-Defined cases: null text is empty. Texts under ``LENGTH`` bytes lose nothing. A null id counts as smaller than all others. Rows that
-repeat an id are one document: the same start is not earlier, so repeated rows keep their first copy each. Empty tables give an
-empty result. ``remove`` adds one struct column and leaves the others as they are.
+"""Operator 10: remove repeated byte strings of ``LENGTH`` bytes, by sorting suffixes with comparisons through prefix hashes.
+
+A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier: in a smaller document, or earlier in the same text.
+
+- Routing. A sort of all suffixes of a corpus in one order moves many times its bytes. Every window of ``LENGTH`` bytes is filed under
+  its anchor, the ``GRAM`` bytes of least hash in it; neighbouring windows with one anchor are a stretch. Equal windows have
+  equal anchors at equal places, so suffixes are sorted per anchor. Anchors seen once are dropped by a Bloom filter of fixed size,
+  whose false positives change nothing. Equal stretches are kept once, with their earliest place; their bytes tell them apart.
+- Sorting. The suffixes that start in the stretches of one anchor are sorted by a mergesort, all anchors of a shard at a time. Two
+  suffixes are compared by binary search for their common extension, which equal hashes of prefixes of it show: the hash of any
+  range is a difference of prefix polynomials. So a comparison takes a number of steps logarithmic in ``LENGTH``, and looks at one
+  byte of each in the end. Runs are merged by binary search of each suffix in the other run.
+- Reading off. Neighbours in the order whose common extension is ``LENGTH`` bytes are one class. Their bytes are compared before that
+  is believed; where hashes have collided the stretches are compared by their bytes alone. The earliest place of a class stays.
+- Hot anchors. The stretches of an anchor with more than ``HOT`` distinct ones are cut into single windows, which are grouped by
+  their bytes, so that no shard grows with the data.
+- Copies of a stretch that are not the earliest go as a whole: the last pass finds the stretches of a text anew and takes those
+  without an entry for copies.
+
+Defined cases: null text is empty. Texts under ``LENGTH`` bytes lose nothing. Null ids come before all others. Rows of one id are
+documents of their own, ordered by the MD5 of their text; rows equal in both are one document and keep the same bytes. Empty tables
+give an empty result. ``remove`` adds one struct column and leaves the others as they are.
 """
 
 from __future__ import annotations
@@ -29,19 +28,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import bloom
-from tidemark.llm.common import fresh, keep, table
+from tidemark.llm.common import fresh, stored, table
 from tidemark.llm.hashing import SEED, chunks, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 100, 24
-#: Windows that can share an anchor, and the widths of the parts they are cut into.
+#: Windows that can share an anchor.
 WIDE = LENGTH - GRAM + 1
-PARTS = (26, 6, 1)
+#: Bytes of stretches whose suffixes are sorted together, and distinct stretches of an anchor that are.
+SHARD_BYTES, HOT = 1 << 20, 1024
 BEFORE_ALL = -(1 << 63)
+#: Bits of a place in a text, or in the texts that a task reads together.
+PLACE_BITS = np.uint64(32)
+#: Neighbours whose bytes are compared at a time.
+VERIFIED = 20_000
 
 
 def sliding_least(values: np.ndarray, wide: int) -> np.ndarray:
@@ -56,20 +60,19 @@ def sliding_least(values: np.ndarray, wide: int) -> np.ndarray:
 
 
 def stretches(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Anchors with their windows: text number, anchor hash, first and last window (places in the joined texts), place of the
-    anchor, hash of the stretch from the first window's start to the last one's end, and the start of the text."""
+    """Anchors with their windows: text number, anchor hash, first and last window, place of the anchor, start of the text (places in the joined texts)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     if not (sizes >= LENGTH).any():
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none, none, none, none
+        return none, none, none, none, none, none
     sums = prefix_sums(data)
     places = np.arange(len(data) - GRAM + 1)
     grams = ranges(sums, places, places + GRAM)
-    bits = np.uint64(int(len(data)).bit_length())
-    anchor = sliding_least((grams >> bits << bits) | places.astype(np.uint64), WIDE) & ((np.uint64(1) << bits) - np.uint64(1))
+    # least by the upper half of the hash, then leftmost: the same choice in equal windows, whatever they are read with
+    anchor = sliding_least((grams >> PLACE_BITS << PLACE_BITS) | places.astype(np.uint64), WIDE) & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))
     inside = np.zeros(len(data) + 1, dtype=np.int64)
     long = sizes >= LENGTH
     np.add.at(inside, starts[long], 1)
@@ -80,95 +83,184 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     last = np.concatenate([first[1:], [len(window)]]) - 1
     begin, stop, at = window[first], window[last], anchor[first]
     text = np.searchsorted(ends, at, side="right")
-    return text, mix(grams[at] ^ SEED).view(np.int64), begin, stop, at, ranges(sums, begin, stop + LENGTH).view(np.int64), starts[text]
+    return text, mix(grams[at] ^ SEED).view(np.int64), begin, stop, at, starts[text]
 
 
-def _once(docs: DataFrame) -> DataFrame:
+def _anchors(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(stretches(texts)[1], pa.int64())], ["anchor"])
+                anchor, n = np.unique(stretches(texts)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(n, pa.int64())], ["anchor", "n"])
 
-    return docs.select("text").mapInArrow(run, "anchor long")
+    return docs.select("text").mapInArrow(run, "anchor long, n long")
 
 
 def _shared(docs: DataFrame, seen) -> DataFrame:
-    """Anchors that pass the filter: doc, anchor, place in the text, offsets of the last and first window before it, and the hash
-    of the stretch."""
+    """Stretches whose anchor passes the filter: anchor, its place in the stretch, bytes, and where they are: document, text digest and first window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids = batch.column(1).to_numpy(zero_copy_only=False)
             for number, texts in chunks(batch.column(0)):
                 found = stretches(texts)
-                text, anchor, begin, stop, at, stretch, start = (x[bloom.passes(seen.value, found[1])] for x in found)
-                columns = [doc_ids[number + text], anchor, at - start, at - stop, at - begin, stretch]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "anchor", "at", "lo", "hi", "stretch"])
-
-    return docs.select("text", "doc").mapInArrow(run, "doc long, anchor long, at long, lo int, hi int, stretch long")
-
-
-#: Name of an anchor in a text, the same in Spark and in ``_tags``.
-TAG = "anchor ^ stretch ^ at"
-
-
-def _tags(anchor: np.ndarray, stretch: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return anchor ^ stretch ^ at
-
-
-def _bytes(docs: DataFrame, chosen) -> DataFrame:
-    """The stretches whose tag (with the id) passes the filter, with their bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc_ids = batch.column(1).to_numpy(zero_copy_only=False)
-            for number, texts in chunks(batch.column(0)):
-                found = stretches(texts)
-                text, anchor, _, _, at, stretch, start = found
-                tag = _tags(anchor, stretch, at - start)
-                ok = bloom.passes(chosen.value, tag ^ doc_ids[number + text])
-                tag = tag[ok]
-                text, anchor, begin, stop, at, stretch, start = (x[ok] for x in found)
-                columns = [doc_ids[number + text], tag, anchor, at - start, at - stop, at - begin]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                text, anchor, begin, stop, at, start = (x[bloom.passes(seen.value, found[1])] for x in found)
                 spans = zip(text.tolist(), (begin - start).tolist(), (stop - start).tolist())
                 data = pa.array([texts[t][b : e + LENGTH] for t, b, e in spans], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds)), data], ["doc", "tag", "anchor", "at", "lo", "hi", "bytes"])
-
-    return docs.select("text", "doc").mapInArrow(run, "doc long, tag long, anchor long, at long, lo int, hi int, bytes binary")
+                rows = pa.array(number + text, pa.int64())
+                columns = [pa.array(anchor, pa.int64()), pa.array(at - begin, pa.int64()), data, batch.column(1).take(rows), batch.column(2).take(rows), pa.array(begin - start, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "at", "bytes", "doc", "print", "begin"])
+
+    return docs.select("text", "doc", "print").mapInArrow(run, "anchor long, at long, bytes binary, doc long, print binary, begin long")
+
+
+class Suffixes:
+    """Suffixes of joined passages, compared by their first ``LENGTH`` bytes."""
+
+    def __init__(self, passages: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(passages), dtype=np.uint8)
+        self.sums = prefix_sums(self.data)
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the common extension of suffixes, by binary search: the longest prefix with equal hashes."""
+        low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), LENGTH, dtype=np.int64)
+        while (low < high).any():
+            middle = (low + high + 1) >> 1
+            same = ranges(self.sums, a, a + middle) == ranges(self.sums, b, b + middle)
+            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        return low
+
+    def before(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether suffixes a sort before suffixes b, and whether they are equal."""
+        n = self.common(a, b)
+        equal = n == LENGTH
+        at = np.where(equal, 0, n)
+        return ~equal & (self.data[a + at] < self.data[b + at]), equal
+
+    def verified(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether neighbours a, b are in order, and whether they are equal, by their bytes."""
+        rows = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)
+        ordered, equal = np.ones(len(a), dtype=bool), np.ones(len(a), dtype=bool)
+        for i in range(0, len(a), VERIFIED):
+            x, y = rows[a[i : i + VERIFIED]], rows[b[i : i + VERIFIED]]
+            differs = x != y
+            at = differs.argmax(axis=1)
+            n = np.arange(len(x))
+            equal[i : i + VERIFIED] = ~differs[n, at]
+            ordered[i : i + VERIFIED] = x[n, at] <= y[n, at]
+        return ordered, equal
+
+    def sort(self, suffix: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Suffixes in order within each group (groups ascend): runs of 1, 2, 4, ... are merged, all groups at a time."""
+        out = suffix.copy()
+        edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
+        size = np.diff(np.concatenate([edge, [len(group)]]))
+        start, length = np.repeat(edge, size), np.repeat(size, size)
+        inner = np.arange(len(group)) - start
+        width = 1
+        while (some := np.flatnonzero(length > width)).size:
+            pair = start[some] + inner[some] // (2 * width) * (2 * width)  # where the two runs begin
+            middle = np.minimum(pair + width, start[some] + length[some])
+            end = np.minimum(pair + 2 * width, start[some] + length[some])
+            left = some < middle
+            # each finds its place in the other run; equal ones of the left run come first
+            low, high = np.where(left, middle, pair), np.where(left, end, middle)
+            base = low.copy()
+            while (open_ := np.flatnonzero(low < high)).size:
+                probe = (low[open_] + high[open_]) >> 1
+                smaller, equal = self.before(out[probe], out[some[open_]])
+                after = smaller | equal & ~left[open_]
+                low[open_], high[open_] = np.where(after, probe + 1, low[open_]), np.where(after, high[open_], probe)
+            merged = out.copy()
+            merged[some + (low - base) - np.where(left, 0, middle - pair)] = out[some]
+            out, width = merged, 2 * width
+        return out
+
+
+def repeated(passages: list[bytes], anchors: np.ndarray, offsets: np.ndarray, places: list[tuple]) -> list[int]:
+    """Per passage the windows, as bits of a number, that occur at an earlier place in one of the passages of its anchor.
+
+    ``offsets``: where the anchor lies in a passage, ``places``: (document, ..., first window). Equal windows have their anchor at
+    one place, so the suffixes of an anchor are sorted apart for every place that it has in them.
+    """
+    sizes = np.array([len(p) for p in passages], dtype=np.int64)
+    first = np.cumsum(sizes) - sizes
+    documents = {d: n for n, d in enumerate(sorted({p[:-1] for p in places}))}
+    base = np.array([(documents[p[:-1]] << int(PLACE_BITS)) + p[-1] for p in places], dtype=np.int64)
+    bits = [0] * len(passages)
+    anchor = np.unique(anchors, return_inverse=True)[1]
+    rivals = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
+    if not len(rivals):
+        return bits
+    windows = sizes[rivals] - LENGTH + 1
+    passage = np.repeat(rivals, windows)
+    number = np.arange(len(passage)) - np.repeat(np.cumsum(windows) - windows, windows)
+    group = anchor[passage] * (WIDE + 1) + offsets[passage] - number
+    order = np.argsort(group, kind="stable")
+    group, suffix = group[order], (first[passage] + number)[order]
+    suffixes = Suffixes(passages)
+    suffix = suffixes.sort(suffix, group)
+
+    passage = np.searchsorted(first, suffix, side="right") - 1
+    number = suffix - first[passage]
+    code = base[passage] + number
+    inside = np.concatenate([[False], group[1:] == group[:-1]])
+    near = np.flatnonzero(inside)
+    ordered, equal = suffixes.verified(suffix[near - 1], suffix[near])
+    same = np.zeros(len(suffix), dtype=bool)
+    same[near] = equal
+    edge = np.flatnonzero(~same)
+    least = np.repeat(np.minimum.reduceat(code, edge), np.diff(np.concatenate([edge, [len(code)]])))
+    for wrong in np.unique(group[near[~ordered]]).tolist():  # hashes have collided: by bytes alone
+        own = np.flatnonzero(group == wrong)
+        earliest: dict[bytes, int] = {}
+        texts = [suffixes.data[p : p + LENGTH].tobytes() for p in suffix[own].tolist()]
+        for text, c in zip(texts, code[own].tolist()):
+            earliest[text] = min(earliest.get(text, c), c)
+        least[own] = [earliest[t] for t in texts]
+    for p, k in zip(passage[least < code].tolist(), number[least < code].tolist()):
+        bits[p] |= 1 << k
+    return bits
+
+
+HALF = (1 << 63) - 1
+FOUND = "doc long, print binary, begin long, bits long, more long"
+
+
+def _by_sort(rows: DataFrame, shards: int) -> DataFrame:
+    """The repeated windows of each stretch, from the sorted suffixes of its shard: the first 63 and the others."""
+
+    def run(table_: pa.Table) -> pa.Table:
+        names = ("doc", "print", "begin")
+        places = list(zip(*(table_[c].to_pylist() for c in names)))
+        found = repeated(table_["bytes"].to_pylist(), table_["anchor"].to_numpy(), table_["at"].to_numpy(), places)
+        halves = [pa.array([b & HALF for b in found], pa.int64()), pa.array([b >> 63 for b in found], pa.int64())]
+        return pa.Table.from_arrays([*(table_[c] for c in names), *halves], names=[*names, "bits", "more"])
+
+    return rows.groupBy(F.pmod("anchor", F.lit(shards)).alias("shard")).applyInArrow(run, FOUND)
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    """The same for hot anchors, window by window."""
+    k = F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("k")
+    cut = rows.select("doc", "print", "begin", "bytes", k)
+    cut = cut.select("doc", "print", "begin", "k", F.expr(f"substring(bytes, k + 1, {LENGTH})").alias("window"))
+    cut = stored(cut.withColumn("place", F.struct("doc", "print", (F.col("begin") + F.col("k")).alias("at"))), "windows")
+    least = cut.groupBy("window").agg(F.min("place").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    again = F.col("place") > F.col("least")
+    none = F.lit(0).cast("long")
+    low = F.when(again & (F.col("k") < 63), F.expr("shiftleft(1L, k)")).otherwise(none)
+    high = F.when(again & (F.col("k") >= 63), F.expr("shiftleft(1L, k - 63)")).otherwise(none)
+    return cut.join(least, "window", "left").groupBy("doc", "print", "begin").agg(F.bit_or(low).alias("bits"), F.bit_or(high).alias("more"))
 
 
 def entries(docs: DataFrame, seen) -> DataFrame:
-    """What is known of anchors that pass ``seen`` and whose stretch is the earliest of its class: (doc, tag) with no offsets, and
-    with offsets [from, to] of windows before the anchor that repeat an earlier one all the same."""
-    context = docs.sparkSession.sparkContext
-    classes = _shared(docs, seen).groupBy("anchor", "lo", "hi", "stretch").agg(F.min(F.struct("doc", "at")).alias("first"))
-    firsts = keep(classes.select("anchor", F.col("first.doc").alias("doc"), F.expr(TAG.replace("at", "first.at")).alias("tag")))
-    rivals = firsts.groupBy("anchor").count().filter("count > 1").select("anchor")
-    chosen = context.broadcast(bloom.of_keys(firsts.join(rivals, "anchor").select(F.expr("tag ^ doc").alias("key")), "key"))
-    stretch = keep(_bytes(docs, chosen))
-    out = firsts.select("doc", "tag", F.lit(None).cast("int").alias("from"), F.lit(None).cast("int").alias("to"))
-    left = stretch.withColumn("from", F.col("lo")).withColumn("to", F.col("hi"))
-    for wide in PARTS:
-        # windows [from, to] before the anchor, cut at multiples of `wide`; the bytes begin at window `hi`
-        part = F.explode(F.sequence(F.floor(F.col("from") / wide).cast("int"), F.floor(F.col("to") / wide).cast("int"))).alias("part")
-        cut = left.select("doc", "tag", "anchor", "at", "hi", "bytes", "from", "to", part)
-        cut = cut.withColumn("from", F.greatest("from", F.col("part") * wide).cast("int")).withColumn("to", F.least("to", F.col("part") * wide + wide - 1).cast("int"))
-        own = F.substring("bytes", F.col("hi") - F.col("to") + 1, F.col("to") - F.col("from") + LENGTH)
-        # all windows of a part hold its core: texts whose cores differ share none of them
-        core = F.substring("bytes", (F.col("hi") - F.col("part") * wide + 1).cast("int"), F.lit(LENGTH - wide + 1))
-        cut = keep(cut.select("doc", "tag", "anchor", "at", "part", "from", "to", F.unhex(F.md5(own)).alias("own"), F.xxhash64(core).alias("core")))
-        keys = ["anchor", "part", "core", "from", "to", "own"]
-        least = keep(cut.groupBy(*keys).agg(F.min(F.struct("doc", "at", "tag")).alias("first"), F.count("*").alias("members")))
-        later = (F.col("doc") > F.col("first.doc")) | (F.col("doc") == F.col("first.doc")) & (F.col("at") > F.col("first.at"))
-        repeats = cut.join(least.filter("members > 1").drop("members"), keys).filter(later)
-        out = out.unionByName(keep(repeats.select("doc", "tag", "from", "to")))
-        if wide > 1:
-            open_ = least.groupBy("anchor", "part", "core").count().filter("count > 1").drop("count")
-            heads = least.join(open_, ["anchor", "part", "core"]).select(F.col("first.doc").alias("doc"), F.col("first.tag").alias("tag"), "from", "to")
-            left = heads.join(stretch, ["doc", "tag"])
-    return out
+    """The earliest copies of all stretches that pass the filter (document, text digest, first window), with their repeated windows as bits."""
+    place = F.min(F.struct("doc", "print", "begin")).alias("place")
+    library = stored(_shared(docs, seen).groupBy("anchor", "at", "bytes").agg(place).select("anchor", "at", "bytes", "place.*"), "stretches")
+    hot = library.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor")
+    size = library.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    cold = _by_sort(library.join(hot, "anchor", "left_anti"), -(-size // SHARD_BYTES) or 1)
+    return stored(cold.unionByName(_by_group(library.join(hot, "anchor", "left_semi"))), "repeats")
 
 
 def _cut(data: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, int, bytes]:
@@ -189,29 +281,28 @@ KEPT = T.StructType(
 
 
 def _remover(seen):
-    """Cuts a text by the entries of its id. An anchor that passes the filter and has no entry repeats an earlier stretch."""
+    """Cuts a text by the entries of its row. A stretch that passes the filter and has no entry repeats an earlier one as a whole."""
 
     @F.arrow_udf(KEPT)
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, tags, froms, tos in batches:
+        for texts, begins, lows, highs in batches:
             rows = []
             for number, chunk in chunks(texts):
                 found = stretches(chunk)
-                text, anchor, begin, stop, at, stretch, start = (x[bloom.passes(seen.value, found[1])] for x in found)
-                name = _tags(anchor, stretch, at - start)
+                text, _, begin, stop, _, start = (x[bloom.passes(seen.value, found[1])] for x in found)
                 bounds = np.searchsorted(text, np.arange(len(chunk) + 1))
                 for n, data in enumerate(chunk):
                     own = slice(bounds[n], bounds[n + 1])
-                    begins, ends = (begin - start)[own], (stop - start)[own] + LENGTH
-                    known = np.array(tags[number + n].as_py() or [], dtype=np.int64)
-                    if len(known):
-                        low, high = (pa.array(x[number + n].as_py()).cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False) for x in (froms, tos))
-                        places = dict(zip(name[own].tolist(), (at - start)[own].tolist()))
-                        repeated = ~np.isin(name[own], known[low < 0])
-                        parts = [(places[t] - b, places[t] - a + LENGTH) for t, a, b in zip(known.tolist(), low.tolist(), high.tolist()) if a >= 0 and t in places]
-                        begins = np.concatenate([begins[repeated], np.array([p[0] for p in parts], dtype=np.int64)])
-                        ends = np.concatenate([ends[repeated], np.array([p[1] for p in parts], dtype=np.int64)])
-                    n_removed, n_spans, kept = _cut(data, begins, ends)
+                    known = {b: low | high << 63 for b, low, high in zip(*(x[number + n].as_py() or () for x in (begins, lows, highs)))}
+                    gone = []
+                    for a, z in zip((begin - start)[own].tolist(), (stop - start)[own].tolist()):
+                        marks = known.get(a)
+                        if marks is None:
+                            gone.append((a, z + LENGTH))
+                        elif marks:
+                            gone += [(a + k, a + k + LENGTH) for k in range(z - a + 1) if marks >> k & 1]
+                    spans = np.array(gone, dtype=np.int64).reshape(-1, 2)
+                    n_removed, n_spans, kept = _cut(data, spans[:, 0], spans[:, 1])
                     rows.append({"n_bytes": len(data), "n_removed": n_removed, "n_spans": n_spans, "kept": kept})
             yield pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]))
 
@@ -227,14 +318,16 @@ def readable(kept: pa.Array) -> pa.Array:
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str = "cleaned") -> DataFrame:
     """``docs`` with a struct column ``into``: n_bytes, n_removed, n_spans (maximal removed runs) and the kept bytes."""
     context = docs.sparkSession.sparkContext
-    key, known = fresh(docs, "doc_key"), fresh(docs, "entries")
-    doc = F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL))
-    texts = docs.select(docs[text].cast("string").alias("text"), doc.alias("doc"))
-    seen = context.broadcast(bloom.of_keys(_once(texts).groupBy("anchor").count().filter("count > 1"), "anchor"))
-    lists = entries(texts, seen).groupBy(F.col("doc").alias(key)).agg(F.collect_list(F.struct("tag", F.coalesce("from", F.lit(-1)).alias("from"), F.coalesce("to", F.lit(-1)).alias("to"))).alias(known))
-    joined = docs.withColumn(key, doc).join(lists, key, "left")
+    doc, print_, known = (fresh(docs, n) for n in ("doc_key", "text_print", "entries"))
+    content = docs[text].cast("string")
+    keyed = docs.withColumns({doc: F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL)), print_: F.unhex(F.md5(F.coalesce(content, F.lit("")).cast("binary")))})
+    texts = keyed.select(content.alias("text"), F.col(doc).alias("doc"), F.col(print_).alias("print"))
+    often = _anchors(texts).groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
+    seen = context.broadcast(bloom.of_keys(often, "anchor"))
+    lists = entries(texts, seen).groupBy(F.col("doc").alias(doc), F.col("print").alias(print_)).agg(F.collect_list(F.struct("begin", "bits", "more")).alias(known))
+    joined = keyed.join(lists, [doc, print_], "left")
     x = F.col(known)
-    return joined.withColumn(into, _remover(seen)(F.col(text).cast("string"), x["tag"], x["from"], x["to"])).drop(key, known)
+    return joined.withColumn(into, _remover(seen)(content, x["begin"], x["bits"], x["more"])).select(*docs.columns, into)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
