@@ -50,13 +50,13 @@ def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * _fitting(len(sums))[1][start] + (end - start).astype(np.uint64) * SEED)
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
-    """Number of the first text, and texts as UTF-8, about ``CHUNK_BYTES`` at a time; null is empty."""
+def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Number of the first text, and texts as UTF-8, about ``most`` bytes at a time; null is empty."""
     first, out, size = 0, [], 0
     for n, value in enumerate(texts):
         out.append((value.as_py() or "").encode())
         size += len(out[-1])
-        if size >= CHUNK_BYTES:
+        if size >= most:
             yield first, out
             first, out, size = n + 1, [], 0
     if out:

@@ -8,13 +8,15 @@ taken for rare ones, never seen ones for unseen.
 The filter grows with the corpus. It is cut into parts by the first bits of the hash, about one for ``PER_BUCKET`` tokens; each
 part counts its entries and takes the bits at which a share of ``FALSE_RATE`` of the missing entries is found. Entries, load and
 share of false entries are returned with it. The parts are a table and no task holds more than one: texts are packed into blobs
-of about a megabyte, the distinct n-grams of a blob go to their parts, and the levels come back to the blob.
+of some megabytes, the distinct n-grams of a blob go to their parts, and the levels come back to the blob. Keys of a part go in
+ascending order, as differences.
 
-A text's probability is a mixture, over ``WEIGHTS``, of interpolations between the smoothed word probability and the probability
-after the word before; the weight that suits a text decides its score.
+A text's probability is a mixture, over ``WEIGHTS``, of interpolations between the smoothed word probability and the discounted
+probability after the word before; the weight that suits a text decides its score. The discount is most of what the text itself
+adds to a count, so a text that occurs twice is told from one that occurs once.
 
-The base score needs exact counts of all words, which grow with the corpus. The ``FREQUENT`` most frequent words (of 64 bytes at most,
-so the list is bounded) are looked up in the workers; the others, with their counts per text, are joined with the stored
+The base score needs exact counts of all words, which grow with the corpus. The most frequent words, as many levels of counts as
+hold at most ``FREQUENT`` (of 64 bytes at most, so the list is bounded), are looked up in the workers; the others, with their counts per text, are joined with the stored
 counts by Spark. So frequent words are no hot keys of a join.
 
 Defined cases: null text is empty: its end is its only token. Rows without an id are learned from. Repeated rows are scored each
@@ -40,13 +42,17 @@ from tidemark.llm.common import lower_ascii, remainder, stored, table, words_of
 from tidemark.llm.hashing import SEED, chunks, mix, word_hashes
 
 #: Share of missing entries that the filter takes for present ones, and its hashes per entry.
-FALSE_RATE, HASHES = 0.01, 3
+FALSE_RATE, HASHES = 0.003, 4
 #: Base of the logarithm that quantises counts, and highest level.
 QUANTUM, LEVELS = 1.5, 100
 FREQUENT, FREQUENT_BYTES = 100_000, 64
 WEIGHTS = (0.001, 0.1, 0.5, 0.9)
 #: Tokens gathered in a task before they are counted, and tokens of the corpus per bucket.
-GATHER, PER_BUCKET = 1 << 20, 1 << 22
+GATHER, PER_BUCKET = 1 << 21, 1 << 22
+#: Bytes of texts in a blob; the larger it is, the fewer n-grams are asked for twice.
+BLOB_BYTES = 4 << 20
+#: Taken off the count of a pair: most texts that are scored are among those that were counted.
+DISCOUNT = 0.75
 #: The end of a text; no word holds a space.
 END = " "
 END_HASH = np.uint64(0xE7037ED1A0B428DB)
@@ -134,13 +140,27 @@ def pairs_of(tokens: np.ndarray) -> np.ndarray:
     return mix(np.concatenate([tokens[:1], tokens[:-1]]) * SEED + tokens)
 
 
+def shortened(keys: np.ndarray) -> bytes:
+    """Ascending 32-bit keys as differences of as few bytes each as all of them fit in; the first byte says how many."""
+    steps = np.diff(keys, prepend=np.uint32(0)).astype("<u4")
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def lengthened(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    steps = np.zeros(((len(packed) - 1) // width, 4), dtype=np.uint8)
+    steps[:, :width] = np.frombuffer(packed, dtype=np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(steps.view("<u4").ravel(), dtype=np.uint32)
+
+
 def _blobs(keys: np.ndarray, counts: np.ndarray, buckets: int, pair: bool) -> Iterator[tuple[int, bool, bytes, bytes, bytes]]:
     """Per bucket the keys seen once, and keys and counts of the others. ``keys`` ascend, so buckets do."""
     bucket, short = split(keys, buckets)
     new = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else []
     for a, b in zip(new, [*new[1:], len(keys)]):
         once = counts[a:b] == 1
-        yield int(bucket[a]), pair, short[a:b][once].tobytes(), short[a:b][~once].tobytes(), counts[a:b][~once].astype(np.int64).tobytes()
+        yield int(bucket[a]), pair, shortened(short[a:b][once]), shortened(short[a:b][~once]), counts[a:b][~once].astype(np.int64).tobytes()
 
 
 BLOBS = "bucket int, pair boolean, once binary, keys binary, counts binary"
@@ -157,6 +177,19 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
 
 
+def frequent_words(words: DataFrame) -> DataFrame:
+    """The words of the highest levels of counts that hold at most ``FREQUENT`` words together."""
+    short = words.filter(F.octet_length("word") <= FREQUENT_BYTES)
+    magnitude = F.floor(F.log2("count") * 4).cast("int")
+    sizes = sorted(((r["m"], r["n"]) for r in short.groupBy(magnitude.alias("m")).agg(F.count("*").alias("n")).collect()), reverse=True)  # 256 rows at most
+    least, held = 1 << 20, 0
+    for m, n in sizes:
+        if held + n > FREQUENT:
+            break
+        least, held = m, held + n
+    return short.filter(magnitude >= least)
+
+
 def buckets_for(n_tokens: int) -> int:
     return 1 << max(8, (n_tokens // PER_BUCKET).bit_length())
 
@@ -196,8 +229,8 @@ def build_filter(texts: DataFrame, words: DataFrame, n_tokens: int) -> tuple[Dat
     def fill(key, frame: pd.DataFrame) -> pd.DataFrame:
         counted = []
         for _, rows in frame.groupby("pair"):
-            once = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows["once"]])
-            more = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in rows["keys"]])
+            once = np.concatenate([lengthened(b) for b in rows["once"]])
+            more = np.concatenate([lengthened(b) for b in rows["keys"]])
             counts = np.concatenate([np.ones(len(once), dtype=np.int64), *(np.frombuffer(b, dtype=np.int64) for b in rows["counts"])])
             keys, at = np.unique(np.concatenate([once, more]), return_inverse=True)
             counted.append((keys, level(np.maximum(np.bincount(at, weights=counts).astype(np.int64), 1))))
@@ -247,12 +280,12 @@ def n_grams(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(chunk, blob): about ``CHUNK_BYTES`` of rows each; ``chunk`` is the number of its first row."""
+    """(chunk, blob): about ``BLOB_BYTES`` of rows each; ``chunk`` is the number of its first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, texts in chunks(batch.column(1)):
+            for first, texts in chunks(batch.column(1), BLOB_BYTES):
                 blob = _pack(batch.slice(first, len(texts)))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blob], pa.binary())], ["chunk", "blob"])
                 number += len(texts)
@@ -269,18 +302,18 @@ def _levels(packed: DataFrame, parts: DataFrame, buckets: int) -> DataFrame:
                 tokens, first = tokens_of(_unpack(blob.as_py())[2])
                 bucket, key = split(n_grams(tokens, first)[0], buckets)
                 cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(key)]
-                wanted = [key[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                wanted = [shortened(key[a:b]) for a, b in zip(cuts, cuts[1:])]
                 kinds = (pa.int64(), pa.int32(), pa.binary())
                 columns = ([chunk] * len(wanted), bucket[cuts[:-1]].tolist(), wanted)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "bucket", "keys"])
 
     def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
-        wanted = asked["keys"].to_pylist()
-        keys, at = np.unique(np.frombuffer(b"".join(wanted), dtype=np.uint32), return_inverse=True)
+        wanted = [lengthened(w) for w in asked["keys"].to_pylist()]
+        keys, at = np.unique(np.concatenate([np.zeros(0, dtype=np.uint32), *wanted]), return_inverse=True)
         found = np.zeros(len(keys), dtype=np.int64)
         if part.num_rows and len(keys):
             found = LogBloom(np.frombuffer(part["bits"][0].as_py(), dtype=np.uint8), 1).levels_of(np.zeros(len(keys), dtype=np.int64), keys)
-        ends = np.cumsum([len(w) // 4 for w in wanted], dtype=np.int64).tolist()
+        ends = np.cumsum([len(w) for w in wanted], dtype=np.int64).tolist()
         levels = found[at].astype(np.uint8).tobytes()
         return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "levels": pa.array([levels[a:b] for a, b in zip([0, *ends], ends)], pa.binary())})
 
@@ -295,7 +328,7 @@ def model_scores(tokens: np.ndarray, first: np.ndarray, levels: np.ndarray, at:
     both[first] = 0
     before = np.concatenate([[0], alone[:-1]])
     word = np.minimum((alone + 1) / (n_tokens + vocabulary + 1), 1.0)
-    after = np.where((both > 0) & (before > 0), np.minimum(both / np.maximum(before, 1), 1.0), 0.0)
+    after = np.where((both > 0) & (before > 0), np.minimum(np.maximum(both - DISCOUNT, 0) / np.maximum(before, 1), 1.0), 0.0)
     sums = np.array([np.add.reduceat(np.log10((1 - w) * word + w * after), first) for w in WEIGHTS])
     top = sums.max(axis=0)
     return top + np.log10(np.mean(10.0 ** (sums - top), axis=0))
@@ -318,7 +351,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     totals = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_tokens, vocabulary = int(totals["n"]), int(totals["v"])
     denominator = n_tokens + vocabulary + 1
-    listed = words.filter(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
+    listed = frequent_words(words).collect()  # FREQUENT rows at most, whatever the number of tasks
     frequent = spark.sparkContext.broadcast({r["word"].encode(): math.log10((r["count"] + 1) / denominator) for r in listed})
     parts, _ = build_filter(texts, words, n_tokens)
     packed = _packed(docs)
