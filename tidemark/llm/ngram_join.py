@@ -11,8 +11,8 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
   are compared, as many as a shared one must be among: keys of passages in very many documents rarely are.
 - Partial overlaps. The sets of candidates are cut into ``PARTS`` fragments; overlaps are counted per pair and fragment by
   joins and summed per pair. Memory follows a fragment, not a set.
-- Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, so a
-  group of g near copies costs g pairs; linked nodes form components, and only nodes that share a key but no component yet
+- Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, and each node
+  with one of the centres of its keys, so a group of g near copies costs g pairs; linked nodes form components, and only nodes that share a key but no component yet
   are compared further, with other centres and finally each with each, unless their sizes or the common bits of two short bit
   sketches already rule them out. No pair that could join components is left out.
 
@@ -251,24 +251,35 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.filter(100 * F.col("o") >= percent * (F.col("sizes") - F.col("o"))).select("u", "v")
 
 
-def _links(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links between nodes, enough to connect every two similar ones; ``filed``: distinct (key, node, set, limit)."""
+def _merged(root: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after further links: only the roots that they touch are joined up anew."""
+    if root is None:
+        return components(links)
+    ends = links
+    for end in ("u", "v"):
+        name = root.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        ends = ends.join(name, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).drop(f"{end}_root")
+    moved = components(ends.select("u", "v"))
+    fresh = moved.join(root, "node", "left_anti").select("node", F.col("node").alias("root"))
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return keep(root.unionByName(fresh).join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+
+
+def _roots(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, root) of linked nodes, such that every two similar ones have one root; ``filed``: distinct (key, node, set, limit).
+
+    A turn in which no pair is left to compare, or none of the compared is similar, leaves roots and keys as they are.
+    """
     context = docs.sparkSession.sparkContext
     filed = _rarest(filed)
     ends = filed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     filed = stored(filed.join(ends.select("key"), "key"), "keys")
     chosen = context.broadcast(bloom.of_keys(filed.select("node").distinct(), "node"))
     parts = keep(_parts(docs, n, chosen).repartition("node").dropDuplicates(["node", "part"]))
-    links = done = None
+    chosen.destroy()  # what it picked is stored
+    root = done = None
+    now = filed.withColumn("root", F.col("node"))
     for turn in range(CENTRES + 1):
-        if links is not None:
-            root = components(links)
-            now = filed.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-            mixed = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
-            now = now.join(mixed, "key")
-        else:
-            now = filed.withColumn("root", F.col("node"))
-        now = keep(now)
         if turn < CENTRES:
             # at first the same centre for the keys of a group, then another one for every key and turn
             by = [F.col("node"), F.lit(turn)] + ([F.col("key")] if turn else [])
@@ -280,15 +291,27 @@ def _links(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, perce
             left, right = (known.select("key", *(F.col(c).alias(a) for c, a in zip(("node", "root", "size", "sketch"), names))) for names in (("x", "rx", "size_x", "sketch_x"), ("y", "ry", "size_y", "sketch_y")))
             near = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
             other = left.join(right, "key").filter(near & _may_be_similar(percent))
-        pairs = other.filter("rx != ry").groupBy(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).agg(F.min("x").alias("centre"))
+        other = other.filter("rx != ry").select("x", "y", F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
         if done is not None:
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        pairs = keep(pairs)
-        found = _linked(pairs, parts, percent)
-        links = keep(found if links is None else links.unionByName(found))
+            other = other.join(done, ["u", "v"], "left_anti")
+        if turn < CENTRES:
+            # of the centres of its keys a node meets one in a turn: near copies share many keys, and mostly the first is enough
+            other = other.groupBy("y").agg(F.min_by(F.struct("x", "u", "v"), F.xxhash64("x", F.lit(turn))).alias("p")).select("p.*")
+        pairs = keep(other.groupBy("u", "v").agg(F.min("x").alias("centre")))
+        if pairs.isEmpty():
+            continue
         compared = pairs.select("u", "v")
         done = compared if done is None else done.unionByName(compared)
-    return links
+        links = keep(_linked(pairs, parts, percent))
+        if links.isEmpty():
+            continue
+        root = _merged(root, links)
+        now = filed.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        mixed = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
+        now = keep(now.join(mixed, "key"))
+        if now.isEmpty():
+            break
+    return root if root is not None else docs.sparkSession.createDataFrame([], "node long, root long")
 
 
 def join(docs: DataFrame, n: int = N, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,11 +321,12 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, doc_id: str = "doc
     twice = _filed(docs, n, percent).select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
     shared = context.broadcast(bloom.of_keys(twice, "key"))
     rows = keep(_filed(docs, n, percent, shared))
+    shared.destroy()  # what it picked is stored
     each = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("sets").alias("set"), F.col("limits").alias("limit"))).alias("k")
     filed = rows.select("node", each).select(F.col("k.key").alias("key"), "node", F.col("k.set").alias("set"), F.col("k.limit").alias("limit")).distinct()
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     sketches = rows.filter("sketch is not null").select("node", F.col("n_shingles").alias("size"), "sketch").dropDuplicates(["node"])
-    root = components(_links(filed, sketches, docs, n, percent))
+    root = _roots(filed, sketches, docs, n, percent)
     rooted = keep(nodes.join(root, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("node", "component_id")
