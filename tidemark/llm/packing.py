@@ -36,7 +36,8 @@ CAPACITY, END = 1024, 2
 ROUNDS, STEP, GROUPS = 3000, 0.1, 128
 #: Share of the fractional solution that is used; the rest keeps short pieces for the gaps that rounding leaves.
 SHARE = 0.6
-CACHED = 1_000_000
+#: Bytes that the dictionaries of known parts may take in one worker, with this for an entry besides its text and ids.
+CACHED_BYTES, ENTRY_BYTES = 240 << 20, 180
 DOUBLE = regex.compile(r" (?:\s|$)")
 
 
@@ -58,36 +59,70 @@ class Units:
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
-        self.merge = Tokenizer.from_file(path).model.tokenize  # without added tokens: their strings are ordinary text
+        tokenizer = Tokenizer.from_file(path)
+        self.merge = tokenizer.model.tokenize
+        self.added = {t.content: struct.pack("<I", n) for n, t in tokenizer.get_added_tokens_decoder().items()}
+        # the library cuts a text at the strings of added tokens first
+        self.cuts = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         self.pieces_of = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
+
+    def remember(self, into: dict[str, bytes], text: str, ids: bytes) -> None:
+        """Keep the ids of a short text. At half of the bound what is known becomes the older half; parts that come again move on."""
+        if len(text) <= 64:
+            into[text] = ids
+            self.held += len(text) + len(ids) + ENTRY_BYTES
+
+    def bound(self) -> None:
+        if self.held > CACHED_BYTES // 2:
+            self.known, self.older, self.held = {}, self.known, 0
+            self.pieces.clear()
+
+    def merged(self, piece: str) -> bytes:
+        tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
 
     def piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
-            ids = struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
-            if len(piece) <= 64:
-                if len(self.pieces) >= CACHED // 4:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
+            ids = self.merged(piece)
+            self.remember(self.pieces, piece, ids)
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """A word after a space; it is known as a part, not once more as a piece."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.older.get(word) or self.merged(" " + word)
+            self.remember(self.known, word, ids)
         return ids
 
     def unit(self, part: str) -> bytes:
         """A part after its space; a Latin word, with or without a mark at its end, needs no pattern."""
         if max(part) < "\u0250":
             if part.isalpha():
-                return self.piece(" " + part)
+                return self.merged(" " + part)
             if part[-1] in ".,;:!?" and part[:-1].isalpha():
-                return self.piece(" " + part[:-1]) + self.piece(part[-1])
+                return self.word(part[:-1]) + self.piece(part[-1])
         return self.split(" " + part)
 
     def split(self, text: str) -> bytes:
         return b"".join(map(self.piece, self.pieces_of(text)))
 
     def encode(self, text: str) -> np.ndarray:
+        out, start = [], 0
+        for cut_ in self.cuts.finditer(text):
+            out += [self.plain(text[start : cut_.start()]), self.added[cut_.group()]]
+            start = cut_.end()
+        out.append(self.plain(text[start:] if start else text))
+        return np.frombuffer(b"".join(out), dtype="<u4")
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         parts = text.split(" ")
         if DOUBLE.search(text):
             joined = parts[:1]
@@ -102,12 +137,11 @@ class Units:
         if None in ids:
             for n, part in enumerate(rest):
                 if ids[n] is None:
-                    ids[n] = self.unit(part) if part else self.split(" ")
-                    if len(part) <= 64:
-                        self.known[part] = ids[n]
-            if len(self.known) >= CACHED:
-                self.known.clear()
-        return np.frombuffer(self.split(parts[0]) + b"".join(ids), dtype="<u4")
+                    ids[n] = self.older.get(part) or (self.unit(part) if part else self.split(" "))
+                    self.remember(self.known, part, ids[n])
+        out = self.split(parts[0]) + b"".join(ids)
+        self.bound()
+        return out
 
 
 @lru_cache(maxsize=2)
