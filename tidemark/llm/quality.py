@@ -1,17 +1,20 @@
 """Operator 4: quality rules with robust multivariate outliers. DataFrame operations only.
 
 ``statistics`` counts on the whole text of each row, inside the row, without a shuffle. ``fit`` estimates location and
-scatter per group by the minimum covariance determinant: a robust start from quartiles, concentration steps on the
-``SUPPORT`` share with the smallest distances, one reweighting step. ``judge`` rejects rows whose squared Mahalanobis
+scatter per (lang, source) by the minimum covariance determinant. From each of two starts, the quartiles of all rows and those of the group,
+concentration steps keep the ``SUPPORT`` share of a group with the smallest distances and estimate anew from it, for as long as the
+determinant of some group falls; an estimate is only replaced by one of smaller determinant, so the steps settle. Of the two ends the one
+with the smaller determinant counts; a reweighting step follows. ``judge`` rejects rows whose squared Mahalanobis
 distance from their group's estimate exceeds the ``CUT`` quantile of the chi-squared distribution.
 
-Groups are (lang, source) with ``MIN_GROUP`` fitted rows at least. Smaller ones of one language are pooled, then what is left
-over all languages; a last pool that is still smaller gives no verdict, so its rows stay. The share of a group that a
+Every group has its own estimate, whatever its size: its rows count beside ``PRIOR`` rows that are as those of its language, and those of
+a language beside ``PRIOR`` rows that are as those of all. So a large group is judged by itself and a small one mostly by its language,
+with no size at which one turns into the other. The share of a group that a
 concentration step keeps is read off a histogram of log distances, so a hot group is never sorted in one task: all sums and
 counts combine inside tasks first.
 
 Defined cases: null text has no words; null lang and null source are groups like others; repeated rows get equal verdicts;
-an empty table gives an empty result. Added columns sit in one struct column whose name no input column has.
+an empty table gives an empty result. Rows of a group that the fit has not seen are kept unless a base rule fails. Added columns sit in one struct column whose name no input column has.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ MAX_REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 #: Share of a group that a concentration step keeps, and chi-squared quantiles for reweighting and for rejection.
 SUPPORT, REWEIGHT, CUT = 0.75, 0.975, 0.999
-STEPS = 2
-MIN_GROUP = 200
+#: Rows of its language that a group counts beside its own, and of all rows that a language does.
+PRIOR = 50
+#: Least fall of a log determinant that counts as one.
+SETTLED = 0.1
 #: Log-distance bins per unit of the natural logarithm.
 BINS = 32
 #: The transformed statistics, with the standard deviation that is added to each as a floor: most are 0 in most texts, and
@@ -123,17 +128,11 @@ def _label(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("null"))
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    """(lang_, source_) to the group that its rows are judged in."""
-    sizes = rows.groupBy("lang_", "source_").count()
-    own = F.col("count") >= MIN_GROUP
-    by_lang = Window.partitionBy("lang_")
-    rest = F.sum(F.when(~own, F.col("count")).otherwise(0)).over(by_lang)
-    return sizes.select(
-        "lang_",
-        "source_",
-        F.when(own, F.concat_ws("/", "lang_", "source_")).when(rest >= MIN_GROUP, F.concat(F.col("lang_"), F.lit("/*"))).otherwise("*").alias("group"),
-    )
+GROUP = ["lang_", "source_"]
+KEYS = [*GROUP, "start"]
+D = len(NAMES)
+SUMS = ["n", *(f"s_{i}" for i in range(D)), *(f"q_{i}_{j}" for i in range(D) for j in range(i + 1))]
+FACTOR = [*(f"m_{i}" for i in range(D)), *(f"l_{i}_{j}" for i in range(D) for j in range(i + 1))]
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -147,11 +146,11 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Means and Cholesky factor per group from sums; the scatter is ``scale`` times the covariance plus the floors."""
-    d, n = len(NAMES), F.col("n")
-    params = moments.select("group", "n", *((F.col(f"s_{i}") / n).alias(f"m_{i}") for i in range(d)), *(f"q_{i}_{j}" for i in range(d) for j in range(i + 1)))
-    for j in range(d):
-        for i in range(j, d):
+    """Means, Cholesky factor and log determinant from sums; the scatter is ``scale`` times the covariance plus the floors."""
+    n = F.col("n")
+    params = moments.select(*KEYS, "n", *((F.col(f"s_{i}") / n).alias(f"m_{i}") for i in range(D)), *(f"q_{i}_{j}" for i in range(D) for j in range(i + 1)))
+    for j in range(D):
+        for i in range(j, D):
             cov = scale * (F.col(f"q_{i}_{j}") / n - F.col(f"m_{i}") * F.col(f"m_{j}"))
             if i == j:
                 cov = F.greatest(cov, F.lit(0.0)) + FEATURES[NAMES[i]] ** 2
@@ -159,56 +158,81 @@ def _factor(moments: DataFrame, scale: float) -> DataFrame:
                 cov = cov - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             entry = F.sqrt(F.greatest(cov, F.lit((FEATURES[NAMES[i]] / 10) ** 2))) if i == j else cov / F.col(f"l_{j}_{j}")
             params = params.withColumn(f"l_{i}_{j}", entry)
-    return keep(params.select("group", "n", *(f"m_{i}" for i in range(d)), *(f"l_{i}_{j}" for i in range(d) for j in range(i + 1))))
+    logdet = sum((2 * F.log(F.col(f"l_{i}_{i}")) for i in range(1, D)), 2 * F.log(F.col("l_0_0")))
+    return params.select(*KEYS, *FACTOR, logdet.alias("logdet"))
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    d = len(NAMES)
-    sums = [F.sum(NAMES[i]).alias(f"s_{i}") for i in range(d)]
-    squares = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q_{i}_{j}") for i in range(d) for j in range(i + 1)]
-    return rows.groupBy("group").agg(F.count("*").alias("n"), *sums, *squares)
-
-
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and quartile widths per group, as a diagonal factor."""
-    d = len(NAMES)
-    spread = rows.groupBy("group").agg(F.count("*").alias("n"), *(F.percentile_approx(NAMES[i], [0.25, 0.5, 0.75], 1000).alias(f"p_{i}") for i in range(d)))
-    columns = ["group", "n"] + [F.col(f"p_{i}")[1].alias(f"m_{i}") for i in range(d)]
-    for i in range(d):
+    sums = [F.sum(NAMES[i]).alias(f"s_{i}") for i in range(D)]
+    squares = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q_{i}_{j}") for i in range(D) for j in range(i + 1)]
+    return rows.groupBy(*KEYS).agg(F.count("*").cast("double").alias("n"), *sums, *squares)
+
+
+def _beside(own: DataFrame, above: DataFrame, on: list[str]) -> DataFrame:
+    """Sums with ``PRIOR`` rows as those above added."""
+    wider = above.select(*on, *(F.col(c).alias(f"p_{c}") for c in SUMS))
+    rest = [c for c in own.columns if c not in SUMS]
+    return own.join(wider, on).select(*rest, *((F.col(c) + PRIOR * F.col(f"p_{c}") / F.col("p_n")).alias(c) for c in SUMS))
+
+
+def _shrunk(groups: DataFrame, moments: DataFrame) -> DataFrame:
+    """Sums of every group beside those of its language, and of that beside those of all. These tables have a row per group, and
+    come from one exchange of the sums."""
+    full = groups.join(moments, KEYS, "left").na.fill(0.0, SUMS)
+    by_lang = full.groupBy("lang_", "start").agg(*(F.sum(c).alias(c) for c in SUMS))
+    by_all = full.groupBy("start").agg(*(F.sum(c).alias(c) for c in SUMS))
+    return _beside(full, _beside(by_lang, by_all, ["start"]), ["lang_", "start"])
+
+
+def _quartiles(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Medians and quartile widths, as a diagonal factor."""
+    spread = rows.groupBy(*keys).agg(*(F.percentile_approx(NAMES[i], [0.25, 0.5, 0.75], 1000).alias(f"p_{i}") for i in range(D)))
+    columns = [F.col(f"p_{i}")[1].alias(f"m_{i}") for i in range(D)]
+    for i in range(D):
         for j in range(i + 1):
             wide = F.sqrt(F.pow((F.col(f"p_{i}")[2] - F.col(f"p_{i}")[0]) / 1.349, 2) + FEATURES[NAMES[i]] ** 2)
             columns.append((wide if i == j else F.lit(0.0)).alias(f"l_{i}_{j}"))
-    return keep(spread.select(*columns))
+    return spread.select(*keys, *columns)
+
+
+def _concentrated(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """The ``SUPPORT`` share of each group with the smallest distances, to the end of a histogram bin."""
+    near = _distance(rows.join(model, KEYS)).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS))
+    group = Window.partitionBy(*KEYS)
+    counted = near.groupBy(*KEYS, "bin").count().withColumns({"upto": F.sum("count").over(group.orderBy("bin")), "all": F.sum("count").over(group)})
+    limit = counted.filter(F.col("upto") >= F.ceil(SUPPORT * F.col("all"))).groupBy(*KEYS).agg(F.min("bin").alias("limit"))
+    return near.join(limit, KEYS).filter(F.col("bin") <= F.col("limit"))
 
 
-def fit(stats: DataFrame, lang: str = "lang", source: str = "source", of: str = "stats") -> tuple[DataFrame, DataFrame]:
-    """Groups and their estimates. ``stats`` is read several times: pass a stored table without texts."""
+def fit(stats: DataFrame, lang: str = "lang", source: str = "source", of: str = "stats") -> DataFrame:
+    """The estimates, a row per (lang, source). ``stats`` is read several times: pass a stored table without texts."""
     s = stats.select(_label(F.col(lang)).alias("lang_"), _label(F.col(source)).alias("source_"), F.col(of).alias("x_"))
-    rows = s.filter(~F.col("x_.base_failed")).select("lang_", "source_", *(F.col(f"x_.{name}") for name in NAMES))
-    groups = keep(_groups(rows))
-    rows = keep(rows.join(groups, ["lang_", "source_"]).select("group", *NAMES))
-    d = len(NAMES)
-    model = _start(rows)
-    consistency = SUPPORT / chi2_share(chi2_quantile(SUPPORT, d), d + 2)
-    by_bin = Window.partitionBy("group").orderBy("bin")
-    for _ in range(STEPS):
-        near = _distance(rows.join(model, "group")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS))
-        cumulated = near.groupBy("group", "bin", "n").count().withColumn("upto", F.sum("count").over(by_bin))
-        limit = cumulated.filter(F.col("upto") >= F.ceil(SUPPORT * F.col("n"))).groupBy("group").agg(F.min("bin").alias("limit"))
-        inner = near.drop("n").join(limit, "group").filter(F.col("bin") <= F.col("limit"))
-        model = _factor(_moments(inner), consistency)
-    weighted = _distance(rows.join(model, "group")).filter(F.col("d2") <= chi2_quantile(REWEIGHT, d)).drop("n")
-    sizes = rows.groupBy("group").agg(F.count("*").alias("rows"))
-    final = _factor(_moments(weighted), REWEIGHT / chi2_share(chi2_quantile(REWEIGHT, d), d + 2))
-    return groups, keep(final.join(sizes, "group").filter(F.col("rows") >= MIN_GROUP).drop("n", "rows"))
-
-
-def judge(stats: DataFrame, model: tuple[DataFrame, DataFrame], lang: str = "lang", source: str = "source", of: str = "stats", into: str = "verdict") -> DataFrame:
+    single = keep(s.filter(~F.col("x_.base_failed")).select(*GROUP, *(F.col(f"x_.{name}") for name in NAMES)))
+    rows = single.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("start"))
+    groups = keep(rows.select(*KEYS).distinct())
+    everywhere = _quartiles(single.withColumn("start", F.lit(0)), ["start"])
+    own = _quartiles(single, GROUP).withColumn("start", F.lit(1))
+    model = groups.join(everywhere, "start").select(*KEYS, *FACTOR).unionByName(own.select(*KEYS, *FACTOR))
+    model = keep(model.withColumn("logdet", F.lit(float("inf"))))
+    consistency = SUPPORT / chi2_share(chi2_quantile(SUPPORT, D), D + 2)
+    while True:
+        after = _factor(_shrunk(groups, _moments(_concentrated(rows, model))), consistency)
+        both = model.select(*KEYS, F.struct(*FACTOR, "logdet").alias("old")).join(after.select(*KEYS, F.struct(*FACTOR, "logdet").alias("new")), KEYS)
+        falls = F.col("new.logdet") < F.col("old.logdet") - SETTLED
+        both = keep(both.select(*KEYS, falls.alias("falls"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("x")))
+        model = both.select(*KEYS, "x.*")
+        if not both.agg(F.max("falls")).first()[0]:
+            break
+    best = model.groupBy(*GROUP).agg(F.min_by(F.struct(*FACTOR), F.struct("logdet", "start")).alias("x")).select(*GROUP, F.lit(0).alias("start"), "x.*")
+    weighted = _distance(single.withColumn("start", F.lit(0)).join(best, KEYS)).filter(F.col("d2") <= chi2_quantile(REWEIGHT, D))
+    sums = _shrunk(groups.filter("start = 0"), _moments(weighted))
+    return keep(_factor(sums, REWEIGHT / chi2_share(chi2_quantile(REWEIGHT, D), D + 2)).select(*GROUP, *FACTOR))
+
+
+def judge(stats: DataFrame, model: DataFrame, lang: str = "lang", source: str = "source", of: str = "stats", into: str = "verdict") -> DataFrame:
     """``stats`` with a struct column ``into`` of (distance, kept)."""
-    groups, estimates = model
     k, e, z = fresh(stats, "group_key"), fresh(stats, "estimate"), fresh(stats, "scaled")
-    bundle = estimates.select(F.col("group"), F.struct(*(F.col(c) for c in estimates.columns if c != "group")).alias(e))
-    lookup = groups.join(bundle, "group", "left").select(F.struct("lang_", "source_").alias(k), e)
+    lookup = model.select(F.struct(*GROUP).alias(k), F.struct(*FACTOR).alias(e))
     joined = stats.join(lookup, F.struct(_label(stats[lang]).alias("lang_"), _label(stats[source]).alias("source_")) == F.col(k), "left")
     squares: list[Column] = []
     steps = joined
