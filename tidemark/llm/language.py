@@ -1,12 +1,12 @@
 """Operator 1: languages of texts and of their spans.
 
-``train`` counts letter n-grams (2 to 4 letters with word borders) per language, hashed into ``BUCKETS`` counters, and the
-scripts that a language is written in. It learns from a bounded sample: at most ``SAMPLE_ROWS`` labelled rows per language, those
-of least id hash, of at most ``MAX_LANGUAGES`` most frequent languages. The model is languages x buckets numbers whatever the
-corpus, so it may be broadcast.
+``train`` counts letter n-grams (2 to 4 letters with word borders) per language, hashed into counters, and the
+scripts that a language is written in. It learns every label, from a bounded sample: at most ``SAMPLE_ROWS`` labelled rows per
+language, those of least id hash. There are ``BUCKETS`` counters per language, or as many fewer as keep the model of all
+languages within ``MODEL_BYTES``, so it may be broadcast.
 
-``label`` scores every word of every whole text. The script of a word's letters, by code point ranges, narrows the languages to
-those written in it. Viterbi over the word scores, with a penalty for a switch between neighbours, labels spans of
+``label`` scores every word of every whole text. A word is a run of letters of one script with their marks. Its script, by code
+point ranges, narrows the languages to those written in it. Viterbi over the word scores, with a penalty for a switch between neighbours, labels spans of
 mixed-language texts. The prediction is the language whose spans hold most letters; its score is their share of all letters.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and no spans, so is every text if nothing is labelled.
@@ -16,6 +16,7 @@ predictions, an empty table gives an empty result, and the added column is one s
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,12 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import remainder, table
+from tidemark.llm.common import keep, remainder, table
 from tidemark.llm.hashing import mix
 
 UNKNOWN = "und"
-SAMPLE_ROWS, MAX_LANGUAGES = 1500, 256
-BUCKETS = 1 << 17
+SAMPLE_ROWS = 1500
+#: Shares of a language whose rows are picked from apart first, and then again: no task sorts all rows of a language.
+SALTS = (64, 8)
+BUCKETS, MODEL_BYTES = 1 << 17, 128 << 20
 ORDERS = (2, 3, 4)
 #: Log-probability lost by a change of language between two words, and added count of every n-gram.
 SWITCH, SMOOTH = 6.0, 0.1
@@ -51,62 +54,80 @@ SCRIPTS = (
 SCRIPT_NAMES = tuple(sorted({name for _, name in SCRIPTS}))
 
 
+LETTER, MARK = 1, 2
+
+
 @lru_cache(maxsize=1)
-def letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """Per code point whether it is a letter, and its lower case where that is one code point."""
-    letter, lower = np.zeros(0x110000, dtype=bool), np.arange(0x110000, dtype=np.uint32)
+def letter_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point whether it is a letter or a mark, its lower case where that is one code point, and its script."""
+    kind, lower = np.zeros(0x110000, dtype=np.uint8), np.arange(0x110000, dtype=np.uint32)
     for code in range(0x110000):
         c = chr(code)
         if c.isalpha():
-            letter[code] = True
+            kind[code] = LETTER
             small = c.lower()
             if len(small) == 1:
                 lower[code] = ord(small)
-    return letter, lower
+        elif code > 0x2FF and unicodedata.category(c)[0] == "M":
+            kind[code] = MARK
+    names = {name: n for n, name in enumerate(SCRIPT_NAMES)}
+    ranges = np.array([names[name] for _, name in SCRIPTS], dtype=np.uint8)
+    script = ranges[np.searchsorted([first for first, _ in SCRIPTS], np.arange(0x110000), side="right") - 1]
+    return kind, lower, script
 
 
 class Words:
-    """The words (runs of letters) of some texts and the n-grams of each."""
+    """The words of some texts and the n-grams of each: runs of letters of one script, with the marks among them."""
 
     def __init__(self, texts: list[str]):
-        letter, lower = letter_tables()
+        kinds, lower, script = letter_tables()
         joined = "\n".join(texts) + "\n"
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        inside = letter[codes]
+        kind, written = kinds[codes], script[codes]
+        both = (kind[1:] == LETTER) & (kind[:-1] == LETTER)
+        cuts = np.flatnonzero(both & (written[1:] != written[:-1])) + 1
+        place = np.arange(len(codes))
+        if len(cuts):  # a border between letters of two scripts
+            codes, kind, place = np.insert(codes, cuts, 0), np.insert(kind, cuts, 0), np.insert(place, cuts, cuts)
+        inside = kind > 0
         edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        letters = np.concatenate([[0], np.cumsum(kind == LETTER)])
+        some = letters[end] > letters[start]  # marks alone are no word
+        self.own_start, self.own_end = start[some], end[some]
+        self.start, self.end = place[self.own_start], place[self.own_end - 1] + 1
         ends = np.cumsum([len(t) + 1 for t in texts])
         self.text = np.searchsorted(ends, self.start, side="right")
         self.begin = np.concatenate([[0], ends[:-1]])
         self.codes = np.where(inside, lower[codes], 0).astype(np.uint64)
-        self.raw = codes
+        self.script = script[codes[self.own_start]]
 
     def scripts(self) -> np.ndarray:
         """The script of each word, by its first letter."""
-        names = {name: n for n, name in enumerate(SCRIPT_NAMES)}
-        ranges = np.array([names[name] for _, name in SCRIPTS])
-        return ranges[np.searchsorted([first for first, _ in SCRIPTS], self.raw[self.start], side="right") - 1]
+        return self.script
 
     def grams(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per order the word of each n-gram and its bucket; a word has a border (0) on both sides."""
         padded = np.concatenate([[0], self.codes]).astype(np.uint64)
-        sizes = self.end - self.start + 2  # with borders; a border in `padded` lies at place start, the word from start + 1
+        sizes = self.own_end - self.own_start + 2  # with borders; a border in `padded` lies at place start, the word from start + 1
         for n in ORDERS:
             count = np.maximum(sizes - n + 1, 0)
             word = np.repeat(np.arange(len(count)), count)
-            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.start[word]
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.own_start[word]
             value = np.full(len(place), n, dtype=np.uint64)
             for k in range(n):
                 value = value * np.uint64(0x100000001B3) + padded[place + k]
             yield word, (mix(value) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+def _chunks(texts: pa.Array, languages: int = 1) -> Iterator[tuple[int, list[str]]]:
+    """About ``CHUNK_CHARS`` at a time, fewer where words are scored in very many languages."""
+    most = CHUNK_CHARS * 256 // max(languages, 256)
     first, out, size = 0, [], 0
     for n, value in enumerate(texts):
         out.append(value.as_py() or "")
         size += len(out[-1])
-        if size >= CHUNK_CHARS:
+        if size >= most:
             yield first, out
             first, out, size = n + 1, [], 0
     if out:
@@ -115,10 +136,10 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 class Model:
     def __init__(self, languages: list[str], counts: np.ndarray, letters: np.ndarray):
-        """``counts``: languages x buckets; ``letters``: languages x scripts."""
-        self.languages = languages
+        """``counts``: languages x a power of two of buckets; ``letters``: languages x scripts."""
+        self.languages, self.buckets = languages, counts.shape[1]
         total = counts.sum(axis=1, keepdims=True)
-        self.log = np.ascontiguousarray(np.log((counts + SMOOTH) / (total + SMOOTH * BUCKETS)).T.astype(np.float32))
+        self.log = np.ascontiguousarray(np.log((counts + SMOOTH) / (total + SMOOTH * self.buckets)).T.astype(np.float32))
         shares = letters / np.maximum(letters.sum(axis=1, keepdims=True), 1)
         written = shares >= SCRIPT_SHARE
         known = written.any(axis=0)
@@ -130,7 +151,7 @@ class Model:
         for word, bucket in words.grams():
             if len(word):
                 first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-                out[word[first]] += np.add.reduceat(self.log[bucket], first, axis=0)
+                out[word[first]] += np.add.reduceat(self.log[bucket & (self.buckets - 1)], first, axis=0)
         return out
 
     def path(self, scores: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -187,12 +208,21 @@ class Model:
         ]
 
 
+def buckets_for(languages: int) -> int:
+    """Counters per language."""
+    return min(BUCKETS, 1 << max(MODEL_BYTES // (4 * max(languages, 1)), 1).bit_length() - 1)
+
+
 def train(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text", key: str = "doc_id") -> Model:
     """The model of the rows that ``learn`` selects. Ids only pick the sample."""
     rows = docs.filter(learn & docs[lang].isNotNull()).select(docs[lang].cast("string").alias("lang"), docs[text].cast("string").alias("text"), F.xxhash64(docs[key]).alias("pick"))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    chosen = rows.select("lang", "pick")
+    for salts in SALTS:
+        share = F.pmod("pick", F.lit(salts))
+        place = F.row_number().over(Window.partitionBy("lang", share).orderBy("pick"))
+        chosen = chosen.withColumn("n", place).filter(F.col("n") <= SAMPLE_ROWS)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("pick"))
-    chosen = rows.select("lang", "pick").join(frequent, "lang").withColumn("n", place).filter(F.col("n") <= SAMPLE_ROWS)
+    chosen = chosen.withColumn("n", place).filter(F.col("n") <= SAMPLE_ROWS)
     # rows, not ids, are bounded: a hash that several rows share at the edge may add these
     edge = chosen.groupBy("lang").agg(F.max("pick").alias("edge"))
     sample = rows.join(F.broadcast(edge), "lang").filter("pick <= edge").select("lang", "text")
@@ -217,12 +247,14 @@ def train(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text"
 
     counted = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_lang = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
+    by_lang = keep(by_lang)
+    size = buckets_for(by_lang.count())
     languages, counts, letters = [], [], []
-    for row in sorted(by_lang.toLocalIterator(), key=lambda r: r["lang"]):  # MAX_LANGUAGES rows of at most BUCKETS counts
+    for row in by_lang.orderBy("lang").toLocalIterator():  # one language at a time, folded to its share of MODEL_BYTES
         bucket, n = np.array([(c["bucket"], c["n"]) for c in row["counts"]], dtype=np.int64).reshape(-1, 2).T
         gram = bucket < BUCKETS
         languages.append(row["lang"])
-        counts.append(np.bincount(bucket[gram], weights=n[gram], minlength=BUCKETS))
+        counts.append(np.bincount(bucket[gram] & (size - 1), weights=n[gram], minlength=size).astype(np.float32))
         letters.append(np.bincount(bucket[~gram] - BUCKETS, weights=n[~gram], minlength=len(SCRIPT_NAMES)))
     if not languages:
         return Model([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPT_NAMES))))
@@ -240,7 +272,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", into: str = "langua
     @F.arrow_udf(f"lang string, score double, spans {SPANS}")
     def labels(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = [r for _, texts in _chunks(batch) for r in shared.value.label(texts)]
+            rows = [r for _, texts in _chunks(batch, len(shared.value.languages)) for r in shared.value.label(texts)]
             yield pa.array([{"lang": lang, "score": score, "spans": spans} for lang, score, spans in rows], kind)
 
     return docs.withColumn(into, labels(docs[text].cast("string")))
