@@ -253,14 +253,34 @@ def _by_group(rows: DataFrame) -> DataFrame:
     return cut.join(least, "window", "left").groupBy("doc", "print", "begin").agg(F.bit_or(low).alias("bits"), F.bit_or(high).alias("more"))
 
 
+def _rivals(library: DataFrame, shared, wanted: bool) -> DataFrame:
+    """The stretches whose anchor passes the filter of anchors with several distinct ones, or else the places of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.passes(shared.value, batch.column(0).to_numpy()) == wanted))
+
+    columns = library.select("anchor", "at", "bytes", "doc", "print", "begin") if wanted else library.select("anchor", "doc", "print", "begin")
+    return columns.mapInArrow(run, columns.schema)
+
+
 def entries(docs: DataFrame, seen) -> DataFrame:
-    """The earliest copies of all stretches that pass the filter (document, text digest, first window), with their repeated windows as bits."""
+    """The earliest copies of all stretches that pass the filter (document, text digest, first window), with their repeated windows as bits.
+
+    A stretch that is the only distinct one of its anchor has no rival: it repeats nothing, and its bytes need not be moved again.
+    """
+    context = docs.sparkSession.sparkContext
     place = F.min(F.struct("doc", "print", "begin")).alias("place")
     library = stored(_shared(docs, seen).groupBy("anchor", "at", "bytes").agg(place).select("anchor", "at", "bytes", "place.*"), "stretches")
-    hot = library.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor")
+    several = stored(library.groupBy("anchor").count().filter("count > 1"), "anchors")
+    shared = context.broadcast(bloom.of_keys(several, "anchor"))
+    hot = several.filter(F.col("count") > HOT).select("anchor")
     size = library.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    cold = _by_sort(library.join(hot, "anchor", "left_anti"), -(-size // SHARD_BYTES) or 1)
-    return stored(cold.unionByName(_by_group(library.join(hot, "anchor", "left_semi"))), "repeats")
+    cold = library.join(hot, "anchor", "left_anti")
+    none = F.lit(0).cast("long")
+    alone = _rivals(cold, shared, False).select("doc", "print", "begin", none.alias("bits"), none.alias("more"))
+    found = _by_sort(_rivals(cold, shared, True), -(-size // SHARD_BYTES) or 1)
+    return stored(found.unionByName(alone).unionByName(_by_group(library.join(hot, "anchor", "left_semi"))), "repeats")
 
 
 def _cut(data: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, int, bytes]:
