@@ -193,6 +193,17 @@ def test_every_similar_pair_shares_enough_keys():
                 assert any(len(np.intersect1d(k, all_y)) >= max(1, need) for k, need in kx)
 
 
+def test_a_large_group_costs_a_pair_per_row(spark, monkeypatch):
+    """A third of the rows are near copies of one text, and all share a passage; compared pairs grow with rows, not with their square."""
+    base, passage = prose(1, 300), prose(2, 12)
+    rows = [(n, f"{base} {n} {prose(n, 4)} {passage}") for n in range(150)] + [(1000 + n, f"{prose(500 + n, 60)} {passage}") for n in range(300)]
+    made, linked = [], ngram_join._linked
+    monkeypatch.setattr(ngram_join, "_linked", lambda pairs, *more: made.append(pairs.count()) or linked(pairs, *more))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(documents(spark, rows)).collect()}
+    assert all(got[n] == 0 for n in range(150)) and all(got[1000 + n] == 1000 + n for n in range(300))
+    assert sum(made) < 3 * len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(n, n + 1) for n in range(0, 40)] + [(100, n) for n in range(101, 160)] + [(200, 200)]
     got = {(r["node"], r["root"]) for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}

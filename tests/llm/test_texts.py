@@ -88,6 +88,53 @@ def test_licence_cosines_are_those_of_brute_force(spark):
             assert got[k] is None
 
 
+def test_licence_files_are_told_by_their_whole_text(spark):
+    """Full texts, heads, SPDX lines, sentences with more words and long lines without a stop, and what inherits from them."""
+    mit, bsd3 = dict(licences.TEXTS)["MIT"], dict(licences.TEXTS)["BSD-3-Clause"]
+    head = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007\n Everyone may copy this.\n" + prose(9, 400)
+    long = " ".join(prose(7, 120).split()) + " licensed under the apache license version 2.0 " + " ".join(prose(8, 130).split())
+    assert len(long) > 1000
+    files = spark.createDataFrame(
+        [
+            ("a/LICENSE", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + mit), ("a/x.py", prose(1, 30)), ("a/deep/er/y.py", prose(2, 30)),
+            ("b/notes.txt", "Copyright 2021 Others\nAll rights reserved.\n\n" + bsd3), ("b/z.c", prose(3, 30)), ("c/COPYING", head), ("c/k.h", prose(4, 30)),
+            ("d/one.rs", "// SPDX-License-Identifier: GPL-2.0-or-later\n" + prose(5, 50)), ("d/two.rs", "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */ x"),
+            ("e/README", prose(6, 40) + ".\nThis project is licensed under the MIT License - see the LICENSE file for details"), ("f/long.txt", long),
+            ("g/half.txt", mit[: len(mit) // 4] + " " + prose(10, 300)),
+        ],
+        "path string, text string",
+    )
+    got = {r["path"]: (r["licence"], r["found"], r["licence_path"]) for r in licences.scan(files).collect()}
+    assert got["a/LICENSE"][:2] == ("MIT", "header") and got["a/x.py"] == got["a/deep/er/y.py"] == ("MIT", "inherited", "a/LICENSE")
+    assert got["b/notes.txt"][:2] == ("BSD-3-Clause", "header") and got["b/z.c"] == ("BSD-3-Clause", "inherited", "b/notes.txt")
+    assert got["c/COPYING"][:2] == ("GPL-3.0", "header") and got["c/k.h"] == ("GPL-3.0", "inherited", "c/COPYING")
+    assert got["d/one.rs"][:2] == ("GPL-2.0", "header") and got["d/two.rs"][:2] == ("MIT", "header")
+    assert got["e/README"][0] == "MIT" and got["f/long.txt"][:2] == ("Apache-2.0", "header")
+    assert got["g/half.txt"] == (None, "none", None)
+
+
+def test_whole_text_cosines_are_those_of_brute_force(spark):
+    texts = [body for _, body in licences.TEXTS] + [f"{prose(n, 20 * n)} {body}" for n, (_, body) in enumerate(licences.TEXTS)] + [prose(1, 50), "", None, "the software", licences.TEXTS[0][1][:700]]
+    files = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "path int, text string").selectExpr("*", "'x' AS file_key", "'x' AS whole")
+    split = lambda t: [w for w in re.split(r"[^\w.]+|\.(?!\w)", (t or "").lower()) if w]
+    bags, n = [Counter(split(t)) for t in texts], len(texts)
+    known = {w for _, body in licences.TEXTS for w in split(body)}
+    idf = {w: math.log((1 + n) / (1 + sum(w in b for b in bags))) + 1 for w in known}
+    got = {r["path"]: r["found"] for r in licences.whole_texts(files, into="found").collect()}
+    assert len(got) == n
+    for k, bag in enumerate(bags):
+        length = math.sqrt(sum((c * idf.get(w, math.log(1 + n) + 1)) ** 2 for w, c in bag.items())) or 1.0
+        scores = []
+        for name, body in licences.TEXTS:
+            own = Counter(split(body))
+            scores.append((sum(bag[w] * c * idf[w] ** 2 for w, c in own.items()) / length / math.sqrt(sum((c * idf[w]) ** 2 for w, c in own.items())), name))
+        best = max(scores)
+        if best[0] >= licences.LEAST:
+            assert got[k]["licence"] == best[1] and abs(got[k]["score"] - best[0]) < 1e-9
+        else:
+            assert got[k] is None
+
+
 def test_licences_in_wrapped_notices_and_paragraphs(spark):
     apache = "Licensed under the Apache License, Version 2.0"
     texts = [
@@ -133,6 +180,119 @@ def test_quality_rejects_outliers_and_keeps_the_rest(spark):
     assert not any(got[1000 + n] for n in range(40))
 
 
+def plain_verdicts(rows, np):
+    """Whether each row is kept, by a plain run of the same estimate: rows are (group, base_failed, statistics)."""
+    q, d = quality, quality.D
+    floors = np.array([q.FEATURES[n] for n in q.NAMES])
+    data = {}
+    for group, failed, x in rows:
+        if not failed:
+            data.setdefault(group, []).append(x)
+    data = {g: np.array(x) for g, x in data.items()}
+    quartile = lambda x, p: np.sort(x, axis=0)[max(int(np.ceil(p * len(x))) - 1, 0)]
+    start = lambda x: (quartile(x, 0.5), np.diag(np.sqrt(((quartile(x, 0.75) - quartile(x, 0.25)) / 1.349) ** 2 + floors**2)))
+    d2 = lambda x, e: (np.linalg.solve(e[1], (x - e[0]).T) ** 2).sum(axis=0)
+
+    def shrunk(subsets, scale):
+        sums = {g: (float(len(x)), x.sum(axis=0), x.T @ x) if len(x) else (0.0, np.zeros(d), np.zeros((d, d))) for g, x in subsets.items()}
+        add = lambda a, b: tuple(u + v for u, v in zip(a, b))
+        beside = lambda a, b: tuple(u + q.PRIOR * v / b[0] for u, v in zip(a, b))
+        zero = (0.0, np.zeros(d), np.zeros((d, d)))
+        everything, langs = zero, {}
+        for g, m in sums.items():
+            everything, langs[g[0]] = add(everything, m), add(langs.get(g[0], zero), m)
+        out = {}
+        for g, m in sums.items():
+            n, s1, s2 = beside(m, beside(langs[g[0]], everything))
+            mean = s1 / n
+            cov = scale * (s2 / n - np.outer(mean, mean))
+            cov[np.diag_indices(d)] = np.maximum(np.diag(cov), 0) + floors**2
+            out[g] = (mean, np.linalg.cholesky(cov))
+        return out
+
+    logdet = lambda e: 2 * np.log(np.diag(e[1])).sum()
+    ends = []
+    whole = start(np.concatenate(list(data.values())))
+    for model in ({g: whole for g in data}, {g: start(x) for g, x in data.items()}):
+        best = {g: float("inf") for g in data}
+        while True:
+            kept = {}
+            for g, x in data.items():
+                bins = np.floor(np.log(d2(x, model[g]) + 1e-9) * q.BINS)
+                kept[g] = x[bins <= np.sort(bins)[int(np.ceil(q.SUPPORT * len(x))) - 1]]
+            new = shrunk(kept, q.SUPPORT / q.chi2_share(q.chi2_quantile(q.SUPPORT, d), d + 2))
+            falls = [g for g in data if logdet(new[g]) < best[g] - q.SETTLED]
+            for g in falls:
+                model[g], best[g] = new[g], logdet(new[g])
+            if not falls:
+                break
+        ends.append((model, best))
+    chosen = {g: ends[0][0][g] if ends[0][1][g] <= ends[1][1][g] else ends[1][0][g] for g in data}
+    final = shrunk({g: x[d2(x, chosen[g]) <= q.chi2_quantile(q.REWEIGHT, d)] for g, x in data.items()}, q.REWEIGHT / q.chi2_share(q.chi2_quantile(q.REWEIGHT, d), d + 2))
+    far = q.chi2_quantile(q.CUT, d)
+    return [not failed and (g not in final or bool(d2(np.array([x]), final[g])[0] <= far)) for g, failed, x in rows]
+
+
+def test_verdicts_are_those_of_a_plain_estimate(spark):
+    """Large, small and single-row groups, ties, repeated rows, null labels and groups full of outliers."""
+    import numpy as np
+
+    rows = []
+    for n in range(420):
+        odd = n % 23 == 0
+        text = " ".join((w + "#" if odd and k % 2 else w) for k, w in enumerate(prose(n, 15 + n % 70).split())) + ("!" * 30 if n % 29 == 0 else "")
+        rows.append((n, text, ["en", "en", "de", None][n % 4 if n < 400 else 1], ["a", "b"][n % 3 == 0] if n < 390 else f"s{n}"))
+    rows += [rows[5]] * 7 + [(900, prose(1, 60), "fr", None), (901, "A B C D " * 12, "fr", "z"), (902, None, "en", "a"), (903, "a b", "en", "new")]
+    stats = quality.statistics(documents(spark, rows), "stats").drop("text").cache()
+    judged = quality.judge(stats, quality.fit(stats)).collect()
+    want = plain_verdicts([((r["lang"] or "", r["source"] or ""), r["stats"]["base_failed"], [r["stats"][x] for x in quality.NAMES]) for r in judged], np)
+    assert [r["verdict"]["kept"] for r in judged] == want
+    assert 5 < sum(not k for k in want) < 80
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_spans_are_the_best_of_all_labelings(seed):
+    """Viterbi against every way to label up to six words in three languages."""
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    counts = rng.integers(1, 7, 4)
+    scores = (rng.normal(size=(counts.sum(), 3)) * 6).astype(np.float32)
+    model = language.Model(["a", "b", "c"], np.ones((3, 8)), np.ones((3, len(language.SCRIPT_NAMES))))
+    got = model.path(scores.copy(), counts)
+    for first, n in zip(np.cumsum(counts) - counts, counts):
+        def total(way):
+            return sum(float(scores[first + t, x]) for t, x in enumerate(way)) - language.SWITCH * sum(x != y for x, y in zip(way, way[1:]))
+
+        best = max(total(way) for way in itertools.product(range(3), repeat=int(n)))
+        assert abs(total(got[first : first + n].tolist()) - best) < 1e-3
+
+
+def test_words_are_of_one_script_and_hold_their_marks():
+    texts = ["jumpsпросто да", "हिन्दी में", "ab\u0301c \u0301", "", "Ab1c漢字かな"]
+    words = language.Words(texts)
+    found = [(int(t), texts[t][a - b : e - b]) for t, a, e, b in zip(words.text, words.start, words.end, words.begin[words.text])]
+    assert found == [(0, "jumps"), (0, "просто"), (0, "да"), (1, "हिन्दी"), (1, "में"), (2, "ab\u0301c"), (4, "Ab"), (4, "c"), (4, "漢字"), (4, "かな")]
+    assert [language.SCRIPT_NAMES[n] for n in words.scripts()] == ["latin", "cyrillic", "cyrillic", "devanagari", "devanagari", "latin", "latin", "latin", "han", "kana"]
+    # a word gives the same n-grams wherever it stands
+    alone = language.Words(["просто"])
+    grams = [sorted(b[w == 1].tolist()) for w, b in words.grams()]
+    assert grams == [sorted(b.tolist()) for _, b in alone.grams()]
+
+
+def test_every_label_can_be_given(spark, monkeypatch):
+    """Hundreds of labels, each with words of its own, share the bytes of the model."""
+    monkeypatch.setattr(language, "MODEL_BYTES", 300 * 4 * 4096)
+    rows = [(n, f"w{chr(97 + n % 26)}{chr(97 + n // 26)}zq {chr(97 + n // 26)}o{chr(97 + n % 26)} " * 20, f"l{n:03}", "s") for n in range(300)]
+    df = documents(spark, rows)
+    model = language.train(df, F.lit(True))
+    assert len(model.languages) == 300 and model.log.nbytes <= 300 * 4 * 4096
+    found = language.label(df, model, into="guess").select("lang", "guess.lang").collect()
+    assert sum(a == b for a, b in found) > 270
+
+
 def test_language_model_base_and_gain(spark, tables):
     rows = [r for r in odd_rows()] + [(100 + n, prose(n % 9, 50)) for n in range(60)]
     df = documents(spark, rows)
@@ -174,12 +334,39 @@ def test_scores_are_those_of_the_counts(spark):
     got = {r["doc_id"]: r["score"] for r in scoring.score(documents(spark, rows), F.lit(True)).collect()}
     for (i, _), t in zip(rows, tokens):
         word = [min((seen(alone[w]) + 1) / (total + len(alone) + 1), 1) for w in t]
-        after = [0.0] + [min(seen(both[p]) / seen(alone[p[0]]), 1) for p in zip(t, t[1:])]
+        after = [0.0] + [min(max(seen(both[p]) - scoring.DISCOUNT, 0) / seen(alone[p[0]]), 1) for p in zip(t, t[1:])]
         sums = [sum(math.log10((1 - x) * a + x * b) for a, b in zip(word, after)) for x in scoring.WEIGHTS]
         want = max(sums) + math.log10(sum(10 ** (x - max(sums)) for x in sums) / len(sums))
         assert abs(got[i] - want) < 0.01 * abs(want)
 
 
+def test_keys_are_packed_as_differences():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for size, most in ((0, 1), (1, 2**32 - 1), (5, 10), (1000, 2**32 - 1), (50_000, 2**32 - 1), (3, 2**24)):
+        keys = np.sort(rng.integers(0, most, size, dtype=np.uint64)).astype(np.uint32)
+        packed = scoring.shortened(keys)
+        assert scoring.lengthened(packed).tolist() == keys.tolist()
+        assert size < 10_000 or len(packed) < 3.1 * size
+
+
+def test_frequent_words_are_whole_levels_and_few(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "FREQUENT", 40)
+    words = spark.createDataFrame([(f"w{n}", 1 + 1000 // (n + 1)) for n in range(500)] + [("x" * 65, 10**6)], "word string, count long")
+    got = [r["count"] for r in scoring.frequent_words(words.repartition(16)).collect()]
+    assert 20 < len(got) <= 40 and min(got) >= 1000 // 41 and max(got) == 1001
+    assert scoring.frequent_words(words.filter("false")).count() == 0
+
+
+def test_a_text_that_occurs_twice_scores_above_those_that_occur_once(spark):
+    once = [(n, prose(1000 + n, 150)) for n in range(60)]
+    twice = [(100 + n, prose(5000 + n // 2, 150)) for n in range(40)]
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in scoring.score(documents(spark, once + twice), F.lit(True)).collect()}
+    bar = sorted(got[i] for i, _ in once)[-6]
+    assert sum(got[i] > bar for i, _ in twice) >= 36
+
+
 def test_lines_of_rows_are_no_hot_key(spark):
     rows = spark.range(2000).selectExpr(
         "id AS number", "id AS doc_id", "true AS learned", "1L AS n_tokens", "1L AS seen", "0D AS base", "0D AS score",
