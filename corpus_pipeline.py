@@ -1,7 +1,7 @@
 """A corpus pipeline: quality rules, language ID, near-duplicate join, repeated passages, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns of
-``docs``. Rows without an id pass the near-duplicate stage, and rows that repeat an id stay or go together there.
+``docs``. Rows are judged as rows: ids may be null or repeat.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, ngram_join, packing, quality, suffixes
-from tidemark.llm.common import fresh, keep, shared_dir, table
+from tidemark.llm.common import fresh, shared_dir, stored, table
 
 #: A text goes if no language has this share of its letters.
 LEAST_SHARE = 0.5
@@ -24,8 +24,8 @@ WORDS, PERCENT = 5, 80
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
     stats, verdict = fresh(docs, "stats"), fresh(docs, "verdict")
-    counted = quality.statistics(docs, stats)
-    model = quality.fit(keep(counted.select("lang", "source", stats)), of=stats)
+    counted = stored(quality.statistics(docs, stats), "counted")  # counted once, for the fit and for the judgement
+    model = quality.fit(counted.select("lang", "source", stats), of=stats)
     judged = quality.judge(counted, model, of=stats, into=verdict)
     return judged.filter(F.col(verdict)["kept"]).select(docs.columns)
 
@@ -41,9 +41,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a similarity of 0.8 or more on five words the one with the least id stays."""
-    gone = ngram_join.join(docs, n=WORDS, percent=PERCENT).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of documents linked by a similarity of 0.8 or more on five words one row stays, that of the least id; null comes last."""
+    key = fresh(docs, "row_key")
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = ngram_join.join(keyed, n=WORDS, percent=PERCENT, doc_id=key).select(F.col("doc_id").alias("row"), "component_id")
+    rows = keyed.select(F.col(key).alias("row"), F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(key).alias("row")).alias("place"))
+    first = rows.join(found, "row").groupBy("component_id").agg(F.min("place").alias("place"))
+    return keyed.join(first.select(F.col("place.row").alias(key)), key, "left_semi").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
