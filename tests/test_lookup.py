@@ -60,3 +60,13 @@ def test_the_stream_of_lookups_equals_batch(spark, folder):
         reports.stream_as_of(feed.stream(), f"{folder}/dim", f"{folder}/t", f"{folder}/c", "k", "ts", "at", ["name"], F.col("op") == "d").awaitTermination()
     want = lookup.as_of(feed.table(), table, "k", "ts", "at", ["name"], deleted=F.col("op") == "d")
     assert rows(tables.append_view(spark, f"{folder}/t")) == rows(want)
+
+
+def test_of_changes_at_one_time_the_last_of_the_log_counts(spark, folder):
+    at, late = D(2024, 1, 2), D(2024, 1, 3)
+    # a first name and its change in the same moment, a change and a delete, a delete and a new beginning
+    log = [("a", at, 1, "zebra", "c"), ("a", at, 2, "new zebra", "u"), ("b", at, 1, "b", "u"), ("b", at, 2, None, "d"), ("h", at, 1, None, "d"), ("h", at, 2, "h", "c")]
+    changes = spark.createDataFrame(log, "k string, at timestamp, n int, name string, op string")
+    facts = [(k, ts, 0, "x") for k in "abh" for ts in (at, late)]
+    got = lookup.as_of(spark.createDataFrame(facts, FACTS), changes, "k", "ts", "at", ["name"], deleted=F.col("op") == "d", order=["n"])
+    assert {(r["k"], r["ts"], r["name"]) for r in got.collect()} == {(k, ts, name) for k, name in (("a", "new zebra"), ("b", None), ("h", "h")) for ts in (at, late)}

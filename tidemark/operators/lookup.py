@@ -29,16 +29,19 @@ def as_of(
     columns: Sequence[str],
     bucket: str = "1 day",
     deleted: Column | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """``facts`` with ``columns`` of the version valid at ``ts``; NULL before the first version and after a delete.
 
     ``changes`` has a row per change: the key, the time ``at``, the new values, and for deletes ``deleted`` is true. Of changes at
-    one time a delete counts least, and the greatest values most. A version counts from its own time on. Facts without key or
+    one time the last by the columns ``order`` counts, their place in the change log; where these are equal or not given, a delete
+    counts least, and the greatest values most. A version counts from its own time on. Facts without key or
     time stay, without values. Versions of one key in one bucket meet in one list: choose a bucket that keeps it short.
     """
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     known = changes.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
-    version = F.struct(F.col(at).cast("timestamp").alias("at"), (~gone).alias("there"), F.struct(*columns).alias("value"))
+    place = F.struct(*order) if order else F.lit(0)
+    version = F.struct(F.col(at).cast("timestamp").alias("at"), place.alias("place"), (~gone).alias("there"), F.struct(*columns).alias("value"))
     versions = known.select(F.col(key).alias("_key"), _bucket(F.col(at), bucket).alias("_bucket"), version.alias("_version"))
     fact_bucket = _bucket(F.col(ts), bucket)
     wanted = facts.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("_key"), fact_bucket.alias("_bucket")).distinct()

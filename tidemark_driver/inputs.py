@@ -202,17 +202,17 @@ def _epoch(number: Column) -> Column:
 
 
 def renamed_products(spark: SparkSession, sf: str) -> DataFrame:
-    """Changes of product names: there from 2024-01-03, each renamed some hours later, every third deleted after another day."""
+    """Changes of product names, ``n``-th by product: there from 2024-01-03, each renamed some hours later, every third deleted after another day."""
     part = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id"), "p_partkey", "p_name")
     begin = F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")
 
-    def change(hours: Column, name: Column, op: str) -> Column:
+    def change(n: int, hours: Column, name: Column, op: str) -> Column:
         at = F.timestamp_add("HOUR", hours.cast("int"), begin)
-        return F.struct(at.alias("at"), name.alias("product_desc"), F.lit(op).alias("op"))
+        return F.struct(at.alias("at"), F.lit(n).alias("n"), name.alias("product_desc"), F.lit(op).alias("op"))
 
     hours = F.col("p_partkey") % 500
-    third = F.when(F.col("p_partkey") % 3 == 0, change(hours + 24, F.lit(None).cast("string"), "d"))
-    changes = F.array(change(F.lit(0), F.col("p_name"), "c"), change(hours, F.concat(F.lit("new "), "p_name"), "u"), third)
+    third = F.when(F.col("p_partkey") % 3 == 0, change(3, hours + 24, F.lit(None).cast("string"), "d"))
+    changes = F.array(change(1, F.lit(0), F.col("p_name"), "c"), change(2, hours, F.concat(F.lit("new "), "p_name"), "u"), third)
     return part.select("product_id", F.explode(F.array_compact(changes)).alias("x")).select("product_id", "x.*")
 
 

@@ -98,7 +98,7 @@ def gmv_daily_report(spark, sf):
 @query
 def names_as_of(spark, sf):
     lines = i.order_lines(spark, sf).select("id", "product_id", "ts")
-    named = lookup.as_of(lines, i.renamed_products(spark, sf), "product_id", "ts", "at", ["product_desc"], deleted=F.col("op") == "d")
+    named = lookup.as_of(lines, i.renamed_products(spark, sf), "product_id", "ts", "at", ["product_desc"], deleted=F.col("op") == "d", order=["n"])
     return named.select("id", "product_id", "product_desc")
 
 
