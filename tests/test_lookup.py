@@ -70,3 +70,8 @@ def test_of_changes_at_one_time_the_last_of_the_log_counts(spark, folder):
     facts = [(k, ts, 0, "x") for k in "abh" for ts in (at, late)]
     got = lookup.as_of(spark.createDataFrame(facts, FACTS), changes, "k", "ts", "at", ["name"], deleted=F.col("op") == "d", order=["n"])
     assert {(r["k"], r["ts"], r["name"]) for r in got.collect()} == {(k, ts, name) for k, name in (("a", "new zebra"), ("b", None), ("h", "h")) for ts in (at, late)}
+    feed = Feed(spark, folder, FACTS)
+    tables.write_batch(changes, f"{folder}/dim", 0)
+    feed.add(facts)
+    reports.stream_as_of(feed.stream(), f"{folder}/dim", f"{folder}/t", f"{folder}/c", "k", "ts", "at", ["name"], F.col("op") == "d", order=["n"]).awaitTermination()
+    assert rows(tables.append_view(spark, f"{folder}/t")) == rows(got)

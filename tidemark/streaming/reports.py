@@ -309,6 +309,7 @@ def stream_as_of(
     columns: Sequence[str],
     deleted: Column | None = None,
     every: str | None = None,
+    order: Sequence[str] = (),
 ) -> StreamingQuery:
     """Facts with the values of a dimension that were valid at their time, stored per batch.
 
@@ -318,7 +319,7 @@ def stream_as_of(
     spark = facts.sparkSession
 
     def looked_up(batch: DataFrame) -> DataFrame:
-        return as_of(batch, append_view(spark, changes_path), key, ts, at, columns, deleted=deleted)
+        return as_of(batch, append_view(spark, changes_path), key, ts, at, columns, deleted=deleted, order=order)
 
     return start(facts, batch_sink(path, looked_up), checkpoint, every=every)
 

@@ -108,7 +108,7 @@ def stream_names_as_of(spark, sf):
     folder = tables.shared_folder(spark, "renamed")
     tables.write_batch(i.renamed_products(spark, sf), folder, 0)
     ended = F.col("op") == "d"
-    path = _run(spark, "named", lambda t, c: reports.stream_as_of(lines, folder, t, c, "product_id", "ts", "at", ["product_desc"], ended))
+    path = _run(spark, "named", lambda t, c: reports.stream_as_of(lines, folder, t, c, "product_id", "ts", "at", ["product_desc"], ended, order=["n"]))
     return tables.append_view(spark, path).select("id", "product_id", "product_desc")
 
 
