@@ -426,3 +426,17 @@ def test_bpe_slices_change_nothing(monkeypatch):
     whole = pair.encode(text).tolist()
     monkeypatch.setattr(bpe, "SLICE", 37)
     assert pair.encode(text).tolist() == whole
+
+
+def test_blobs_of_texts_are_small_and_whole():
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    texts = [*pq.read_table(f"{TESTDATA}/sf0.001/documents.parquet")["text"].to_pylist(), None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(len(texts))], "text": texts, "learned": [n % 2 == 0 for n in range(len(texts))]})
+    plain = pa.BufferOutputStream()
+    with pa.ipc.new_stream(plain, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    blob = scoring._pack(batch)
+    assert len(blob) < 0.9 * plain.getvalue().size
+    assert scoring._unpack(blob) == ([*range(len(texts))], [n % 2 == 0 for n in range(len(texts))], [(t or "").encode() for t in texts])
