@@ -204,6 +204,23 @@ def test_a_large_group_costs_a_pair_per_row(spark, monkeypatch):
     assert sum(made) < 3 * len(rows)
 
 
+@pytest.mark.parametrize("shown", [32, 1])
+def test_a_pair_with_many_common_keys_is_made_once(spark, monkeypatch, shown):
+    monkeypatch.setattr(ngram_join, "FIRST", shown)
+    nodes = {1: {10, 11, 12, 13}, 2: {10, 11, 12, 13}, 3: {11, 12, 13, 14}, 4: {14, 15}, 5: {15}}
+    now = spark.createDataFrame([(k, n, n) for n, keys in nodes.items() for k in keys], "key long, node long, root long")
+    sketches = spark.createDataFrame([(n, 10, [1023] + [0] * 15) for n in nodes], "node long, size long, sketch array<long>")
+    made = Counter((r["x"], r["y"]) for r in ngram_join._each_with_each(now, sketches, 85).collect())
+    assert set(made) == {(x, y) for x in nodes for y in nodes if x < y and nodes[x] & nodes[y]}
+    assert shown == 1 or set(made.values()) == {1}
+
+
+def test_small_graphs_take_few_tasks(spark):
+    edges = spark.createDataFrame([(n, n + 1) for n in range(40)], "u long, v long").repartition(9)
+    found = components.components(edges)
+    assert found.rdd.getNumPartitions() <= 2 and {r["root"] for r in found.collect()} == {0}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(n, n + 1) for n in range(0, 40)] + [(100, n) for n in range(101, 160)] + [(200, 200)]
     got = {(r["node"], r["root"]) for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -14,7 +14,8 @@ The global order of n-grams is that of their 64-bit hashes. It is cut into fragm
 - Groups of near copies. Equal sets are one node from the start. Under a key, nodes are first compared with one centre, and each node
   with one of the centres of its keys, so a group of g near copies costs g pairs; linked nodes form components, and only nodes that share a key but no component yet
   are compared further, with other centres and finally each with each, unless their sizes or the common bits of two short bit
-  sketches already rule them out. No pair that could join components is left out.
+  sketches already rule them out. A pair that shares many keys is made under the busiest alone, as far as the ``FIRST`` busiest keys of
+  both tell. No pair that could join components is left out.
 
 The keys that more than one row has pass through a Bloom filter of fixed size, and so do the nodes whose sets are needed: a
 false positive costs time and changes nothing. Equal 64-bit hashes count as equal n-grams.
@@ -37,7 +38,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm import bloom
 from tidemark.llm.common import keep, stored, table
-from tidemark.llm.components import components
+from tidemark.llm.components import components, tasks_for
 from tidemark.llm.hashing import SEED, chunks, mix, word_hashes
 
 N, PERCENT, PARTS = 4, 85, 8
@@ -46,6 +47,8 @@ CLASS = 1.6
 #: Rounds with one centre per key before pairs are compared each with each.
 CENTRES = 4
 SKETCH_BITS = 1024
+#: Busiest keys of a node that tell whether a pair is met under an earlier key too.
+FIRST = 32
 #: Partners of a centre that are compared in one task.
 PER_SALT = 1000
 #: Nodes that a task remembers to have given, so that copies are sent once.
@@ -251,18 +254,42 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.filter(100 * F.col("o") >= percent * (F.col("sizes") - F.col("o"))).select("u", "v")
 
 
-def _merged(root: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(node, root) after further links: only the roots that they touch are joined up anew."""
+def _few(kept: DataFrame) -> tuple[DataFrame, int]:
+    """A stored table of short rows in as many partitions as its rows need, and their number."""
+    rows = kept.count()
+    return kept.coalesce(tasks_for(rows)), rows
+
+
+def _each_with_each(now: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(x, rx, y, ry) of the nodes of two roots that share a key of ``now`` (distinct key, node, root) and may be similar.
+
+    Near copies share many keys. In one order of all keys, those of most nodes first, a pair is made under a key only if none of the keys
+    before it is common; of these a node shows ``FIRST`` at most. The first common key always makes the pair.
+    """
+    busy = now.groupBy("key").agg((-F.count("*")).alias("at"))
+    placed = now.join(busy, "key").withColumn("place", F.struct("at", "key"))
+    first = placed.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("place")), 1, FIRST).alias("first"))
+    before = F.transform(F.filter("first", lambda p: p < F.col("place")), lambda p: p["key"])
+    known = placed.join(first, "node").join(sketches, "node").select("key", "node", "root", "size", "sketch", before.alias("before"))
+    names = ("node", "root", "size", "sketch", "before")
+    left, right = (known.select("key", *(F.col(c).alias(a) for c, a in zip(names, as_))) for as_ in (("x", "rx", "size_x", "sketch_x", "before_x"), ("y", "ry", "size_y", "sketch_y", "before_y")))
+    near = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
+    return left.join(right, "key").filter(near & ~F.arrays_overlap("before_x", "before_y") & _may_be_similar(percent))
+
+
+def _merged(root: DataFrame | None, links: DataFrame, n_links: int, n_all: int) -> DataFrame:
+    """(node, root) after ``n_links`` further links, ``n_all`` in all: only the roots that they touch are joined up anew."""
     if root is None:
-        return components(links)
+        return components(links, n_links)
     ends = links
     for end in ("u", "v"):
         name = root.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
         ends = ends.join(name, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).drop(f"{end}_root")
-    moved = components(ends.select("u", "v"))
+    moved = components(ends.select("u", "v").coalesce(tasks_for(n_links)), n_links)
     fresh = moved.join(root, "node", "left_anti").select("node", F.col("node").alias("root"))
     to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
-    return keep(root.unionByName(fresh).join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+    named = root.unionByName(fresh).join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return keep(named.coalesce(tasks_for(2 * n_all)))
 
 
 def _roots(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -277,7 +304,7 @@ def _roots(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, perce
     chosen = context.broadcast(bloom.of_keys(filed.select("node").distinct(), "node"))
     parts = keep(_parts(docs, n, chosen).repartition("node").dropDuplicates(["node", "part"]))
     chosen.destroy()  # what it picked is stored
-    root = done = None
+    root, done, n_all = None, None, 0
     now = filed.withColumn("root", F.col("node"))
     for turn in range(CENTRES + 1):
         if turn < CENTRES:
@@ -287,25 +314,23 @@ def _roots(filed: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, perce
             centre = now.groupBy("key").agg(pick.alias("c"))
             other = now.join(centre, "key").select(F.col("c.node").alias("x"), F.col("c.root").alias("rx"), F.col("node").alias("y"), F.col("root").alias("ry"))
         else:
-            known = now.join(sketches, "node").select("key", "node", "root", "size", "sketch")
-            left, right = (known.select("key", *(F.col(c).alias(a) for c, a in zip(("node", "root", "size", "sketch"), names))) for names in (("x", "rx", "size_x", "sketch_x"), ("y", "ry", "size_y", "sketch_y")))
-            near = (F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & (100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
-            other = left.join(right, "key").filter(near & _may_be_similar(percent))
+            other = _each_with_each(now, sketches, percent)
         other = other.filter("rx != ry").select("x", "y", F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
         if done is not None:
             other = other.join(done, ["u", "v"], "left_anti")
         if turn < CENTRES:
             # of the centres of its keys a node meets one in a turn: near copies share many keys, and mostly the first is enough
             other = other.groupBy("y").agg(F.min_by(F.struct("x", "u", "v"), F.xxhash64("x", F.lit(turn))).alias("p")).select("p.*")
-        pairs = keep(other.groupBy("u", "v").agg(F.min("x").alias("centre")))
-        if pairs.isEmpty():
+        pairs, n_pairs = _few(keep(other.groupBy("u", "v").agg(F.min("x").alias("centre"))))
+        if not n_pairs:
             continue
         compared = pairs.select("u", "v")
         done = compared if done is None else done.unionByName(compared)
-        links = keep(_linked(pairs, parts, percent))
-        if links.isEmpty():
+        links, n_links = _few(keep(_linked(pairs, parts, percent)))
+        if not n_links:
             continue
-        root = _merged(root, links)
+        n_all += n_links
+        root = _merged(root, links, n_links, n_all)
         now = filed.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         mixed = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
         now = keep(now.join(mixed, "key"))
