@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.helpers import documents, odd_rows, prose
 from tests.oracle import TESTDATA, compare, connect
-from tidemark.llm import components, ngram_join, packing, suffixes, topk, warc
+from tidemark.llm import bloom, common, components, ngram_join, packing, suffixes, topk, warc
 from tidemark.llm.driver import QUERIES, SQL
+from tidemark.sources import folders
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -274,6 +276,64 @@ def test_ten_thousand_rows_without_an_id_lose_their_repeats(spark):
     assert removed(documents(spark, rows)) == removed_by_hand(rows)
 
 
+def test_a_common_phrase_is_not_cut_into_windows(spark, monkeypatch):
+    """Texts that share less than ``LENGTH`` bytes: longer keys tell them apart, whatever their number."""
+    spans, pieces = [], suffixes._pieces
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    monkeypatch.setattr(suffixes, "_pieces", lambda rows, span: spans.append(span) or pieces(rows, span))
+    rows = [(n, prose(n, 15) + " a phrase that all of the texts have " + prose(100 + n, 15)) for n in range(40)]
+    assert removed(documents(spark, rows)) == removed_by_hand(rows)
+    assert spans == [39]
+
+
+@pytest.mark.parametrize("span", suffixes.SPANS)
+def test_equal_windows_lie_in_pieces_of_one_key(spark, span):
+    """Whatever stretches they come from; and every window of a stretch is in one piece."""
+    line = prose(3, 60).encode()
+    at, n = 200, suffixes.LENGTH
+    rows = [(0, at - b, line[b : e + n], k, b"", b, 0) for k, (b, e) in enumerate([(124, 200), (150, 170), (124, 124), (200, 200), (185, 199), (161, 163)])]
+    cut = suffixes._pieces(spark.createDataFrame(rows, "anchor long, at long, bytes binary, doc long, print binary, begin long, skip long"), span).collect()
+    found, keys = Counter(), {}
+    for r in cut:
+        for k in range(len(r["bytes"]) - n + 1):
+            window = bytes(r["bytes"][k : k + n])
+            first = r["begin"] + r["skip"] + k
+            assert window == line[first : first + n] and r["at"] - k == at - first
+            found[r["doc"], first] += 1
+            keys.setdefault(window, set()).add(r["anchor"])
+    assert found == Counter((k, w) for _, _, text, k, _, b, _ in rows for w in range(b, b + len(text) - n + 1))
+    assert all(len(k) == 1 for k in keys.values())
+
+
+@pytest.mark.parametrize("skip, n", [(0, 1), (0, 77), (5, 58), (62, 1), (62, 2), (63, 14), (70, 3), (0, 63)])
+def test_bits_of_whole_pieces(spark, skip, n):
+    r = spark.range(1).select(*suffixes._whole(F.lit(skip), F.lit(n))).first()
+    assert r["bits"] | r["more"] << 63 == ((1 << n) - 1) << skip
+
+
+def shuffled(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for n in range(blocks.size()) if (name := blocks.apply(n).name()).startswith("shuffle_")}
+
+
+def test_only_what_is_read_again_stays_on_disk(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 1)
+    passage = prose(40, 40)
+    texts = documents(spark, [(n, f"{prose(n, 20)} {passage[n:]}") for n in range(20)]).selectExpr("text", "doc_id AS doc", "unhex(md5(text)) AS print")
+    folder = common.shared_dir(spark)
+    was = set(folders.listed(spark, folder))
+    seen = spark.sparkContext.broadcast(np.full(bloom.BITS // 8, 255, dtype=np.uint8))
+    assert suffixes.entries(texts, seen).count() > 20
+    assert [name.partition("-")[0] for name in set(folders.listed(spark, folder)) - was] == ["repeats"]
+
+    before, tidy = shuffled(spark), spark.conf.get(common.TIDY)
+    table_ = common.stored(texts.groupBy("doc").count(), "counts")
+    until = time.time() + 20
+    while (left := shuffled(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and table_.count() == 20 and spark.conf.get(common.TIDY) == tidy
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_suffixes_are_sorted_by_hash_comparisons(seed):
     rng = np.random.default_rng(seed)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import folders
+
 #: White space that separates words; every other character belongs to a word. Fixed by the contract.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -65,8 +68,37 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: With it Spark drops what a query has shuffled as soon as the query ends, not when the driver happens to collect its garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY, None)
+    conf.set(TIDY, "true")  # for this write alone: it shuffles for itself, and only its table is read again
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.unset(TIDY) if before is None else conf.set(TIDY, before)
+    return df.sparkSession.read.parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Like ``keep``, as a compressed table in the shared folder; for tables too large for plain rows."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return _written(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stored`` for tables that only this block needs: they go when it ends, so nothing that is returned may read them."""
+    paths: list[str] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        paths.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+        return _written(df, paths[-1])
+
+    try:
+        yield store
+    finally:
+        for path in paths:
+            folders.delete(spark, path)

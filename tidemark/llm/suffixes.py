@@ -12,8 +12,10 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
   byte of each in the end. Runs are merged by binary search of each suffix in the other run.
 - Reading off. Neighbours in the order whose common extension is ``LENGTH`` bytes are one class. Their bytes are compared before that
   is believed; where hashes have collided the stretches are compared by their bytes alone. The earliest place of a class stays.
-- Hot anchors. The stretches of an anchor with more than ``HOT`` distinct ones are cut into single windows, which are grouped by
-  their bytes, so that no shard grows with the data.
+- Hot anchors. The stretches of an anchor with more than ``HOT`` distinct ones are cut into pieces by where their windows have the
+  anchor, and a piece is filed under all bytes that its windows must have: longer keys, of which few are hot still. Equal pieces are kept
+  once, as stretches are. ``SPANS`` goes on to single windows, which are grouped by their bytes, so that no shard grows with the data.
+- Disk. Tables that only one step needs go with it, as do the shuffled rows of a table that is stored.
 - Copies of a stretch that are not the earliest go as a whole: the last pass finds the stretches of a text anew and takes those
   without an entry for copies.
 
@@ -24,16 +26,16 @@ give an empty result. ``remove`` adds one struct column and leaves the others as
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import bloom
-from tidemark.llm.common import fresh, stored, table
+from tidemark.llm.common import fresh, scratch, stored, table
 from tidemark.llm.hashing import SEED, chunks, mix, prefix_sums, ranges
 
 LENGTH, GRAM = 100, 24
@@ -41,6 +43,8 @@ LENGTH, GRAM = 100, 24
 WIDE = LENGTH - GRAM + 1
 #: Bytes of stretches whose suffixes are sorted together, and distinct stretches of an anchor that are.
 SHARD_BYTES, HOT = 1 << 20, 1024
+#: Neighbouring places of the anchor that the windows of a piece have, from cut to cut; at 1 a piece is one window.
+SPANS = (39, 10, 1)
 BEFORE_ALL = -(1 << 63)
 #: Bits of a place in a text, or in the texts that a task reads together.
 PLACE_BITS = np.uint64(32)
@@ -223,34 +227,87 @@ def repeated(passages: list[bytes], anchors: np.ndarray, offsets: np.ndarray, pl
 
 
 HALF = (1 << 63) - 1
+#: Stretches or pieces of them: ``begin`` is the first window of the stretch, ``skip`` windows before that of the piece.
+PIECE = ("anchor", "at", "bytes", "doc", "print", "begin", "skip")
 FOUND = "doc long, print binary, begin long, bits long, more long"
+#: Files of a table of hot anchors.
+FILES = 8
 
 
-def _by_sort(rows: DataFrame, shards: int) -> DataFrame:
-    """The repeated windows of each stretch, from the sorted suffixes of its shard: the first 63 and the others."""
+def _by_sort(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """The repeated windows of each stretch, from the sorted suffixes of its shard: the first 63 and the others.
+
+    ``several``: anchors with the bytes of their stretches.
+    """
+    size = several.agg(F.sum("size")).first()[0] or 0
 
     def run(table_: pa.Table) -> pa.Table:
-        names = ("doc", "print", "begin")
-        places = list(zip(*(table_[c].to_pylist() for c in names)))
+        doc, print_, begin, skip = (table_[c].to_pylist() for c in ("doc", "print", "begin", "skip"))
+        places = [(d, p, b + k) for d, p, b, k in zip(doc, print_, begin, skip)]
         found = repeated(table_["bytes"].to_pylist(), table_["anchor"].to_numpy(), table_["at"].to_numpy(), places)
+        found = [bits << k for bits, k in zip(found, skip)]
         halves = [pa.array([b & HALF for b in found], pa.int64()), pa.array([b >> 63 for b in found], pa.int64())]
+        names = ("doc", "print", "begin")
         return pa.Table.from_arrays([*(table_[c] for c in names), *halves], names=[*names, "bits", "more"])
 
-    return rows.groupBy(F.pmod("anchor", F.lit(shards)).alias("shard")).applyInArrow(run, FOUND)
+    shard = F.pmod("anchor", F.lit(-(-size // SHARD_BYTES) or 1)).alias("shard")
+    return rows.select(*PIECE).groupBy(shard).applyInArrow(run, FOUND)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Anchors with several distinct stretches: how many, and their bytes."""
+    return rows.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("bytes")).alias("size")).filter("n > 1")
+
+
+def _pieces(rows: DataFrame, span: int) -> DataFrame:
+    """Pieces of stretches whose windows have the anchor at ``span`` neighbouring places, filed under a hash of the bytes that each of these windows has."""
+    # a window with the anchor at place p is number at - p of the stretch
+    least = F.col("at") - F.length("bytes") + LENGTH
+    parts = F.explode(F.sequence(F.floor(least / span), F.floor(F.col("at") / span))).alias("part")
+    cut = rows.select(*PIECE, least.alias("least"), parts)
+    low, high = F.col("part") * span, F.col("part") * span + span - 1
+    cut = cut.withColumns({"low": low, "high": F.least(high, F.lit(WIDE - 1)), "from": F.greatest("least", low), "to": F.least("at", high)})
+    key = F.expr(f"substring(bytes, cast(at - low + 1 as int), cast(low - high + {LENGTH} as int))")
+    piece = F.expr(f"substring(bytes, cast(at - to + 1 as int), cast(to - from + {LENGTH} as int))")
+    first = F.col("at") - F.col("to")
+    return cut.select(F.xxhash64("part", key).alias("anchor"), F.col("to").alias("at"), piece.alias("bytes"), "doc", "print", "begin", (F.col("skip") + first).alias("skip"))
+
+
+def _whole(skip: Column, windows: Column) -> tuple[Column, Column]:
+    """The bits of so many windows after the skipped ones, in two halves."""
+
+    def below(n: Column) -> Column:
+        return F.call_function("shiftright", F.lit(HALF), (63 - n).cast("int"))
+
+    def half(n: Column) -> tuple[Column, Column]:
+        return below(F.least(n, F.lit(63))), below(F.greatest(n - 63, F.lit(0)))
+
+    (low, more), (low_end, more_end) = half(skip), half(skip + windows)
+    return low.bitwiseXOR(low_end).alias("bits"), more.bitwiseXOR(more_end).alias("more")
 
 
-def _by_group(rows: DataFrame) -> DataFrame:
-    """The same for hot anchors, window by window."""
-    k = F.explode(F.sequence(F.lit(0), F.length("bytes") - LENGTH)).alias("k")
-    cut = rows.select("doc", "print", "begin", "bytes", k)
-    cut = cut.select("doc", "print", "begin", "k", F.expr(f"substring(bytes, k + 1, {LENGTH})").alias("window"))
-    cut = stored(cut.withColumn("place", F.struct("doc", "print", (F.col("begin") + F.col("k")).alias("at"))), "windows")
-    least = cut.groupBy("window").agg(F.min("place").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    again = F.col("place") > F.col("least")
+def _by_pieces(hot: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The same for stretches of hot anchors, cut into pieces until few share a key."""
     none = F.lit(0).cast("long")
-    low = F.when(again & (F.col("k") < 63), F.expr("shiftleft(1L, k)")).otherwise(none)
-    high = F.when(again & (F.col("k") >= 63), F.expr("shiftleft(1L, k - 63)")).otherwise(none)
-    return cut.join(least, "window", "left").groupBy("doc", "print", "begin").agg(F.bit_or(low).alias("bits"), F.bit_or(high).alias("more"))
+    found = hot.select("doc", "print", "begin", none.alias("bits"), none.alias("more"))
+    for span in SPANS:
+        cut = store(_pieces(hot, span), "pieces")
+        place = F.struct("doc", "print", (F.col("begin") + F.col("skip")).alias("window"), "begin", "skip")
+        first = cut.groupBy("anchor", "at", "bytes").agg(F.min(place).alias("least"), F.count("*").alias("copies"))
+        first = store(first.select("anchor", "at", "bytes", "least.*", "copies"), "firsts")
+        # a later copy repeats the first one as a whole
+        named = [F.col(c).alias(f"{c}_") for c in ("doc", "print", "window")]
+        later = cut.join(first.filter("copies > 1").select("anchor", "at", "bytes", *named), ["anchor", "at", "bytes"])
+        later = later.filter(F.struct("doc", "print", F.col("begin") + F.col("skip")) > F.struct("doc_", "print_", "window_"))
+        found = found.unionByName(later.select("doc", "print", "begin", *_whole(F.col("skip"), F.length("bytes") - LENGTH + 1)))
+        several = store(_counted(first), "anchors")
+        few = several if span == 1 else several.filter(F.col("n") <= HOT)  # of single windows only those with one hash
+        found = found.unionByName(_by_sort(first.join(few.select("anchor"), "anchor"), few))
+        most = several.filter(F.col("n") > HOT).select("anchor")
+        if span == 1 or most.isEmpty():
+            break
+        hot = first.join(store(most.coalesce(FILES), "hot"), "anchor", "left_semi")
+    return found.groupBy("doc", "print", "begin").agg(F.bit_or("bits").alias("bits"), F.bit_or("more").alias("more"))
 
 
 def _rivals(library: DataFrame, shared, wanted: bool) -> DataFrame:
@@ -260,7 +317,7 @@ def _rivals(library: DataFrame, shared, wanted: bool) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(bloom.passes(shared.value, batch.column(0).to_numpy()) == wanted))
 
-    columns = library.select("anchor", "at", "bytes", "doc", "print", "begin") if wanted else library.select("anchor", "doc", "print", "begin")
+    columns = library.select(*PIECE) if wanted else library.select("anchor", "doc", "print", "begin")
     return columns.mapInArrow(run, columns.schema)
 
 
@@ -270,17 +327,22 @@ def entries(docs: DataFrame, seen) -> DataFrame:
     A stretch that is the only distinct one of its anchor has no rival: it repeats nothing, and its bytes need not be moved again.
     """
     context = docs.sparkSession.sparkContext
-    place = F.min(F.struct("doc", "print", "begin")).alias("place")
-    library = stored(_shared(docs, seen).groupBy("anchor", "at", "bytes").agg(place).select("anchor", "at", "bytes", "place.*"), "stretches")
-    several = stored(library.groupBy("anchor").count().filter("count > 1"), "anchors")
-    shared = context.broadcast(bloom.of_keys(several, "anchor"))
-    hot = several.filter(F.col("count") > HOT).select("anchor")
-    size = library.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    cold = library.join(hot, "anchor", "left_anti")
     none = F.lit(0).cast("long")
-    alone = _rivals(cold, shared, False).select("doc", "print", "begin", none.alias("bits"), none.alias("more"))
-    found = _by_sort(_rivals(cold, shared, True), -(-size // SHARD_BYTES) or 1)
-    return stored(found.unionByName(alone).unionByName(_by_group(library.join(hot, "anchor", "left_semi"))), "repeats")
+    with scratch(docs.sparkSession) as store:
+        place = F.min(F.struct("doc", "print", "begin")).alias("place")
+        library = _shared(docs, seen).groupBy("anchor", "at", "bytes").agg(place)
+        library = store(library.select("anchor", "at", "bytes", "place.*", none.alias("skip")), "stretches")
+        several = store(_counted(library), "anchors")
+        shared = context.broadcast(bloom.of_keys(several, "anchor"))
+        hot = store(several.filter(F.col("n") > HOT).select("anchor").coalesce(FILES), "hot")
+        rivals = _rivals(library, shared, True)
+        alone = _rivals(library, shared, False).select("doc", "print", "begin", none.alias("bits"), none.alias("more"))
+        found = _by_sort(rivals.join(hot, "anchor", "left_anti"), several.filter(F.col("n") <= HOT)).unionByName(alone)
+        if not hot.isEmpty():
+            found = found.unionByName(_by_pieces(store(rivals.join(hot, "anchor", "left_semi"), "crowded"), store))
+        found = stored(found, "repeats")
+        shared.destroy()  # what it picked is stored
+    return found
 
 
 def _cut(data: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, int, bytes]:
@@ -342,8 +404,9 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", into: st
     content = docs[text].cast("string")
     keyed = docs.withColumns({doc: F.coalesce(docs[doc_id].cast("long"), F.lit(BEFORE_ALL)), print_: F.unhex(F.md5(F.coalesce(content, F.lit("")).cast("binary")))})
     texts = keyed.select(content.alias("text"), F.col(doc).alias("doc"), F.col(print_).alias("print"))
-    often = _anchors(texts).groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
-    seen = context.broadcast(bloom.of_keys(often, "anchor"))
+    with scratch(docs.sparkSession) as store:
+        often = store(_anchors(texts).groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "often")
+        seen = context.broadcast(bloom.of_keys(often, "anchor"))
     lists = entries(texts, seen).groupBy(F.col("doc").alias(doc), F.col("print").alias(print_)).agg(F.collect_list(F.struct("begin", "bits", "more")).alias(known))
     joined = keyed.join(lists, [doc, print_], "left")
     x = F.col(known)
