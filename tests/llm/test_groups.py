@@ -386,6 +386,15 @@ def test_pipeline(spark, tables):
         assert stage(spark, empty, None).count() == 0
 
 
+def test_the_stage_of_repeated_passages_leaves_only_what_its_rows_are_made_of(spark):
+    docs = documents(spark, [(n, prose(n, 20) + " " + prose(900, 40)) for n in range(12)])
+    folder = common.shared_dir(spark)
+    was = set(folders.listed(spark, folder))
+    cut = corpus_pipeline.repeated_passages(spark, docs, None)
+    assert [name.partition("-")[0] for name in set(folders.listed(spark, folder)) - was] == ["repeats"]
+    assert sum(prose(900, 40) in r["text"] for r in cut.collect()) == 1
+
+
 def five_word_similarity(a, b):
     x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
     return len(x & y) / len(x | y)
